@@ -1,0 +1,52 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from estrella.session import plan_bytes, shuffle_partitions
+
+HOT_ROWS = 1_000_000
+# Inputs below this size cannot hold a key heavy enough to matter.
+CHECK_FROM_BYTES = 256 * 1024 * 1024
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
+    """The heaviest keys with at least ``hot_rows`` rows.
+
+    At most four per shuffle partition are returned: a key outside that list holds less than
+    a quarter of a partition's fair share and needs no special care.
+    """
+    most = 4 * shuffle_partitions(df.sparkSession)
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    heavy = counts.filter(F.col("n") >= hot_rows).orderBy(F.desc("n"), key).limit(most)
+    return [row[key] for row in heavy.collect()]
+
+
+def join_lookup(
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    check_from_bytes: int = CHECK_FROM_BYTES,
+) -> DataFrame:
+    """Join many ``rows`` with a ``lookup`` holding one row per key.
+
+    Rows of hot keys meet a broadcast of the few lookup rows they need and never shuffle; the
+    others take the ordinary join. The result is the same as ``rows.join(lookup, key, how)``.
+
+    Spark splits skewed partitions itself when both sides of a join come straight from a shuffle.
+    This join is for lookups that are themselves joined on the same key, where it cannot.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how}")
+    if plan_bytes(rows) < check_from_bytes:
+        return rows.join(lookup, key, how)
+    hot = hot_keys(rows, key, hot_rows)
+    if not hot:
+        return rows.join(lookup, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    heavy = rows.filter(is_hot).join(F.broadcast(lookup.filter(is_hot)), key, how)
+    return rows.filter(~is_hot).join(lookup, key, how).unionByName(heavy)
