@@ -873,7 +873,7 @@ _ORACLES = {
         CAST(longitude AS DOUBLE) AS longitude, CAST(pct_monto_global AS DOUBLE) AS pct_monto_global) FROM ({_geo('fact', 'LEFT JOIN')})""",
     "coverage_report": """SELECT unnest(['Período desde', 'Período hasta', 'Años cubiertos', 'Meses cubiertos', 'Revenue neto total (USD)']) AS parametro,
         unnest([min(anio || '-' || lpad(mes::VARCHAR, 2, '0')), max(anio || '-' || lpad(mes::VARCHAR, 2, '0')), count(DISTINCT anio)::VARCHAR,
-                count(*)::VARCHAR, format('{:,}', (CAST(sum(monto_neto) * 10000 AS HUGEINT) + 50) // 1000000) || '.' ||
+                count(*)::VARCHAR, format('{:,}', (CAST(sum(monto_neto) * 10000 AS HUGEINT) + 50) // 10000) || '.' ||
                 lpad(CAST(((CAST(sum(monto_neto) * 10000 AS HUGEINT) + 50) // 100) % 100 AS VARCHAR), 2, '0')]) AS valor FROM m_period""",
     "mart_counts": """SELECT 'dp_ventas_por_periodo' AS tabla, (SELECT count(*) FROM m_period) AS registros
         UNION ALL SELECT 'dp_ventas_por_cliente', (SELECT count(*) FROM customer) UNION ALL SELECT 'dp_ventas_por_producto', (SELECT count(*) FROM part)

@@ -7,12 +7,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField
 
 from estrella.functions import numbers as num
 from estrella.operators.upsert import assign_keys, ensure_columns, fill_missing, upsert
 from estrella.session import SINGLE_TASK_ROWS
 
 
+_SCORE_FIELDS = [StructField("customer_score", IntegerType()), StructField("customer_score_segmento", StringType())]
+
+
 @dataclass(frozen=True)
 class Reference:
     """A table looked up by ``on`` (base column, lookup column), giving ``columns`` new names."""
@@ -81,12 +85,3 @@ def attach_score(dim: DataFrame, scores: DataFrame, key: tuple[str, str], score:
 
 def backfill_country(dim: DataFrame, countries: DataFrame, column: str, foreign_key: str) -> DataFrame:
     return fill_missing(dim, countries, (column, "country_name"), foreign_key, "sk_pais")
-
-
-def _score_fields():
-    from pyspark.sql.types import IntegerType, StringType, StructField
-
-    return [StructField("customer_score", IntegerType()), StructField("customer_score_segmento", StringType())]
-
-
-_SCORE_FIELDS = _score_fields()

@@ -38,6 +38,11 @@ class Ledger:
     events: list[Row] = field(default_factory=list)
     _runs: int = 0
 
+    def resume(self, scripts: DataFrame, events: DataFrame) -> None:
+        """Continue the numbering of an earlier application."""
+        self.scripts = [Row(**r.asDict()) for r in scripts.orderBy("script_id").collect()]
+        self._runs = events.agg(F.max("log_id")).first()[0] or 0
+
     def register(self, name: str, description: str, stage: str) -> int:
         """Script id; registering a name again changes nothing."""
         for row in self.scripts:

@@ -30,7 +30,7 @@ def read_raw_csv(
         .option("encoding", "UTF-8")
         .option("mode", "FAILFAST")
         .option("multiLine", multiline)
-        # an empty field stays an empty text; only missing fields are NULL
+        # a bare empty field is NULL, a quoted one is an empty text
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
         .csv(path)
@@ -38,9 +38,7 @@ def read_raw_csv(
 
 
 def write_raw_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    df.write.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option(
-        "emptyValue", ""
-    ).csv(path)
+    df.write.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').csv(path)
 
 
 def append(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
@@ -80,3 +78,9 @@ def control_total(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per imported table plus the batch total as table ``TOTAL``."""
     counts = row_counts(dict(tables))
     return counts.unionByName(counts.agg(F.lit("TOTAL").alias("tabla"), F.sum("registros").alias("registros")))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a completely written table is at ``path``."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
