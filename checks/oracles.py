@@ -507,8 +507,8 @@ def _fk_checks() -> str:
             f"SELECT '{table}' AS tabla, '{column}' AS campo, 'INTEGRIDAD_REFERENCIAL' AS control, "
             f"CASE WHEN n = 0 THEN 'OK' ELSE 'ERROR' END AS resultado, n AS cant_errores, "
             f"CASE WHEN n = 0 THEN 'Todos los {column} existen' ELSE n || ' registros con {column} inválido' || "
-            f"CASE WHEN (SELECT count(*) FROM ({keys})) <= 20 THEN ': ' || (SELECT string_agg(CAST(k AS VARCHAR), ', ' ORDER BY k) "
-            f"FROM ({keys})) ELSE '' END END AS detalle FROM (SELECT count(*) AS n FROM {source} WHERE {bad})"
+            f"CASE WHEN (SELECT count(DISTINCT {column}) FROM {source} WHERE {bad}) <= 20 AND (SELECT count(*) FROM ({keys})) <= 20 "
+            f"THEN ': ' || (SELECT string_agg(CAST(k AS VARCHAR), ', ' ORDER BY k) FROM ({keys})) ELSE '' END END AS detalle FROM (SELECT count(*) AS n FROM {source} WHERE {bad})"
         )
     return " UNION ALL ".join(parts)
 

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
+from estrella.operators import skew
 from estrella.operators.calendar import date_key
-from estrella.operators.skew import HOT_ROWS, join_lookup
+from estrella.session import materialize
 
 MEASURES = [
     "cantidad", "precio_unitario", "descuento", "flete_prorrateado",
@@ -31,10 +32,6 @@ class DimKey:
     required: bool = False
 
 
-def lines_per_order(lines: DataFrame, order_key: str) -> DataFrame:
-    return lines.groupBy(order_key).agg(F.count(F.lit(1)).alias("n_lineas"))
-
-
 def prorate(amount: Column, parts: Column) -> Column:
     """Equal share of an order amount per line, four decimals; a missing amount counts as zero."""
     return num.ratio(F.coalesce(amount, F.lit(0)).cast(num.MONEY), parts).cast(num.MONEY)
@@ -56,20 +53,26 @@ def load_fact(
     keys: Sequence[DimKey],
     calendar: DataFrame | None = None,
     order_key: str = "order_id",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = skew.HOT_ROWS,
+    check_from_bytes: int = skew.CHECK_FROM_BYTES,
 ) -> DataFrame:
     """Fact rows from order lines and order headers.
 
     Lines are counted per order before any join, the counts go to the (much smaller) header
-    table, and lines meet headers once. Lines of a required dimension without a match are left
+    table, and lines meet headers once. For large inputs the counts are written, as they also tell
+    which orders are too heavy for one task; their lines meet a broadcast of their headers. Lines of a required dimension without a match are left
     out; optional ones keep a NULL key. With a ``calendar`` the date must be in it. Dimensions are
     broadcast when Spark finds them small and otherwise joined with its skew handling.
 
     ``lines`` is read twice, so it should be a stored table.
     """
-    dated = orders.filter(F.col("order_date").isNotNull())
-    headers = dated.join(lines_per_order(lines, order_key), order_key)
-    rows = join_lookup(lines, headers, order_key, "inner", hot_rows)
+    counts = skew.count_keys(lines, order_key, "n_lineas")
+    hot = []
+    if skew.worth_checking(lines, check_from_bytes):
+        counts = materialize(counts)
+        hot = skew.hot_keys(counts, order_key, "n_lineas", hot_rows)
+    headers = orders.filter(F.col("order_date").isNotNull()).join(counts, order_key)
+    rows = skew.split_join(lines, headers, order_key, "inner", hot)
     if calendar is not None:
         rows = rows.join(calendar.select(F.col("fecha").alias("order_date"), "sk_tiempo"), "order_date")
     else:

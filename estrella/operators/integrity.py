@@ -48,14 +48,20 @@ def check_foreign_keys(checks: Sequence[ForeignKey], control: str = "INTEGRIDAD_
 
 
 def _check_one(fk: ForeignKey, control: str) -> DataFrame:
-    counted = fk.missing().filter(F.col(fk.column).isNotNull()).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cant_errores"))
+    """Keys are listed when at most ``LISTED_KEYS`` values are missing, so that the missing values
+    fit a broadcast of known size and the child is only scanned for them, not shuffled."""
+    missing = fk.missing().filter(F.col(fk.column).isNotNull())
+    counted = missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cant_errores"), F.count(F.lit(1)).alias("valores"))
     if fk.key:
-        keys = fk.orphans().select(F.col(fk.key).alias("k")).distinct().orderBy("k").limit(LISTED_KEYS + 1)
+        few = missing.select(fk.column).orderBy(fk.column).limit(LISTED_KEYS + 1)
+        hits = fk.child.select(fk.column, F.col(fk.key).alias("k")).join(F.broadcast(few), fk.column, "left_semi")
+        keys = hits.select("k").distinct().orderBy("k").limit(LISTED_KEYS + 1)
         shown = keys.agg(
             F.count(F.lit(1)).alias("shown"),
             F.array_join(F.transform(F.sort_array(F.collect_list("k")), lambda k: k.cast("string")), ", ").alias("lista"),
         )
-        lists = shown.select(F.when(F.col("shown") <= LISTED_KEYS, F.concat(F.lit(": "), "lista")).otherwise("")).scalar()
+        text = shown.select(F.when(F.col("shown") <= LISTED_KEYS, F.concat(F.lit(": "), "lista")).otherwise("")).scalar()
+        lists = F.when(F.col("valores") <= LISTED_KEYS, text).otherwise("")
     else:
         lists = F.lit("")
     bad = F.concat(F.col("cant_errores").cast("string"), F.lit(f" registros con {fk.column} inválido"), lists)

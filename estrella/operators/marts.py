@@ -10,43 +10,61 @@ from estrella.operators.ranking import rank_and_tile
 from estrella.session import SINGLE_TASK_ROWS
 
 
+def _distinct_per(fact: DataFrame, group: str, column: str, name: str) -> DataFrame:
+    """Distinct non-null values of one column per group, reading just these two columns."""
+    pairs = fact.select(group, column).filter(F.col(column).isNotNull()).distinct()
+    return pairs.groupBy(group).agg(F.count(F.lit(1)).alias(name))
+
+
+def _sums_per_order(fact: DataFrame, group: str, amounts: dict[str, str]) -> DataFrame:
+    """Orders, lines and amounts per group, summed per (group, order) first."""
+    per_order = fact.groupBy(group, "nk_order_id").agg(
+        F.count(F.lit(1)).alias("lineas"), *[F.sum(source).alias(name) for name, source in amounts.items()]
+    )
+    return per_order.groupBy(group).agg(
+        F.count("nk_order_id").alias("total_pedidos"),
+        F.sum("lineas").alias("total_lineas"),
+        *[F.coalesce(F.sum(name), F.lit(0)).cast("decimal(28,4)").alias(name) for name in amounts],
+    )
+
+
 def sales_by_period(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """One row per month.
 
-    Month attributes come from the calendar after aggregation; before it the month is the date
-    key without its day, so the fact is aggregated without a join. The distinct counts are taken
-    over (month, value) groups, which keeps a month holding a large share of the rows balanced.
+    Before aggregation the month is the date key without its day, so the fact is aggregated
+    without a join; the calendar supplies names afterwards. Each distinct count is its own narrow
+    aggregation over (month, value): together they shuffle less than one aggregation that repeats
+    every row once per distinct column, and a month with most of the rows stays balanced.
     """
     month = F.expr("sk_tiempo div 100")
-    zero = F.lit(0)
-    sums = (
-        fact.withColumn("_month", month)
-        .groupBy("_month")
-        .agg(
-            F.count_distinct("nk_order_id").alias("total_pedidos"),
-            F.count(F.lit(1)).alias("total_lineas"),
-            F.count_distinct("sk_cliente").alias("total_clientes"),
-            F.count_distinct("sk_producto").alias("total_productos"),
-            *[
-                F.coalesce(F.sum(c), zero).cast("decimal(28,4)").alias(name)
-                for c, name in (
-                    ("monto_bruto", "monto_bruto"),
-                    ("monto_descuento", "monto_descuento"),
-                    ("monto_neto", "monto_neto"),
-                    ("flete_prorrateado", "flete_total"),
-                )
-            ],
-        )
-    )
+    monthly = fact.withColumn("_month", month)
+    amounts = {
+        "monto_bruto": "monto_bruto",
+        "monto_descuento": "monto_descuento",
+        "monto_neto": "monto_neto",
+        "flete_total": "flete_prorrateado",
+    }
+    sums = _sums_per_order(monthly, "_month", amounts)
+    customers = _distinct_per(monthly, "_month", "sk_cliente", "total_clientes")
+    products = _distinct_per(monthly, "_month", "sk_producto", "total_productos")
     months = calendar.select(month.alias("_month"), "anio", "trimestre", "mes", "nombre_mes").distinct()
     return (
-        sums.join(months, "_month")
-        .withColumn("ticket_promedio", num.ratio(F.col("monto_neto"), F.col("total_pedidos")))
+        months.join(sums, "_month")
+        .join(customers, "_month", "left")
+        .join(products, "_month", "left")
         .select(
-            "anio", "trimestre", "mes", "nombre_mes", "total_pedidos", "total_lineas", "total_clientes",
-            "total_productos", "monto_bruto", "monto_descuento", "monto_neto", "flete_total", "ticket_promedio",
+            "anio",
+            "trimestre",
+            "mes",
+            "nombre_mes",
+            "total_pedidos",
+            "total_lineas",
+            F.coalesce("total_clientes", F.lit(0)).alias("total_clientes"),
+            F.coalesce("total_productos", F.lit(0)).alias("total_productos"),
+            *amounts,
+            num.ratio(F.col("monto_neto"), F.col("total_pedidos")).alias("ticket_promedio"),
         )
-    )
+    )
 
 
 def sales_by_customer(
@@ -79,17 +97,11 @@ def sales_by_product(products: DataFrame, metrics: DataFrame) -> DataFrame:
 
 
 def sales_by_employee(employees: DataFrame, fact: DataFrame, small_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    sums = (
-        fact.filter(F.col("sk_empleado").isNotNull())
-        .groupBy("sk_empleado")
-        .agg(
-            F.count_distinct("nk_order_id").alias("total_pedidos"),
-            F.count_distinct("sk_cliente").alias("total_clientes"),
-            F.sum("monto_neto").alias("monto_neto"),
-        )
-    )
+    sold = fact.filter(F.col("sk_empleado").isNotNull())
+    sums = _sums_per_order(sold, "sk_empleado", {"monto_neto": "monto_neto"})
+    customers = _distinct_per(sold, "sk_empleado", "sk_cliente", "total_clientes")
     zero = F.lit(0)
-    table = employees.join(sums, "sk_empleado", "left").select(
+    table = employees.join(sums, "sk_empleado", "left").join(customers, "sk_empleado", "left").select(
         "sk_empleado", "nk_employee_id", "nombre_completo", "title",
         F.coalesce("total_pedidos", zero).alias("total_pedidos"),
         F.coalesce("total_clientes", zero).alias("total_clientes"),

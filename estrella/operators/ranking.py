@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from estrella.session import (
     SINGLE_TASK_BYTES,
     SINGLE_TASK_ROWS,
-    materialize,
     materialize_counted,
     plan_bytes,
     shuffle_partitions,
@@ -26,26 +25,27 @@ from estrella.session import (
 _PLACE_BITS = 33
 
 
-def _fits_one_task(df: DataFrame, small_rows: int) -> tuple[DataFrame, bool]:
-    """The frame to go on with (written if its size was not clear) and whether it is small."""
+def _place(df: DataFrame, order: Sequence[Column], small_rows: int) -> tuple[DataFrame, bool]:
+    """The frame to go on with and whether it fits one task.
+
+    When it does not, the frame is range partitioned and sorted by ``order`` and each row carries
+    its partition ``_part`` and its zero-based place ``_at`` in it. It is written once: counts and
+    rows must come from the same partitioning, also when tasks are run again.
+    """
     if small_rows > 0 and plan_bytes(df) <= SINGLE_TASK_BYTES:
         return df, True
-    stored, rows = materialize_counted(df)
-    return stored, rows <= small_rows
-
-
-def _sorted_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Range partition and sort; adds ``_part`` and the zero-based place ``_at`` inside it."""
     parts = shuffle_partitions(df.sparkSession)
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     # the generated id is (partition << 33) + position in the partition
-    stored = materialize(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    stored, rows = materialize_counted(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    if rows <= small_rows:
+        return stored.drop("_id"), True
     return stored.withColumns(
         {
             "_part": F.shiftright("_id", _PLACE_BITS),
             "_at": F.col("_id").bitwiseAND((1 << _PLACE_BITS) - 1),
         }
-    ).drop("_id")
+    ).drop("_id"), False
 
 
 def _offsets(ranged: DataFrame, weight: Column) -> DataFrame:
@@ -65,10 +65,9 @@ def global_row_number(
     df: DataFrame, order: Sequence[str], name: str, small_rows: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
     """Number all rows from 1 in the order of the (together unique) columns ``order``."""
-    stored, small = _fits_one_task(df, small_rows)
+    ranged, small = _place(df, [F.col(c) for c in order], small_rows)
     if small:
-        return stored.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
-    ranged = _sorted_ranges(stored, [F.col(c) for c in order])
+        return ranged.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     offsets = F.broadcast(_offsets(ranged, F.lit(1)).select("_part", "_before"))
     return (
         ranged.join(offsets, "_part")
@@ -91,16 +90,15 @@ def rank_and_tile(
     ``value`` must not be NULL and ``key`` must be unique. Rows sharing one value may spread over
     many partitions, so a value held by a large share of the rows stays balanced.
     """
-    stored, small = _fits_one_task(df, small_rows)
+    ranged, small = _place(df, [F.col(value), F.col(key)], small_rows)
     if small:
         if rank_as:
             by_value = Window.orderBy(F.desc(value))
-            stored = stored.withColumn(rank_as, F.rank().over(by_value).cast("long"))
+            ranged = ranged.withColumn(rank_as, F.rank().over(by_value).cast("long"))
         if tile_as:
-            stored = stored.withColumn(tile_as, F.ntile(tiles).over(Window.orderBy(value, key)))
-        return stored
+            ranged = ranged.withColumn(tile_as, F.ntile(tiles).over(Window.orderBy(value, key)))
+        return ranged
 
-    ranged = _sorted_ranges(stored, [F.col(value), F.col(key)])
     offsets = _offsets(ranged, F.lit(1))
     placed = ranged.join(F.broadcast(offsets), "_part")
     if tile_as:
@@ -154,14 +152,13 @@ def quantiles(
         .groupBy(F.col(column).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    stored, small = _fits_one_task(counts, small_rows)
+    ranged, small = _place(counts, [F.col("v")], small_rows)
     if small:
         total = F.sum("n").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        running = stored.select(
+        running = ranged.select(
             "v", "n", F.sum("n").over(Window.orderBy("v")).alias("upto"), total.alias("total")
         )
     else:
-        ranged = _sorted_ranges(stored, [F.col("v")])
         in_part = Window.partitionBy("_part").orderBy("v")
         running = ranged.join(F.broadcast(_offsets(ranged, F.col("n"))), "_part").select(
             "v", "n", (F.sum("n").over(in_part) + F.col("_before")).alias("upto"), F.col("_total").alias("total")

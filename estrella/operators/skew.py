@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,16 +14,38 @@ HOT_ROWS = 1_000_000
 CHECK_FROM_BYTES = 256 * 1024 * 1024
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """The heaviest keys with at least ``hot_rows`` rows.
+def count_keys(df: DataFrame, key: str, count_as: str = "n") -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(count_as))
+
+
+def hot_keys(counts: DataFrame, key: str, count: str = "n", hot_rows: int = HOT_ROWS) -> list:
+    """The heaviest keys with at least ``hot_rows`` rows, from a frame of counted keys.
 
     At most four per shuffle partition are returned: a key outside that list holds less than
     a quarter of a partition's fair share and needs no special care.
     """
-    most = 4 * shuffle_partitions(df.sparkSession)
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    heavy = counts.filter(F.col("n") >= hot_rows).orderBy(F.desc("n"), key).limit(most)
-    return [row[key] for row in heavy.collect()]
+    most = 4 * shuffle_partitions(counts.sparkSession)
+    heavy = counts.filter(F.col(key).isNotNull() & (F.col(count) >= hot_rows))
+    return [row[key] for row in heavy.orderBy(F.desc(count), key).limit(most).collect()]
+
+
+def split_join(rows: DataFrame, lookup: DataFrame, key: str, how: str, hot: Sequence) -> DataFrame:
+    """``rows.join(lookup, key, how)`` for a ``lookup`` with one row per key.
+
+    Rows of the ``hot`` keys meet a broadcast of the few lookup rows they need and never shuffle;
+    the others take the ordinary join.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how}")
+    if not hot:
+        return rows.join(lookup, key, how)
+    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
+    heavy = rows.filter(is_hot).join(F.broadcast(lookup.filter(is_hot)), key, how)
+    return rows.filter(~is_hot).join(lookup, key, how).unionByName(heavy)
+
+
+def worth_checking(rows: DataFrame, check_from_bytes: int = CHECK_FROM_BYTES) -> bool:
+    return plan_bytes(rows) >= check_from_bytes
 
 
 def join_lookup(
@@ -32,21 +56,10 @@ def join_lookup(
     hot_rows: int = HOT_ROWS,
     check_from_bytes: int = CHECK_FROM_BYTES,
 ) -> DataFrame:
-    """Join many ``rows`` with a ``lookup`` holding one row per key.
-
-    Rows of hot keys meet a broadcast of the few lookup rows they need and never shuffle; the
-    others take the ordinary join. The result is the same as ``rows.join(lookup, key, how)``.
+    """``split_join`` on the hot keys found in ``rows``.
 
     Spark splits skewed partitions itself when both sides of a join come straight from a shuffle.
     This join is for lookups that are themselves joined on the same key, where it cannot.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"unsupported join type {how}")
-    if plan_bytes(rows) < check_from_bytes:
-        return rows.join(lookup, key, how)
-    hot = hot_keys(rows, key, hot_rows)
-    if not hot:
-        return rows.join(lookup, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    heavy = rows.filter(is_hot).join(F.broadcast(lookup.filter(is_hot)), key, how)
-    return rows.filter(~is_hot).join(lookup, key, how).unionByName(heavy)
+    hot = hot_keys(count_keys(rows, key), key, "n", hot_rows) if worth_checking(rows, check_from_bytes) else []
+    return split_join(rows, lookup, key, how, hot)

@@ -47,6 +47,9 @@ def upsert(
     """
     if order is not None:
         source = first_per_key(source, key, order)
+    if all(c in columns or c in key for c in target.columns) and all(c in source.columns for c in target.columns):
+        # nothing of a matched row survives, so a small source is broadcast and the target streams
+        return target.join(source.select(*key), list(key), "left_anti").unionByName(source.select(*target.columns))
     renamed = source.select(*key, *[F.col(c).alias(f"_s_{c}") for c in source.columns if c not in key])
     left = target.withColumn("_old", F.lit(True))
     merged = left.join(renamed.withColumn("_new", F.lit(True)), list(key), "full_outer")

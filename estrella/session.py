@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
@@ -76,6 +77,9 @@ def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan.
 
     Without column statistics it starts from file sizes and never shrinks them by filters or
-    grouping, and joins multiply, so it errs on the large side.
+    grouping, and joins multiply, so it errs on the large side. Where the plan cannot be inspected
+    (a remote session) the frame counts as large.
     """
+    if not hasattr(df, "_jdf"):
+        return sys.maxsize
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
