@@ -58,28 +58,35 @@ def load_fact(
 ) -> DataFrame:
     """Fact rows from order lines and order headers.
 
-    Lines are counted per order before any join, the counts go to the (much smaller) header
-    table, and lines meet headers once. For large inputs the counts are written, as they also tell
-    which orders are too heavy for one task; their lines meet a broadcast of their headers. Lines of a required dimension without a match are left
-    out; optional ones keep a NULL key. With a ``calendar`` the date must be in it. Dimensions are
-    broadcast when Spark finds them small and otherwise joined with its skew handling.
-
-    ``lines`` is read twice, so it should be a stored table.
+    Every key is looked up where it lives: header keys on the (much smaller) headers, line keys on
+    the narrow lines, and the two meet once by order. Lines of a required dimension without a match
+    are left out; optional ones keep a NULL key. With a ``calendar`` the date must be in it.
+    Dimensions are broadcast when Spark finds them small and otherwise joined with its skew handling.
+
+    The freight share needs the lines of an order; they are counted before any join. For large
+    inputs the counts are written, as they also tell which orders are too heavy for one task; the
+    lines of those meet a broadcast of their headers. ``lines`` is read twice, so it should be a
+    stored table.
     """
     counts = skew.count_keys(lines, order_key, "n_lineas")
     hot = []
     if skew.worth_checking(lines, check_from_bytes):
         counts = materialize(counts)
         hot = skew.hot_keys(counts, order_key, "n_lineas", hot_rows)
-    headers = orders.filter(F.col("order_date").isNotNull()).join(counts, order_key)
-    rows = skew.split_join(lines, headers, order_key, "inner", hot)
+    headers = orders.filter(F.col("order_date").isNotNull())
     if calendar is not None:
-        rows = rows.join(calendar.select(F.col("fecha").alias("order_date"), "sk_tiempo"), "order_date")
+        headers = headers.join(calendar.select(F.col("fecha").alias("order_date"), "sk_tiempo"), "order_date")
     else:
-        rows = rows.withColumn("sk_tiempo", date_key(F.col("order_date")))
+        headers = headers.withColumn("sk_tiempo", date_key(F.col("order_date")))
     for key in keys:
         lookup = key.dim.select(F.col(key.natural).alias(key.column), key.surrogate)
-        rows = rows.join(lookup, key.column, "inner" if key.required else "left")
+        how = "inner" if key.required else "left"
+        if key.column in lines.columns:
+            lines = lines.join(lookup, key.column, how)
+        else:
+            headers = headers.join(lookup, key.column, how)
+    headers = headers.join(counts, order_key).drop(*[k.column for k in keys if k.column in lines.columns])
+    rows = skew.split_join(lines, headers, order_key, "inner", hot)
     present = [k.surrogate for k in keys]
     absent = {k: F.lit(None).cast("bigint") for k in FACT_COLUMNS[1:5] if k not in present}
     rows = rows.withColumns(absent) if absent else rows

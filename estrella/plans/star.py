@@ -16,7 +16,7 @@ from estrella.operators.facts import DimKey, load_fact
 from estrella.operators.upsert import assign_keys
 from estrella.session import work_path
 
-CUSTOMER_COLUMNS = ["company_name", "contact_title", "city", "region", "country"]
+LINE_COLUMNS = ["order_id", "product_id", "employee_id", "unit_price", "quantity", "discount"]
 
 
 class StagedSource(Protocol):
@@ -125,7 +125,7 @@ def build_star(source: StagedSource, root: str) -> Star:
     products = stored("dim_producto", product_dim(source, countries))
     shippers = stored("dim_shipper", assign_keys(None, source.shippers(), "nk_shipper_id", "sk_shipper"))
     star = Star(calendar, countries, customers, employees, products, shippers, calendar)
-    lines = stored("stg_order_details", source.lines())
+    lines = stored("stg_order_details", source.lines().select(*LINE_COLUMNS))
     write_fact(load_fact(lines, source.orders(), star.keys(), calendar), f"{root}/fact_ventas")
     return replace(star, fact=spark.read.parquet(f"{root}/fact_ventas"))
 
