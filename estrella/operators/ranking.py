@@ -10,16 +10,17 @@ to have at most ``small_rows`` rows when written, use the plain window; ``small_
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estrella.session import (
+    BROADCAST_ROWS,
     SINGLE_TASK_BYTES,
     SINGLE_TASK_ROWS,
+    input_bytes,
     materialize_counted,
-    plan_bytes,
-    shuffle_partitions,
 )
 
 _PLACE_BITS = 33
@@ -32,10 +33,10 @@ def _place(df: DataFrame, order: Sequence[Column], small_rows: int) -> tuple[Dat
     its partition ``_part`` and its zero-based place ``_at`` in it. It is written once: counts and
     rows must come from the same partitioning, also when tasks are run again.
     """
-    if small_rows > 0 and plan_bytes(df) <= SINGLE_TASK_BYTES:
+    if small_rows > 0 and input_bytes(df) <= SINGLE_TASK_BYTES:
         return df, True
-    parts = shuffle_partitions(df.sparkSession)
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # without a fixed number, adaptive execution merges neighbouring small ranges
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     # the generated id is (partition << 33) + position in the partition
     stored, rows = materialize_counted(ranged.withColumn("_id", F.monotonically_increasing_id()))
     if rows <= small_rows:
@@ -190,6 +191,26 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     return ranked.filter("_n = 1").drop("_n")
 
 
+def drop_repeats(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """``first_per_key`` for keys that hardly ever repeat.
+
+    The keys alone are counted first. Rows with a key of their own then pass without a shuffle,
+    and only rows of the repeated keys, if these are few enough to broadcast, are compared. The
+    input is read up to three times, so it should be a stored table.
+    """
+    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    repeated, rows = materialize_counted(counted.select(*[F.col(k).alias(f"_r_{k}") for k in key]))
+    if rows == 0:
+        return df
+    if rows > broadcast_rows:
+        return first_per_key(df, key, order)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in key])
+    alone = df.join(F.broadcast(repeated), same, "left_anti")
+    return alone.unionByName(first_per_key(df.join(F.broadcast(repeated), same, "left_semi"), key, order))
+
+
 def top_k(df: DataFrame, column: str, k: int, tie_break: str) -> DataFrame:
     return df.orderBy(F.desc(column), tie_break).limit(k)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estrella.session import plan_bytes, shuffle_partitions
+from estrella.session import input_bytes, shuffle_partitions
 
 HOT_ROWS = 1_000_000
 # Inputs below this size cannot hold a key heavy enough to matter.
@@ -45,7 +45,7 @@ def split_join(rows: DataFrame, lookup: DataFrame, key: str, how: str, hot: Sequ
 
 
 def worth_checking(rows: DataFrame, check_from_bytes: int = CHECK_FROM_BYTES) -> bool:
-    return plan_bytes(rows) >= check_from_bytes
+    return input_bytes(rows) >= check_from_bytes
 
 
 def join_lookup(

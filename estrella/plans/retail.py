@@ -31,7 +31,7 @@ from estrella.operators import (
     staging,
     upsert,
 )
-from estrella.operators.ranking import first_per_key
+from estrella.operators.ranking import drop_repeats, first_per_key
 from estrella.plans import retail_tables as spec
 from estrella.plans.star import write_fact
 from estrella.session import materialize
@@ -243,7 +243,7 @@ class RetailWarehouse:
         """One line per order and product."""
         lines = staged["order_details"]
         order = [c for c in lines.columns if c not in ("order_id", "product_id")]
-        return self._store("tmp_lineas", first_per_key(lines, ["order_id", "product_id"], order))
+        return self._store("tmp_lineas", drop_repeats(lines, ["order_id", "product_id"], order))
 
     def _fact_keys(self, customers: DataFrame, customer_required: bool) -> list[facts.DimKey]:
         key = facts.DimKey

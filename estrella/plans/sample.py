@@ -13,9 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from estrella.functions import text as txt
-from estrella.operators.ranking import first_per_key
+from estrella.operators.ranking import drop_repeats
 
 MONEY2 = "decimal(12,2)"
 PRICE = "decimal(10,4)"
@@ -23,13 +24,21 @@ PRICE = "decimal(10,4)"
 LINE_ORDER = ["employee_id", "unit_price", "quantity", "discount", "line_number", "return_flag", "line_status", "ship_date"]
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 @dataclass(frozen=True)
 class Source:
     spark: SparkSession
     directory: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        """A given table; its schema is read from the file once per application."""
+        path = f"{self.directory}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _schemas:
+            _schemas[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[key]).parquet(path)
 
     # ---- raw text layer -------------------------------------------------------------------
 
@@ -181,4 +190,4 @@ class Source:
 
     def lines(self) -> DataFrame:
         """One line per order and product; the first by all remaining columns wins."""
-        return first_per_key(self.all_lines(), ["order_id", "product_id"], LINE_ORDER)
+        return drop_repeats(self.all_lines(), ["order_id", "product_id"], LINE_ORDER)

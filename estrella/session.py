@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 SINGLE_TASK_ROWS = 1_000_000
 SINGLE_TASK_BYTES = 64 * 1024 * 1024
 
+# A set of keys up to this many rows may be broadcast.
+BROADCAST_ROWS = 100_000
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -73,13 +76,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan.
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of all files a frame reads, before any filter; a table read twice counts twice.
 
-    Without column statistics it starts from file sizes and never shrinks them by filters or
-    grouping, and joins multiply, so it errs on the large side. Where the plan cannot be inspected
-    (a remote session) the frame counts as large.
+    In-memory input of unknown size counts as very large, and so does every frame whose plan cannot
+    be inspected (a remote session).
     """
     if not hasattr(df, "_jdf"):
         return sys.maxsize
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))

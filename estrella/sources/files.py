@@ -48,7 +48,7 @@ def append(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
 def overwrite(df: DataFrame, path: str, partition: Sequence[str] = ()) -> DataFrame:
     """Replace a table that ``df`` does not read."""
     df.write.mode("overwrite").partitionBy(*partition).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def publish(df: DataFrame, root: str, partition: Sequence[str] = ()) -> str:

@@ -10,7 +10,9 @@ from estrella.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4"})
+    # small test frames must still spread over several partitions
+    conf = {"spark.sql.shuffle.partitions": "4", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    session = build_session("tests", "local[4]", **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

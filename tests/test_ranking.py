@@ -29,6 +29,12 @@ def _check(spark, values, tiles=5):
     assert sorted(got.collect()) == sorted(_plain(df, tiles).collect())
 
 
+def test_ranges_spread_over_partitions(spark):
+    df = _frame(spark, [1] * 400)
+    placed, small = ranking._place(df, [F.col("v"), F.col("k")], 0)
+    assert not small and placed.select("_part").distinct().count() == 4
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 11, 500])
 def test_distinct_values(spark, n):
     _check(spark, random.Random(n).sample(range(10 * n), n))
@@ -89,6 +95,21 @@ def test_first_per_key_limits_before_the_shuffle(spark, capsys):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 10])
+def test_drop_repeats_equals_first_per_key(spark, broadcast_rows):
+    data = [("a", 1, 2), ("a", 1, 1), ("b", 1, 5), (None, 1, 4), (None, 1, 3), (None, None, 0)]
+    df = spark.createDataFrame(data, "k string, j int, o int")
+    got = ranking.drop_repeats(df, ["k", "j"], ["o"], broadcast_rows)
+    want = ranking.first_per_key(df, ["k", "j"], ["o"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() == 4
+
+
+def test_drop_repeats_leaves_unique_rows_alone(spark):
+    df = spark.range(5)
+    assert ranking.drop_repeats(df, ["id"], ["id"]) is df
+
+
 def test_top_k_and_latest(spark):
     df = spark.createDataFrame([(1, 10, "a"), (2, 30, "b"), (3, 30, "c")], "k int, v int, n string")
     assert [r.k for r in ranking.top_k(df, "v", 2, "k").collect()] == [2, 3]
