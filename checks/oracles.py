@@ -840,6 +840,11 @@ _ORACLES = {
     "load_status": f"""SELECT CASE WHEN count(*) FILTER (WHERE decision = 'RECHAZADO') > 0 THEN 'ERROR'
         WHEN count(*) FILTER (WHERE decision = 'CARGADO_PARCIAL') > 0 THEN 'WARNING' ELSE 'OK' END AS resultado,
         CAST(sum(registros_insertados) AS BIGINT) AS registros_proc FROM ({_footprints()})""",
+    "load_summary": """SELECT 'dwa_dim_cliente' AS tabla_destino, count(*) AS registros_leidos, count(*) FILTER (WHERE balance >= 0) AS registros_insertados,
+        count(*) FILTER (WHERE balance < 0) AS registros_rechazados,
+        CASE WHEN count(*) FILTER (WHERE balance < 0) = 0 THEN 'CARGADO' WHEN count(*) FILTER (WHERE balance >= 0) > 0 THEN 'CARGADO_PARCIAL'
+             ELSE 'RECHAZADO' END AS decision,
+        CASE WHEN count(*) FILTER (WHERE balance < 0) > 0 THEN 'Saldo negativo' END AS motivo_rechazo FROM customers""",
     "scd2_init": _HISTORY_OUT.format("(SELECT *, NULL AS fecha_hasta, 1 AS es_vigente FROM hist)"),
     "scd2_merge": _HISTORY_OUT.format("merged"),
     "scd2_rerun": _HISTORY_OUT.format("merged"),

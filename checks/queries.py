@@ -718,6 +718,14 @@ def load_status(src: Source) -> DataFrame:
     return facts.load_status(_footprints(src))
 
 
+@query
+def load_summary(src: Source) -> DataFrame:
+    """Footprints of the latest of two runs over the same targets."""
+    first = _footprints(src).withColumn("log_id", F.lit(1))
+    second = facts.footprint("dwa_dim_cliente", src.customers(), _solvent(src), "Saldo negativo").withColumn("log_id", F.lit(2))
+    return ledger.run_summary(union(first, second), 2)
+
+
 # ---- history ---------------------------------------------------------------------------------
 
 

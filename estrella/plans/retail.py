@@ -13,11 +13,13 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from estrella.functions import numbers as num
 from estrella.functions import text as txt
 from estrella.operators import (
     calendar,
+    catalog,
     dims,
     facts,
     history,
@@ -74,6 +76,7 @@ class RetailWarehouse:
         if files.exists(spark, f"{root}/dqm_script_inventory"):
             self.ledger.resume(self._dqm("dqm_script_inventory"), self._dqm("dqm_execution_log"))
         self._saved_events = 0
+        self._schemas: dict[str, StructType] = {}
 
     # ---- tables ---------------------------------------------------------------------------
 
@@ -82,7 +85,9 @@ class RetailWarehouse:
         for number in range(self.batch + 1, 0, -1):
             path = f"{self.root}/{name}/batch={number}"
             if files.exists(self.spark, path):
-                return self.spark.read.parquet(path)
+                if path not in self._schemas:
+                    self._schemas[path] = self.spark.read.parquet(path).schema
+                return self.spark.read.schema(self._schemas[path]).parquet(path)
         raise LookupError(f"table {name} has not been loaded")
 
     def fact(self) -> DataFrame:
@@ -91,6 +96,7 @@ class RetailWarehouse:
     def _store(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}/batch={self.batch + 1}"
         df.write.mode("overwrite").parquet(path)
+        self._schemas[path] = df.schema
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _dqm(self, name: str) -> DataFrame:
@@ -98,9 +104,15 @@ class RetailWarehouse:
 
     def _log(self, name: str, rows: DataFrame, run: ledger.Run) -> DataFrame:
         """Append control rows of a run and return them as written."""
-        kept = materialize(rows.withColumn("log_id", F.lit(run.log_id).cast("bigint")))
-        files.append(kept, f"{self.root}/{name}")
-        return kept
+        files.append(rows.withColumn("log_id", F.lit(run.log_id).cast("bigint")), f"{self.root}/{name}")
+        return self._dqm(name).filter(F.col("log_id") == run.log_id)
+
+    def _reject(self, rejects: DataFrame, run: ledger.Run) -> None:
+        """Append rejects that are not there yet, so that a batch can be run again."""
+        if files.exists(self.spark, f"{self.root}/dqm_registro_rechazado"):
+            known = self._dqm("dqm_registro_rechazado").select("tabla_origen", "clave_registro", "motivo_rechazo")
+            rejects = rejects.join(known, known.columns, "left_anti")
+        self._log("dqm_registro_rechazado", rejects.distinct(), run)
 
     @contextmanager
     def _step(self, name: str, description: str, stage: str):
@@ -132,8 +144,7 @@ class RetailWarehouse:
     # ---- first batch ----------------------------------------------------------------------
 
     def load_first(self, raw: Mapping[str, DataFrame], strict: bool = False) -> None:
-        raw = dict(raw)
-        self._import(raw, "importacion", "adquisicion")
+        raw = self._import(raw, "txt", "importacion", "adquisicion")
         self._validate("validacion_txt", raw, spec.first_batch_rules(), "txt")
         self._profile("perfilado_txt", {t: (raw[t], c) for t, c in spec.FIRST_PROFILES.items()}, "txt")
         raw["customers"] = self._clean_countries(raw["customers"])
@@ -147,10 +158,13 @@ class RetailWarehouse:
         self.batch += 1
         self.blockers = blockers
 
-    def _import(self, raw: Mapping[str, DataFrame], name: str, stage: str) -> None:
+    def _import(self, raw: Mapping[str, DataFrame], prefix: str, name: str, stage: str) -> dict[str, DataFrame]:
+        """Mirror the files as text tables, so that they are parsed once; later steps read columns."""
         with self._step(name, "Lectura de archivos CSV", stage) as run:
-            counts = files.control_total(raw)
+            mirrored = {table: self._store(f"{prefix}_{table}", df) for table, df in raw.items()}
+            counts = files.control_total(mirrored)
             run.rows = counts.filter(F.col("tabla") == "TOTAL").first()["registros"]
+            return mirrored
 
     def _validate(self, name: str, raw: Mapping[str, DataFrame], wanted: Mapping[str, Sequence[rules.Rule]], prefix: str) -> None:
         with self._step(name, f"Reglas de campo sobre {prefix}", "adquisicion") as run:
@@ -171,12 +185,14 @@ class RetailWarehouse:
             return cleaned
 
     def _stage(self, raw: Mapping[str, DataFrame], batch: int, run: ledger.Run) -> dict[str, DataFrame]:
-        staged = {}
+        raw_prefix, prefix = ("txt", "tmp") if batch == 1 else ("txt2", "tmp2")
+        staged, rejects = {}, []
         for name, df in raw.items():
             fields = spec.staged_fields(name, batch)
-            rejects = staging.cast_rejects(f"txt_{name}", df, fields, spec.KEYS[name])
-            self._log("dqm_registro_rechazado", rejects, run)
-            staged[name] = self._store(f"tmp_{name}", staging.stage(df, fields))
+            if any(f.type != "string" for f in fields):
+                rejects.append(staging.cast_rejects(f"{raw_prefix}_{name}", df, fields, spec.KEYS[name]))
+            staged[name] = self._store(f"{prefix}_{name}", staging.stage(df, fields))
+        self._reject(upsert.union_all(rejects), run)
         return staged
 
     def _stage_first(self, raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -273,8 +289,7 @@ class RetailWarehouse:
 
     def apply_batch(self, raw: Mapping[str, DataFrame]) -> None:
         """Apply changes and new orders; lines of unknown customers are rejected, the rest is loaded."""
-        raw = dict(raw)
-        self._import(raw, "importacion_novedades", "actualizacion")
+        raw = self._import(raw, "txt2", "importacion_novedades", "actualizacion")
         self._validate("validacion_txt2", raw, spec.second_batch_rules(), "txt2")
         trimmed = {t: (raw[t], {c: profile.BLANK_TRIMMED for c in cols}) for t, cols in spec.SECOND_PROFILES.items()}
         self._profile("perfilado_txt2", trimmed, "txt2")
@@ -291,11 +306,7 @@ class RetailWarehouse:
             valid, rejects = staging.split_valid(
                 "txt2_customers_score", raw["customers_score"], staging.valid_score(score), ["customer_id"], staging.score_reason(score)
             )
-            fresh = rejects
-            if files.exists(self.spark, f"{self.root}/dqm_registro_rechazado"):
-                known = self._dqm("dqm_registro_rechazado").filter(F.col("motivo_rechazo").startswith("Score invalido:"))
-                fresh = rejects.join(known, ["tabla_origen", "clave_registro"], "left_anti")
-            self._log("dqm_registro_rechazado", fresh, run)
+            self._reject(rejects, run)
             staged = self._stage({**raw, "customers_score": valid}, 2, run)
             run.rows = marts.row_counts(staged).agg(F.sum("registros")).first()[0]
             return staged
@@ -326,11 +337,7 @@ class RetailWarehouse:
                 ]
             )
             logged = self._log("dqm_indicador", found, run)
-            rejects = integrity.reject_orphans(order_customer, "Cliente inexistente en DWA: ")
-            rejects = rejects.join(
-                self._dqm("dqm_registro_rechazado"), ["tabla_origen", "clave_registro"], "left_anti"
-            )
-            self._log("dqm_registro_rechazado", rejects, run)
+            self._reject(integrity.reject_orphans(order_customer, "Cliente inexistente en DWA: "), run)
             self._close(run, rules.roll_up(logged, soften=True))
 
     def _update_star(self, staged: Mapping[str, DataFrame]) -> None:
@@ -396,7 +403,7 @@ class RetailWarehouse:
             for name, dim, key, surrogate, tracked in self._history_specs():
                 effective = history.effective_date(staged["orders"], "order_date", self.as_of)
                 late = history.merge_conflicts(self.table(name), self.table(dim), key, tracked, effective, name)
-                self._log("dqm_registro_rechazado", late, run)
+                self._reject(late, run)
                 merged = history.merge_history(self.table(name), self.table(dim), key, surrogate, tracked, effective)
                 self._store(name, merged)
 
@@ -426,6 +433,29 @@ class RetailWarehouse:
             run.rows = marts.row_counts(stored).agg(F.sum("registros")).first()[0]
             return stored
 
+    def publish_catalog(self) -> DataFrame:
+        """Describe the columns of every table that exists; known columns keep their entry."""
+        found = {}
+        for name, info in table_infos().items():
+            try:
+                found[name] = (self._current(name), info)
+            except LookupError:
+                continue
+        with self._step("metadata_publicacion", "Catalogo de columnas", "publicacion") as run:
+            entries = catalog.catalog(self.spark, found)
+            path = f"{self.root}/met_entidades"
+            if files.exists(self.spark, path):
+                entries = entries.join(self._dqm("met_entidades"), ["nombre_tabla", "nombre_columna"], "left_anti")
+            files.append(materialize(entries), path)
+            written = self._dqm("met_entidades")
+            run.rows = written.count()
+            return written
+
+    def _current(self, name: str) -> DataFrame:
+        if files.exists(self.spark, f"{self.root}/{name}"):
+            return self._dqm(name)
+        return self.table(name)
+
     def correct_countries(self, corrections: DataFrame) -> DataFrame:
         """Repair country texts by natural key and refresh the marts that copied them.
 
@@ -462,6 +492,60 @@ class RetailWarehouse:
             return fixed
 
 
+def table_infos() -> dict[str, catalog.TableInfo]:
+    """Layer, keys and references of every table of the warehouse."""
+    info = catalog.TableInfo
+    links: dict[str, dict[str, tuple[str, str]]] = {}
+    for link in spec.LINKS:
+        links.setdefault(link.child, {})[link.column] = (f"tmp_{link.parent}", link.parent_key)
+    infos = {}
+    for name in spec.FIRST_BATCH:
+        infos[f"txt_{name}"] = info("txt")
+        infos[f"tmp_{name}"] = info("tmp", tuple(spec.KEYS[name]), links.get(name))
+    for name in spec.SECOND_BATCH:
+        infos[f"txt2_{name}"] = info("txt")
+        infos[f"tmp2_{name}"] = info("tmp", tuple(spec.KEYS[name]))
+    country = {"sk_pais": ("dim_pais", "sk_pais")}
+    customer = {"sk_cliente": ("dim_cliente", "sk_cliente")}
+    product = {"sk_producto": ("dim_producto", "sk_producto")}
+    boss = {"reports_to_sk": ("dim_empleado", "sk_empleado")}
+    origin = {"sk_pais_supplier": ("dim_pais", "sk_pais")}
+    sale = {
+        "sk_tiempo": ("dim_tiempo", "sk_tiempo"),
+        **customer,
+        "sk_empleado": ("dim_empleado", "sk_empleado"),
+        **product,
+        "sk_shipper": ("dim_shipper", "sk_shipper"),
+    }
+    run = {"log_id": ("dqm_execution_log", "log_id")}
+    infos |= {
+        "dim_tiempo": info("dim", ("sk_tiempo",)),
+        "dim_pais": info("dim", ("sk_pais",)),
+        "dim_cliente": info("dim", ("sk_cliente",), country),
+        "dim_empleado": info("dim", ("sk_empleado",), boss),
+        "dim_producto": info("dim", ("sk_producto",), origin),
+        "dim_shipper": info("dim", ("sk_shipper",)),
+        "fact_ventas": info("fact", tuple(facts.GRAIN), sale),
+        "dwm_cliente": info("memoria", ("nk_customer_id", "fecha_desde"), customer),
+        "dwm_producto": info("memoria", ("nk_product_id", "fecha_desde"), product),
+        "enr_cliente": info("enriquecimiento", ("sk_cliente",), customer),
+        "enr_producto": info("enriquecimiento", ("sk_producto",), product),
+        "dp_ventas_por_periodo": info("dp", ("anio", "mes")),
+        "dp_ventas_por_cliente": info("dp", ("sk_cliente",), customer),
+        "dp_ventas_por_producto": info("dp", ("sk_producto",), product),
+        "dp_ventas_por_empleado": info("dp", ("sk_empleado",), {"sk_empleado": ("dim_empleado", "sk_empleado")}),
+        "dp_ventas_geografico": info("dp", ("sk_pais",), country),
+        "dqm_script_inventory": info("dqm", ("script_id",)),
+        "dqm_execution_log": info("dqm", ("log_id", "evento"), {"script_id": ("dqm_script_inventory", "script_id")}),
+        "dqm_validacion_campo": info("dqm", (), run),
+        "dqm_perfilado": info("dqm", (), run),
+        "dqm_indicador": info("dqm", (), run),
+        "dqm_carga_dwa": info("dqm", (), run),
+        "dqm_registro_rechazado": info("dqm", (), run),
+    }
+    return infos
+
+
 def first_row(df: DataFrame, key: str) -> DataFrame:
     """One row per key so that an upsert is well defined."""
     return first_per_key(df, [key], [c for c in df.columns if c != key])

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from estrella.operators import ledger
+from estrella.operators import catalog, ledger
 from estrella.plans import reports, retail
 from estrella.plans import retail_tables as spec
 
@@ -92,6 +92,7 @@ def built(spark, tmp_path_factory):
     house = retail.RetailWarehouse(spark, root, date(2026, 6, 20), batch=1)
     house.apply_batch(retail.read_batch(spark, second, 2))
     marts = house.build_marts()
+    house.second = second
     return house, after_first, fact_first, marts
 
 
@@ -209,3 +210,29 @@ def test_ledger_of_the_whole_life(built):
     assert states["carga_data_products"] == "OK"
     assert runs.filter("resultado = 'EN_PROCESO'").count() == 0
     assert runs.count() == runs.select("log_id").distinct().count()
+
+
+def test_catalog_describes_every_table_once(built):
+    house = built[0]
+    entries = house.publish_catalog()
+    first = entries.count()
+    assert house.publish_catalog().count() == first
+    summary = {r.nombre_tabla: r for r in catalog.catalog_summary(entries).collect()}
+    assert set(summary) == set(retail.table_infos())
+    assert (summary["fact_ventas"].pks, summary["fact_ventas"].fks) == (2, 5)
+    assert summary["dp_ventas_geografico"].columnas == 16 and summary["txt2_world_data"].columnas == 35
+
+
+def test_the_same_batch_again_changes_nothing(built):
+    house = built[0]
+    names = ["dim_cliente", "dim_producto", "dim_tiempo", "dwm_cliente", "dwm_producto", "enr_cliente", "enr_producto"]
+
+    def state():
+        found = {n: sorted(map(str, house.table(n).select(sorted(house.table(n).columns)).collect())) for n in names}
+        found["fact"] = sorted(map(str, house.fact().collect()))
+        found["rejects"] = house._dqm("dqm_registro_rechazado").count()
+        return found
+
+    before = state()
+    house.apply_batch(retail.read_batch(house.spark, house.second, 2))
+    assert state() == before
