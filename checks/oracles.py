@@ -727,8 +727,8 @@ def _catalog_rows() -> str:
     pk = " OR ".join(f"(tabla = '{t}' AND campo = '{c}')" for t, (p, _) in keys.items() for c in p)
     fk = " OR ".join(f"(tabla = '{t}' AND campo = '{c}')" for t, (_, f) in keys.items() for c in f)
     return (
-        f"SELECT tabla AS nombre_tabla, campo AS nombre_columna, 'string' AS tipo_dato, CASE WHEN {pk} THEN 1 ELSE 0 END AS es_pk, "
-        f"CASE WHEN {fk} THEN 1 ELSE 0 END AS es_fk, total_registros, cant_nulos, cant_distintos FROM ({profiled}) "
+        f"SELECT tabla AS nombre_tabla, campo AS nombre_columna, 'string' AS tipo_dato, CAST(CASE WHEN {pk} THEN 1 ELSE 0 END AS BIGINT) AS es_pk, "
+        f"CAST(CASE WHEN {fk} THEN 1 ELSE 0 END AS BIGINT) AS es_fk, total_registros, cant_nulos, cant_distintos FROM ({profiled}) "
         "WHERE tabla <> 'txt_order_details'"
     )
 
@@ -924,7 +924,7 @@ _ORACLES = {
         strftime(max(fecha_fin), '%Y-%m-%d %H:%M:%S') AS ultima_ejecucion, max_by(resultado, log_id) AS ultimo_resultado
         FROM scripts LEFT JOIN runs USING (script_id) GROUP BY ALL""",
     "latest_event": "SELECT user_id, max_by(event_type, event_id) AS event_type, max_by(value, event_id) AS value FROM events GROUP BY user_id",
-    "catalog_summary": """SELECT * FROM (VALUES ('txt', 'txt_customers', 6, 1, 0), ('txt', 'txt_products', 6, 1, 1), ('txt', 'txt_orders', 7, 1, 1),
+    "catalog_summary": """SELECT * REPLACE (CAST(columnas AS BIGINT) AS columnas, CAST(pks AS BIGINT) AS pks, CAST(fks AS BIGINT) AS fks) FROM (VALUES ('txt', 'txt_customers', 6, 1, 0), ('txt', 'txt_products', 6, 1, 1), ('txt', 'txt_orders', 7, 1, 1),
         ('tmp', 'tmp_order_details', 10, 2, 1)) t(capa_dwh, nombre_tabla, columnas, pks, fks)
         LEFT JOIN (SELECT 'txt_customers' AS nombre_tabla, count(*) AS registros FROM customer UNION ALL
                    SELECT 'txt_products', count(*) FROM part UNION ALL SELECT 'txt_orders', count(*) FROM orders) USING (nombre_tabla)""",

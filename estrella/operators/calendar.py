@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from estrella.operators.upsert import insert_new
+
 # Names shown in the calendar, January and Monday first.
 MONTH_NAMES = (
     "Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio",
@@ -69,7 +71,7 @@ def calendar_of_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def add_missing_days(calendar: DataFrame, fresh: DataFrame) -> DataFrame:
-    return calendar.unionByName(fresh.join(calendar, "sk_tiempo", "left_anti"))
+    return insert_new(calendar, fresh, ["sk_tiempo"])
 
 
 def union_dates(parts: Sequence[DataFrame]) -> DataFrame:

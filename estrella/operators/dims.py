@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField
 
 from estrella.functions import numbers as num
-from estrella.operators.upsert import assign_keys, ensure_columns, fill_missing, upsert
+from estrella.operators.upsert import assign_keys, ensure_columns, fill_missing, insert_new, upsert
 from estrella.session import SINGLE_TASK_ROWS
 
 
@@ -43,8 +43,8 @@ def load_dim(
     """Initial load, or insert of the keys a target does not hold."""
     if target is None:
         return assign_keys(None, source, key, surrogate, small_rows)
-    fresh = source.join(target.select(key), key, "left_anti")
-    return target.unionByName(assign_keys(target, fresh, key, surrogate, small_rows), allowMissingColumns=True)
+    keyed = assign_keys(target, source, key, surrogate, small_rows)
+    return insert_new(target, keyed, [key])
 
 
 def upsert_dim(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
 from estrella.operators.ranking import rank_and_tile
-from estrella.session import SINGLE_TASK_ROWS
+from estrella.session import SINGLE_TASK_ROWS, materialize
 
 
 def _distinct_per(fact: DataFrame, group: str, column: str, name: str) -> DataFrame:
@@ -136,8 +136,12 @@ def share_of(amount: Column, total: Column) -> Column:
 
 
 def sales_by_country(countries: DataFrame, customers: DataFrame, fact: DataFrame, only_active: bool = False) -> DataFrame:
-    """All countries with their sales and their share of the sales of located customers."""
-    sums = country_sums(customers, fact, only_active)
+    """All countries with their sales and their share of the sales of located customers.
+
+    The sums per country, a small table, are written: both the rows and the total come from them
+    and the fact is read once.
+    """
+    sums = materialize(country_sums(customers, fact, only_active))
     total = sums.agg(F.coalesce(F.sum("monto_neto"), F.lit(0)).cast("decimal(28,4)")).scalar()
     zero = F.lit(0)
     joined = countries.join(sums, "sk_pais", "inner" if only_active else "left").withColumns(

@@ -10,12 +10,42 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
 from estrella.operators.ranking import first_per_key, global_row_number
-from estrella.session import SINGLE_TASK_ROWS, materialize
+from estrella.session import (
+    BROADCAST_ROWS,
+    SINGLE_TASK_BYTES,
+    SINGLE_TASK_ROWS,
+    input_bytes,
+    materialize,
+    materialize_counted,
+)
+
+
+def _with_few_keys(
+    target: DataFrame, source: DataFrame, key: Sequence[str], large_bytes: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """The source and, if the target is large and the source has few rows, its keys to broadcast.
+
+    A large target is then filtered by these keys in one pass instead of being shuffled.
+    """
+    if input_bytes(target) <= large_bytes:
+        return source, None
+    stored, rows = materialize_counted(source)
+    return stored, F.broadcast(stored.select(*key)) if rows <= BROADCAST_ROWS else None
 
 
-def insert_new(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+def insert_new(
+    target: DataFrame,
+    source: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str] | None = None,
+    large_bytes: int = SINGLE_TASK_BYTES,
+) -> DataFrame:
     """Target plus the source rows whose key it does not hold; the first row per key wins."""
-    fresh = source.join(target.select(*key), list(key), "left_anti")
+    source, few = _with_few_keys(target, source, key, large_bytes)
+    present = target.select(*key)
+    if few is not None:
+        present = present.join(few, list(key), "left_semi")
+    fresh = source.join(present, list(key), "left_anti")
     if order is not None:
         fresh = first_per_key(fresh, key, order)
     return target.unionByName(fresh, allowMissingColumns=True)
@@ -39,17 +69,28 @@ def upsert(
     key: Sequence[str],
     columns: Sequence[str],
     order: Sequence[str] | None = None,
+    large_bytes: int = SINGLE_TASK_BYTES,
 ) -> DataFrame:
     """Source rows overwrite ``columns`` of target rows with the same key, NULLs included.
 
     Unmatched source rows are added with every column they carry; other target columns of matched
-    rows keep their value. ``order`` picks the first source row when a key repeats.
+    rows keep their value. ``order`` picks the first source row when a key repeats. Rows of a large
+    target that a small batch does not touch pass without a shuffle.
     """
     if order is not None:
         source = first_per_key(source, key, order)
-    if all(c in columns or c in key for c in target.columns) and all(c in source.columns for c in target.columns):
-        # nothing of a matched row survives, so a small source is broadcast and the target streams
-        return target.join(source.select(*key), list(key), "left_anti").unionByName(source.select(*target.columns))
+    source, few = _with_few_keys(target, source, key, large_bytes)
+    keys = few if few is not None else source.select(*key)
+    if all(c in source.columns and (c in columns or c in key) for c in target.columns):
+        # nothing of a matched row survives
+        return target.join(keys, list(key), "left_anti").unionByName(source.select(*target.columns))
+    if few is None:
+        return _merge(target, source, key, columns)
+    touched = _merge(target.join(few, list(key), "left_semi"), source, key, columns)
+    return target.join(few, list(key), "left_anti").unionByName(touched)
+
+
+def _merge(target: DataFrame, source: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     renamed = source.select(*key, *[F.col(c).alias(f"_s_{c}") for c in source.columns if c not in key])
     left = target.withColumn("_old", F.lit(True))
     merged = left.join(renamed.withColumn("_new", F.lit(True)), list(key), "full_outer")
@@ -70,6 +111,7 @@ def assign_keys(
     key: str,
     surrogate: str,
     small_rows: int = SINGLE_TASK_ROWS,
+    large_bytes: int = SINGLE_TASK_BYTES,
 ) -> DataFrame:
     """Source rows with a surrogate key: the target's where the key is known, else the next free.
 
@@ -77,7 +119,10 @@ def assign_keys(
     """
     if target is None:
         return global_row_number(source, [key], surrogate, small_rows)
+    source, few = _with_few_keys(target, source, [key], large_bytes)
     known = target.select(key, surrogate)
+    if few is not None:
+        known = known.join(few, key, "left_semi")
     fresh = global_row_number(source.select(key).join(known, key, "left_anti"), [key], "_n", small_rows)
     last = target.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint")).scalar()
     numbered = fresh.select(key, (F.col("_n") + last).alias(surrogate))

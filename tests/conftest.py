@@ -12,16 +12,8 @@ from estrella.session import build_session  # noqa: E402
 def spark():
     # small test frames must still spread over several partitions
     conf = {"spark.sql.shuffle.partitions": "4", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    conf["spark.sql.codegen.wholeStage"] = "false"  # compiling costs more than it saves on tiny frames
     session = build_session("tests", "local[4]", **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-@pytest.fixture(scope="session")
-def rows():
-    def collect(df, *order):
-        data = [tuple(r) for r in df.collect()]
-        return sorted(data, key=lambda r: tuple("" if v is None else str(v) for v in r)) if not order else data
-
-    return collect

@@ -28,18 +28,33 @@ def test_calendar_range_covers_all_dates(spark):
     assert calendar.calendar_range(df.limit(0), "a").count() == 0
 
 
-def test_insert_new_first_wins(spark):
+@pytest.mark.parametrize("large_bytes", [0, 2**60])
+def test_insert_new_first_wins(spark, large_bytes):
     target = spark.createDataFrame([(1, "old")], "k int, v string")
     source = spark.createDataFrame([(1, "x"), (2, "b"), (2, "a")], "k int, v string")
-    assert _set(upsert.insert_new(target, source, ["k"], ["v"])) == {(1, "old"), (2, "a")}
+    assert _set(upsert.insert_new(target, source, ["k"], ["v"], large_bytes)) == {(1, "old"), (2, "a")}
 
 
-def test_upsert_takes_nulls_and_keeps_other_columns(spark):
+@pytest.mark.parametrize("large_bytes", [0, 2**63])
+def test_upsert_takes_nulls_and_keeps_other_columns(spark, large_bytes):
     target = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k int, v string, own int")
     source = spark.createDataFrame([(1, None), (3, "c")], "k int, v string")
-    once = upsert.upsert(target, source, ["k"], ["v"])
+    once = upsert.upsert(target, source, ["k"], ["v"], large_bytes=large_bytes)
     assert _set(once) == {(1, None, 5), (2, "b", 6), (3, "c", None)}
-    assert _set(upsert.upsert(once, source, ["k"], ["v"])) == _set(once)
+    assert _set(upsert.upsert(once, source, ["k"], ["v"], large_bytes=large_bytes)) == _set(once)
+    whole = upsert.upsert(target.drop("own"), source, ["k"], ["v"], large_bytes=large_bytes)
+    assert _set(whole) == {(1, None), (2, "b"), (3, "c")}
+
+
+def test_small_batch_does_not_shuffle_a_large_target(spark, tmp_path, capsys):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id k", "id v", "id own").write.parquet(path)
+    batch = spark.range(90, 110).selectExpr("id k", "-id v")
+    merged = upsert.upsert(spark.read.parquet(path), batch, ["k"], ["v"], large_bytes=0)
+    assert merged.count() == 110 and merged.filter("v < 0 AND own IS NOT NULL").count() == 10
+    merged.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin [k" in plan and "LeftAnti" in plan and "LeftSemi" in plan
 
 
 @pytest.mark.parametrize("small_rows", [0, 100])
@@ -49,6 +64,8 @@ def test_surrogate_keys_stay_stable(spark, small_rows):
     more = spark.createDataFrame([("c",), ("a",), ("0",)], "nk string")
     grown = dims.load_dim(more, "nk", "sk", first, small_rows=small_rows)
     assert _set(grown.select("nk", "sk")) == {("a", 1), ("b", 2), ("0", 3), ("c", 4)}
+    few = upsert.assign_keys(first, more, "nk", "sk", small_rows, large_bytes=0)
+    assert _set(few.select("nk", "sk")) == {("a", 1), ("0", 3), ("c", 4)}
 
 
 def test_hierarchy(spark):
