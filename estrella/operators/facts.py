@@ -69,7 +69,7 @@ def load_fact(
     stored table.
     """
     counts = skew.count_keys(lines, order_key, "n_lineas")
-    hot = []
+    hot = None
     if skew.worth_checking(lines, check_from_bytes):
         counts = materialize(counts)
         hot = skew.hot_keys(counts, order_key, "n_lineas", hot_rows)

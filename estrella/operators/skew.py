@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estrella.session import input_bytes, shuffle_partitions
+from estrella.session import input_bytes, materialize_counted, shuffle_partitions
 
 HOT_ROWS = 1_000_000
 # Inputs below this size cannot hold a key heavy enough to matter.
@@ -18,18 +16,20 @@ def count_keys(df: DataFrame, key: str, count_as: str = "n") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(count_as))
 
 
-def hot_keys(counts: DataFrame, key: str, count: str = "n", hot_rows: int = HOT_ROWS) -> list:
+def hot_keys(counts: DataFrame, key: str, count: str = "n", hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """The heaviest keys with at least ``hot_rows`` rows, from a frame of counted keys.
 
-    At most four per shuffle partition are returned: a key outside that list holds less than
-    a quarter of a partition's fair share and needs no special care.
+    At most four per shuffle partition are returned, so they can be broadcast: a key outside that
+    list holds less than a quarter of a partition's fair share and needs no special care. None if
+    there is no such key.
     """
     most = 4 * shuffle_partitions(counts.sparkSession)
     heavy = counts.filter(F.col(key).isNotNull() & (F.col(count) >= hot_rows))
-    return [row[key] for row in heavy.orderBy(F.desc(count), key).limit(most).collect()]
+    stored, found = materialize_counted(heavy.orderBy(F.desc(count), key).limit(most).select(key))
+    return stored if found else None
 
 
-def split_join(rows: DataFrame, lookup: DataFrame, key: str, how: str, hot: Sequence) -> DataFrame:
+def split_join(rows: DataFrame, lookup: DataFrame, key: str, how: str, hot: DataFrame | None) -> DataFrame:
     """``rows.join(lookup, key, how)`` for a ``lookup`` with one row per key.
 
     Rows of the ``hot`` keys meet a broadcast of the few lookup rows they need and never shuffle;
@@ -37,11 +37,11 @@ def split_join(rows: DataFrame, lookup: DataFrame, key: str, how: str, hot: Sequ
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
-    if not hot:
+    if hot is None:
         return rows.join(lookup, key, how)
-    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
-    heavy = rows.filter(is_hot).join(F.broadcast(lookup.filter(is_hot)), key, how)
-    return rows.filter(~is_hot).join(lookup, key, how).unionByName(heavy)
+    heavy_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
+    heavy = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(heavy_lookup), key, how)
+    return rows.join(F.broadcast(hot), key, "left_anti").join(lookup, key, how).unionByName(heavy)
 
 
 def worth_checking(rows: DataFrame, check_from_bytes: int = CHECK_FROM_BYTES) -> bool:
@@ -61,5 +61,5 @@ def join_lookup(
     Spark splits skewed partitions itself when both sides of a join come straight from a shuffle.
     This join is for lookups that are themselves joined on the same key, where it cannot.
     """
-    hot = hot_keys(count_keys(rows, key), key, "n", hot_rows) if worth_checking(rows, check_from_bytes) else []
+    hot = hot_keys(count_keys(rows, key), key, "n", hot_rows) if worth_checking(rows, check_from_bytes) else None
     return split_join(rows, lookup, key, how, hot)

@@ -82,6 +82,12 @@ def test_quantiles_match_the_exact_percentile(spark, small_rows):
     assert got == pytest.approx(want)
 
 
+def test_quantiles_of_a_small_file(spark, tmp_path):
+    spark.range(11).selectExpr("cast(id as decimal(10,2)) v").write.parquet(str(tmp_path / "q"))
+    assert ranking.quantiles(spark.read.parquet(str(tmp_path / "q")), "v", (0.25, 0.5)) == [2.5, 5.0]
+    assert ranking.quantiles(spark.read.parquet(str(tmp_path / "q")).filter("v < 0"), "v", (0.5,)) == [None]
+
+
 def test_quantiles_of_nothing(spark):
     assert ranking.quantiles(spark.createDataFrame([], "v double"), "v", (0.5,)) == [None]
 
