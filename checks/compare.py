@@ -32,7 +32,7 @@ def rows(columns, data) -> Counter:
 
 
 def main(directory: str, names: list[str]) -> int:
-    spark = build_session("compare", "local[8]")
+    spark = build_session("compare", "local[8]", **{"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for table in TABLES:
