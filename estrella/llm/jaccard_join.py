@@ -10,15 +10,18 @@ each other, where the triangle inequality says nothing, so the space is first cu
    common passages stay empty. Regions with the same nodes are one region.
 3. *Pivots and cells.* A region's pivot is its most central node (the one with the most frequent
    shingles: the origin of a family of copies, not a copy of a copy). A node's home is the pivot it
-   meets in most regions; the nodes with one home are its Voronoi cell. All distances to the home
-   are computed; those within the threshold are links.
-4. *Boundaries.* Where a region holds nodes that are not yet connected, each node is also sent as a
-   guest to the homes of the others, and gets its distance to that pivot. With native distances up
-   to R, the triangle inequality rules out guests beyond R + threshold.
+   meets in most regions; the nodes with one home are its Voronoi cell. Nodes within the threshold
+   of their home are linked.
+4. *Boundaries.* Where a region holds nodes that are not connected yet, each node also goes as a guest
+   to the homes of the others. Guests beyond the cell's reach plus the threshold are out, by the
+   triangle inequality.
 5. *Recursion.* A cell is cut into rings by the distance to its pivot and rings into blocks of
-   bounded size. By the triangle inequality only equal or neighbouring rings (one threshold wide)
-   can hold links; each such pair of blocks is joined exactly by one task, and pairs that are
-   connected already are left out.
+   bounded size. Only pairs of blocks that the triangle inequality allows go on, to a task each;
+   pairs that are connected already are left out.
+
+Before the sets of a pair are compared, their parity sketches are: as every member flips one bit of
+a sketch, two sketches differ in no more bits than the sets have members apart. That rules most
+pairs out with a few hundred bytes each and never a link.
 
 Every link is found or already implied by other links, so the components are exact.
 """
@@ -28,6 +31,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from estrella.llm.graph import components
 from estrella.llm.shipping import ship
-from estrella.llm.words import in_slices, shingles, utf8_texts
+from estrella.llm.words import hashed_words, in_slices, shingles, utf8_texts
 from estrella.session import materialize, materialize_counted
 
 COUNT_BITS = 20
@@ -43,12 +47,33 @@ _SLICES = 64
 _SLICE = (1 << COUNT_BITS) // _SLICES
 
 BLOCK = 256
-# Ids of documents are broadcast up to this many bytes; beyond, the texts are shuffled to them.
+FAR = 100
+# Ids and pairs of nodes are broadcast up to this many bytes of ids; beyond, texts and sets are shuffled to them.
 BROADCAST_BYTES = 32 << 20
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
-    return [np.unique(shingles(t.lower().split(), width)) for t in utf8_texts(batch, "text")]
+    return [np.unique(shingles(h, width)) for h in hashed_words(utf8_texts(batch, "text"))]
+
+
+def sketch(values: np.ndarray) -> bytes:
+    """Parities of the members in at least four times as many slots as there are members."""
+    bits = max(64, 1 << (4 * len(values) - 1).bit_length())
+    slots = (values & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(slots, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def folded(words: np.ndarray, length: int) -> np.ndarray:
+    """A sketch (last axis: 64-bit words) as it would be with fewer slots."""
+    while words.shape[-1] > length:
+        half = words.shape[-1] // 2
+        words = words[..., :half] ^ words[..., half:]
+    return words
+
+
+def most_common_members(n, m, apart):
+    """The largest possible overlap of sets of n and m members whose sketches differ in ``apart`` bits."""
+    return np.minimum(np.minimum(n, m), (n + m - apart) // 2)
 
 
 def _node(values: np.ndarray) -> int | None:
@@ -60,8 +85,11 @@ def _slots(values: np.ndarray) -> np.ndarray:
     return (values >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
 
+_COUNTED = ["doc_id", "n", "node", "sketch", "slice", "counts"]
+
+
 def _count_pass(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
-    """One row (doc_id, n, node) per document, and how often the shingles of each slot occur in all of them."""
+    """One row (doc_id, n, node, sketch) per document, and how often the shingles of each slot occur in all of them."""
 
     def run(batches):
         counts = np.zeros(1 << COUNT_BITS, np.int64)
@@ -75,10 +103,11 @@ def _count_pass(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
                     batch.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_node(s) for s in sets], pa.int64()),
+                    pa.array([sketch(s) for s in sets], pa.binary()),
                     pa.nulls(len(sets), pa.int32()),
                     pa.nulls(len(sets), pa.binary()),
                 ],
-                names=["doc_id", "n", "node", "slice", "counts"],
+                names=_COUNTED,
             )
 
         yield from in_slices(one)(batches)
@@ -86,11 +115,16 @@ def _count_pass(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
             packed = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(_SLICES, _SLICE)]
             empty = pa.nulls(_SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [empty, empty, empty, pa.array(range(_SLICES), pa.int32()), pa.array(packed, pa.binary())],
-                names=["doc_id", "n", "node", "slice", "counts"],
+                [
+                    *[empty] * 3,
+                    pa.nulls(_SLICES, pa.binary()),
+                    pa.array(range(_SLICES), pa.int32()),
+                    pa.array(packed, pa.binary()),
+                ],
+                names=_COUNTED,
             )
 
-    seen = materialize(docs.mapInArrow(run, "doc_id long, n long, node long, slice int, counts binary"))
+    seen = materialize(docs.mapInArrow(run, "doc_id long, n long, node long, sketch binary, slice int, counts binary"))
 
     def add(key, frame):
         total = np.zeros(_SLICE, np.int64)
@@ -103,7 +137,7 @@ def _count_pass(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
     counts = np.zeros((_SLICES, _SLICE), np.int64)
     for row in summed:
         counts[row["slice"]] = np.frombuffer(row["counts"], np.int64)
-    return seen.filter("slice IS NULL").select("doc_id", "n", "node"), counts.reshape(-1)
+    return seen.filter("slice IS NULL").select("doc_id", "n", "node", "sketch"), counts.reshape(-1)
 
 
 def _regions(docs: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -156,43 +190,69 @@ def _regions(docs: DataFrame, counts: np.ndarray, width: int, percent: int) -> D
     return met.groupBy("region", "node", "pivot").agg(F.count(F.lit(1)).alias("shared"))
 
 
-def _load_sets(docs: DataFrame, listed: DataFrame, regions: DataFrame, width: int) -> DataFrame:
-    """(node, items): the sorted shingles of every node that is in a region; texts are read again for that."""
-    wanted = regions.select("node").distinct()
-    first = listed.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    ids, rows = materialize_counted(first.select(F.col("doc_id").alias("_id")).distinct())
-    ids = F.broadcast(ids) if rows * 8 <= BROADCAST_BYTES else ids
-    found = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def _screened(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) with ``least``, a lower bound of their distance, and whether they can be a link."""
+    one = marks.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+    two = marks.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+    both = pairs.join(one, "a").join(two, "b")
+
+    def screen(batch):
+        n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
+        apart = np.zeros(len(n), np.int64)
+        sketches = zip(batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist(), strict=True)
+        for i, (x, y) in enumerate(sketches):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            length = min(len(x), len(y))
+            apart[i] = np.bitwise_count(folded(x, length) ^ folded(y, length)).sum()
+        common = most_common_members(n, m, apart)
+        total = n + m - common
+        return pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(1 - common / total), pa.array(common * 100 >= total * percent)],
+            names=["a", "b", "least", "possible"],
+        )
+
+    return both.mapInArrow(in_slices(screen), "a long, b long, least double, possible boolean")
+
 
-    def one(batch):
+def _verified(docs: DataFrame, listed: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """(a, b, common, n, m) for a stored frame of pairs; the texts of their nodes are read again for that."""
+    spark = docs.sparkSession
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    chosen = listed.join(ends, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    ids, rows = materialize_counted(chosen.select(F.col("doc_id").alias("_id")).distinct())
+    if not rows:
+        return spark.createDataFrame([], "a long, b long, common long, n long, m long")
+    small = rows * 8 <= BROADCAST_BYTES
+    found = docs.join(F.broadcast(ids) if small else ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+    def load(batch):
         sets = [s for s in _sets(batch, width) if len(s)]
         return pa.RecordBatch.from_arrays(
             [pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
             names=["node", "items"],
         )
 
-    return materialize(found.mapInArrow(in_slices(one), "node long, items binary").dropDuplicates(["node"]))
-
-
-def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, pivot, common, n, m) for pairs (node, pivot)."""
-    mine = sets.select(F.col("node"), F.col("items"))
-    theirs = sets.select(F.col("node").alias("pivot"), F.col("items").alias("pivot_items"))
-    both = pairs.join(mine, "node").join(theirs, "pivot").select("node", "pivot", "items", "pivot_items")
+    sets, seen = materialize_counted(found.mapInArrow(in_slices(load), "node long, items binary"))
+    if seen > rows:  # ids that occur more than once
+        sets = sets.dropDuplicates(["node"])
+    near = F.broadcast(pairs) if small else pairs
+    left = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
+    pivots = sets.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
+    right = pivots.select(F.col("node").alias("b"), F.col("items").alias("items_b"))
 
-    def one(batch):
+    def compare(batch):
         found = []
-        pairs_ = zip(batch.column("items").to_pylist(), batch.column("pivot_items").to_pylist(), strict=True)
-        for a, b in pairs_:
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        for x, y in zip(batch.column("items_a").to_pylist(), batch.column("items_b").to_pylist(), strict=True):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             found.append((len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
         columns = np.array(found, np.int64).reshape(-1, 3)
         return pa.RecordBatch.from_arrays(
-            [batch.column("node"), batch.column("pivot"), *[pa.array(columns[:, i]) for i in range(3)]],
-            names=["node", "pivot", "common", "n", "m"],
+            [batch.column("a"), batch.column("b"), *[pa.array(columns[:, i]) for i in range(3)]],
+            names=["a", "b", "common", "n", "m"],
         )
 
-    return both.mapInArrow(in_slices(one), "node long, pivot long, common long, n long, m long")
+    both = left.join(near, "a").join(right, "b").select("a", "b", "items_a", "items_b")
+    return materialize(both.mapInArrow(in_slices(compare), "a long, b long, common long, n long, m long"))
 
 
 def _is_link(percent: int):
@@ -203,65 +263,40 @@ def _distance():
     return F.lit(1.0) - F.col("common") / (F.col("n") + F.col("m") - F.col("common"))
 
 
-def _block_links(percent: int):
-    """Group function: links between unconnected nodes of two blocks, as a spanning forest."""
-
-    def run(frame):
-        left = frame[frame["side"] == 0].reset_index(drop=True)
-        right = frame[frame["side"] == 1].reset_index(drop=True)
-        same = not len(right)
-        right = left if same else right
-        a = [np.frombuffer(x, np.uint64) for x in left["items"]]
-        b = a if same else [np.frombuffer(x, np.uint64) for x in right["items"]]
-        common = overlaps(a, b)
-        sizes_a, sizes_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-        total = sizes_a[:, None] + sizes_b[None, :] - common
-        hit = (common * 100 >= total * percent) & (left["comp"].values[:, None] != right["comp"].values[None, :])
-        hit &= left["native"].values[:, None] | right["native"].values[None, :]
-        parent: dict[int, int] = {}
-
-        def root(x):
-            while parent.setdefault(x, x) != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        out = []
-        for i, j in zip(*np.nonzero(hit), strict=True):
-            x, y = int(left["comp"][i]), int(right["comp"][j])
-            if root(x) != root(y):
-                parent[root(x)] = root(y)
-                out.append((x, y))
-        return out
+def _block_pairs(percent: int):
+    """Group function: the pairs of unconnected nodes of two blocks that can be links."""
 
     def apply(key, frame):
-        import pandas as pd
-
-        return pd.DataFrame(run(frame), columns=["a", "b"]).astype("int64")
+        left = frame[frame["side"] == 0]
+        right = frame[frame["side"] == 1]
+        right = right if len(right) else left
+        same = right is left
+        out = []
+        by_length = [{}, {}]
+        for index, side in enumerate((left, right)):
+            for length, rows in side.groupby(side["sketch"].str.len() // 8):
+                words = np.stack([np.frombuffer(x, np.uint64) for x in rows["sketch"]])
+                columns = (rows[c].to_numpy() for c in ("node", "comp", "n", "native"))
+                by_length[index][int(length)] = (words, *columns)
+        for length, (words, nodes, comps, sizes, natives) in by_length[0].items():
+            for other, (words2, nodes2, comps2, sizes2, natives2) in by_length[1].items():
+                if max(length, other) > 2 * min(length, other):
+                    continue  # sizes too different for a link
+                x, y = folded(words, other), folded(words2, length)
+                for i in range(len(nodes)):
+                    ok = (comps2 != comps[i]) & (natives2 | natives[i])
+                    ok &= (nodes2 > nodes[i]) if same else True
+                    if not ok.any():
+                        continue
+                    apart = np.bitwise_count(x[i] ^ y[ok]).sum(axis=1).astype(np.int64)
+                    common = most_common_members(sizes[i], sizes2[ok], apart)
+                    hit = common * 100 >= (sizes[i] + sizes2[ok] - common) * percent
+                    out += [(min(nodes[i], v), max(nodes[i], v)) for v in nodes2[ok][hit]]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return apply
 
 
-def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 1 << 14) -> np.ndarray:
-    """|x & y| for all x in ``a`` and y in ``b``, by products of 0/1 matrices over shared members only."""
-    out = np.zeros((len(a), len(b)), np.int64)
-    if not a or not b:
-        return out
-    shared = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)), assume_unique=True)
-    for at in range(0, len(shared), columns):
-        part = shared[at : at + columns]
-        matrices = []
-        for sets in (a, b):
-            matrix = np.zeros((len(sets), len(part)), np.float32)
-            for i, values in enumerate(sets):
-                near = values[np.searchsorted(values, part[0]) : np.searchsorted(values, part[-1], "right")]
-                spot = np.searchsorted(part, near)
-                matrix[i, spot[part[spot] == near]] = 1
-            matrices.append(matrix)
-        out += np.rint(matrices[0] @ matrices[1].T).astype(np.int64)
-    return out
-
-
 def jaccard_classes(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75
 ) -> DataFrame:
@@ -281,33 +316,32 @@ def jaccard_classes(
     limit = 1 - percent / 100
     listed, counts = _count_pass(docs, width)
     regions = materialize(_regions(docs, counts, width, percent))
-    sets = _load_sets(docs, listed, regions, width)
+    wanted = regions.select("node").distinct()
+    marks = materialize(
+        listed.join(wanted, "node").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    )
+    listed = listed.drop("sketch")
 
     # homes: the pivot a node meets most often; a node that is the pivot everywhere is its own home
     met = regions.groupBy("node", "pivot").agg(F.sum("shared").alias("shared"))
     order = F.struct(F.col("pivot") != F.col("node"), "shared", "pivot")
-    homes = met.groupBy("node").agg(F.max_by("pivot", order).alias("home"))
-    homes = materialize(homes)
-    native = homes.filter("node <> home").select("node", F.col("home").alias("pivot"))
-    near = materialize(_distances(native, sets))
-    star_links = near.filter(_is_link(percent)).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    star = materialize(components(star_links))
-
-    # regions that still hold nodes of different components
-    comp = F.coalesce("component", "node").alias("comp")
-    labelled = homes.join(star, "node", "left").select("node", "home", comp)
-    rows = regions.select("region", "node").join(labelled, "node")
-    region = Window.partitionBy("region")
-    open_rows = rows.select(
-        "region",
-        "node",
-        "home",
-        "comp",
-        (F.min("comp").over(region) < F.max("comp").over(region)).alias("open"),
-        (F.min("home").over(region) < F.max("home").over(region)).alias("mixed"),
-    ).filter("open")
-    open_rows = materialize(open_rows)
-    natives = open_rows.select("node", F.col("home").alias("pivot"), "comp").distinct()
+    homes = materialize(met.groupBy("node").agg(F.max_by("pivot", order).alias("home")))
+    pairs = homes.filter("node <> home").select(F.col("node").alias("a"), F.col("home").alias("b"))
+    screened = materialize(_screened(pairs, marks, percent))
+    near = _verified(docs, listed, materialize(screened.filter("possible").select("a", "b")), width)
+    links = near.filter(_is_link(percent)).select("a", "b")
+    comps = materialize(components(links))
+    exact = near.select("a", "b", _distance().alias("d"))
+    natives = (
+        homes.select(F.col("node").alias("a"), F.col("home").alias("b"))
+        .join(exact, ["a", "b"], "left")
+        .join(screened.select("a", "b", "least"), ["a", "b"], "left")
+        .select(F.col("a").alias("node"), F.col("b").alias("pivot"), F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("d")).alias("d"), "least")
+    )
+    natives = materialize(natives)
+
+    # guests: nodes of regions that still hold several components, at the homes of the other nodes
+    open_rows = materialize(_open_rows(regions, homes, comps))
     borders = open_rows.filter("mixed").select("region", F.col("home").alias("pivot")).distinct()
     guests = (
         open_rows.filter("mixed")
@@ -317,29 +351,45 @@ def jaccard_classes(
         .select("node", "pivot", "comp")
         .distinct()
     )
-    own = near.select("node", "pivot", _distance().alias("d"))
-    natives = natives.join(own, ["node", "pivot"], "left").select(
-        "node", "pivot", "comp", F.coalesce("d", F.lit(0.0)).alias("d"), F.lit(True).alias("native")
+    guests = materialize(guests)
+    hosts = homes.select(F.col("node").alias("pivot")).join(comps, F.col("pivot") == F.col("node"), "left")
+    hosts = hosts.select("pivot", F.coalesce("component", "pivot").alias("host_comp"))
+    calls = guests.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    seen = materialize(_screened(calls, marks, percent))
+    unlinked = (
+        seen.filter("possible")
+        .join(guests.select(F.col("node").alias("a"), F.col("pivot").alias("b"), "comp"), ["a", "b"])
+        .join(hosts.withColumnRenamed("pivot", "b"), "b")
+        .filter("comp <> host_comp")
+        .select("a", "b")
     )
-    natives = materialize(natives)
-    guest_pairs = materialize(guests)
-    # a guest that is the pivot itself lies at distance 0
-    seen = _distances(guest_pairs.filter("node <> pivot").select("node", "pivot"), sets)
-    far = materialize(seen.withColumn("link", _is_link(percent)).withColumn("d", _distance()))
-    guest_links = far.filter("link").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    reach = natives.groupBy("pivot").agg(F.max("d").alias("reach"))
-    guests = (
-        guest_pairs.join(far.select("node", "pivot", "d"), ["node", "pivot"], "left")
+    called = _verified(docs, listed, materialize(unlinked), width)
+    known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    comps = materialize(components(known.unionByName(called.filter(_is_link(percent)).select("a", "b"))))
+
+    # what is still open: rings of cells, cut into blocks, pair by pair
+    open_rows = _open_rows(regions, homes, comps).select("node", "comp").distinct()
+    open_nodes = materialize(open_rows)
+    reach = natives.groupBy("pivot").agg(F.max(F.coalesce("d", F.lit(1.0))).alias("reach"))
+    far_guests = (
+        guests.select("node", "pivot")
+        .join(seen.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "least"), ["node", "pivot"], "left")
+        .join(called.select(F.col("a").alias("node"), F.col("b").alias("pivot"), _distance().alias("d")), ["node", "pivot"], "left")
         .join(reach, "pivot")
-        .withColumn("d", F.coalesce("d", F.lit(0.0)))
-        .filter(F.col("d") <= F.col("reach") + limit + 1e-9)
-        .select("node", "pivot", "comp", "d", F.lit(False).alias("native"))
+        .select("node", "pivot", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"), "least", "reach")
+        .filter(F.coalesce("d", "least", F.lit(0.0)) <= F.col("reach") + limit + 1e-9)
     )
-    members = materialize(natives.unionByName(guests))
-
-    # rings one threshold wide, cut into blocks of about BLOCK nodes; only neighbouring rings can link
-    ring = F.floor((F.col("d") + 1e-9) / limit).cast("int")
-    sizes = members.groupBy("pivot", ring.alias("ring")).agg(
+    members = (
+        natives.select("node", "pivot", "d", "least", F.lit(True).alias("native"))
+        .unionByName(far_guests.select("node", "pivot", "d", "least", F.lit(False).alias("native")))
+        .join(open_nodes, "node")
+    )
+    # a known distance gives a ring, a lower bound only says from which ring on; these rings count from FAR
+    ring = F.when(F.col("d").isNotNull(), F.floor((F.col("d") + 1e-9) / limit)).otherwise(
+        FAR + F.floor((F.coalesce("least", F.lit(0.0)) - 1e-9) / limit)
+    )
+    members = materialize(members.select("node", "pivot", "comp", "native", F.greatest(ring, F.lit(0)).cast("int").alias("ring")))
+    sizes = members.groupBy("pivot", "ring").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
         F.max("native").alias("has_native"),
         F.min("comp").alias("low"),
@@ -348,47 +398,69 @@ def jaccard_classes(
     sizes = materialize(sizes)
     one = sizes.select("pivot", *[F.col(c).alias(f"{c}1") for c in sizes.columns[1:]])
     two = sizes.select("pivot", *[F.col(c).alias(f"{c}2") for c in sizes.columns[1:]])
-    jobs = (
-        one.join(two, "pivot")
-        .filter("ring2 - ring1 IN (0, 1) AND (has_native1 OR has_native2) AND least(low1, low2) < greatest(high1, high2)")
-        .select("pivot", "ring1", "blocks1", "ring2", "blocks2")
+    allowed = (
+        f"ring1 <= ring2 AND (has_native1 OR has_native2) AND least(low1, low2) < greatest(high1, high2)"
+        f" AND (ring1 >= {FAR} OR (ring2 < {FAR} AND ring2 - ring1 <= 1) OR (ring2 >= {FAR} AND ring2 - {FAR} <= ring1 + 1))"
     )
-    mine = members.withColumn("ring", ring).alias("m")
+    jobs = materialize(one.join(two, "pivot").filter(allowed).select("pivot", "ring1", "blocks1", "ring2", "blocks2"))
     at = F.pmod(F.xxhash64("m.node"), F.col("blocks1")).cast("int")
     at2 = F.pmod(F.xxhash64("m.node"), F.col("blocks2")).cast("int")
+    alike = F.col("ring1") == F.col("ring2")
     columns = ["m.node", "m.comp", "m.native", "m.pivot", "ring1", "ring2"]
-    as_left = (
-        mine.join(jobs.alias("j"), (F.col("m.pivot") == F.col("j.pivot")) & (F.col("m.ring") == F.col("ring1")))
-        .select(
-            *columns,
-            at.alias("block1"),
-            F.explode(F.sequence(F.when(F.col("ring1") == F.col("ring2"), at).otherwise(0), F.col("blocks2") - 1)).alias("block2"),
-            F.lit(0).alias("side"),
-        )
+    mine = members.alias("m")
+
+    def of_jobs(ring_name: str) -> DataFrame:
+        own = jobs.alias("j")
+        return mine.join(own, (F.col("m.pivot") == F.col("j.pivot")) & (F.col("m.ring") == F.col(ring_name)))
+
+    as_left = of_jobs("ring1").select(
+        *columns,
+        at.alias("block1"),
+        F.explode(F.sequence(F.when(alike, at).otherwise(0), F.col("blocks2") - 1)).alias("block2"),
+        F.lit(0).alias("side"),
     )
     as_right = (
-        mine.join(jobs.alias("j"), (F.col("m.pivot") == F.col("j.pivot")) & (F.col("m.ring") == F.col("ring2")))
+        of_jobs("ring2")
         .select(
             *columns,
-            F.explode(F.sequence(F.lit(0), F.when(F.col("ring1") == F.col("ring2"), at2).otherwise(F.col("blocks1") - 1))).alias("block1"),
+            F.explode(F.sequence(F.lit(0), F.when(alike, at2).otherwise(F.col("blocks1") - 1))).alias("block1"),
             at2.alias("block2"),
             F.lit(1).alias("side"),
         )
         .filter("NOT (ring1 = ring2 AND block1 = block2)")
     )
-    tasks = as_left.unionByName(as_right).join(sets, "node")
-    found = tasks.groupBy("pivot", "ring1", "ring2", "block1", "block2").applyInPandas(
-        _block_links(percent), "a long, b long"
-    )
-    known = star.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    every = components(materialize(known.unionByName(guest_links).unionByName(found)))
+    tasks = as_left.unionByName(as_right).join(marks, "node")
+    rest = tasks.groupBy("pivot", "ring1", "ring2", "block1", "block2").applyInPandas(_block_pairs(percent), "a long, b long")
+    last = _verified(docs, listed, materialize(rest.distinct()), width).filter(_is_link(percent)).select("a", "b")
+    known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    every = components(known.unionByName(last))
 
     # names of the components in ids of documents
-    named = listed.join(every, "node", "left").select("doc_id", "n", "node", F.coalesce("component", "node").alias("comp"))
+    named = listed.join(every, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("comp"))
     named = materialize(named)
-    smallest = materialize(named.filter("comp IS NOT NULL").groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("low")))
-    return named.join(smallest, F.col("comp") == F.col("c"), "left").select(
+    smallest = named.filter("comp IS NOT NULL").groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("low"))
+    return named.join(materialize(smallest), F.col("comp") == F.col("c"), "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id"),
     )
+
+
+def _open_rows(regions: DataFrame, homes: DataFrame, comps: DataFrame) -> DataFrame:
+    """Rows (region, node, home, comp, mixed) of the regions with more than one component; mixed: and home."""
+    labelled = homes.join(comps, "node", "left").select("node", "home", F.coalesce("component", "node").alias("comp"))
+    region = Window.partitionBy("region")
+    return (
+        regions.select("region", "node")
+        .join(labelled, "node")
+        .select(
+            "region",
+            "node",
+            "home",
+            "comp",
+            (F.min("comp").over(region) < F.max("comp").over(region)).alias("open"),
+            (F.min("home").over(region) < F.max("home").over(region)).alias("mixed"),
+        )
+        .filter("open")
+        .drop("open")
+    )

@@ -7,7 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrella.llm import chat, jaccard_join, mixing, sharding
+import public_tokenizers
+
+from estrella.llm import (
+    chat,
+    fingerprints,
+    jaccard_join,
+    licenses,
+    mixing,
+    packing,
+    sharding,
+    token_files,
+    toxicity,
+    vectors,
+)
+from estrella.session import materialize, work_path
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+SEARCHED = 50  # every row whose id is divisible by this is a search query
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
@@ -54,6 +71,34 @@ def op1_chat_formatting(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@query
+def op2_license_scans(spark: SparkSession, directory: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    return licenses.scan_licenses(_table(spark, directory, "documents")).drop("spans")
+
+
+@query
+def op3_document_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts; n_near: rows within three bits, for every fiftieth id."""
+    found = materialize(fingerprints.fingerprint_documents(_table(spark, directory, "documents")))
+    asked = F.coalesce(F.col("doc_id") % SEARCHED == 0, F.lit(False))
+    near = fingerprints.near_counts(found.filter(asked).select("fingerprint"), found.select("fingerprint"))
+    return (
+        found.filter(asked)
+        .join(near, "fingerprint")
+        .select(*found.columns, "n_near")
+        .unionByName(found.filter(~asked).withColumn("n_near", F.lit(None).cast("long")))
+    )
+
+
+@query
+def op4_token_files(spark: SparkSession, directory: str) -> DataFrame:
+    """Token ids of all documents, written as ORC and read back."""
+    path = work_path(spark)
+    token_files.write_tokens(_table(spark, directory, "documents"), path, TOKENIZER, 1)
+    return token_files.token_index(token_files.read_tokens(spark, path))
+
+
 @query
 def op5_ngram_jaccard_join(spark: SparkSession, directory: str) -> DataFrame:
     """Classes of documents that share three quarters of their five-word shingles."""
@@ -90,6 +135,25 @@ def op7_sharding(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@query
+def op8_packing(spark: SparkSession, directory: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens."""
+    return packing.pack_documents(_table(spark, directory, "documents"), TOKENIZER, 2)
+
+
+@query
+def op9_embedding_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    """Vectors linked by a cosine of 0.95 or more, and their components."""
+    return vectors.near_vectors(_table(spark, directory, "embeddings"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    """Category probabilities, toxicity score and decision for all documents."""
+    docs, labels = _table(spark, directory, "documents"), _table(spark, directory, "labels")
+    return toxicity.score_toxicity(docs, labels)
+
+
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
 _SQL = {

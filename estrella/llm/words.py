@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 
 ROWS_AT_ONCE = 1000
-_KEPT_WORDS = 300_000
+CHUNK_BYTES = 1 << 20
 
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_known: dict[bytes, int] = {}
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_WHITE = re.compile(rb"[\x20\x09-\x0D]")
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_tables = (np.empty(0, np.uint64), np.empty(0, np.uint64))
 
 
 def in_slices(
@@ -35,19 +38,6 @@ def utf8_texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash per word. Hashes of words seen before are kept, up to a fixed number of words."""
-    try:
-        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
-    except KeyError:
-        if len(_known) > _KEPT_WORDS:
-            _known.clear()
-        for word in set(words):
-            if word not in _known:
-                _known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit numbers."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -55,14 +45,87 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def shingles(words: list[bytes], width: int) -> np.ndarray:
+# a random-looking number for every byte
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse, modulo 2 ** 64."""
+    global _tables
+    if len(_tables[0]) < n:
+        steps = np.full(max(n, CHUNK_BYTES), _BASE, np.uint64)
+        back = np.full(len(steps), pow(int(_BASE), -1, 1 << 64), np.uint64)
+        steps[0] = back[0] = 1
+        _tables = np.cumprod(steps), np.cumprod(back)
+    return _tables
+
+
+def _hashed(text: bytes, first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word of a text, or of its ``first`` bytes.
+
+    Sums of powers give all words' hashes at once.
+    """
+    data = np.frombuffer(text, np.uint8)
+    inside = ~_SPACE[data]
+    edge = np.diff(inside, prepend=False, append=False)
+    starts, ends = np.flatnonzero(edge).reshape(-1, 2).T
+    if first:
+        ends = np.minimum(ends, starts + first)
+    forth, back = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * forth[: len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64)), starts
+
+
+def hashed_words(texts: list[bytes], first: int | None = None) -> list[np.ndarray]:
+    """Per text, the 64-bit hashes of its words in order: A-Z lower-cased, split at ASCII white space.
+
+    With ``first``, only that many bytes of each word count.
+
+    Short texts are hashed together, long ones in pieces cut at white space, so the working memory is
+    bounded by the longest word or ``CHUNK_BYTES``.
+    """
+    out: list[np.ndarray] = []
+    group: list[bytes] = []
+
+    def flush() -> None:
+        if group:
+            hashes, starts = _hashed(b" ".join(group).lower(), first)
+            firsts = np.cumsum([0] + [len(t) + 1 for t in group[:-1]])
+            out.extend(np.split(hashes, np.searchsorted(starts, firsts[1:])))
+            group.clear()
+
+    size = 0
+    for text in texts:
+        if group and size + len(text) > CHUNK_BYTES:
+            flush()
+            size = 0
+        if len(text) > CHUNK_BYTES:
+            out.append(np.concatenate([_hashed(piece.lower(), first)[0] for piece in _pieces(text)]))
+        else:
+            group.append(text)
+            size += len(text) + 1
+    flush()
+    return out
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A long text in pieces of about ``CHUNK_BYTES`` that end where a word ends."""
+    at = 0
+    while at < len(text):
+        found = _WHITE.search(text, min(at + CHUNK_BYTES, len(text)))
+        end = found.start() if found else len(text)
+        yield text[at:end]
+        at = end
+
+
+def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hashes of all runs of ``width`` words, in order; with fewer words the whole sequence is the one run."""
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = word_hashes(words)
-    width = min(width, len(words))
-    runs = len(words) - width + 1
+    if not len(hashes):
+        return hashes
+    width = min(width, len(hashes))
+    runs = len(hashes) - width + 1
     out = np.full(runs, width, np.uint64)
     for j in range(width):
-        out = out * _MULTIPLIER + hashes[j : j + runs]
+        out = out * _BASE + hashes[j : j + runs]
     return mixed(out)
