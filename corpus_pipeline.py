@@ -2,24 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from estrella.llm import jaccard_join, mixing
+from estrella.llm import jaccard_join, mixing, packing, toxicity
 from estrella.session import materialize
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain calls toxic go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score_toxicity(docs.select(COLUMNS), labels, keep_columns=True)
+    return scored.filter("toxic = 0").select(COLUMNS)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares three quarters of its five-word shingles stays."""
+    """One document of each group that shares three quarters of its five-word shingles stays.
+
+    That is the one with the smallest id; of its repeated rows one stays. Documents without words
+    are all kept, as they are near nothing, and so are rows without an id.
+    """
     classes = jaccard_join.jaccard_classes(docs)
     gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    kept = docs.select(COLUMNS).join(gone, "doc_id", "left_anti")
+    repeats = Window.partitionBy("doc_id", F.md5("text")).orderBy("lang", "source", "n_chars")
+    numbered = kept.withColumn("at", F.row_number().over(repeats))
+    return numbered.filter("at = 1 OR doc_id IS NULL OR text IS NULL").select(COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them.
+
+    The document in which a source's share ends is cut after the last word taken. Documents without
+    words take part in no mix and go.
+    """
+    sized = docs.select(COLUMNS).withColumn("size", mixing.word_count(F.col("text")))
+    taken = mixing.mixed_sequence(mixing.mix(sized))
+    # every piece is a word and the white space after it
+    pieces = F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    first_words = F.array_join(F.slice(pieces, 1, F.col("part.take").cast("int")), "")
+    whole = F.col("part.take") == F.col("size")
+    return taken.withColumn("text", F.when(whole, F.col("text")).otherwise(first_words)).select(COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens."""
+    return packing.pack_documents(docs, TOKENIZER, 2)
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("ngram_jaccard_join", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack),
 ]
 
 # Two stages (a trained classifier, a similarity join) have no counterpart in SQL.
