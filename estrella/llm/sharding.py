@@ -62,13 +62,16 @@ def shard_rows(
 
     Row numbers follow the columns ``order``; rows that tie in all of them are dealt to some of
     their numbers, so name columns that tell different rows apart. NULLs come first. Repeated rows
-    are rows of their own. An empty input gives an empty result. Other columns pass through.
+    are rows of their own. An empty input gives an empty result. Other columns pass through, but for
+    those named as the added ones.
     """
-    numbered = row_numbers(df, [F.col(f"`{c}`") for c in order], "_number")
+    inner = df.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in df.columns])
+    numbered = row_numbers(inner, [F.col(f"`in_{c}`") for c in order], "_number")
     n = numbered.count()
-    place = permute(F.col("_number"), n, seed)
-    return numbered.withColumn("_place", place).select(
-        *[F.col(f"`{c}`") for c in df.columns],
+    placed = numbered.withColumn("_place", permute(F.col("_number"), n, seed))
+    own = [F.col(f"`in_{c}`").alias(c) for c in df.columns if c not in (shard, slot)]
+    return placed.select(
+        *own,
         F.pmod("_place", F.lit(shards)).cast("int").alias(shard),
         ((F.col("_place") - F.pmod("_place", F.lit(shards))) / shards).cast("long").alias(slot),
     )

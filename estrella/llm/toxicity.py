@@ -243,12 +243,15 @@ def score_toxicity(
     chain = train(pairs, labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic"), max_rows)
     added = ["categories", "score", "toxic"]
     own = [c for c in docs.columns if c not in added] if keep_columns else [doc_id]
-    columns = [F.col(f"`{c}`") for c in own]
+    inner = docs.select(
+        *[F.col(f"`{c}`").alias(f"in_{c}") for c in own], F.col(f"`{text}`").cast("string").alias("_text")
+    )
     if chain is None:
         nothing = (F.array().cast("array<double>"), F.lit(0.0), F.lit(0).cast("long"))
-        return docs.select(*columns, *[v.alias(n) for v, n in zip(nothing, added, strict=True)])
+        made = inner.withColumns(dict(zip(added, nothing, strict=True))).drop("_text")
+        return made.select(*[F.col(f"`in_{c}`").alias(c) for c in own], *added)
     shared = spark.sparkContext.broadcast(chain)
-    rows = docs.select(*columns, F.col(f"`{text}`").cast("string").alias("_text"))
+    names = [*[f"in_{c}" for c in own], *added]
 
     def score(batch):
         chain = shared.value
@@ -259,7 +262,8 @@ def score_toxicity(
             pa.array(out[:, -1]),
             pa.array((out[:, -1] > chain.threshold).astype(np.int64)),
         ]
-        return pa.RecordBatch.from_arrays(arrays, names=[*own, *added])
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    return rows.mapInArrow(in_slices(score), f"{kept}, categories array<double>, score double, toxic long")
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in inner.drop("_text").schema)
+    made = inner.mapInArrow(in_slices(score), f"{kept}categories array<double>, score double, toxic long")
+    return made.select(*[F.col(f"`in_{c}`").alias(c) for c in own], *added)
