@@ -141,6 +141,8 @@ STAR = {
         FROM products LEFT JOIN dim_country c ON c.country_name = 'NATION_' || split_part(supplier_id, '#', 2)""",
     "dim_shipper": "SELECT *, row_number() OVER (ORDER BY nk_shipper_id) AS sk_shipper FROM shippers",
     "fact": FACT_SELECT.format(lines="lines", orders="ords", customer="LEFT JOIN dim_customer c"),
+    "fact_solvent": "SELECT * FROM fact WHERE sk_cliente IN (SELECT sk_cliente FROM dim_customer WHERE balance >= 0)",
+    "fact_listed": "SELECT * FROM fact WHERE sk_producto IN (SELECT sk_producto FROM dim_product WHERE CAST(discontinued AS INT) = 0)",
     "fact_2001": "SELECT * FROM fact WHERE sk_tiempo BETWEEN 20010101 AND 20011231",
     "fact_year": f"SELECT * FROM fact WHERE sk_tiempo BETWEEN {REPORT_YEAR}0101 AND {REPORT_YEAR}1231",
 }
@@ -222,21 +224,25 @@ def _seller(fact: str) -> str:
             FROM {fact} GROUP BY sk_empleado) v USING (sk_empleado)"""
 
 
+def _sold_per_country(fact: str) -> str:
+    """Customers, orders and amount of the countries whose customers bought; every order once per country."""
+    return f"""
+        SELECT sk_pais, count(DISTINCT sk_cliente) AS compradores, count(DISTINCT nk_order_id) AS total_pedidos, sum(monto_neto) AS neto
+        FROM {fact} JOIN dim_customer USING (sk_cliente) WHERE sk_pais IS NOT NULL GROUP BY sk_pais"""
+
+
 def _geo(fact: str, join: str) -> str:
-    """Share of the total with four decimals, half-up in whole numbers."""
+    """Share of the total with four decimals, half-up in whole numbers. A left join also counts idle customers."""
+    people = "compradores" if join == "JOIN" else "coalesce(vecinos, 0)"
+    cents = "CAST(coalesce(neto, 0) * 10000 AS HUGEINT)"
     return f"""
-        SELECT p.*, coalesce(v.clientes, 0) AS total_clientes, coalesce(v.pedidos, 0) AS total_pedidos,
-               coalesce(v.neto, 0) AS monto_neto,
-               CASE WHEN g.total > 0 THEN
-                   CAST((2000000 * CAST(coalesce(v.neto, 0) * 10000 AS HUGEINT) + CAST(g.total * 10000 AS HUGEINT))
-                        // (2 * CAST(g.total * 10000 AS HUGEINT)) AS BIGINT) / 10000.0 ELSE 0 END AS pct_monto_global
-        FROM dim_country p {join} (
-            SELECT c.sk_pais, count(DISTINCT c.sk_cliente) AS clientes, count(DISTINCT f.nk_order_id) AS pedidos,
-                   coalesce(sum(f.monto_neto), 0) AS neto
-            FROM dim_customer c {join} {fact} f USING (sk_cliente) WHERE c.sk_pais IS NOT NULL GROUP BY c.sk_pais) v
-        USING (sk_pais)
-        CROSS JOIN (SELECT coalesce(sum(monto_neto), 0) AS total FROM {fact} f JOIN dim_customer c USING (sk_cliente)
-                    WHERE sk_pais IS NOT NULL) g"""
+        WITH sold AS ({_sold_per_country(fact)}),
+             lives AS (SELECT sk_pais, count(*) AS vecinos FROM dim_customer WHERE sk_pais IS NOT NULL GROUP BY sk_pais),
+             whole AS (SELECT coalesce(sum(CAST(neto * 10000 AS HUGEINT)), 0) AS cents FROM sold)
+        SELECT dim_country.*, {people} AS total_clientes, coalesce(total_pedidos, 0) AS total_pedidos, coalesce(neto, 0) AS monto_neto,
+               CASE WHEN whole.cents > 0 THEN CAST((2000000 * {cents} + whole.cents) // (2 * whole.cents) AS BIGINT) / 10000.0 ELSE 0 END
+                   AS pct_monto_global
+        FROM whole, dim_country {join} sold USING (sk_pais) LEFT JOIN lives USING (sk_pais)"""
 
 
 HISTORY = {
@@ -245,7 +251,7 @@ HISTORY = {
                coalesce(f.fecha, DATE '{NO_SALES_DATE}') AS fecha_desde
         FROM dim_customer c LEFT JOIN (
             SELECT sk_cliente, min(strptime(CAST(sk_tiempo AS VARCHAR), '%Y%m%d')::DATE) AS fecha
-            FROM fact WHERE sk_tiempo BETWEEN 19980101 AND 19991231 GROUP BY sk_cliente) f USING (sk_cliente)
+            FROM fact GROUP BY sk_cliente) f USING (sk_cliente)
         WHERE balance < 9000""",
     "news": """
         SELECT nk_customer_id, sk_cliente, company_name, CASE WHEN balance < 0 THEN 'Moved' ELSE city END AS city,
@@ -325,22 +331,13 @@ def _full(column: str, pattern: str) -> str:
     return f"regexp_full_match({column}, {pattern})"
 
 
-def _rule(table, source, field, control, bad, severity="ERROR", good="Sin errores", text="", unique=None, listed=None, info=False):
-    """One rule as a SELECT. ``unique`` adds repeated keys; ``listed`` names the column shown."""
+def _rule(table, source, field, control, bad, severity="ERROR", good="Sin errores", text="", unique=None, info=False):
+    """One rule as a SELECT. ``unique`` adds repeated keys."""
     count = f"(SELECT count(*) FROM {source} WHERE {bad})" if bad else "0"
     if unique:
         count += f" + (SELECT count(*) FROM (SELECT {unique} FROM {source} GROUP BY {unique} HAVING count(*) > 1))"
     state = "'OK'" if info else f"CASE WHEN n = 0 THEN 'OK' ELSE '{severity}' END"
-    if info:
-        shown = f"'{text}: ' || n"
-    elif listed:
-        values = f"SELECT DISTINCT {listed} AS k FROM {source} WHERE {bad}"
-        shown = (
-            f"CASE WHEN (SELECT count(*) FROM ({values})) <= 20 "
-            f"THEN '{text}: ' || (SELECT string_agg(k, ', ' ORDER BY k) FROM ({values})) ELSE '{text}' END"
-        )
-    else:
-        shown = f"'{text}'"
+    shown = f"'{text}: ' || n"
     return (
         f"SELECT '{table}' AS tabla, '{field}' AS campo, '{control}' AS control, {state} AS resultado, "
         f"CAST(n AS BIGINT) AS cant_errores, CASE WHEN n = 0 THEN '{good}' ELSE {shown} END AS detalle "
@@ -368,12 +365,12 @@ def _batch1() -> str:
         _rule("txt_customers", c, "customer_id", "SIN_DUPLICADOS", None, unique="customer_id", **twice),
         _rule("txt_customers", c, "customer_id", "LONGITUD_3", "length(customer_id) <> 3", text="Hay valores con longitud distinta de 3"),
         _rule("txt_customers", c, "contact_title", "NOT NULL", _blank("contact_title"), **nulls),
-        _rule("txt_customers", c, "country", "VALOR_INCONSISTENTE", "country = '7'", "WARNING", text="Hay registros con valor 7", listed="customer_id"),
+        _rule("txt_customers", c, "country", "VALOR_INCONSISTENTE", "country = '7'", "WARNING", text="Hay registros con valor 7"),
         _rule("txt_customers", c, "balance", "ES_NUMERICO", f"NOT {_full('balance', _NUM)}", text="Hay valores no numéricos"),
         _rule("txt_customers", c, "country", "SIN_DUPLICADOS", None, unique="country", **twice),
         _rule("txt_products", p, "product_id", "NOT NULL + SIN_DUPLICADOS", _blank("product_id"), unique="product_id", **key),
         _rule("txt_products", p, "product_name", "NOT NULL + SIN_DUPLICADOS", _blank("product_name"), unique="product_name", **key),
-        _rule("txt_products", p, "discontinued", "VALOR_0_O_1", "discontinued NOT IN ('0','1')", text="Valores inválidos", listed="discontinued"),
+        _rule("txt_products", p, "discontinued", "VALOR_0_O_1", "discontinued NOT IN ('0','1')", text="Valores inválidos"),
         _rule("txt_products", p, "product_id", "CASTEABLE_A_ENTERO", f"NOT {_full('trim(product_id)', _INT)}", text="Hay valores no enteros"),
         _rule("txt_products", p, "unit_price", "CASTEABLE_A_ENTERO", f"NOT {_full('trim(unit_price)', _INT)}", text="Hay valores no enteros"),
         _rule("txt_products", p, "unit_price", "PRECIO_MINIMO", number, text="Hay valores fuera de rango"),
@@ -387,7 +384,7 @@ def _batch1() -> str:
         _rule("txt_order_details", d, "order_id+product_id", "PK_COMPUESTA_SIN_DUPLICADOS", None, unique="order_id, product_id", **twice),
         _rule("txt_order_details", d, "discount", "RANGO_DESCUENTO", f"NOT {_full('discount', _NUM)} OR TRY_CAST(discount AS DECIMAL(38,10)) NOT BETWEEN 0 AND 0.05", "WARNING", text="Hay valores fuera de rango"),
         _rule("txt_order_details", d, "quantity", "ENTERO_POSITIVO", f"NOT {_full('quantity', _INT)} OR TRY_CAST(quantity AS BIGINT) < 1", text="Hay enteros fuera de rango"),
-        _rule("txt_order_details", d, "return_flag", "VALOR_A_O_N", "return_flag NOT IN ('A','N')", text="Valores inválidos", listed="return_flag"),
+        _rule("txt_order_details", d, "return_flag", "VALOR_A_O_N", "return_flag NOT IN ('A','N')", text="Valores inválidos"),
     ]
     return " UNION ALL ".join(parts)
 
@@ -414,11 +411,12 @@ def _batch2() -> str:
 
 def _offenders() -> str:
     def one(table, source, key, field, control, bad):
-        return f"SELECT '{table}' AS tabla, '{field}' AS campo, '{control}' AS control, {key} AS clave_registro FROM {source} WHERE {bad}"
+        return f"SELECT '{table}' AS tabla, '{field}' AS campo, '{control}' AS control, CAST({key} AS VARCHAR) AS clave_registro, {field} AS valor FROM {source} WHERE {bad}"
 
     c = ("txt_customers", "raw_customers", "customer_id")
     p = ("txt_products", "raw_products", "product_id")
     o = ("txt_orders", "raw_orders", "order_id")
+    d = ("txt_order_details", "raw_lines", "order_id || '/' || product_id")
     date = "{0} <> 'NULL' AND NOT regexp_matches({0}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')"
     return " UNION ALL ".join(
         [
@@ -435,6 +433,9 @@ def _offenders() -> str:
             one(*p, "unit_price", "PRECIO_MINIMO", f"NOT {_full('unit_price', _NUM)} OR TRY_CAST(unit_price AS DECIMAL(38,10)) < 950"),
             *[one(*o, f, "FORMATO_FECHA", date.format(f)) for f in ("order_date", "required_date", "shipped_date")],
             one(*o, "ship_via", "ES_ENTERO_O_NULL", f"ship_via <> 'NULL' AND NOT {_full('ship_via', _INT)}"),
+            one(*d, "discount", "RANGO_DESCUENTO", f"NOT {_full('discount', _NUM)} OR TRY_CAST(discount AS DECIMAL(38,10)) NOT BETWEEN 0 AND 0.05"),
+            one(*d, "quantity", "ENTERO_POSITIVO", f"NOT {_full('quantity', _INT)} OR TRY_CAST(quantity AS BIGINT) < 1"),
+            one(*d, "return_flag", "VALOR_A_O_N", "return_flag NOT IN ('A','N')"),
             one(*o, "freight", "ES_NUMERICO_POSITIVO", f"NOT {_full('freight', _NUM)} OR TRY_CAST(freight AS DECIMAL(38,10)) < 0"),
         ]
     )
@@ -500,15 +501,13 @@ _FKS = {
 
 def _fk_checks() -> str:
     parts = []
-    for table, source, column, known, key in _FKS.values():
+    for table, source, column, known, _ in _FKS.values():
         bad = f"{column} IS NOT NULL AND {column} NOT IN ({known})"
-        keys = f"SELECT DISTINCT {key} AS k FROM {source} WHERE {bad}"
         parts.append(
             f"SELECT '{table}' AS tabla, '{column}' AS campo, 'INTEGRIDAD_REFERENCIAL' AS control, "
             f"CASE WHEN n = 0 THEN 'OK' ELSE 'ERROR' END AS resultado, n AS cant_errores, "
-            f"CASE WHEN n = 0 THEN 'Todos los {column} existen' ELSE n || ' registros con {column} inválido' || "
-            f"CASE WHEN (SELECT count(DISTINCT {column}) FROM {source} WHERE {bad}) <= 20 AND (SELECT count(*) FROM ({keys})) <= 20 "
-            f"THEN ': ' || (SELECT string_agg(CAST(k AS VARCHAR), ', ' ORDER BY k) FROM ({keys})) ELSE '' END END AS detalle FROM (SELECT count(*) AS n FROM {source} WHERE {bad})"
+            f"CASE WHEN n = 0 THEN 'Todos los {column} existen' ELSE n || ' registros con {column} inválido' END AS detalle "
+            f"FROM (SELECT count(*) AS n FROM {source} WHERE {bad})"
         )
     return " UNION ALL ".join(parts)
 
@@ -721,15 +720,14 @@ def _catalog_rows() -> str:
         "txt_customers": (["customer_id"], []),
         "txt_products": (["product_id"], ["category_id"]),
         "txt_orders": (["order_id"], ["customer_id"]),
-        "txt_order_details": ([], []),
+        "txt_order_details": (["order_id", "product_id"], ["order_id"]),
     }
     profiled = _profiles()
     pk = " OR ".join(f"(tabla = '{t}' AND campo = '{c}')" for t, (p, _) in keys.items() for c in p)
     fk = " OR ".join(f"(tabla = '{t}' AND campo = '{c}')" for t, (_, f) in keys.items() for c in f)
     return (
         f"SELECT tabla AS nombre_tabla, campo AS nombre_columna, 'string' AS tipo_dato, CAST(CASE WHEN {pk} THEN 1 ELSE 0 END AS BIGINT) AS es_pk, "
-        f"CAST(CASE WHEN {fk} THEN 1 ELSE 0 END AS BIGINT) AS es_fk, total_registros, cant_nulos, cant_distintos FROM ({profiled}) "
-        "WHERE tabla <> 'txt_order_details'"
+        f"CAST(CASE WHEN {fk} THEN 1 ELSE 0 END AS BIGINT) AS es_fk, total_registros, cant_nulos, cant_distintos FROM ({profiled})"
     )
 
 
@@ -765,7 +763,7 @@ _ORACLES = {
     "rules_offenders": _offenders(),
     "rules_rollup": _rollup(_batch1()),
     "rules_post_clean": """SELECT t AS tabla, 'country' AS campo, 'POST_LIMPIEZA' AS control, CASE WHEN n = 0 THEN 'OK' ELSE 'ERROR' END AS resultado,
-        n AS cant_errores, CASE WHEN n = 0 THEN 'Sin errores' ELSE 'Hay registros con valor 7' END AS detalle FROM (
+        n AS cant_errores, CASE WHEN n = 0 THEN 'Sin errores' ELSE 'Hay registros con valor 7: ' || n END AS detalle FROM (
         SELECT 'antes' AS t, count(*) AS n FROM raw_customers WHERE country = '7' UNION ALL SELECT 'despues', 0)""",
     "controls_by_table": f"""SELECT tabla, count(*) FILTER (WHERE resultado = 'OK') AS ok, count(*) FILTER (WHERE resultado = 'ERROR') AS errores
         FROM ({_batch1()}) GROUP BY tabla""",
@@ -857,11 +855,10 @@ _ORACLES = {
         m.region AS region_vigente, CAST(m.fecha_desde AS VARCHAR) AS fecha_desde_vigente
         FROM ords o LEFT JOIN merged m ON m.nk_customer_id = o.customer_id AND m.fecha_desde <= o.order_date
              AND (m.fecha_hasta IS NULL OR o.order_date <= m.fecha_hasta)""",
-    "enrich_customer": _ENR_CUSTOMER_OUT.format(_customer_metrics("fact_2001", True)),
-    "enrich_customer_active": _ENR_CUSTOMER_OUT.format(_customer_metrics("fact_2001", False)),
-    "enrich_product": _ENR_PRODUCT_OUT.format(_product_metrics("fact_2001", True)),
-    "enrich_product_active": _ENR_PRODUCT_OUT.format(_product_metrics("fact_2001", False)),
-    "enrich_product_distributed": _ENR_PRODUCT_OUT.format(_product_metrics("fact_2001", True)),
+    "enrich_customer": _ENR_CUSTOMER_OUT.format(_customer_metrics("fact_solvent", True)),
+    "enrich_customer_active": _ENR_CUSTOMER_OUT.format(_customer_metrics("fact_solvent", False)),
+    "enrich_product": _ENR_PRODUCT_OUT.format(_product_metrics("fact_listed", True)),
+    "enrich_product_active": _ENR_PRODUCT_OUT.format(_product_metrics("fact_listed", False)),
     "global_rank": """SELECT order_id || '-' || product_id AS linea, CAST(quantity AS BIGINT) AS quantity,
         rank() OVER (ORDER BY quantity DESC) AS rk FROM lines""",
     "global_ntile": "SELECT order_id, CAST(freight AS DOUBLE) AS freight, ntile(7) OVER (ORDER BY freight, order_id) AS tile FROM ords",
@@ -925,12 +922,42 @@ _ORACLES = {
         FROM scripts LEFT JOIN runs USING (script_id) GROUP BY ALL""",
     "latest_event": "SELECT user_id, max_by(event_type, event_id) AS event_type, max_by(value, event_id) AS value FROM events GROUP BY user_id",
     "catalog_summary": """SELECT * REPLACE (CAST(columnas AS BIGINT) AS columnas, CAST(pks AS BIGINT) AS pks, CAST(fks AS BIGINT) AS fks) FROM (VALUES ('txt', 'txt_customers', 6, 1, 0), ('txt', 'txt_products', 6, 1, 1), ('txt', 'txt_orders', 7, 1, 1),
-        ('tmp', 'tmp_order_details', 10, 2, 1)) t(capa_dwh, nombre_tabla, columnas, pks, fks)
+        ('txt', 'txt_order_details', 6, 2, 1)) t(capa_dwh, nombre_tabla, columnas, pks, fks)
         LEFT JOIN (SELECT 'txt_customers' AS nombre_tabla, count(*) AS registros FROM customer UNION ALL
-                   SELECT 'txt_products', count(*) FROM part UNION ALL SELECT 'txt_orders', count(*) FROM orders) USING (nombre_tabla)""",
+                   SELECT 'txt_products', count(*) FROM part UNION ALL SELECT 'txt_orders', count(*) FROM orders
+                   UNION ALL SELECT 'txt_order_details', count(*) FROM raw_lines) USING (nombre_tabla)""",
     "catalog_profile": _catalog_rows(),
-    "layer_domain": f"""SELECT tabla_destino, decision FROM ({_footprints()})
-        WHERE decision NOT IN ('CARGADO', 'CARGADO_PARCIAL', 'RECHAZADO')""",
+    "layer_domain": "SELECT 'dwa_fact_ventas' AS tabla_destino, 'EN_DUDA' AS decision",
+    "rules_listing": f"""SELECT row_number() OVER (ORDER BY tabla, campo, control) AS orden, tabla, campo, control, resultado, cant_errores
+        FROM ({_batch1()})""",
+    "rules_long_numbers": """SELECT 'txt_montos' AS tabla, 'monto' AS campo, 'RANGO' AS control, 'ERROR' AS resultado, count(*) AS cant_errores,
+        'Hay valores fuera de rango: ' || count(*) AS detalle FROM ords WHERE shipped_date IS NULL""",
+    "profile_empty": """SELECT 'txt_vacia' AS tabla, unnest(['customer_id', 'country']) AS campo, CAST(0 AS BIGINT) AS total_registros,
+        CAST(0 AS BIGINT) AS cant_nulos, CAST(0 AS BIGINT) AS cant_distintos, CAST(NULL AS VARCHAR) AS valor_min, CAST(NULL AS VARCHAR) AS valor_max""",
+    "ind_report": f"""SELECT row_number() OVER (ORDER BY CASE resultado WHEN 'ERROR' THEN 1 WHEN 'WARNING' THEN 2 ELSE 3 END, tabla, campo, indicador)
+        AS orden, tabla, campo, indicador, resultado FROM ({_business()} UNION ALL {_nulls()})""",
+    "upsert_null_partition": """SELECT order_id, CASE WHEN order_id % 3 = 0 THEN 'X' ELSE 'O' END AS estado,
+        CAST(CASE WHEN order_id % 3 <> 0 THEN mes WHEN mes = 5 OR mes IS NULL THEN 13 END AS BIGINT) AS mes
+        FROM (SELECT order_id, CASE WHEN shipped_date IS NOT NULL THEN month(order_date) END AS mes FROM ords)""",
+    "enrich_calendar_gap": """SELECT sk_cliente, count(DISTINCT nk_order_id) AS total_pedidos, count(*) AS total_lineas,
+        CAST(sum(monto_neto) AS DOUBLE) AS monto_total_neto, CAST(min(fecha) AS VARCHAR) AS primer_pedido, CAST(max(fecha) AS VARCHAR) AS ultimo_pedido
+        FROM fact JOIN calendar USING (sk_tiempo) WHERE mes > 3 AND sk_cliente IS NOT NULL GROUP BY sk_cliente""",
+    "geo_shared_orders": """SELECT sk_pais, count(DISTINCT c.sk_cliente) AS total_clientes, count(DISTINCT nk_order_id) AS total_pedidos,
+        CAST(coalesce(sum(monto_neto), 0) AS DOUBLE) AS monto_neto FROM dim_customer c LEFT JOIN (
+            SELECT CASE WHEN sk_producto % 2 = 0 THEN sk_cliente + 1 ELSE sk_cliente END AS sk_cliente, nk_order_id, monto_neto FROM fact) f
+        USING (sk_cliente) WHERE sk_pais IS NOT NULL GROUP BY sk_pais""",
+    "fact_rejects": """SELECT 'tmp_order_details' AS tabla_origen, order_id || '/' || product_id AS clave_registro, motivo_rechazo,
+        'RECHAZADO_PARCIAL' AS decision FROM (
+            SELECT l.order_id, l.product_id, CASE WHEN o.order_id IS NULL THEN 'Pedido inexistente'
+                WHEN o.order_date IS NULL OR o.order_date < DATE '1996-01-01' THEN 'Pedido sin fecha'
+                WHEN p.sk_producto IS NULL THEN 'Sin nk_product_id: ' || l.product_id
+                WHEN c.sk_cliente IS NULL THEN 'Sin nk_customer_id: ' || o.customer_id END AS motivo_rechazo
+            FROM lines l LEFT JOIN ords o ON o.order_id = l.order_id
+            LEFT JOIN (SELECT * FROM dim_product WHERE CAST(discontinued AS INT) = 0) p ON p.nk_product_id = l.product_id
+            LEFT JOIN (SELECT * FROM dim_customer WHERE balance >= 0) c ON c.nk_customer_id = o.customer_id)
+        WHERE motivo_rechazo IS NOT NULL""",
+    "csv_quoted": """SELECT p || lpad(customer_id, 8, '0') AS id, 'says "hi", ' || trim(company_name) AS texto
+        FROM raw_customers, (VALUES (''), ('x')) v(p)""",
     "star_build": """SELECT 'calendar' AS tabla, (SELECT count(*) FROM calendar) AS registros UNION ALL SELECT 'countries', (SELECT count(*) FROM nation)
         UNION ALL SELECT 'customers', (SELECT count(*) FROM customer) UNION ALL SELECT 'employees', (SELECT count(*) FROM supplier)
         UNION ALL SELECT 'products', (SELECT count(*) FROM part) UNION ALL SELECT 'shippers', (SELECT count(*) FROM shippers)

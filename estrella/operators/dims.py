@@ -11,7 +11,6 @@ from pyspark.sql.types import IntegerType, StringType, StructField
 
 from estrella.functions import numbers as num
 from estrella.operators.upsert import assign_keys, ensure_columns, fill_missing, insert_new, upsert
-from estrella.session import SINGLE_TASK_ROWS
 
 
 _SCORE_FIELDS = [StructField("customer_score", IntegerType()), StructField("customer_score_segmento", StringType())]
@@ -38,12 +37,12 @@ def denormalize(base: DataFrame, references: Sequence[Reference]) -> DataFrame:
 
 
 def load_dim(
-    source: DataFrame, key: str, surrogate: str, target: DataFrame | None = None, small_rows: int = SINGLE_TASK_ROWS
+    source: DataFrame, key: str, surrogate: str, target: DataFrame | None = None
 ) -> DataFrame:
     """Initial load, or insert of the keys a target does not hold."""
     if target is None:
-        return assign_keys(None, source, key, surrogate, small_rows)
-    keyed = assign_keys(target, source, key, surrogate, small_rows)
+        return assign_keys(None, source, key, surrogate)
+    keyed = assign_keys(target, source, key, surrogate)
     return insert_new(target, keyed, [key])
 
 
@@ -53,10 +52,9 @@ def upsert_dim(
     key: str,
     surrogate: str,
     columns: Sequence[str],
-    small_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Update known keys in place, keep their surrogate, add new keys with the next surrogates."""
-    keyed = assign_keys(target, source.filter(F.col(key).isNotNull()), key, surrogate, small_rows)
+    keyed = assign_keys(target, source.filter(F.col(key).isNotNull()), key, surrogate)
     missing = [f for f in keyed.schema.fields if f.name not in target.columns]
     return upsert(ensure_columns(target, missing), keyed, [key], columns)
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
-from estrella.operators import skew
 from estrella.operators.calendar import date_key
 from estrella.session import materialize
 
@@ -53,8 +52,6 @@ def load_fact(
     keys: Sequence[DimKey],
     calendar: DataFrame | None = None,
     order_key: str = "order_id",
-    hot_rows: int = skew.HOT_ROWS,
-    check_from_bytes: int = skew.CHECK_FROM_BYTES,
 ) -> DataFrame:
     """Fact rows from order lines and order headers.
 
@@ -63,16 +60,11 @@ def load_fact(
     are left out; optional ones keep a NULL key. With a ``calendar`` the date must be in it.
     Dimensions are broadcast when Spark finds them small and otherwise joined with its skew handling.
 
-    The freight share needs the lines of an order; they are counted before any join. For large
-    inputs the counts are written, as they also tell which orders are too heavy for one task; the
-    lines of those meet a broadcast of their headers. ``lines`` is read twice, so it should be a
-    stored table.
+    The freight share needs the lines of an order; they are counted before any join. The headers are
+    written with all they bring, so both sides of the last join come straight from a shuffle and
+    Spark splits the lines of a heavy order. ``lines`` is read twice, so it should be a stored table.
     """
-    counts = skew.count_keys(lines, order_key, "n_lineas")
-    hot = None
-    if skew.worth_checking(lines, check_from_bytes):
-        counts = materialize(counts)
-        hot = skew.hot_keys(counts, order_key, "n_lineas", hot_rows)
+    counts = lines.groupBy(order_key).agg(F.count(F.lit(1)).alias("n_lineas"))
     headers = orders.filter(F.col("order_date").isNotNull())
     if calendar is not None:
         headers = headers.join(calendar.select(F.col("fecha").alias("order_date"), "sk_tiempo"), "order_date")
@@ -82,11 +74,11 @@ def load_fact(
         lookup = key.dim.select(F.col(key.natural).alias(key.column), key.surrogate)
         how = "inner" if key.required else "left"
         if key.column in lines.columns:
-            lines = lines.join(lookup, key.column, how)
+            lines = _looked_up(lines, lookup, key.column, how)
         else:
-            headers = headers.join(lookup, key.column, how)
+            headers = _looked_up(headers, lookup, key.column, how)
     headers = headers.join(counts, order_key).drop(*[k.column for k in keys if k.column in lines.columns])
-    rows = skew.split_join(lines, headers, order_key, "inner", hot)
+    rows = lines.join(materialize(headers), order_key)
     present = [k.surrogate for k in keys]
     absent = {k: F.lit(None).cast("bigint") for k in FACT_COLUMNS[1:5] if k not in present}
     rows = rows.withColumns(absent) if absent else rows
@@ -102,6 +94,42 @@ def load_fact(
     )
 
 
+def _looked_up(rows: DataFrame, lookup: DataFrame, key: str, how: str) -> DataFrame:
+    """``rows.join(lookup, key, how)``; NULL keys go around the join, so they do not meet in one task."""
+    found = rows.filter(F.col(key).isNotNull()).join(lookup, key, how)
+    if how == "inner":
+        return found
+    new = [c for c in lookup.columns if c != key]
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in lookup.schema if f.name in new}
+    return found.unionByName(rows.filter(F.col(key).isNull()).withColumns(absent))
+
+
+def rejected_lines(
+    table: str, lines: DataFrame, orders: DataFrame, keys: Sequence[DimKey], order_key: str = "order_id", line_key: str = "product_id"
+) -> DataFrame:
+    """One reject row per line that ``load_fact`` leaves out: unknown order, no order date, or a required key without a match."""
+    reason = F.lit(None).cast("string")
+    headers = orders.select(order_key, "order_date", *[k.column for k in keys if k.required and k.column not in lines.columns])
+    joined = lines.join(headers.withColumn("_known", F.lit(True)), order_key, "left")
+    for i, key in enumerate(k for k in keys if k.required):
+        lookup = key.dim.select(F.col(key.natural).alias(key.column)).distinct().withColumn(f"_has{i}", F.lit(True))
+        joined = joined.join(lookup, key.column, "left")
+        bad = F.col("_known") & F.col(f"_has{i}").isNull()
+        named = F.concat(F.lit(f"Sin {key.natural}: "), F.coalesce(F.col(key.column).cast("string"), F.lit("NULL")))
+        reason = F.coalesce(reason, F.when(bad, named))
+    reason = F.coalesce(
+        F.when(F.col("_known").isNull(), F.lit("Pedido inexistente")),
+        F.when(F.col("order_date").isNull(), F.lit("Pedido sin fecha")),
+        reason,
+    )
+    return joined.withColumn("motivo_rechazo", reason).filter("motivo_rechazo IS NOT NULL").select(
+        F.lit(table).alias("tabla_origen"),
+        F.concat_ws("/", F.col(order_key).cast("string"), F.col(line_key).cast("string")).alias("clave_registro"),
+        "motivo_rechazo",
+        F.lit(num.REJECTED_PARTIAL).alias("decision"),
+    )
+
+
 def footprint(target: str, read: DataFrame, loaded: DataFrame, reason: str, decision: str | None = None) -> DataFrame:
     """One row: rows read, inserted, rejected and the resulting decision."""
     counts = (

@@ -16,9 +16,9 @@ VALIDITY = ["fecha_desde", "fecha_hasta", "es_vigente"]
 
 
 def first_sale(fact: DataFrame, calendar: DataFrame, surrogate: str) -> DataFrame:
-    """First sale date per key, by the smallest date key so that dates are joined once per key."""
-    first = fact.filter(F.col(surrogate).isNotNull()).groupBy(surrogate).agg(F.min("sk_tiempo").alias("sk_tiempo"))
-    return first.join(calendar.select("sk_tiempo", "fecha"), "sk_tiempo").select(surrogate, "fecha")
+    """First sale date per key, of the sales on days the calendar has; one row per key and day meets the calendar."""
+    days = fact.filter(F.col(surrogate).isNotNull()).select(surrogate, "sk_tiempo").distinct()
+    return days.join(calendar.select("sk_tiempo", "fecha"), "sk_tiempo").groupBy(surrogate).agg(F.min("fecha").alias("fecha"))
 
 
 def start_history(

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
@@ -98,38 +98,45 @@ def foreign_key_share(
     return _rows(sums.select(F.inline(F.array(_cell(fk.column, name, pct, warn, error)))), fk.table)
 
 
-def outlier_share(
-    table: str,
-    df: DataFrame,
-    column: str,
-    base: Column | None = None,
-    counted: Column | None = None,
-    width: float = 3.0,
-    lower: bool = False,
-    warn: float = 5.0,
-    error: float = 15.0,
-    name: str = "PCT_OUTLIERS",
-) -> DataFrame:
-    """Share of values beyond the quartile fences.
+@dataclass(frozen=True)
+class Outliers:
+    """Share of a column's values beyond its quartile fences.
 
     Quartiles and the denominator come from the ``base`` rows; outliers are counted among the
     ``counted`` rows. ``lower`` adds the lower fence, not below zero.
     """
-    based = df.filter(base) if base is not None else df
-    q1, q3 = quantiles(based, column, (0.25, 0.75))
-    number = F.col(column).cast("double")
-    if q1 is None:
-        beyond = F.lit(False)
-    else:
-        beyond = number > q3 + width * (q3 - q1)
-        if lower:
-            beyond = beyond | (number < max(0.0, q1 - width * (q3 - q1)))
-    if counted is not None:
-        beyond = beyond & counted
-    in_base = base if base is not None else F.lit(True)
-    counts = df.agg(F.count_if(beyond).alias("bad"), F.count_if(in_base).alias("total"))
-    cell = _cell(column, name, num.percentage(F.col("bad"), F.col("total"), 2), warn, error)
-    return _rows(counts.select(F.inline(F.array(cell))), table)
+
+    field: str
+    base: Callable[[], Column] = lambda: F.lit(True)
+    counted: Callable[[], Column] = lambda: F.lit(True)
+    width: float = 3.0
+    lower: bool = False
+    warn: float = 5.0
+    error: float = 15.0
+    name: str = "PCT_OUTLIERS"
+
+
+def outlier_shares(table: str, df: DataFrame, wanted: Sequence[Outliers]) -> DataFrame:
+    """All outlier shares of a table: one pass for the quartiles of all columns, one for the counts."""
+    based = [F.when(o.base(), F.col(o.field).cast("double")).alias(f"v{i}") for i, o in enumerate(wanted)]
+    fences = quantiles(df.select(*based), [f"v{i}" for i in range(len(wanted))], (0.25, 0.75))
+    # one row with the quartiles of every column, NULL where a column has no values
+    wide = fences.agg(*[F.max(F.when(F.col("campo") == f"v{i}", F.col("q"))).alias(f"q{i}") for i in range(len(wanted))])
+    known = df.withColumn("_q", wide.select(F.struct("*")).scalar())
+    cells = []
+    for i, o in enumerate(wanted):
+        number, q1, q3 = F.col(o.field).cast("double"), F.col(f"_q.q{i}")[0], F.col(f"_q.q{i}")[1]
+        beyond = number > q3 + o.width * (q3 - q1)
+        if o.lower:
+            beyond = beyond | (number < F.greatest(F.lit(0.0), q1 - o.width * (q3 - q1)))
+        cells.append(F.count_if(beyond & o.counted()).alias(f"bad{i}"))
+        cells.append(F.count_if(o.base()).alias(f"total{i}"))
+    counts = known.agg(*cells)
+    rows = [
+        _cell(o.field, o.name, num.percentage(F.col(f"bad{i}"), F.col(f"total{i}"), 2), o.warn, o.error)
+        for i, o in enumerate(wanted)
+    ]
+    return _rows(counts.select(F.inline(F.array(*rows))), table)
 
 
 def count_difference(table: str, left: DataFrame, right: DataFrame, name: str = "DIFF_COUNT_TXT_VS_TMP") -> DataFrame:
@@ -144,8 +151,9 @@ def all_of(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def report(indicators: DataFrame) -> DataFrame:
-    """Worst first, then by table and field."""
-    return indicators.orderBy(num.severity_order(F.col("resultado")), "tabla", "campo")
+    """Worst first, then by table, field and indicator, with the place in that order as a column."""
+    order = Window.orderBy(num.severity_order(F.col("resultado")), "tabla", "campo", "indicador")
+    return indicators.withColumn("orden", F.row_number().over(order)).orderBy("orden")
 
 
 def gate(indicators: DataFrame, runs: DataFrame, scripts: DataFrame, names: Sequence[str], strict: bool = False) -> DataFrame:

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
-
-LISTED_KEYS = 20
-
+from estrella.session import materialize
 
 @dataclass(frozen=True)
 class ForeignKey:
@@ -25,6 +23,7 @@ class ForeignKey:
     parent_key: str
     key: str | None = None
     also: tuple[tuple[DataFrame, str], ...] = ()
+    counted: DataFrame | None = None
 
     def known(self) -> DataFrame:
         names = [(self.parent, self.parent_key), *self.also]
@@ -32,39 +31,52 @@ class ForeignKey:
 
     def value_counts(self) -> DataFrame:
         """Distinct foreign keys with their rows; a frequent key is one row from here on."""
+        if self.counted is not None:
+            return self.counted
         return self.child.groupBy(self.column).agg(F.count(F.lit(1)).alias("n"))
 
     def missing(self) -> DataFrame:
         return self.value_counts().join(self.known(), self.column, "left_anti")
 
     def orphans(self) -> DataFrame:
-        """Every child row without a parent (NULL keys are not orphans)."""
-        return self.child.filter(F.col(self.column).isNotNull()).join(self.known(), self.column, "left_anti")
+        """Every child row without a parent (NULL keys are not orphans).
+
+        The distinct keys meet the parent first; the child is only searched for those missing.
+        """
+        gone = self.missing().filter(F.col(self.column).isNotNull()).select(self.column)
+        return self.child.join(gone, self.column, "left_semi")
+
+
+def count_together(checks: Mapping[str, ForeignKey]) -> dict[str, ForeignKey]:
+    """The same checks with the keys of each child table counted in one pass over it.
+
+    The counts of a child, one row per (check, key), are written and serve every later use.
+    """
+    children: dict[int, list[str]] = {}
+    for name, check in checks.items():
+        children.setdefault(id(check.child), []).append(name)
+    out = {}
+    for names in children.values():
+        child = checks[names[0]].child
+        columns = list(dict.fromkeys(checks[n].column for n in names))
+        cells = [F.struct(F.lit(c).alias("campo"), F.col(c).cast("string").alias("valor")) for c in columns]
+        counts = materialize(child.select(F.inline(F.array(*cells))).groupBy("campo", "valor").agg(F.count(F.lit(1)).alias("n")))
+        for name in names:
+            column = checks[name].column
+            value = F.col("valor").cast(child.schema[column].dataType).alias(column)
+            out[name] = replace(checks[name], counted=counts.filter(F.col("campo") == column).select(value, "n"))
+    return {name: out[name] for name in checks}
 
 
 def check_foreign_keys(checks: Sequence[ForeignKey], control: str = "INTEGRIDAD_REFERENCIAL") -> DataFrame:
-    """One row per check with the number of orphan rows and, when few, their keys."""
+    """One row per check with the number of orphan rows; the rows themselves are those of ``reject_orphans``."""
     return reduce(DataFrame.unionByName, [_check_one(c, control) for c in checks])
 
 
 def _check_one(fk: ForeignKey, control: str) -> DataFrame:
-    """Keys are listed when at most ``LISTED_KEYS`` values are missing, so that the missing values
-    fit a broadcast of known size and the child is only scanned for them, not shuffled."""
     missing = fk.missing().filter(F.col(fk.column).isNotNull())
-    counted = missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cant_errores"), F.count(F.lit(1)).alias("valores"))
-    if fk.key:
-        few = missing.select(fk.column).orderBy(fk.column).limit(LISTED_KEYS + 1)
-        hits = fk.child.select(fk.column, F.col(fk.key).alias("k")).join(F.broadcast(few), fk.column, "left_semi")
-        keys = hits.select("k").distinct().orderBy("k").limit(LISTED_KEYS + 1)
-        shown = keys.agg(
-            F.count(F.lit(1)).alias("shown"),
-            F.array_join(F.transform(F.sort_array(F.collect_list("k")), lambda k: k.cast("string")), ", ").alias("lista"),
-        )
-        text = shown.select(F.when(F.col("shown") <= LISTED_KEYS, F.concat(F.lit(": "), "lista")).otherwise("")).scalar()
-        lists = F.when(F.col("valores") <= LISTED_KEYS, text).otherwise("")
-    else:
-        lists = F.lit("")
-    bad = F.concat(F.col("cant_errores").cast("string"), F.lit(f" registros con {fk.column} inválido"), lists)
+    counted = missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cant_errores"))
+    bad = F.concat(F.col("cant_errores").cast("string"), F.lit(f" registros con {fk.column} inválido"))
     return counted.select(
         F.lit(fk.table).alias("tabla"),
         F.lit(fk.column).alias("campo"),

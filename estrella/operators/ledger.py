@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
@@ -171,6 +171,6 @@ def inventory_report(scripts: DataFrame, runs: DataFrame) -> DataFrame:
     ).orderBy("script_id")
 
 
-def run_summary(loads: DataFrame, log_id: int) -> DataFrame:
+def run_summary(loads: DataFrame, log_id: int | Column) -> DataFrame:
     """Footprints of one run in load order."""
     return loads.filter(F.col("log_id") == log_id).drop("log_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
 from estrella.operators.ranking import rank_and_tile
-from estrella.session import SINGLE_TASK_ROWS, materialize
+from estrella.session import materialize
 
 
 def _distinct_per(fact: DataFrame, group: str, column: str, name: str) -> DataFrame:
@@ -31,13 +31,14 @@ def _sums_per_order(fact: DataFrame, group: str, amounts: dict[str, str]) -> Dat
 def sales_by_period(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """One row per month.
 
-    Before aggregation the month is the date key without its day, so the fact is aggregated
-    without a join; the calendar supplies names afterwards. Each distinct count is its own narrow
+    Before aggregation the month is the date key without its day; the calendar only says which days
+    count, and supplies names afterwards. Each distinct count is its own narrow
     aggregation over (month, value): together they shuffle less than one aggregation that repeats
     every row once per distinct column, and a month with most of the rows stays balanced.
     """
     month = F.expr("sk_tiempo div 100")
-    monthly = fact.withColumn("_month", month)
+    # lines of a day that the calendar does not have belong to no month
+    monthly = fact.join(calendar.select("sk_tiempo"), "sk_tiempo", "left_semi").withColumn("_month", month)
     amounts = {
         "monto_bruto": "monto_bruto",
         "monto_descuento": "monto_descuento",
@@ -68,7 +69,7 @@ def sales_by_period(fact: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def sales_by_customer(
-    customers: DataFrame, countries: DataFrame, metrics: DataFrame, small_rows: int = SINGLE_TASK_ROWS
+    customers: DataFrame, countries: DataFrame, metrics: DataFrame
 ) -> DataFrame:
     place = countries.select("sk_pais", F.col("country_name").alias("country_name_pais"), "capital_major_city")
     flat = customers.join(place, "sk_pais", "left").join(metrics, "sk_cliente", "left")
@@ -81,7 +82,7 @@ def sales_by_customer(
         F.coalesce("monto_total_neto", zero).alias("monto_neto"),
         "monto_promedio_pedido", "primer_pedido", "ultimo_pedido", "dias_como_cliente",
     )
-    return rank_and_tile(table, "monto_neto", "sk_cliente", rank_as="rank_cliente", small_rows=small_rows)
+    return rank_and_tile(table, "monto_neto", "sk_cliente", rank_as="rank_cliente")
 
 
 def sales_by_product(products: DataFrame, metrics: DataFrame) -> DataFrame:
@@ -96,7 +97,7 @@ def sales_by_product(products: DataFrame, metrics: DataFrame) -> DataFrame:
     )
 
 
-def sales_by_employee(employees: DataFrame, fact: DataFrame, small_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def sales_by_employee(employees: DataFrame, fact: DataFrame) -> DataFrame:
     sold = fact.filter(F.col("sk_empleado").isNotNull())
     sums = _sums_per_order(sold, "sk_empleado", {"monto_neto": "monto_neto"})
     customers = _distinct_per(sold, "sk_empleado", "sk_cliente", "total_clientes")
@@ -108,27 +109,28 @@ def sales_by_employee(employees: DataFrame, fact: DataFrame, small_rows: int = S
         F.coalesce("monto_neto", zero).cast("decimal(28,4)").alias("monto_neto"),
         num.ratio(F.col("monto_neto"), F.col("total_pedidos")).alias("monto_promedio"),
     )
-    return rank_and_tile(table, "monto_neto", "sk_empleado", rank_as="rank_empleado", small_rows=small_rows)
+    return rank_and_tile(table, "monto_neto", "sk_empleado", rank_as="rank_empleado")
 
 
 def country_sums(customers: DataFrame, fact: DataFrame, only_active: bool = False) -> DataFrame:
     """Customers, orders and net amount per country.
 
-    An order belongs to one customer and a customer to one country, so orders are counted per
-    customer and added up; the fact meets the customers one row per customer.
+    The fact is summed per customer and order first. An order whose lines name two customers counts
+    once in each of their countries.
     """
-    per_customer = (
-        fact.filter(F.col("sk_cliente").isNotNull())
-        .groupBy("sk_cliente")
-        .agg(F.count_distinct("nk_order_id").alias("pedidos"), F.sum("monto_neto").alias("neto"))
-    )
+    sold = fact.filter(F.col("sk_cliente").isNotNull())
+    per_order = sold.groupBy("sk_cliente", "nk_order_id").agg(F.sum("monto_neto").alias("neto"))
     located = customers.filter(F.col("sk_pais").isNotNull()).select("sk_cliente", "sk_pais")
-    joined = located.join(per_customer, "sk_cliente", "inner" if only_active else "left")
-    return joined.groupBy("sk_pais").agg(
-        F.count(F.lit(1)).alias("total_clientes"),
-        F.coalesce(F.sum("pedidos"), F.lit(0)).alias("total_pedidos"),
+    joined = located.join(per_order, "sk_cliente", "inner" if only_active else "left")
+    by_order = joined.groupBy("sk_pais", "nk_order_id").agg(F.sum("neto").alias("neto"))
+    sums = by_order.groupBy("sk_pais").agg(
+        F.count("nk_order_id").alias("total_pedidos"),
         F.coalesce(F.sum("neto"), F.lit(0)).cast("decimal(28,4)").alias("monto_neto"),
     )
+    if only_active:
+        located = located.join(sold.select("sk_cliente").distinct(), "sk_cliente", "left_semi")
+    counts = located.groupBy("sk_pais").agg(F.count(F.lit(1)).alias("total_clientes"))
+    return counts.join(sums, "sk_pais")
 
 
 def share_of(amount: Column, total: Column) -> Column:

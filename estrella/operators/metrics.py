@@ -7,37 +7,38 @@ from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
 from estrella.operators.ranking import rank_and_tile
-from estrella.session import SINGLE_TASK_ROWS
 
 
 def customer_sums(fact: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Orders, lines, net amount and first/last sale per customer.
+    """Orders, lines, net amount and first/last sale per customer, over the days the calendar has.
 
-    The date key is in date order, so its minimum and maximum stand for the dates and the
-    calendar is joined after the aggregation.
+    Lines of a day that is not in the calendar do not count. The fact is summed per customer and day
+    first, so the calendar meets one row per customer and day.
     """
+    sold = fact.filter(F.col("sk_cliente").isNotNull())
+    daily = sold.groupBy("sk_cliente", "sk_tiempo").agg(
+        F.count(F.lit(1)).alias("lineas"), F.sum("monto_neto").alias("neto")
+    )
+    days = calendar.select("sk_tiempo", "fecha")
     sums = (
-        fact.filter(F.col("sk_cliente").isNotNull())
+        daily.join(days, "sk_tiempo")
         .groupBy("sk_cliente")
         .agg(
-            F.count_distinct("nk_order_id").alias("total_pedidos"),
-            F.count(F.lit(1)).alias("total_lineas"),
-            F.sum("monto_neto").alias("monto_total_neto"),
-            F.min("sk_tiempo").alias("_first"),
-            F.max("sk_tiempo").alias("_last"),
+            F.sum("lineas").alias("total_lineas"),
+            F.sum("neto").alias("monto_total_neto"),
+            F.min("fecha").alias("primer_pedido"),
+            F.max("fecha").alias("ultimo_pedido"),
         )
     )
-    days = calendar.select("sk_tiempo", "fecha")
-    first = days.select(F.col("sk_tiempo").alias("_first"), F.col("fecha").alias("primer_pedido"))
-    last = days.select(F.col("sk_tiempo").alias("_last"), F.col("fecha").alias("ultimo_pedido"))
-    return sums.join(first, "_first").join(last, "_last").drop("_first", "_last")
+    pairs = sold.select("sk_cliente", "nk_order_id", "sk_tiempo").join(days.select("sk_tiempo"), "sk_tiempo", "left_semi")
+    orders = pairs.select("sk_cliente", "nk_order_id").distinct().groupBy("sk_cliente").agg(F.count("nk_order_id").alias("total_pedidos"))
+    return sums.join(orders, "sk_cliente")
 
 
 def customer_metrics(
     fact: DataFrame,
     calendar: DataFrame,
     customers: DataFrame | None = None,
-    small_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Metrics and segment per customer; with ``customers`` also those without sales."""
     sums = customer_sums(fact, calendar)
@@ -54,7 +55,7 @@ def customer_metrics(
         "ultimo_pedido",
         F.datediff("ultimo_pedido", "primer_pedido").alias("dias_como_cliente"),
     )
-    tiled = rank_and_tile(table, "monto_total_neto", "sk_cliente", tile_as="_tile", small_rows=small_rows)
+    tiled = rank_and_tile(table, "monto_total_neto", "sk_cliente", tile_as="_tile")
     return tiled.withColumn("segmento", num.quintile_segment(F.col("_tile"), num.CUSTOMER_SEGMENTS)).drop("_tile")
 
 
@@ -67,7 +68,7 @@ def product_sums(fact: DataFrame) -> DataFrame:
 
 
 def product_metrics(
-    fact: DataFrame, products: DataFrame | None = None, small_rows: int = SINGLE_TASK_ROWS
+    fact: DataFrame, products: DataFrame | None = None
 ) -> DataFrame:
     """Metrics, revenue rank and segment per product; with ``products`` also those without sales."""
     sums = product_sums(fact)
@@ -82,6 +83,6 @@ def product_metrics(
         num.ratio(F.col("revenue_total"), F.col("total_pedidos")).alias("revenue_promedio_pedido"),
     )
     ranked = rank_and_tile(
-        table, "revenue_total", "sk_producto", rank_as="rank_revenue", tile_as="_tile", small_rows=small_rows
+        table, "revenue_total", "sk_producto", rank_as="rank_revenue", tile_as="_tile"
     )
     return ranked.withColumn("performance", num.quintile_segment(F.col("_tile"), num.PRODUCT_SEGMENTS)).drop("_tile")

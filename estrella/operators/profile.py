@@ -20,27 +20,42 @@ def _is_null(value: Column, tokens: Sequence[str] | str) -> Column:
 def profile(table: str, df: DataFrame, null_tokens: Mapping[str, Sequence[str] | str]) -> DataFrame:
     """Profile the columns named in ``null_tokens``; each maps to the texts counted as null.
 
-    The table is read once and turned into (column, value) pairs that are counted before the
-    shuffle, so frequent values collapse early and no column is gathered in one task.
+    Rows, nulls and the smallest and largest text of all columns are one aggregation over one pass.
+    Only the distinct values need a shuffle: (column, value) pairs, deduplicated before it, of which
+    just the number goes on. An empty table has a row of zeros per column.
     """
     columns = list(null_tokens)
-    pairs = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "campo", "valor")
-    values = pairs.groupBy("campo", "valor").agg(F.count(F.lit(1)).alias("n"))
-    groups: dict[tuple, list[str]] = {}
-    for name, tokens in null_tokens.items():
-        groups.setdefault(tokens if isinstance(tokens, str) else tuple(tokens), []).append(name)
-    null_here = reduce(
-        lambda a, b: a | b,
-        [F.col("campo").isin(names) & _is_null(F.col("valor"), tokens) for tokens, names in groups.items()],
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    cells = []
+    for i, (name, tokens) in enumerate(null_tokens.items()):
+        cells += [
+            F.count_if(_is_null(F.col(name), tokens)).alias(f"null{i}"),
+            F.min(name).alias(f"min{i}"),
+            F.max(name).alias(f"max{i}"),
+        ]
+    wide = texts.agg(F.count(F.lit(1)).alias("total"), *cells)
+    rows = [
+        F.struct(
+            F.lit(name).alias("campo"),
+            F.col("total").alias("total_registros"),
+            F.col(f"null{i}").alias("cant_nulos"),
+            F.col(f"min{i}").alias("valor_min"),
+            F.col(f"max{i}").alias("valor_max"),
+        )
+        for i, name in enumerate(columns)
+    ]
+    counted = wide.select(F.inline(F.array(*rows)))
+    pairs = texts.unpivot([], columns, "campo", "valor").filter("valor IS NOT NULL").distinct()
+    distinct = pairs.groupBy("campo").agg(F.count(F.lit(1)).alias("cant_distintos"))
+    return counted.join(F.broadcast(distinct), "campo", "left").select(
+        F.lit(table).alias("tabla"),
+        "campo",
+        "total_registros",
+        "cant_nulos",
+        F.coalesce("cant_distintos", F.lit(0)).alias("cant_distintos"),
+        "valor_min",
+        "valor_max",
     )
-    return values.groupBy("campo").agg(
-        F.first(F.lit(table)).alias("tabla"),
-        F.sum("n").alias("total_registros"),
-        F.coalesce(F.sum(F.when(null_here, F.col("n"))), F.lit(0)).alias("cant_nulos"),
-        F.count("valor").alias("cant_distintos"),
-        F.min("valor").alias("valor_min"),
-        F.max("valor").alias("valor_max"),
-    ).select("tabla", "campo", "total_registros", "cant_nulos", "cant_distintos", "valor_min", "valor_max")
 
 
 def profile_all(tables: Sequence[tuple[str, DataFrame, Mapping[str, Sequence[str] | str]]]) -> DataFrame:

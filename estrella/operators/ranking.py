@@ -3,8 +3,7 @@
 A window without partition keys moves every row into one task. Here the rows are range
 partitioned on the order columns, sorted inside each partition and written once; each row keeps
 its partition and its place in it. Row counts per partition (one row per partition) then give the
-offset that turns a local place into a global one. Inputs of few bytes, and tables that turn out
-to have at most ``small_rows`` rows when written, use the plain window; ``small_rows=0`` never does.
+offset that turns a local place into a global one. Inputs of any size take this one path.
 """
 
 from __future__ import annotations
@@ -15,38 +14,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estrella.session import (
-    BROADCAST_ROWS,
-    SINGLE_TASK_BYTES,
-    SINGLE_TASK_ROWS,
-    input_bytes,
-    materialize_counted,
-)
+from estrella.session import materialize, materialize_counted
 
 _PLACE_BITS = 33
 
 
-def _place(df: DataFrame, order: Sequence[Column], small_rows: int) -> tuple[DataFrame, bool]:
-    """The frame to go on with and whether it fits one task.
+def _place(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The frame range partitioned and sorted by ``order``, with the partition ``_part`` and zero-based place ``_at``.
 
-    When it does not, the frame is range partitioned and sorted by ``order`` and each row carries
-    its partition ``_part`` and its zero-based place ``_at`` in it. It is written once: counts and
-    rows must come from the same partitioning, also when tasks are run again.
+    It is written once: counts and rows must come from the same partitioning, also when tasks are
+    run again.
     """
-    if small_rows > 0 and input_bytes(df) <= SINGLE_TASK_BYTES:
-        return df, True
     # without a fixed number, adaptive execution merges neighbouring small ranges
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     # the generated id is (partition << 33) + position in the partition
-    stored, rows = materialize_counted(ranged.withColumn("_id", F.monotonically_increasing_id()))
-    if rows <= small_rows:
-        return stored.drop("_id"), True
+    stored = materialize(ranged.withColumn("_id", F.monotonically_increasing_id()))
     return stored.withColumns(
         {
             "_part": F.shiftright("_id", _PLACE_BITS),
             "_at": F.col("_id").bitwiseAND((1 << _PLACE_BITS) - 1),
         }
-    ).drop("_id"), False
+    ).drop("_id")
 
 
 def _offsets(ranged: DataFrame, weight: Column) -> DataFrame:
@@ -62,13 +50,9 @@ def _offsets(ranged: DataFrame, weight: Column) -> DataFrame:
     )
 
 
-def global_row_number(
-    df: DataFrame, order: Sequence[str], name: str, small_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def global_row_number(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Number all rows from 1 in the order of the (together unique) columns ``order``."""
-    ranged, small = _place(df, [F.col(c) for c in order], small_rows)
-    if small:
-        return ranged.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    ranged = _place(df, [F.col(c) for c in order])
     offsets = F.broadcast(_offsets(ranged, F.lit(1)).select("_part", "_before"))
     return (
         ranged.join(offsets, "_part")
@@ -84,22 +68,13 @@ def rank_and_tile(
     rank_as: str | None = None,
     tile_as: str | None = None,
     tiles: int = 5,
-    small_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Rank by ``value`` descending (gaps on ties) and deal into tiles by (value, key) ascending.
 
     ``value`` must not be NULL and ``key`` must be unique. Rows sharing one value may spread over
     many partitions, so a value held by a large share of the rows stays balanced.
     """
-    ranged, small = _place(df, [F.col(value), F.col(key)], small_rows)
-    if small:
-        if rank_as:
-            by_value = Window.orderBy(F.desc(value))
-            ranged = ranged.withColumn(rank_as, F.rank().over(by_value).cast("long"))
-        if tile_as:
-            ranged = ranged.withColumn(tile_as, F.ntile(tiles).over(Window.orderBy(value, key)))
-        return ranged
-
+    ranged = _place(df, [F.col(value), F.col(key)])
     offsets = _offsets(ranged, F.lit(1))
     placed = ranged.join(F.broadcast(offsets), "_part")
     if tile_as:
@@ -141,49 +116,47 @@ def _exact_tile(position: Column, tiles: int) -> Column:
 
 
 def quantiles(
-    df: DataFrame, column: str, points: Sequence[float], small_rows: int = SINGLE_TASK_ROWS
-) -> list[float | None]:
-    """Exact interpolated quantiles of one numeric column.
+    df: DataFrame, values: Sequence[str], points: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Exact interpolated quantiles of several numeric columns, per group of the columns ``by``.
 
-    The built-in percentile gathers all distinct values in one task, which suits small inputs.
-    Otherwise there is one row per distinct value with its count, and the wanted places are found
-    by running counts over sorted ranges.
+    One row per (by, campo) with the list ``q``, one entry per point. NULLs do not count; a column
+    without values has no row. All columns are taken in one pass: there is one row per (by, column,
+    value) with its count, and the wanted places are found by running counts over sorted ranges, so
+    no group is gathered in one task.
     """
-    if small_rows > 0 and input_bytes(df) <= SINGLE_TASK_BYTES:
-        wanted = F.percentile(F.col(column).cast("double"), F.array(*[F.lit(p) for p in points]))
-        return df.agg(wanted.alias("q")).first()["q"] or [None for _ in points]
-    counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    cells = [F.struct(F.lit(c).alias("campo"), F.col(c).cast("double").alias("v")) for c in values]
+    pairs = df.select(*by, F.inline(F.array(*cells))).filter("v IS NOT NULL")
+    group = [*by, "campo"]
+    counts = pairs.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("n"))
+    ranged = _place(counts, [F.col(c) for c in [*group, "v"]])
+    sizes = ranged.groupBy("_part", *group).agg(F.sum("n").alias("_size"))
+    of_group = Window.partitionBy(*group)
+    earlier = of_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "_part",
+        *group,
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_size").over(of_group).alias("_total"),
     )
-    ranged, small = _place(counts, [F.col("v")], small_rows)
-    if small:
-        total = F.sum("n").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        running = ranged.select(
-            "v", "n", F.sum("n").over(Window.orderBy("v")).alias("upto"), total.alias("total")
-        )
-    else:
-        in_part = Window.partitionBy("_part").orderBy("v")
-        running = ranged.join(F.broadcast(_offsets(ranged, F.col("n"))), "_part").select(
-            "v", "n", (F.sum("n").over(in_part) + F.col("_before")).alias("upto"), F.col("_total").alias("total")
-        )
-    picks = []
+    renamed = offsets.select("_part", *[F.col(c).alias(f"_g_{c}") for c in group], "_before", "_total")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group])
+    in_part = Window.partitionBy("_part", *group).orderBy("v")
+    upto = F.sum("n").over(in_part)
+    running = (
+        ranged.withColumn("_upto", upto)
+        .join(renamed.withColumnRenamed("_part", "_g_part"), (F.col("_part") == F.col("_g_part")) & same)
+        .select(*group, "v", "n", (F.col("_upto") + F.col("_before")).alias("upto"), F.col("_total").alias("total"))
+    )
+    picks, found = [F.max("total").alias("total")], []
     for i, point in enumerate(points):
         spot = F.lit(point) * (F.col("total") - 1)
-        low, high = F.floor(spot), F.ceil(spot)
-        for name, at in (("lo", low), ("hi", high)):
+        for name, at in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
             hit = (F.col("upto") - F.col("n") <= at) & (at < F.col("upto"))
-            picks.append(F.max(F.when(hit, F.col("v").cast("double"))).alias(f"{name}{i}"))
-    row = running.agg(F.max("total").alias("total"), *picks).first()
-    if row["total"] is None:
-        return [None for _ in points]
-    found = []
-    for i, point in enumerate(points):
-        spot = point * (row["total"] - 1)
-        low, high = row[f"lo{i}"], row[f"hi{i}"]
-        found.append(low + (high - low) * (spot - int(spot)))
-    return found
+            picks.append(F.max(F.when(hit, F.col("v"))).alias(f"{name}{i}"))
+        low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
+        found.append(low + (high - low) * (spot - F.floor(spot)))
+    return running.groupBy(*group).agg(*picks).select(*group, F.array(*found).alias("q"))
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -195,24 +168,21 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     return ranked.filter("_n = 1").drop("_n")
 
 
-def drop_repeats(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def drop_repeats(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``first_per_key`` for keys that hardly ever repeat.
 
-    The keys alone are counted first. Rows with a key of their own then pass without a shuffle,
-    and only rows of the repeated keys, if these are few enough to broadcast, are compared. The
-    input is read up to three times, so it should be a stored table.
+    The keys alone are counted first, and the repeated ones are written. Rows with a key of their own
+    pass, and only rows of the repeated keys are compared. Whether the written keys are broadcast to
+    the rows follows from their size, as Spark finds it. The input is read up to three times, so it
+    should be a stored table.
     """
     counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     repeated, rows = materialize_counted(counted.select(*[F.col(k).alias(f"_r_{k}") for k in key]))
     if rows == 0:
         return df
-    if rows > broadcast_rows:
-        return first_per_key(df, key, order)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in key])
-    alone = df.join(F.broadcast(repeated), same, "left_anti")
-    return alone.unionByName(first_per_key(df.join(F.broadcast(repeated), same, "left_semi"), key, order))
+    alone = df.join(repeated, same, "left_anti")
+    return alone.unionByName(first_per_key(df.join(repeated, same, "left_semi"), key, order))
 
 
 def top_k(df: DataFrame, column: str, k: int, tie_break: str) -> DataFrame:

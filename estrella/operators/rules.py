@@ -9,15 +9,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
 from estrella.functions import text as txt
 
-# Longest key list written into ``detalle``; ``offenders`` always returns every row.
-LISTED_KEYS = 20
-
 RESULT_COLUMNS = ["tabla", "campo", "control", "resultado", "cant_errores", "detalle"]
 
 
@@ -32,7 +29,6 @@ class Rule:
     severity: str = num.ERROR
     good: str = "Sin errores"
     bad: str = "Hay registros que no cumplen el control"
-    list_column: str | None = None
     informative: bool = field(default=False)
 
 
@@ -80,8 +76,8 @@ def length_is(column: str, size: int, control: str, needed: bool = False) -> Rul
     return Rule(column, control, fails, bad=f"Hay valores con longitud distinta de {size}")
 
 
-def forbidden(column: str, value: str, key: str | None, control: str = "VALOR_INCONSISTENTE", severity: str = num.WARNING) -> Rule:
-    return Rule(column, control, lambda: F.col(column) == value, severity=severity, bad=f"Hay registros con valor {value}", list_column=key)
+def forbidden(column: str, value: str, control: str = "VALOR_INCONSISTENTE", severity: str = num.WARNING) -> Rule:
+    return Rule(column, control, lambda: F.col(column) == value, severity=severity, bad=f"Hay registros con valor {value}")
 
 
 def date_prefix(column: str, control: str = "FORMATO_FECHA", needed: bool = False) -> Rule:
@@ -95,13 +91,12 @@ def date_prefix(column: str, control: str = "FORMATO_FECHA", needed: bool = Fals
     return Rule(column, control, fails, bad="Hay fechas inválidas")
 
 
-def in_set(column: str, values: Sequence[str], control: str, trimmed: bool = False, list_values: bool = True) -> Rule:
+def in_set(column: str, values: Sequence[str], control: str, trimmed: bool = False) -> Rule:
     return Rule(
         column,
         control,
         lambda: ~_text(column, trimmed).isin(list(values)),
         bad="Valores inválidos",
-        list_column=column if list_values else None,
     )
 
 
@@ -121,7 +116,9 @@ def numeric_between(
         value = _text(column, trimmed)
         number = value.try_cast("decimal(38,10)")
         outside = (number < low) if high is None else ~number.between(low, high)
-        return ~value.rlike(txt.NUMERIC_TEXT) | outside
+        # well-formed text without a sign that is too long for the type lies above every limit
+        too_long = F.lit(False) if high is None else number.isNull() & value.isNotNull()
+        return ~value.rlike(txt.NUMERIC_TEXT) | F.coalesce(outside, too_long)
 
     return Rule(column, control, fails, severity=severity, bad="Hay valores fuera de rango")
 
@@ -164,24 +161,6 @@ def _repeated(df: DataFrame, rule: Rule) -> DataFrame:
     return df.groupBy(*rule.unique).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def _listings(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame | None:
-    """Per listing rule, the distinct offending values joined in order, if few enough.
-
-    Only the first ``LISTED_KEYS + 1`` values per rule travel to the final step.
-    """
-    parts = []
-    for i, rule in enumerate(rules):
-        if rule.list_column and rule.fails:
-            bad = df.filter(rule.fails()).select(F.col(rule.list_column).alias("k")).distinct()
-            parts.append(bad.orderBy("k").limit(LISTED_KEYS + 1).select(F.lit(i).alias("i"), "k"))
-    if not parts:
-        return None
-    listed = reduce(DataFrame.unionByName, parts).groupBy("i")
-    return listed.agg(
-        F.count(F.lit(1)).alias("shown"), F.array_join(F.sort_array(F.collect_list("k")), ", ").alias("lista")
-    )
-
-
 def check(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Evaluate all rules of one table."""
     counters = [
@@ -213,16 +192,8 @@ def check(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         ]
     )
     described = counts.withColumn("r", spec[F.col("i")])
-    listings = _listings(table, df, rules)
-    if listings is not None:
-        described = described.join(listings, "i", "left")
-    else:
-        described = described.withColumns({"shown": F.lit(None).cast("bigint"), "lista": F.lit(None).cast("string")})
-    bad_text = (
-        F.when(F.col("r.informa"), F.concat("r.mal", F.lit(": "), F.col("cant_errores").cast("string")))
-        .when(F.col("shown") <= LISTED_KEYS, F.concat("r.mal", F.lit(": "), "lista"))
-        .otherwise(F.col("r.mal"))
-    )
+    # always a count: the keys and values are the rows of ``offenders``
+    bad_text = F.concat("r.mal", F.lit(": "), F.col("cant_errores").cast("string"))
     return described.select(
         F.lit(table).alias("tabla"),
         F.col("r.campo").alias("campo"),
@@ -238,19 +209,28 @@ def check_all(tables: Sequence[tuple[str, DataFrame, Sequence[Rule]]]) -> DataFr
 
 
 def listing(results: DataFrame) -> DataFrame:
-    return results.orderBy("tabla", "campo", "control")
+    """By table, field and control, with the place in that order as a column."""
+    place = F.row_number().over(Window.orderBy("tabla", "campo", "control"))
+    return results.withColumn("orden", place).orderBy("orden")
 
 
 def offenders(table: str, df: DataFrame, key: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
-    """Every bad row of every row rule, one output row per (key, rule); nothing is capped."""
+    """Every bad row of every row rule with its key and the field's value, one output row per (key, rule)."""
     tests = [
-        F.when(r.fails(), F.struct(F.lit(r.field).alias("campo"), F.lit(r.control).alias("control")))
+        F.when(
+            r.fails(),
+            F.struct(
+                F.lit(r.field).alias("campo"),
+                F.lit(r.control).alias("control"),
+                (F.col(r.field).cast("string") if r.field in df.columns else F.lit(None).cast("string")).alias("valor"),
+            ),
+        )
         for r in rules
         if r.fails and not r.informative
     ]
     key_text = F.concat_ws("/", *[F.col(k).cast("string") for k in key])
     hits = df.select(key_text.alias("clave_registro"), F.explode(F.array_compact(F.array(*tests))).alias("r"))
-    return hits.select(F.lit(table).alias("tabla"), "r.campo", "r.control", "clave_registro")
+    return hits.select(F.lit(table).alias("tabla"), "r.campo", "r.control", "clave_registro", "r.valor")
 
 
 def roll_up(results: DataFrame, soften: bool = False) -> DataFrame:

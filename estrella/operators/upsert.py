@@ -10,27 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
 from estrella.operators.ranking import first_per_key, global_row_number
-from estrella.session import (
-    BROADCAST_ROWS,
-    SINGLE_TASK_BYTES,
-    SINGLE_TASK_ROWS,
-    input_bytes,
-    materialize,
-    materialize_counted,
-)
-
-
-def _with_few_keys(
-    target: DataFrame, source: DataFrame, key: Sequence[str], large_bytes: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """The source and, if the target is large and the source has few rows, its keys to broadcast.
-
-    A large target is then filtered by these keys in one pass instead of being shuffled.
-    """
-    if input_bytes(target) <= large_bytes:
-        return source, None
-    stored, rows = materialize_counted(source)
-    return stored, F.broadcast(stored.select(*key)) if rows <= BROADCAST_ROWS else None
+from estrella.session import materialize
+
+
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def insert_new(
@@ -38,13 +21,14 @@ def insert_new(
     source: DataFrame,
     key: Sequence[str],
     order: Sequence[str] | None = None,
-    large_bytes: int = SINGLE_TASK_BYTES,
 ) -> DataFrame:
-    """Target plus the source rows whose key it does not hold; the first row per key wins."""
-    source, few = _with_few_keys(target, source, key, large_bytes)
-    present = target.select(*key)
-    if few is not None:
-        present = present.join(few, list(key), "left_semi")
+    """Target plus the source rows whose key it does not hold; the first row per key wins.
+
+    The source is written, and the target's keys are reduced to those the source has before they
+    meet it; Spark broadcasts the source's keys if their size allows.
+    """
+    source = materialize(source)
+    present = target.select(*key).join(source.select(*key), list(key), "left_semi")
     fresh = source.join(present, list(key), "left_anti")
     if order is not None:
         fresh = first_per_key(fresh, key, order)
@@ -69,25 +53,23 @@ def upsert(
     key: Sequence[str],
     columns: Sequence[str],
     order: Sequence[str] | None = None,
-    large_bytes: int = SINGLE_TASK_BYTES,
 ) -> DataFrame:
     """Source rows overwrite ``columns`` of target rows with the same key, NULLs included.
 
     Unmatched source rows are added with every column they carry; other target columns of matched
-    rows keep their value. ``order`` picks the first source row when a key repeats. Rows of a large
-    target that a small batch does not touch pass without a shuffle.
+    rows keep their value. ``order`` picks the first source row when a key repeats. The source is
+    written; if its keys are small enough for Spark to broadcast, target rows that it does not touch
+    pass without a shuffle.
     """
     if order is not None:
         source = first_per_key(source, key, order)
-    source, few = _with_few_keys(target, source, key, large_bytes)
-    keys = few if few is not None else source.select(*key)
+    source = materialize(source)
+    keys = source.select(*key)
+    untouched = target.join(keys, list(key), "left_anti")
     if all(c in source.columns and (c in columns or c in key) for c in target.columns):
         # nothing of a matched row survives
-        return target.join(keys, list(key), "left_anti").unionByName(source.select(*target.columns))
-    if few is None:
-        return _merge(target, source, key, columns)
-    touched = _merge(target.join(few, list(key), "left_semi"), source, key, columns)
-    return target.join(few, list(key), "left_anti").unionByName(touched)
+        return untouched.unionByName(source.select(*target.columns))
+    return untouched.unionByName(_merge(target.join(keys, list(key), "left_semi"), source, key, columns))
 
 
 def _merge(target: DataFrame, source: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -105,25 +87,16 @@ def _merge(target: DataFrame, source: DataFrame, key: Sequence[str], columns: Se
     return merged.select(*out)
 
 
-def assign_keys(
-    target: DataFrame | None,
-    source: DataFrame,
-    key: str,
-    surrogate: str,
-    small_rows: int = SINGLE_TASK_ROWS,
-    large_bytes: int = SINGLE_TASK_BYTES,
-) -> DataFrame:
+def assign_keys(target: DataFrame | None, source: DataFrame, key: str, surrogate: str) -> DataFrame:
     """Source rows with a surrogate key: the target's where the key is known, else the next free.
 
     New keys are numbered in key order, so the result does not depend on partitioning.
     """
     if target is None:
-        return global_row_number(source, [key], surrogate, small_rows)
-    source, few = _with_few_keys(target, source, [key], large_bytes)
-    known = target.select(key, surrogate)
-    if few is not None:
-        known = known.join(few, key, "left_semi")
-    fresh = global_row_number(source.select(key).join(known, key, "left_anti"), [key], "_n", small_rows)
+        return global_row_number(source, [key], surrogate)
+    source = materialize(source)
+    known = target.select(key, surrogate).join(source.select(key), key, "left_semi")
+    fresh = global_row_number(source.select(key).join(known, key, "left_anti"), [key], "_n")
     last = target.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint")).scalar()
     numbered = fresh.select(key, (F.col("_n") + last).alias(surrogate))
     return source.join(known.unionByName(numbered), key)
@@ -149,36 +122,41 @@ def upsert_partitions(
     source: DataFrame,
     key: Sequence[str],
     columns: Sequence[str],
-    partition: str,
+    partition: Sequence[str],
     order: Sequence[str] | None = None,
-) -> list:
+) -> list[tuple]:
     """Upsert into a Parquet table partitioned by ``partition``, rewriting only what changes.
 
-    Touched partitions are those of the source rows and those where their keys live today. The
-    merged rows are written aside first, so no partition is read while it is overwritten.
+    Touched partitions are those of the source rows and those where their keys live today, the NULL
+    partition included. The merged rows are written aside first, so no partition is read while it is
+    overwritten. The partitions left without rows are dropped after that; run again after a failure in
+    between, the call gives the same table, as it finds the moved rows in both places and replaces both.
     Returns the partitions rewritten.
     """
     spark = source.sparkSession
     target = spark.read.parquet(path)
     source = materialize(source)
-    homes = target.select(*key, partition).join(source.select(*key), list(key), "left_semi").select(partition)
-    touched = [r[0] for r in homes.unionByName(source.select(partition)).distinct().orderBy(partition).collect()]
-    affected = target.filter(F.col(partition).isin(touched))
-    merged = materialize(upsert(affected, source, key, [*columns, partition], order))
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    left = {r[0] for r in merged.select(partition).distinct().collect()}
-    emptied = [p for p in touched if p not in left]
-    if emptied:
-        _drop_partitions(path, partition, emptied, spark)
-    return touched
-
-
-def _drop_partitions(path: str, partition: str, values: Sequence, spark) -> None:
+    homes = target.select(*key, *partition).join(source.select(*key), list(key), "left_semi").select(*partition)
+    # one row per folder of the table at most
+    touched = homes.unionByName(source.select(*partition)).distinct().orderBy(*partition).collect()
+    if not touched:
+        return []
+    one_of = [reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(r[p])) for p in partition]) for r in touched]
+    affected = target.filter(reduce(lambda a, b: a | b, one_of))
+    merged = materialize(upsert(affected, source, key, [*columns, *partition], order))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    left = {tuple(r) for r in merged.select(*partition).distinct().collect()}
+    _drop_partitions(path, partition, [r for r in touched if tuple(r) not in left], spark)
+    return [tuple(r) for r in touched]
+
+
+def _drop_partitions(path: str, partition: Sequence[str], values: Sequence, spark) -> None:
     """A partition all of whose rows moved away gets no new files; remove the old ones."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for value in values:
-        fs.delete(hadoop.Path(f"{path}/{partition}={value}"), True)
+    for row in values:
+        names = [f"{p}={_NULL_PARTITION if v is None else v}" for p, v in zip(partition, row, strict=True)]
+        fs.delete(hadoop.Path("/".join([path, *names])), True)
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:

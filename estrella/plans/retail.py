@@ -179,7 +179,7 @@ class RetailWarehouse:
     def _clean_countries(self, customers: DataFrame) -> DataFrame:
         with self._step("limpieza_datos", "Unifica nombres de pais", "adquisicion") as run:
             cleaned = customers.withColumn("country", txt.recode(F.col("country"), {"MX": "Mexico"}))
-            checked = rules.forbidden("country", "MX", None, "POST_LIMPIEZA_SIN_MX", num.ERROR)
+            checked = rules.forbidden("country", "MX", "POST_LIMPIEZA_SIN_MX", num.ERROR)
             results = self._log("dqm_validacion_campo", rules.check("txt_customers", cleaned, [checked]), run)
             self._close(run, rules.roll_up(results))
             return cleaned
@@ -208,15 +208,16 @@ class RetailWarehouse:
 
     def _check_references(self, staged: Mapping[str, DataFrame]) -> None:
         with self._step("integridad_referencial", "Claves foraneas entre tablas tipadas", "adquisicion") as run:
-            results = integrity.check_foreign_keys([self._link(staged, link) for link in spec.LINKS])
+            links = integrity.count_together({f"{k.child}.{k.column}": self._link(staged, k) for k in spec.LINKS})
+            results = integrity.check_foreign_keys(list(links.values()))
             self._close(run, rules.roll_up(self._log("dqm_validacion_campo", results, run)))
 
     def _measure_first(self, raw: Mapping[str, DataFrame], staged: Mapping[str, DataFrame]) -> None:
         with self._step(GATE_STEPS[0], "Indicadores de ingesta", "ingenieria") as run:
             self._close(run, rules.roll_up(self._log("dqm_indicador", intake_indicators(staged), run)))
         with self._step(GATE_STEPS[1], "Indicadores de integracion", "ingenieria") as run:
-            links = {(link.child, link.column): self._link(staged, link) for link in spec.LINKS}
-            shares = [indicators.foreign_key_share(links[child, c], name) for child, c, name in spec.LINK_SHARES]
+            links = integrity.count_together({f"{k.child}.{k.column}": self._link(staged, k) for k in spec.LINKS})
+            shares = [indicators.foreign_key_share(links[f"{child}.{c}"], name) for child, c, name in spec.LINK_SHARES]
             gaps = [
                 indicators.count_difference(f"tmp_{t}", raw[t], staged[t])
                 for t in ("orders", "order_details", "products", "customers")
@@ -362,9 +363,9 @@ class RetailWarehouse:
             customers = self._store("dim_cliente", customers)
 
             lookups = self.table("tmp_categories"), self.table("tmp_suppliers")
-            rows = self._with_country(product_rows(staged["products"], *lookups), place, "supplier_country", "sk_pais_supplier")
+            rows_in = self._with_country(product_rows(staged["products"], *lookups), place, "supplier_country", "sk_pais_supplier")
             products = dims.upsert_dim(
-                self.table("dim_producto"), first_row(rows, "nk_product_id"), "nk_product_id", "sk_producto", PRODUCT_ATTRIBUTES
+                self.table("dim_producto"), first_row(rows_in, "nk_product_id"), "nk_product_id", "sk_producto", PRODUCT_ATTRIBUTES
             )
             products = self._fill_country(products, place, "supplier_country", "sk_pais_supplier")
             self._store("dim_producto", products)
@@ -373,16 +374,18 @@ class RetailWarehouse:
             self._store("dim_tiempo", calendar.add_missing_days(self.table("dim_tiempo"), days))
 
             keys = self._fact_keys(customers, customer_required=True)
-            rows = facts.load_fact(self._first_lines(staged), staged["orders"], keys)
+            lines = self._first_lines(staged)
+            rows = facts.load_fact(lines, staged["orders"], keys)
             batch = materialize(rows.withColumn("anio", F.expr("int(sk_tiempo div 10000)")))
             columns = [c for c in facts.FACT_COLUMNS if c not in facts.GRAIN]
-            upsert.upsert_partitions(f"{self.root}/fact_ventas", batch, facts.GRAIN, columns, "anio")
+            upsert.upsert_partitions(f"{self.root}/fact_ventas", batch, facts.GRAIN, columns, ["anio"])
             loads = [
-                facts.footprint("dwa_dim_pais", staged["world_data"], staged["world_data"], ""),
-                facts.footprint("dwa_dim_cliente", staged["customers"], staged["customers"], ""),
-                facts.footprint("dwa_dim_producto", staged["products"], staged["products"], ""),
+                facts.footprint("dwa_dim_pais", staged["world_data"], world, "Paises sin nombre o repetidos"),
+                facts.footprint("dwa_dim_cliente", staged["customers"], first_row(news, "nk_customer_id"), "Clientes repetidos"),
+                facts.footprint("dwa_dim_producto", staged["products"], first_row(rows_in, "nk_product_id"), "Productos repetidos"),
                 facts.footprint("dwa_fact_ventas", staged["order_details"], batch, "Lineas de ordenes con FK invalida"),
             ]
+            self._reject(facts.rejected_lines("tmp2_order_details", lines, staged["orders"], keys), run)
             self._close(run, facts.load_status(self._log("dqm_carga_dwa", upsert.union_all(loads), run)))
 
     def _named_countries(self, df: DataFrame, column: str) -> DataFrame:
@@ -405,7 +408,9 @@ class RetailWarehouse:
                 late = history.merge_conflicts(self.table(name), self.table(dim), key, tracked, effective, name)
                 self._reject(late, run)
                 merged = history.merge_history(self.table(name), self.table(dim), key, surrogate, tracked, effective)
-                self._store(name, merged)
+                stored = self._store(name, merged)
+                opened = stored.filter("es_vigente").filter(F.col("fecha_desde") == effective)
+                self._log("dqm_carga_dwa", facts.footprint(name, opened, opened, ""), run)
 
     # ---- metrics and marts ----------------------------------------------------------------
 
@@ -415,6 +420,11 @@ class RetailWarehouse:
             days = self.table("dim_tiempo")
             customers = self._store("enr_cliente", metrics.customer_metrics(self.fact(), days, self.table("dim_cliente")))
             products = self._store("enr_producto", metrics.product_metrics(self.fact(), self.table("dim_producto")))
+            for target, read, written in (
+                ("enr_cliente", self.table("dim_cliente"), customers),
+                ("enr_producto", self.table("dim_producto"), products),
+            ):
+                self._log("dqm_carga_dwa", facts.footprint(target, read, written, ""), run)
             run.rows = customers.count() + products.count()
 
     def build_marts(self) -> dict[str, DataFrame]:
@@ -430,6 +440,8 @@ class RetailWarehouse:
                 "dp_ventas_geografico": marts.sales_by_country(countries, customers, fact),
             }
             stored = {name: files.overwrite(df, f"{self.root}/{name}") for name, df in built.items()}
+            loads = [facts.footprint(name, df, df, "") for name, df in stored.items()]
+            self._log("dqm_carga_dwa", upsert.union_all(loads), run)
             run.rows = marts.row_counts(stored).agg(F.sum("registros")).first()[0]
             return stored
 
@@ -594,7 +606,7 @@ def product_rows(products: DataFrame, categories: DataFrame, suppliers: DataFram
 
 def intake_indicators(staged: Mapping[str, DataFrame]) -> DataFrame:
     """Null, business-rule and outlier indicators of the typed tables."""
-    share, nulls, outliers = indicators.Share, indicators.null_share, indicators.outlier_share
+    share, nulls, outliers = indicators.Share, indicators.null_share, indicators.Outliers
 
     def when(test: str):
         return lambda: F.expr(test)
@@ -603,9 +615,6 @@ def intake_indicators(staged: Mapping[str, DataFrame]) -> DataFrame:
         return indicators.shares(f"tmp_{name}", staged[name], wanted)
 
     bosses = integrity.ForeignKey("tmp_employees", staged["employees"], "reports_to", staged["employees"], "employee_id")
-    price, quantity = F.col("unit_price"), F.col("quantity")
-    freight = F.col("freight")
-    lines = staged["order_details"]
     return indicators.all_of(
         [
             table("shippers", [nulls("company_name")]),
@@ -623,7 +632,7 @@ def intake_indicators(staged: Mapping[str, DataFrame]) -> DataFrame:
                     share("discontinued", "PCT_VALOR_INVALIDO", when("discontinued NOT IN (0, 1)")),
                 ],
             ),
-            outliers("tmp_products", staged["products"], "unit_price", base=price > 0, lower=True),
+            indicators.outlier_shares("tmp_products", staged["products"], [outliers("unit_price", when("unit_price > 0"), lower=True)]),
             table(
                 "orders",
                 [
@@ -631,7 +640,7 @@ def intake_indicators(staged: Mapping[str, DataFrame]) -> DataFrame:
                     share("shipped_date", "PCT_SHIPPED_BEFORE_ORDER", when("shipped_date < order_date"), 0, 1),
                 ],
             ),
-            outliers("tmp_orders", staged["orders"], "freight", base=freight >= 0, counted=freight.isNotNull()),
+            indicators.outlier_shares("tmp_orders", staged["orders"], [outliers("freight", when("freight >= 0"), when("freight IS NOT NULL"))]),
             table(
                 "order_details",
                 [
@@ -641,7 +650,10 @@ def intake_indicators(staged: Mapping[str, DataFrame]) -> DataFrame:
                     share("discount", "PCT_DESCUENTO_INVALIDO", when("discount < 0 OR discount > 1")),
                 ],
             ),
-            outliers("tmp_order_details", lines, "unit_price", base=price > 0, counted=price > 0),
-            outliers("tmp_order_details", lines, "quantity", base=quantity > 0, counted=quantity > 0),
+            indicators.outlier_shares(
+                "tmp_order_details",
+                staged["order_details"],
+                [outliers(c, when(f"{c} > 0"), when(f"{c} > 0")) for c in ("unit_price", "quantity")],
+            ),
         ]
     )

@@ -176,7 +176,7 @@ def first_batch_rules() -> dict[str, list[rules.Rule]]:
             uq(["customer_id"], no_duplicates),
             rules.length_is("customer_id", 5, "LONGITUD_5"),
             nn("company_name"),
-            rules.forbidden("country", "MX", "customer_id"),
+            rules.forbidden("country", "MX"),
         ],
         "employees": [
             nn("employee_id"),
@@ -226,7 +226,7 @@ def second_batch_rules() -> dict[str, list[rules.Rule]]:
         ],
         "products": [
             rules.numeric_key(["product_id"], "PK numerica no nula"),
-            rules.in_set("discontinued", ["0", "1"], "Flag 0/1", trimmed=True, list_values=False),
+            rules.in_set("discontinued", ["0", "1"], "Flag 0/1", trimmed=True),
         ],
         "order_details": [
             rules.numeric_key(["order_id", "product_id"], "PK compuesta numerica"),
@@ -246,8 +246,8 @@ FIRST_PROFILES = {
     "employees": {"employee_id": ("",), "birth_date": ("NULL",), "hire_date": ("NULL",), "reports_to": ("NULL",)},
     "employee_territories": {"employee_id": ("",), "territory_id": ("",)},
     "order_details": {c: ("",) for c in ("order_id", "product_id", "unit_price", "quantity", "discount")},
-    "orders": {"order_id": ("",), "customer_id": ("",), "order_date": ("NULL",), "shipped_date": ("NULL",), "freight": ("",)},
-    "products": {c: ("",) for c in ("product_id", "product_name", "unit_price", "discontinued")},
+    "orders": {"order_id": ("",), "customer_id": ("",), "order_date": ("NULL",), "shipped_date": ("NULL",), "freight": ("",), "ship_country": ("",)},
+    "products": {c: ("",) for c in ("product_id", "product_name", "unit_price", "units_in_stock", "discontinued")},
     "regions": {"region_id": ("",), "region_description": ("",)},
     "shippers": {"shipper_id": ("",), "company_name": ("",)},
     "suppliers": {"supplier_id": ("",), "company_name": ("",), "country": ("",)},

@@ -1,21 +1,13 @@
-"""Session settings, written intermediates and size checks shared by all operators."""
+"""Session settings and written intermediates shared by all operators."""
 
 from __future__ import annotations
 
-import sys
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# An ordered step may run in one task up to this many rows, or if its input files are this small.
-SINGLE_TASK_ROWS = 1_000_000
-SINGLE_TASK_BYTES = 64 * 1024 * 1024
-
-# A set of keys up to this many rows may be broadcast.
-BROADCAST_ROWS = 100_000
-
 _local_dirs: dict[str, str] = {}
 
 
@@ -74,15 +66,3 @@ def release_materialized(spark: SparkSession) -> None:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of all files a frame reads, before any filter; a table read twice counts twice.
-
-    In-memory input of unknown size counts as very large, and so does every frame whose plan cannot
-    be inspected (a remote session).
-    """
-    if not hasattr(df, "_jdf"):
-        return sys.maxsize
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))

@@ -61,12 +61,25 @@ def test_unique_counts_groups_and_includes_the_null_group(spark):
     assert rules.check("t", df, [rules.unique(["k"], "DUP")]).first().cant_errores == 2
 
 
-def test_long_listings_are_left_to_the_offenders(spark):
+def test_keys_and_values_are_rows_of_the_offenders(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("MX").alias("c"))
-    rule = rules.forbidden("c", "MX", "k")
-    assert rules.check("t", df, [rule]).first().detalle == "Hay registros con valor MX"
-    assert rules.check("t", df.limit(2), [rule]).first().detalle == "Hay registros con valor MX: 0, 1"
-    assert rules.offenders("t", df, ["k"], [rule]).count() == 100
+    rule = rules.forbidden("c", "MX")
+    for rows in (df, df.limit(2)):
+        assert rules.check("t", rows, [rule]).first().detalle == f"Hay registros con valor MX: {rows.count()}"
+    found = rules.offenders("t", df, ["k"], [rule])
+    assert found.count() == 100 and found.first().valor == "MX"
+
+
+def test_a_number_too_long_for_the_type_is_out_of_range(spark):
+    df = spark.createDataFrame([("1" + "0" * 40,), ("5",), (None,)], "v string")
+    assert rules.check("t", df, [rules.numeric_between("v", 0, 1, "R")]).first().cant_errores == 2
+    assert rules.check("t", df, [rules.numeric_between("v", 0, None, "R")]).first().cant_errores == 0
+
+
+def test_profile_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "a string, b string")
+    got = profile.profile("t", empty, {"a": ("",), "b": ()}).collect()
+    assert sorted((r.campo, *tuple(r)[2:]) for r in got) == [("a", 0, 0, 0, None, None), ("b", 0, 0, 0, None, None)]
 
 
 def test_one_scan_answers_all_row_rules(spark, tmp_path, capsys):
@@ -105,7 +118,9 @@ def link(spark):
 
 def test_foreign_keys(link):
     row = integrity.check_foreign_keys([link]).first()
-    assert (row.resultado, row.cant_errores) == ("ERROR", 2) and row.detalle.endswith(": 2, 3")
+    assert (row.resultado, row.cant_errores) == ("ERROR", 2) and row.detalle.startswith("2 ")
+    together = integrity.count_together({"a": link, "b": link})
+    assert [r.cant_errores for r in integrity.check_foreign_keys(list(together.values())).collect()] == [2, 2]
     rejects = integrity.reject_orphans(link, "Falta: ").orderBy("clave_registro").collect()
     assert [(r.clave_registro, r.motivo_rechazo) for r in rejects] == [("2", "Falta: 99"), ("3", "Falta: 99")]
 
@@ -129,9 +144,11 @@ def test_thresholds_must_be_ordered(spark):
 
 def test_outliers_use_the_base_for_quartiles_and_total(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 1000, -5, 0]], "v double")
-    base = F.col("v") > 0
-    upper = indicators.outlier_share("t", df, "v", base=base, counted=base).first()
-    both = indicators.outlier_share("t", df, "v", base=base, lower=True).first()
+    base = lambda: F.col("v") > 0
+    wanted = [indicators.Outliers("v", base, base), indicators.Outliers("v", base, lower=True, name="LOWER")]
+    upper, both = indicators.outlier_shares("t", df, wanted).orderBy(F.desc("indicador")).collect()
+    nothing = indicators.outlier_shares("t", df.filter("v > 9999"), wanted).first()
+    assert (nothing.valor_calculado, nothing.resultado) == (0, "OK")
     assert upper.valor_calculado == Decimal("20") and both.valor_calculado == Decimal("40")
     assert both.resultado == "ERROR"
 

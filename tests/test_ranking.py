@@ -24,15 +24,15 @@ def _plain(df, tiles):
 
 def _check(spark, values, tiles=5):
     df = _frame(spark, values)
-    got = ranking.rank_and_tile(df, "v", "k", rank_as="rk", tile_as="t", tiles=tiles, small_rows=0)
+    got = ranking.rank_and_tile(df, "v", "k", rank_as="rk", tile_as="t", tiles=tiles)
     assert got.columns == ["k", "v", "rk", "t"]
     assert sorted(got.collect()) == sorted(_plain(df, tiles).collect())
 
 
 def test_ranges_spread_over_partitions(spark):
     df = _frame(spark, [1] * 400)
-    placed, small = ranking._place(df, [F.col("v"), F.col("k")], 0)
-    assert not small and placed.select("_part").distinct().count() == 4
+    placed = ranking._place(df, [F.col("v"), F.col("k")])
+    assert placed.select("_part").distinct().count() == 4
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 11, 500])
@@ -59,7 +59,7 @@ def test_equals_plain_window(spark, values, tiles):
     _check(spark, values, tiles)
 
 
-def test_small_input_takes_the_plain_window(spark):
+def test_a_small_input_equals_the_plain_window(spark):
     df = spark.range(10).select(F.col("id").alias("k"), (F.col("id") % 3).alias("v"))
     got = ranking.rank_and_tile(df, "v", "k", rank_as="rk", tile_as="t")
     assert sorted(got.collect()) == sorted(_plain(df, 5).collect())
@@ -67,29 +67,33 @@ def test_small_input_takes_the_plain_window(spark):
 
 def test_row_number_is_dense_and_ordered(spark):
     df = _frame(spark, [3, 1, 2, 1, 3, 3, 0] * 20)
-    got = ranking.global_row_number(df, ["v", "k"], "n", small_rows=0).orderBy("n").collect()
+    got = ranking.global_row_number(df, ["v", "k"], "n").orderBy("n").collect()
     assert [r.n for r in got] == list(range(1, 141))
     assert [(r.v, r.k) for r in got] == sorted((r.v, r.k) for r in got)
 
 
-@pytest.mark.parametrize("small_rows", [0, 1000])
-def test_quantiles_match_the_exact_percentile(spark, small_rows):
+def test_quantiles_match_the_exact_percentile(spark):
     rng = random.Random(3)
-    df = _frame(spark, [rng.randrange(50) for _ in range(101)] + [17] * 60)
+    df = _frame(spark, [rng.randrange(50) for _ in range(101)] + [17] * 60).withColumn("g", F.col("k") % 3)
+    df = df.withColumn("w", F.when(F.col("g") > 0, F.col("v") * 0.1))
     points = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
-    want = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in points])).alias("p")).first().p
-    got = ranking.quantiles(df, "v", points, small_rows=small_rows)
-    assert got == pytest.approx(want)
+    places = F.array(*[F.lit(p) for p in points])
+    for column in ("v", "w"):
+        want = {r.g: r.p for r in df.groupBy("g").agg(F.percentile(column, places).alias("p")).collect() if r.p}
+        got = ranking.quantiles(df, ["v", "w"], points, by=["g"]).filter(F.col("campo") == column).collect()
+        assert {r.g: r.q for r in got} == {g: pytest.approx(p) for g, p in want.items()}
 
 
-def test_quantiles_of_a_small_file(spark, tmp_path):
-    spark.range(11).selectExpr("cast(id as decimal(10,2)) v").write.parquet(str(tmp_path / "q"))
-    assert ranking.quantiles(spark.read.parquet(str(tmp_path / "q")), "v", (0.25, 0.5)) == [2.5, 5.0]
-    assert ranking.quantiles(spark.read.parquet(str(tmp_path / "q")).filter("v < 0"), "v", (0.5,)) == [None]
+def test_quantiles_do_not_depend_on_the_partitions(spark):
+    df = spark.range(1000).select((F.rand(1) * 1000).alias("v"))
+    few = ranking.quantiles(df.coalesce(1), ["v"], (0.25, 0.75)).first().q
+    assert ranking.quantiles(df.repartition(7), ["v"], (0.25, 0.75)).first().q == few
 
 
-def test_quantiles_of_nothing(spark):
-    assert ranking.quantiles(spark.createDataFrame([], "v double"), "v", (0.5,)) == [None]
+def test_quantiles_of_decimals_and_of_nothing(spark):
+    df = spark.range(11).selectExpr("cast(id as decimal(10,2)) v")
+    assert ranking.quantiles(df, ["v"], (0.25, 0.5)).first().q == [2.5, 5.0]
+    assert ranking.quantiles(df.filter("v < 0"), ["v"], (0.5,)).collect() == []
 
 
 def test_first_per_key_limits_before_the_shuffle(spark, capsys):
@@ -101,11 +105,10 @@ def test_first_per_key_limits_before_the_shuffle(spark, capsys):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10])
-def test_drop_repeats_equals_first_per_key(spark, broadcast_rows):
+def test_drop_repeats_equals_first_per_key(spark):
     data = [("a", 1, 2), ("a", 1, 1), ("b", 1, 5), (None, 1, 4), (None, 1, 3), (None, None, 0)]
     df = spark.createDataFrame(data, "k string, j int, o int")
-    got = ranking.drop_repeats(df, ["k", "j"], ["o"], broadcast_rows)
+    got = ranking.drop_repeats(df, ["k", "j"], ["o"])
     want = ranking.first_per_key(df, ["k", "j"], ["o"])
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert got.count() == 4

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
-from estrella.operators import calendar, catalog, dims, facts, history, ledger, marts, metrics, skew, upsert
+from estrella.operators import calendar, catalog, dims, facts, history, ledger, marts, metrics, upsert
 
 
 def _set(df):
@@ -28,21 +28,19 @@ def test_calendar_range_covers_all_dates(spark):
     assert calendar.calendar_range(df.limit(0), "a").count() == 0
 
 
-@pytest.mark.parametrize("large_bytes", [0, 2**60])
-def test_insert_new_first_wins(spark, large_bytes):
+def test_insert_new_first_wins(spark):
     target = spark.createDataFrame([(1, "old")], "k int, v string")
     source = spark.createDataFrame([(1, "x"), (2, "b"), (2, "a")], "k int, v string")
-    assert _set(upsert.insert_new(target, source, ["k"], ["v"], large_bytes)) == {(1, "old"), (2, "a")}
+    assert _set(upsert.insert_new(target, source, ["k"], ["v"])) == {(1, "old"), (2, "a")}
 
 
-@pytest.mark.parametrize("large_bytes", [0, 2**63])
-def test_upsert_takes_nulls_and_keeps_other_columns(spark, large_bytes):
+def test_upsert_takes_nulls_and_keeps_other_columns(spark):
     target = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k int, v string, own int")
     source = spark.createDataFrame([(1, None), (3, "c")], "k int, v string")
-    once = upsert.upsert(target, source, ["k"], ["v"], large_bytes=large_bytes)
+    once = upsert.upsert(target, source, ["k"], ["v"])
     assert _set(once) == {(1, None, 5), (2, "b", 6), (3, "c", None)}
-    assert _set(upsert.upsert(once, source, ["k"], ["v"], large_bytes=large_bytes)) == _set(once)
-    whole = upsert.upsert(target.drop("own"), source, ["k"], ["v"], large_bytes=large_bytes)
+    assert _set(upsert.upsert(once, source, ["k"], ["v"])) == _set(once)
+    whole = upsert.upsert(target.drop("own"), source, ["k"], ["v"])
     assert _set(whole) == {(1, None), (2, "b"), (3, "c")}
 
 
@@ -50,21 +48,20 @@ def test_small_batch_does_not_shuffle_a_large_target(spark, tmp_path, capsys):
     path = str(tmp_path / "t")
     spark.range(100).selectExpr("id k", "id v", "id own").write.parquet(path)
     batch = spark.range(90, 110).selectExpr("id k", "-id v")
-    merged = upsert.upsert(spark.read.parquet(path), batch, ["k"], ["v"], large_bytes=0)
+    merged = upsert.upsert(spark.read.parquet(path), batch, ["k"], ["v"])
     assert merged.count() == 110 and merged.filter("v < 0 AND own IS NOT NULL").count() == 10
     merged.explain()
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin [k" in plan and "LeftAnti" in plan and "LeftSemi" in plan
 
 
-@pytest.mark.parametrize("small_rows", [0, 100])
-def test_surrogate_keys_stay_stable(spark, small_rows):
+def test_surrogate_keys_stay_stable(spark):
     first = dims.load_dim(spark.createDataFrame([("b",), ("a",)], "nk string"), "nk", "sk")
     assert _set(first.select("nk", "sk")) == {("a", 1), ("b", 2)}
     more = spark.createDataFrame([("c",), ("a",), ("0",)], "nk string")
-    grown = dims.load_dim(more, "nk", "sk", first, small_rows=small_rows)
+    grown = dims.load_dim(more, "nk", "sk", first)
     assert _set(grown.select("nk", "sk")) == {("a", 1), ("b", 2), ("0", 3), ("c", 4)}
-    few = upsert.assign_keys(first, more, "nk", "sk", small_rows, large_bytes=0)
+    few = upsert.assign_keys(first, more, "nk", "sk")
     assert _set(few.select("nk", "sk")) == {("a", 1), ("0", 3), ("c", 4)}
 
 
@@ -86,17 +83,6 @@ def test_ensure_columns(spark):
     assert df.dtypes == [("id", "bigint"), ("n", "string")]
 
 
-def test_hot_join_equals_plain_join(spark):
-    rows = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id")).alias("k"), "id")
-    lookup = spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    counts = skew.count_keys(rows, "k")
-    assert [r.k for r in skew.hot_keys(counts, "k", hot_rows=100).collect()] == [7]
-    assert skew.hot_keys(counts, "k", hot_rows=1000) is None
-    for how in ("inner", "left"):
-        split = skew.join_lookup(rows, lookup, "k", how, hot_rows=100, check_from_bytes=0)
-        assert sorted(map(str, split.collect())) == sorted(map(str, rows.join(lookup, "k", how).collect()))
-
-
 @pytest.fixture
 def star(spark):
     dim = lambda data, schema: spark.createDataFrame(data, schema)
@@ -138,10 +124,40 @@ def test_required_customer_drops_orphans(star):
     assert facts.load_status(facts.footprint("f", star["lines"], fact, "FK")).first().resultado == "WARNING"
 
 
-def test_one_order_may_hold_most_lines(star):
-    plain = facts.load_fact(star["lines"], star["orders"], star["keys"](False), star["days"])
-    split = facts.load_fact(star["lines"], star["orders"], star["keys"](False), star["days"], hot_rows=3, check_from_bytes=0)
-    assert _set(split) == _set(plain)
+def test_null_keys_go_around_the_lookup(spark):
+    rows = spark.createDataFrame([(1, "A"), (2, None), (3, "Z"), (4, None)], "id int, k string")
+    lookup = spark.createDataFrame([("A", 7)], "k string, sk long")
+    for how, want in (("left", {(1, 7), (2, None), (3, None), (4, None)}), ("inner", {(1, 7)})):
+        assert _set(facts._looked_up(rows, lookup, "k", how).select("id", "sk")) == want
+
+
+def test_left_out_lines_are_rejected_with_a_reason(star):
+    keys = star["keys"](True)
+    fact = facts.load_fact(star["lines"], star["orders"], keys)
+    gone = facts.rejected_lines("t", star["lines"], star["orders"], keys).collect()
+    assert len(gone) == star["lines"].count() - fact.count() and all(r.motivo_rechazo for r in gone)
+
+
+def test_a_customer_stays_when_the_calendar_lacks_a_day(spark):
+    days = calendar.describe_days(spark.createDataFrame([(date(2020, 2, 1),)], "fecha date"))
+    fact = spark.createDataFrame(
+        [(1, 10, 20200101, Decimal("5")), (1, 11, 20200201, Decimal("7")), (2, 12, 20200101, Decimal("1"))],
+        "sk_cliente long, nk_order_id int, sk_tiempo int, monto_neto decimal(18,4)",
+    )
+    row = metrics.customer_sums(fact, days).collect()
+    assert [(r.sk_cliente, r.total_pedidos, r.total_lineas, r.monto_total_neto, r.primer_pedido) for r in row] == [
+        (1, 1, 1, Decimal("7"), date(2020, 2, 1))
+    ]
+    assert [(r.sk_cliente, r.fecha) for r in history.first_sale(fact, days, "sk_cliente").collect()] == [(1, date(2020, 2, 1))]
+
+
+def test_an_order_of_two_customers_counts_once_per_country(spark):
+    customers = spark.createDataFrame([(1, 5), (2, 5), (3, 6), (4, None)], "sk_cliente long, sk_pais long")
+    fact = spark.createDataFrame(
+        [(1, 10, Decimal("1")), (2, 10, Decimal("2")), (3, 10, Decimal("4"))], "sk_cliente long, nk_order_id int, monto_neto decimal(18,4)"
+    )
+    got = {r.sk_pais: (r.total_clientes, r.total_pedidos, r.monto_neto) for r in marts.country_sums(customers, fact).collect()}
+    assert got == {5: (2, 1, Decimal("3")), 6: (1, 1, Decimal("4"))}
 
 
 def test_metrics_with_and_without_idle_keys(star):
@@ -222,13 +238,25 @@ def test_partitioned_upsert_moves_rows_between_years(spark, tmp_path):
     schema = "k int, v int, y int"
     spark.createDataFrame([(1, 1, 2019), (2, 2, 2020), (3, 3, 2021)], schema).write.partitionBy("y").parquet(path)
     source = spark.createDataFrame([(1, 10, 2020), (4, 40, 2022)], schema)
-    assert upsert.upsert_partitions(path, source, ["k"], ["v"], "y") == [2019, 2020, 2022]
+    assert upsert.upsert_partitions(path, source, ["k"], ["v"], ["y"]) == [(2019,), (2020,), (2022,)]
     want = {(1, 10, 2020), (2, 2, 2020), (3, 3, 2021), (4, 40, 2022)}
     assert _set(spark.read.parquet(path)) == want
-    upsert.upsert_partitions(path, source, ["k"], ["v"], "y")
+    upsert.upsert_partitions(path, source, ["k"], ["v"], ["y"])
     assert _set(spark.read.parquet(path)) == want
 
 
+def test_partitioned_upsert_keeps_the_null_partition(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    schema = "k int, v int, y int"
+    spark.createDataFrame([(1, 1, 2000), (2, 2, None), (5, 5, None)], schema).write.partitionBy("y").parquet(path)
+    source = spark.createDataFrame([(3, 3, None), (5, 50, 2000)], schema)
+    upsert.upsert_partitions(path, source, ["k"], ["v"], ["y"])
+    assert _set(spark.read.parquet(path)) == {(1, 1, 2000), (2, 2, None), (3, 3, None), (5, 50, 2000)}
+    away = spark.createDataFrame([(2, 2, 2000), (3, 3, 2000)], schema)
+    upsert.upsert_partitions(path, away, ["k"], ["v"], ["y"])
+    assert _set(spark.read.parquet(path)) == {(1, 1, 2000), (2, 2, 2000), (3, 3, 2000), (5, 50, 2000)}
+
+
 def test_ledger(spark):
     book = ledger.Ledger(spark)
     with book.run("a", "first", "x") as run:
