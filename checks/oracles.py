@@ -956,6 +956,22 @@ _ORACLES = {
             LEFT JOIN (SELECT * FROM dim_product WHERE CAST(discontinued AS INT) = 0) p ON p.nk_product_id = l.product_id
             LEFT JOIN (SELECT * FROM dim_customer WHERE balance >= 0) c ON c.nk_customer_id = o.customer_id)
         WHERE motivo_rechazo IS NOT NULL""",
+    "profile_run_rows": f"""SELECT 1::BIGINT AS log_id, count(*) AS registros_proc FROM ({_profiles()})
+        UNION ALL SELECT 2, 2""",
+    "dim_country_upsert": """SELECT CASE WHEN region = 'ASIA' THEN (SELECT count(*) FROM countries WHERE region <> 'ASIA')
+            + row_number() OVER (PARTITION BY region = 'ASIA' ORDER BY country_name)
+            ELSE row_number() OVER (PARTITION BY region = 'ASIA' ORDER BY country_name) END AS sk_pais, country_name,
+        CASE WHEN region IN ('ASIA', 'EUROPE') THEN lower(region) ELSE region END AS region,
+        CASE WHEN region IN ('ASIA', 'EUROPE') THEN capital_major_city END AS capital_major_city FROM countries""",
+    "dim_customer_lookup_upsert": f"""SELECT * FROM (WITH old AS (SELECT * FROM {_FIRST}), new AS (SELECT * FROM {_NEWS}),
+        every AS (
+            SELECT sk_cliente, nk_customer_id, coalesce(n.city, CASE WHEN n.nk_customer_id IS NULL THEN o.city END) AS city, o.country
+            FROM old o LEFT JOIN new n USING (nk_customer_id)
+            UNION ALL
+            SELECT (SELECT count(*) FROM old) + row_number() OVER (ORDER BY nk_customer_id), nk_customer_id, city, country
+            FROM new WHERE nk_customer_id NOT IN (SELECT nk_customer_id FROM old))
+        SELECT sk_cliente, nk_customer_id, city, country, sk_pais FROM every LEFT JOIN (SELECT sk_pais, country_name FROM dim_country) p
+        ON p.country_name = every.country)""",
     "csv_quoted": """SELECT p || lpad(customer_id, 8, '0') AS id, 'says "hi", ' || trim(company_name) AS texto
         FROM raw_customers, (VALUES (''), ('x')) v(p)""",
     "star_build": """SELECT 'calendar' AS tabla, (SELECT count(*) FROM calendar) AS registros UNION ALL SELECT 'countries', (SELECT count(*) FROM nation)

@@ -399,6 +399,13 @@ def profile_empty(src: Source) -> DataFrame:
     return profile.profile("txt_vacia", nobody, {"customer_id": ("",), "country": ("",)})
 
 
+@query
+def profile_run_rows(src: Source) -> DataFrame:
+    """Profile rows of one of two logged runs."""
+    logged = union(_profiles(src).withColumn("log_id", F.lit(1)), profile_trimmed(src).withColumn("log_id", F.lit(2)))
+    return union(*[profile.rows_of_run(logged, run).withColumn("log_id", F.lit(run)) for run in (1, 2)])
+
+
 @query
 def profile_trimmed(src: Source) -> DataFrame:
     wanted = {"contact_title": profile.BLANK_TRIMMED, "score": profile.BLANK_TRIMMED}
@@ -674,6 +681,26 @@ def insert_if_absent(src: Source) -> DataFrame:
     return dims.load_dim(_customer_news(src), "nk_customer_id", "sk_cliente", _first_customers(src))
 
 
+@query
+def dim_country_upsert(src: Source) -> DataFrame:
+    """Countries of a batch change known ones, come new, and bring a column the dimension lacks."""
+    first = dims.load_dim(src.countries().filter(F.col("region") != "ASIA").drop("capital_major_city"), "country_name", "sk_pais")
+    batch = src.countries().filter(F.col("region").isin("ASIA", "EUROPE")).withColumn("region", F.lower("region"))
+    merged = dims.upsert_dim(first, batch, "country_name", "sk_pais", ["region", "capital_major_city"])
+    return merged.select("sk_pais", "country_name", "region", "capital_major_city")
+
+
+@query
+def dim_customer_lookup_upsert(src: Source) -> DataFrame:
+    """Changed and new customers with their country's key looked up, then missing keys filled."""
+    place = star(src).countries.select(F.col("country_name").alias("country"), "sk_pais")
+    known = _first_customers(src).join(place.filter(F.col("sk_pais") > 10), "country", "left")
+    news = _customer_news(src).join(place.filter(F.col("sk_pais") > 5), "country", "left")
+    merged = dims.upsert_dim(known, news, "nk_customer_id", "sk_cliente", ["company_name", "contact_title", "city", "region", "country", "sk_pais"])
+    filled = dims.backfill_country(merged, place.withColumnRenamed("country", "country_name"), "country", "sk_pais")
+    return filled.select("sk_cliente", "nk_customer_id", "city", "country", "sk_pais")
+
+
 @query
 def dim_backfill_fk(src: Source) -> DataFrame:
     s = star(src)

@@ -31,11 +31,9 @@ def percentage(part: Column, whole: Column, scale: int) -> Column:
     return F.coalesce(F.round(share, scale), F.lit(0)).cast(f"decimal(14,{scale})")
 
 
-def evaluate(value: Column, warn: float, error: float) -> Column:
-    """Compare with two thresholds; exceeding one (not meeting it) raises the state."""
-    if warn > error:
-        raise ValueError(f"warning threshold {warn} is above the error threshold {error}")
-    return F.when(value > error, ERROR).when(value > warn, WARNING).otherwise(OK)
+def evaluate(value: Column, warn: Column, error: Column, worst: Column | str = ERROR) -> Column:
+    """Compare with two thresholds; exceeding one (not meeting it) raises the state, to ``worst`` beyond the second."""
+    return F.when(value > error, worst).when(value > warn, WARNING).otherwise(OK)
 
 
 def severity_order(state: Column) -> Column:

@@ -40,16 +40,14 @@ def typed(value: Column, data_type: str, via: str | None = None) -> Column:
     return value.try_cast(data_type)
 
 
-def first_ten_as_date(value: Column, tokens: Sequence[str] = (EMPTY,)) -> Column:
-    day = F.substring(F.trim(value), 1, 10)
-    for token in tokens:
-        day = F.nullif(day, F.lit(token))
-    return day.try_cast("date")
+def first_ten(value: Column, tokens: Sequence[str] = (EMPTY,)) -> Column:
+    """The first ten characters, as a date is written; each of ``tokens`` becomes NULL."""
+    return text_or_null(F.substring(F.trim(value), 1, 10), tokens)
 
 
-def scrub_number(value: Column, data_type: str) -> Column:
-    """Drop currency signs, percent signs, separators and blanks, then cast."""
-    return F.nullif(F.regexp_replace(value, "[^0-9.-]", ""), F.lit("")).try_cast(data_type)
+def scrubbed(value: Column) -> Column:
+    """A number's text without currency signs, percent signs, separators and blanks."""
+    return F.nullif(F.regexp_replace(value, "[^0-9.-]", ""), F.lit(""))
 
 
 def recode(value: Column, mapping: Mapping[str, str]) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VALIDITY = ["fecha_desde", "fecha_hasta", "es_vigente"]
@@ -109,23 +109,44 @@ def broken_versions(history: DataFrame, key: str) -> DataFrame:
 def version_at(rows: DataFrame, history: DataFrame, key: str, date: str, columns: Sequence[str]) -> DataFrame:
     """Attach the version of ``key`` valid on ``date``; rows before the first version get NULLs.
 
-    Versions are repeated once per calendar year they cover and joined on (key, year), so rows of
-    a frequent key spread over the years and meet only the versions of that year.
+    Versions are repeated once per calendar year they cover. Per (key, year), rows and versions are
+    sorted together by date and each row takes the last version before it, so the work grows with the
+    rows plus the versions, not with their product, and a frequent key spreads over its years.
     """
     years = rows.agg(F.struct(F.min(F.year(date)).alias("lo"), F.max(F.year(date)).alias("hi"))).scalar()
-    spans = history.select(
-        key,
+    values = F.struct(
         F.col("fecha_desde").alias("_from"),
         F.col("fecha_hasta").alias("_to"),
         *[F.col(c).alias(f"_v_{c}") for c in columns],
-    ).withColumn("_span", years)
-    first = F.greatest(F.year("_from"), F.col("_span.lo"))
-    last = F.least(F.coalesce(F.year("_to"), F.col("_span.hi")), F.col("_span.hi"))
-    yearly = spans.filter(first <= last).withColumn("_year", F.explode(F.sequence(first, last))).drop("_span")
-    left = rows.withColumn("_year", F.year(date))
-    valid = (F.col("_from") <= F.col(date)) & (F.col("_to").isNull() | (F.col(date) <= F.col("_to")))
-    l, r = left.alias("l"), yearly.alias("r")
-    on = (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._year") == F.col("r._year")) & valid
-    return l.join(r, on, "left").select(
-        *[F.col(f"l.{c}") for c in rows.columns], *[F.col(f"_v_{c}").alias(f"{c}_vigente") for c in columns]
+    )
+    spans = history.select(F.col(key), values.alias("_version")).withColumn("_span", years)
+    first = F.greatest(F.year("_version._from"), F.col("_span.lo"))
+    last = F.least(F.coalesce(F.year("_version._to"), F.col("_span.hi")), F.col("_span.hi"))
+    yearly = spans.filter(first <= last).withColumn("_year", F.explode(F.sequence(first, last)))
+    own = [F.col(c).alias(f"_r_{c}") for c in rows.columns]
+    asked = rows.select(
+        F.col(key).alias("_key"),
+        F.year(date).alias("_year"),
+        F.col(date).alias("_at"),
+        F.lit(1).alias("_kind"),
+        F.struct(*own).alias("_row"),
+        F.lit(None).cast(yearly.schema["_version"].dataType).alias("_version"),
+    )
+    starts = yearly.select(
+        F.col(key).alias("_key"),
+        "_year",
+        F.col("_version._from").alias("_at"),
+        F.lit(0).alias("_kind"),
+        F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"),
+        "_version",
+    )
+    before = Window.partitionBy("_key", "_year").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    # a row without a key has no version and needs no sorting
+    keyed = asked.filter(F.col("_key").isNotNull()).unionByName(starts)
+    met = keyed.withColumn("_version", F.last("_version", ignorenulls=True).over(before)).filter("_kind = 1")
+    found = met.unionByName(asked.filter(F.col("_key").isNull()))
+    valid = F.col("_version._to").isNull() | (F.col("_at") <= F.col("_version._to"))
+    return found.select(
+        *[F.col(f"_row._r_{c}").alias(c) for c in rows.columns],
+        *[F.when(valid, F.col(f"_version._v_{c}")).alias(f"{c}_vigente") for c in columns],
     )

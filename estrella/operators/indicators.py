@@ -36,11 +36,7 @@ def null_share(field: str, *columns: str, warn: float = 0.0, error: float = 0.0)
 
 def _rows(values: DataFrame, table: str) -> DataFrame:
     value = F.col("valor_calculado")
-    state = (
-        F.when(value > F.col("umbral_error"), F.col("peor"))
-        .when(value > F.col("umbral_warning"), num.WARNING)
-        .otherwise(num.OK)
-    )
+    state = num.evaluate(value, F.col("umbral_warning"), F.col("umbral_error"), F.col("peor"))
     return values.select(
         F.lit(table).alias("tabla"),
         "campo",

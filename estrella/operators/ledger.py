@@ -22,11 +22,11 @@ EVENT_SCHEMA = (
     "registros_proc bigint"
 )
 SCRIPT_SCHEMA = "script_id bigint, script_nombre string, script_desc string, etapa string"
-LOCAL_ZONE = "America/Argentina/Buenos_Aires"
 
 
-def local_now() -> datetime:
-    return datetime.now(ZoneInfo(LOCAL_ZONE)).replace(tzinfo=None)
+def local_now(zone: str) -> datetime:
+    """Wall-clock time of a zone, without the zone."""
+    return datetime.now(ZoneInfo(zone)).replace(tzinfo=None)
 
 
 @dataclass
@@ -36,10 +36,11 @@ class Ledger:
     spark: SparkSession
     scripts: list[Row] = field(default_factory=list)
     events: list[Row] = field(default_factory=list)
+    zone: str = "UTC"
     _runs: int = 0
 
     def resume(self, scripts: DataFrame, events: DataFrame) -> None:
-        """Continue the numbering of an earlier application."""
+        """Continue the numbering of an earlier application. One application at a time may write a warehouse."""
         self.scripts = [Row(**r.asDict()) for r in scripts.orderBy("script_id").collect()]
         self._runs = events.agg(F.max("log_id")).first()[0] or 0
 
@@ -68,7 +69,7 @@ class Ledger:
 
     def _add(self, log_id, script, event, state, detail, rows) -> None:
         self.events.append(
-            Row(log_id=log_id, script_id=script, evento=event, momento=local_now(), resultado=state, detalle=detail, registros_proc=rows)
+            Row(log_id=log_id, script_id=script, evento=event, momento=local_now(self.zone), resultado=state, detalle=detail, registros_proc=rows)
         )
 
     def script_table(self) -> DataFrame:

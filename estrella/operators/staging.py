@@ -36,9 +36,9 @@ class Field:
         if self.keep:
             return raw
         if self.scrub:
-            return F.nullif(F.regexp_replace(raw, "[^0-9.-]", ""), F.lit(""))
+            return txt.scrubbed(raw)
         if self.prefix_date:
-            return txt.text_or_null(F.substring(F.trim(raw), 1, 10), self.nulls)
+            return txt.first_ten(raw, self.nulls)
         return txt.text_or_null(raw, self.nulls)
 
     def value(self) -> Column:

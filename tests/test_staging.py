@@ -32,13 +32,13 @@ def test_narrow_rounding(spark):
 
 def test_dates_from_timestamp_text(spark):
     assert str(_one(spark, "1998-01-02 00:00:00.000", lambda c: txt.typed(c, "date"))) == "1998-01-02"
-    assert str(_one(spark, " 1998-01-02 10:00", txt.first_ten_as_date)) == "1998-01-02"
+    assert str(_one(spark, " 1998-01-02 10:00", lambda c: txt.first_ten(c).try_cast("date"))) == "1998-01-02"
 
 
 def test_scrub_number(spark):
-    assert _one(spark, " $1,234.50 ", lambda c: txt.scrub_number(c, "decimal(10,2)")) == Decimal("1234.50")
-    assert _one(spark, "-3.5%", lambda c: txt.scrub_number(c, "decimal(10,2)")) == Decimal("-3.50")
-    assert _one(spark, "n/a", lambda c: txt.scrub_number(c, "bigint")) is None
+    assert _one(spark, " $1,234.50 ", lambda c: txt.scrubbed(c).try_cast("decimal(10,2)")) == Decimal("1234.50")
+    assert _one(spark, "-3.5%", lambda c: txt.scrubbed(c).try_cast("decimal(10,2)")) == Decimal("-3.50")
+    assert _one(spark, "n/a", lambda c: txt.scrubbed(c).try_cast("bigint")) is None
 
 
 def test_full_name_needs_both_parts(spark):

@@ -227,6 +227,20 @@ def test_versions_at_a_date(spark, versions):
     }
 
 
+def test_a_hot_key_with_many_versions(spark):
+    versions = spark.range(400).select(
+        F.lit("A").alias("nk"),
+        F.col("id").alias("n"),
+        F.date_add(F.lit("2019-01-01").cast("date"), F.col("id").cast("int")).alias("fecha_desde"),
+        F.date_add(F.lit("2019-01-01").cast("date"), F.col("id").cast("int")).alias("fecha_hasta"),
+    )
+    rows = spark.range(2000).select(
+        "id", F.lit("A").alias("nk"), F.date_add(F.lit("2018-12-31").cast("date"), (F.col("id") % 500).cast("int")).alias("d")
+    )
+    got = {r.id: r.n_vigente for r in history.version_at(rows, versions, "nk", "d", ["n"]).collect()}
+    assert got == {i: (i % 500 - 1 if 1 <= i % 500 <= 400 else None) for i in range(2000)}
+
+
 def test_effective_date_of_an_empty_batch(spark):
     empty = spark.createDataFrame([], "d date")
     default = F.lit("2020-01-01").cast("date")
