@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrella.llm.shipping import ship
-from estrella.llm.tokens import encode
+from estrella.llm.tokens import encode_all
 from estrella.llm.words import in_slices, utf8_texts
 
 GROUP_ROWS = 2048
@@ -114,7 +114,7 @@ def pack_documents(
 
     def one(batch):
         end = np.array([end_id], "<u4").tobytes()
-        made = [encode(t, tokenizer) + end for t in utf8_texts(batch, "text")]
+        made = [ids + end for ids in encode_all(utf8_texts(batch, "text"), tokenizer)]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("grp"), pa.array([_packed(m) for m in made], pa.binary())],
             names=["doc_id", "grp", "ids"],

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from estrella.llm.shipping import ship
-from estrella.llm.tokens import encode
+from estrella.llm.tokens import encode_all
 from estrella.llm.words import in_slices, utf8_texts
 from estrella.session import shuffle_partitions
 
@@ -50,9 +50,8 @@ def write_tokens(
     bounds = np.array(sorted(set(docs.agg(cuts.alias("c")).first()["c"] or [])), np.int64)
 
     def one(batch):
-        made = [encode(t, tokenizer) for t in utf8_texts(batch, "text")]
         end = np.array([end_id], "<u4").tobytes()
-        made = [m + end for m in made]
+        made = [ids + end for ids in encode_all(utf8_texts(batch, "text"), tokenizer)]
         ids = np.frombuffer(b"".join(made), "<u4").astype(np.int32)
         offsets = np.concatenate([[0], np.cumsum([len(m) // 4 for m in made])]).astype(np.int32)
         known = batch.column("doc_id")

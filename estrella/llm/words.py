@@ -71,10 +71,15 @@ def _hashed(text: bytes, first: int | None = None) -> tuple[np.ndarray, np.ndarr
     starts, ends = np.flatnonzero(edge).reshape(-1, 2).T
     if first:
         ends = np.minimum(ends, starts + first)
+    return hashed_spans(data, starts, ends), starts
+
+
+def hashed_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every span of bytes."""
     forth, back = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * forth[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64)), starts
+    return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
 def hashed_words(texts: list[bytes], first: int | None = None) -> list[np.ndarray]:
