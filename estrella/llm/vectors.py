@@ -93,31 +93,39 @@ def _link_leaf(threshold: float):
         frame = frame.sort_values("cls").reset_index(drop=True)
         names, weight = frame["cls"].to_numpy(), frame["rows"].to_numpy()
         vectors = np.stack([np.frombuffer(v, np.float64) for v in frame["unit"]])
-        lists = [set(x) for x in frame["leaves"]]
-        here = key[0]
+        # columns: the leaves before this one that some vector here is in as well
+        earlier = [np.array([x for x in leaves if x < key[0]], np.int64) for leaves in frame["leaves"]]
+        known, column = np.unique(np.concatenate(earlier), return_inverse=True)
+        taken = np.zeros((len(names), max(1, len(known))), np.float32)
+        taken[np.repeat(np.arange(len(names)), [len(e) for e in earlier]), column] = 1
         links = np.zeros(len(names), np.int64)
-        parent = np.arange(len(names))
-
-        def root(i):
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
+        edges = [np.empty((0, 2), np.int64)]
         for a in range(0, len(names), BLOCK_ROWS):
             for b in range(a, len(names), BLOCK_ROWS):
-                near = np.argwhere(vectors[a : a + BLOCK_ROWS] @ vectors[b : b + BLOCK_ROWS].T >= threshold - 1e-9)
-                for i, j in near + (a, b):
-                    if i >= j or min(lists[i] & lists[j]) != here:
-                        continue
-                    if float(np.dot(vectors[i], vectors[j])) < threshold:
-                        continue
-                    links[i] += weight[j]
-                    links[j] += weight[i]
-                    low, high = sorted((root(i), root(j)))
-                    parent[high] = low
-        out = [(names[i], links[i], names[root(i)]) for i in np.flatnonzero(links)]
-        return pd.DataFrame(out, columns=["cls", "links", "low"]).astype("int64")
+                one, two = slice(a, a + BLOCK_ROWS), slice(b, b + BLOCK_ROWS)
+                cosine = vectors[one] @ vectors[two].T
+                hit = cosine >= threshold
+                for i, j in np.argwhere(np.abs(cosine - threshold) < 1e-9):
+                    hit[i, j] = float(np.dot(vectors[a + i], vectors[b + j])) >= threshold
+                hit &= taken[one] @ taken[two].T == 0
+                if a == b:
+                    hit = np.triu(hit, 1)
+                links[one] += hit @ weight[two]
+                links[two] += hit.T @ weight[one]
+                edges.append(np.argwhere(hit) + (a, b))
+        left, right = np.concatenate(edges).T
+        low = np.arange(len(names))
+        while True:
+            least = np.minimum(low[left], low[right])
+            new = low.copy()
+            np.minimum.at(new, left, least)
+            np.minimum.at(new, right, least)
+            new = new[new]
+            if (new == low).all():
+                break
+            low = new
+        kept = np.flatnonzero(links)
+        return pd.DataFrame({"cls": names[kept], "links": links[kept], "low": names[low[kept]]}).astype("int64")
 
     return apply
 
