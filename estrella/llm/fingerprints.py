@@ -167,4 +167,5 @@ def near_counts(queries: DataFrame, prints: DataFrame, radius: int = 3, chosen:
         & (F.bit_count(differ) <= radius)
         & F.forall(earlier, lambda m: differ.bitwiseAND(m) != 0)
     )
-    return left.join(right, same).groupBy("q.fingerprint").agg(F.sum("p.n").alias("n_near"))
+    # neither side has a proven bound, so neither is broadcast
+    return left.join(right.hint("merge"), same).groupBy("q.fingerprint").agg(F.sum("p.n").alias("n_near"))
