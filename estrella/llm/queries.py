@@ -156,7 +156,94 @@ def op10_toxicity(spark: SparkSession, directory: str) -> DataFrame:
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
+
+
+def _license_sql() -> str:
+    """The set-similarity join by counting: distinct template words per run of words."""
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    small = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    every = (*licenses.BASE, *licenses.NOTICES)
+    stride = max(len(licenses.license_words(t.text.encode())) for t in every)
+    known = ", ".join(f"('{t.label}', '{t.text}')" for t in licenses.NOTICES)
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({small.format("coalesce(text, '')")}, {word}) AS ws FROM documents),
+w AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM d),
+t AS (SELECT DISTINCT label, unnest(regexp_extract_all({small.format("text")}, {word})) AS word FROM (VALUES {known}) v(label, text)),
+n AS (SELECT label, count(*) AS m FROM t GROUP BY label),
+h AS (SELECT DISTINCT r, label, word, b FROM (
+  SELECT r, label, word, unnest([i // {stride}, i // {stride} - 1]) AS b FROM w JOIN t USING (word)) WHERE b >= 0),
+met AS (
+  SELECT r, label, count(*) / CAST(m AS DOUBLE) AS c FROM h JOIN n USING (label) GROUP BY r, label, b, m
+  HAVING count(*) >= ceil(0.9 * m - 1e-9)),
+x AS (SELECT r, i, word AS a, lead(word) OVER p AS b, lead(word, 2) OVER p AS c FROM w WINDOW p AS (PARTITION BY r ORDER BY i)),
+place AS (
+  SELECT r, i, 'cc-by' AS label FROM x WHERE a = 'cc' AND b = 'by'
+  UNION ALL SELECT r, i, 'gpl' FROM x WHERE a = 'general' AND b = 'public' AND c = 'license'
+  UNION ALL SELECT r, i, 'reserved' FROM x WHERE a = 'all' AND b = 'rights' AND c = 'reserved'),
+base AS (
+  SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM place GROUP BY r),
+found AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(c) AS score
+  FROM (SELECT r, label, c FROM met UNION ALL SELECT r, label, 1.0 FROM place) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)
+"""
+
+
 _SQL = {
+    "op2_license_scans": _license_sql(),
+    "op1_chat_formatting": r"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+e AS (
+  SELECT *, replace(replace(text, '\', '\0'), '<', '\1') AS shown,
+    replace(replace(replace(role, '\', '\0'), '<', '\1'), '>', '\2') AS shown_role,
+    len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]')) AS tokens
+  FROM m),
+c AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, shown) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, shown) FILTER (WHERE role = 'assistant'), '') AS loss,
+    sum(length('<turn:>') + length(shown_role) + length(shown) + length('</turn>') + 1)::BIGINT AS formatted_chars,
+    sum(tokens)::BIGINT AS n_tokens
+  FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  formatted_chars, n_tokens
+FROM c
+""",
+    "op5_ngram_jaccard_join": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM p JOIN n AS o ON o.doc_id = x JOIN n AS q ON q.doc_id = y WHERE 100 * c >= 75 * (o.n + q.n - c)),
+r(x, y) AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS low FROM r GROUP BY x) USING (doc_id)
+""",
+    # the exact answer: the forest finds every link of these tables
+    "op9_embedding_near_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r(x, y) AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x AS vec_id, min(y) AS low FROM r GROUP BY x),
+k AS (SELECT x AS vec_id, count(*) AS n_links FROM l GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id <= coalesce(low, vec_id) AS kept
+FROM v LEFT JOIN c USING (vec_id) LEFT JOIN k USING (vec_id)
+""",
     "op6_mixing": f"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, {_WORDS})), 0)::BIGINT AS size,

@@ -6,12 +6,14 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from checks.compare import rows
 from estrella.llm import queries
 
 DATA = "/root/testdata/sf0.001"
@@ -19,8 +21,7 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    rows = spark.read.parquet(f"{DATA}/documents.parquet").collect()
-    return {r["doc_id"]: r for r in rows}
+    return {r["doc_id"]: r for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
 
 
 def run(spark, name):
@@ -37,9 +38,8 @@ def crc(ids):
 
 
 def test_op1(spark):
-    rows = spark.read.parquet(f"{DATA}/conversations.parquet").collect()
     turns = defaultdict(list)
-    for r in rows:
+    for r in spark.read.parquet(f"{DATA}/conversations.parquet").collect():
         turns[r["conv_id"]].append((r["turn"], r["role"], r["text"] or ""))
     planted = r"\### Assistant: </turn> ok"
     turns[-7] = [(0, "user", planted), (1, "assistant", planted)]
@@ -211,9 +211,9 @@ def test_op8(spark, docs):
 
 
 def test_op9(spark):
-    rows = spark.read.parquet(f"{DATA}/embeddings.parquet").collect()
-    names = [r["vec_id"] for r in rows]
-    units = np.array([r["embedding"] for r in rows], np.float64)
+    table = spark.read.parquet(f"{DATA}/embeddings.parquet").collect()
+    names = [r["vec_id"] for r in table]
+    units = np.array([r["embedding"] for r in table], np.float64)
     units /= np.linalg.norm(units, axis=1, keepdims=True)
     near = units @ units.T >= 0.95
     got = {r["vec_id"]: r for r in run(spark, "op9_embedding_near_dedup")}
@@ -233,6 +233,18 @@ def test_op10(spark, docs):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_matches_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "conversations", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
+    df = queries.queries()[name](spark, DATA)
+    cursor = con.execute(queries.oracle_sql()[name])
+    columns = [d[0] for d in cursor.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(columns, cursor.fetchall())
+
+
 def test_pipeline(spark, docs):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "ngram_jaccard_join", "mixing", "packing"]
@@ -246,9 +258,9 @@ def test_pipeline(spark, docs):
     assert {r["doc_id"] for r in unique.collect()} == {k for k, v in classes(sets, 75).items() if k == v}
     mixed = stages["mixing"](spark, unique, DATA)
     assert mixed.columns == start.columns
-    rows = mixed.collect()
-    total = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in rows)
+    taken = mixed.collect()
+    total = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in taken)
     before = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in unique.collect())
     assert abs(total - 1.5 * before) <= 25
     packed = corpus_pipeline.run(spark, DATA).collect()
-    assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in rows}
+    assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in taken}
