@@ -439,7 +439,8 @@ class RetailWarehouse:
                 "dp_ventas_por_empleado": marts.sales_by_employee(self.table("dim_empleado"), fact),
                 "dp_ventas_geografico": marts.sales_by_country(countries, customers, fact),
             }
-            stored = {name: files.overwrite(df, f"{self.root}/{name}") for name, df in built.items()}
+            # a new version next to the old one: readers see the old marts until the new ones are complete
+            stored = {name: self._store(name, df) for name, df in built.items()}
             loads = [facts.footprint(name, df, df, "") for name, df in stored.items()]
             self._log("dqm_carga_dwa", upsert.union_all(loads), run)
             run.rows = marts.row_counts(stored).agg(F.sum("registros")).first()[0]
@@ -464,9 +465,12 @@ class RetailWarehouse:
             return written
 
     def _current(self, name: str) -> DataFrame:
-        if files.exists(self.spark, f"{self.root}/{name}"):
-            return self._dqm(name)
-        return self.table(name)
+        try:
+            return self.table(name)
+        except LookupError:
+            if files.exists(self.spark, f"{self.root}/{name}"):
+                return self._dqm(name)
+            raise
 
     def correct_countries(self, corrections: DataFrame) -> DataFrame:
         """Repair country texts by natural key and refresh the marts that copied them.
@@ -491,14 +495,14 @@ class RetailWarehouse:
                 "dp_ventas_por_cliente": {"country_name_pais": "country_name", "capital_major_city": "capital_major_city"},
             }
             for name, columns in targets.items():
-                mart = self._dqm(name)
+                mart = self.table(name)
                 if name == "dp_ventas_por_cliente":
                     keyed = mart.join(self.table("dim_cliente").select("sk_cliente", "sk_pais"), "sk_cliente")
                 else:
                     keyed = mart
                 refreshed = staging.propagate(keyed, dim, "sk_pais", columns).select(*mart.columns)
                 changed = materialize(keyed.join(touched, "sk_pais", "left_semi"))
-                files.overwrite(materialize(refreshed), f"{self.root}/{name}")
+                self._store(name, refreshed)
                 self._log("dqm_carga_dwa", facts.footprint(name, changed, changed, "", num.CORRECTED), run)
             self._log("dqm_carga_dwa", facts.footprint("dwa_dim_pais", dim, dim, "", num.CORRECTED), run)
             return fixed

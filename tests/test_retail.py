@@ -196,9 +196,9 @@ def test_country_correction_reaches_the_marts(built):
     fixes = house.spark.createDataFrame([("Mexico", "México"), ("Chad", None)], "country_name string, capital_major_city string")
     house.correct_countries(fixes)
     assert {r.capital_major_city for r in house.table("dim_pais").collect()} == {"Berlin", "México", "Lima", "N Djamena"}
-    mart = house._dqm("dp_ventas_por_cliente")
+    mart = house.table("dp_ventas_por_cliente")
     assert {r.capital_major_city for r in mart.filter("country = 'Mexico'").collect()} == {"México"}
-    assert "México" in {r.capital_major_city for r in house._dqm("dp_ventas_geografico").collect()}
+    assert "México" in {r.capital_major_city for r in house.table("dp_ventas_geografico").collect()}
 
 
 def test_ledger_of_the_whole_life(built):
