@@ -972,6 +972,8 @@ _ORACLES = {
             FROM new WHERE nk_customer_id NOT IN (SELECT nk_customer_id FROM old))
         SELECT sk_cliente, nk_customer_id, city, country, sk_pais FROM every LEFT JOIN (SELECT sk_pais, country_name FROM dim_country) p
         ON p.country_name = every.country)""",
+    "ledger_register_once": """SELECT script_id, script_nombre, CASE WHEN script_id % 3 <> 0 THEN script_desc
+        ELSE 'Otra vez ' || script_nombre END AS script_desc, etapa FROM scripts""",
     "csv_quoted": """SELECT p || lpad(customer_id, 8, '0') AS id, 'says "hi", ' || trim(company_name) AS texto
         FROM raw_customers, (VALUES (''), ('x')) v(p)""",
     "star_build": """SELECT 'calendar' AS tabla, (SELECT count(*) FROM calendar) AS registros UNION ALL SELECT 'countries', (SELECT count(*) FROM nation)
