@@ -166,6 +166,7 @@ def coverage(period: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("string").alias("meses"),
         F.format_number(F.sum("monto_neto").cast("decimal(28,2)"), 2).alias("neto"),
     )
+    # fixed values: the labels of the report
     names = (
         ("Período desde", "desde"),
         ("Período hasta", "hasta"),

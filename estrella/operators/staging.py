@@ -83,6 +83,7 @@ def split_valid(
 
 
 def score_reason(score: Column) -> Column:
+    # fixed value: the wording of the reject reason
     shown = F.coalesce(txt.text_or_null(score, ("",)), F.lit("<vacio>"))
     return F.concat(F.lit("Score invalido: valor "), shown, F.lit(". La regla de calidad exige score entre 1 y 5."))
 

@@ -338,6 +338,7 @@ class RetailWarehouse:
                 ]
             )
             logged = self._log("dqm_indicador", found, run)
+            # fixed value: the wording of the reject reason
             self._reject(integrity.reject_orphans(order_customer, "Cliente inexistente en DWA: "), run)
             self._close(run, rules.roll_up(logged, soften=True))
 

@@ -11,40 +11,45 @@ from estrella.functions import numbers as num
 from estrella.operators import rules
 from estrella.operators.staging import Field
 
-PERSON = "company_name contact_name contact_title address city region postal_code country phone fax"
-
 # Columns of the source files, in file order.
 RAW_COLUMNS = {
-    "categories": "category_id category_name description picture".split(),
-    "customers": f"customer_id {PERSON}".split(),
-    "employees": (
-        "employee_id last_name first_name title title_of_courtesy birth_date hire_date address city region "
-        "postal_code country home_phone extension photo notes reports_to photo_path"
-    ).split(),
-    "employee_territories": "employee_id territory_id".split(),
-    "order_details": "order_id product_id unit_price quantity discount".split(),
-    "orders": (
-        "order_id customer_id employee_id order_date required_date shipped_date ship_via freight ship_name "
-        "ship_address ship_city ship_region ship_postal_code ship_country"
-    ).split(),
-    "products": (
-        "product_id product_name supplier_id category_id quantity_per_unit unit_price units_in_stock "
-        "units_on_order reorder_level discontinued"
-    ).split(),
-    "regions": "region_id region_description".split(),
-    "shippers": "shipper_id company_name phone".split(),
-    "suppliers": f"supplier_id {PERSON} homepage".split(),
-    "territories": "territory_id territory_description region_id".split(),
-    "customers_score": "customer_id score".split(),
-    "world_data": (
-        "country density_p_km2 abbreviation agricultural_land_pct land_area_km2 armed_forces_size birth_rate "
-        "calling_code capital_major_city co2_emissions cpi cpi_change_pct currency_code fertility_rate "
-        "forested_area_pct gasoline_price gdp gross_primary_education_enrollment_pct "
-        "gross_tertiary_education_enrollment_pct infant_mortality largest_city life_expectancy "
-        "maternal_mortality_ratio minimum_wage official_language out_of_pocket_health_expenditure "
-        "physicians_per_thousand population population_labor_force_participation_pct tax_revenue_pct "
-        "total_tax_rate unemployment_rate urban_population latitude longitude"
-    ).split(),
+    "categories": ["category_id", "category_name", "description", "picture"],
+    "customers": [
+        "customer_id", "company_name", "contact_name", "contact_title", "address", "city", "region", "postal_code",
+        "country", "phone", "fax",
+    ],
+    "employees": [
+        "employee_id", "last_name", "first_name", "title", "title_of_courtesy", "birth_date", "hire_date", "address",
+        "city", "region", "postal_code", "country", "home_phone", "extension", "photo", "notes", "reports_to",
+        "photo_path",
+    ],
+    "employee_territories": ["employee_id", "territory_id"],
+    "order_details": ["order_id", "product_id", "unit_price", "quantity", "discount"],
+    "orders": [
+        "order_id", "customer_id", "employee_id", "order_date", "required_date", "shipped_date", "ship_via",
+        "freight", "ship_name", "ship_address", "ship_city", "ship_region", "ship_postal_code", "ship_country",
+    ],
+    "products": [
+        "product_id", "product_name", "supplier_id", "category_id", "quantity_per_unit", "unit_price",
+        "units_in_stock", "units_on_order", "reorder_level", "discontinued",
+    ],
+    "regions": ["region_id", "region_description"],
+    "shippers": ["shipper_id", "company_name", "phone"],
+    "suppliers": [
+        "supplier_id", "company_name", "contact_name", "contact_title", "address", "city", "region", "postal_code",
+        "country", "phone", "fax", "homepage",
+    ],
+    "territories": ["territory_id", "territory_description", "region_id"],
+    "customers_score": ["customer_id", "score"],
+    "world_data": [
+        "country", "density_p_km2", "abbreviation", "agricultural_land_pct", "land_area_km2", "armed_forces_size",
+        "birth_rate", "calling_code", "capital_major_city", "co2_emissions", "cpi", "cpi_change_pct", "currency_code",
+        "fertility_rate", "forested_area_pct", "gasoline_price", "gdp", "gross_primary_education_enrollment_pct",
+        "gross_tertiary_education_enrollment_pct", "infant_mortality", "largest_city", "life_expectancy",
+        "maternal_mortality_ratio", "minimum_wage", "official_language", "out_of_pocket_health_expenditure",
+        "physicians_per_thousand", "population", "population_labor_force_participation_pct", "tax_revenue_pct",
+        "total_tax_rate", "unemployment_rate", "urban_population", "latitude", "longitude",
+    ],
 }
 
 # Separators other than the comma.
