@@ -36,7 +36,7 @@ from estrella.operators import (
 from estrella.operators.ranking import drop_repeats, first_per_key
 from estrella.plans import retail_tables as spec
 from estrella.plans.star import write_fact
-from estrella.session import materialize
+from estrella.session import materialize, scratch
 from estrella.sources import files
 
 CUSTOMER_TRACKED = ["company_name", "city", "region", "country"]
@@ -116,8 +116,9 @@ class RetailWarehouse:
 
     @contextmanager
     def _step(self, name: str, description: str, stage: str):
+        """A run in the ledger; what it writes besides tables is deleted when it ends."""
         try:
-            with self.ledger.run(name, description, stage) as run:
+            with scratch(self.spark), self.ledger.run(name, description, stage) as run:
                 yield run
         finally:
             self._save_ledger()

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +42,25 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
 def work_path(spark: SparkSession, name: str | None = None) -> str:
-    root = f"{shared_dir(spark)}/estrella/{spark.sparkContext.applicationId}"
+    root = f"{shared_dir(spark)}/estrella/{spark.sparkContext.applicationId}{_scope.get()}"
     return f"{root}/{name or uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediates written inside are deleted at the end; no frame that reads them may be used later."""
+    token = _scope.set(f"{_scope.get()}/{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        _delete(spark, work_path(spark, "x").rpartition("/")[0])
+        _scope.reset(token)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back: the lineage ends here and survives lost executors."""
     return materialize_counted(df)[0]
@@ -59,8 +76,11 @@ def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
 
 def release_materialized(spark: SparkSession) -> None:
     """Delete the intermediates this application wrote."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(work_path(spark, "x")).getParent()
+    _delete(spark, work_path(spark, "x").rpartition("/")[0])
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
