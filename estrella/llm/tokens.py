@@ -11,7 +11,7 @@ from estrella.llm.words import hashed_spans
 
 # Pieces whose ids are kept in a worker, at about 50 bytes each; a full table starts anew.
 KEPT_PIECES = 2_000_000
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 19
 
 _TABLE_BITS = 22
 _TABLE_SHIFT = np.uint64(64 - _TABLE_BITS)

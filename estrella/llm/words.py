@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 ROWS_AT_ONCE = 1000
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WHITE = re.compile(rb"[\x20\x09-\x0D]")
