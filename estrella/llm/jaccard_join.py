@@ -11,17 +11,16 @@ each other, where the triangle inequality says nothing, so the space is first cu
 3. *Pivots and cells.* A region's pivot is its most central node (the one with the most frequent
    shingles: the origin of a family of copies, not a copy of a copy). A node's home is the pivot it
    meets in most regions; the nodes with one home are its Voronoi cell. Nodes within the threshold
-   of their home are linked.
-4. *Boundaries.* Where a region holds nodes that are not connected yet, each node also goes as a guest
-   to the homes of the others. Guests beyond the cell's reach plus the threshold are out, by the
-   triangle inequality.
-5. *Recursion.* A cell is cut into rings by the distance to its pivot and rings into blocks of
-   bounded size. Only pairs of blocks that the triangle inequality allows go on, to a task each;
-   pairs that are connected already are left out.
+   of their home are linked, which connects most of every family by one comparison a node.
+4. *Recursion.* Regions whose nodes are all connected are done. The others are cut into blocks of
+   bounded size, and every pair of blocks is a task. There the nodes are sorted by the distance to
+   the first of them, and by the triangle inequality only nodes within a window of these distances
+   are compared; pairs that are connected already are left out.
 
 Before the sets of a pair are compared, their parity sketches are: as every member flips one bit of
 a sketch, two sketches differ in no more bits than the sets have members apart. That rules most
-pairs out with a few hundred bytes each and never a link.
+pairs out with a few hundred bytes each and never a link. The windows use the sketches' distance
+(the number of bits that differ), which is a metric as well.
 
 Every link is found or already implied by other links, so the components are exact.
 """
@@ -31,7 +30,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -40,14 +38,16 @@ from pyspark.sql import functions as F
 from estrella.llm.graph import components
 from estrella.llm.shipping import ship
 from estrella.llm.words import hashed_words, in_slices, shingles, utf8_texts
-from estrella.session import materialize, materialize_counted
+from estrella.session import materialize, materialize_counted, shuffle_partitions
 
 COUNT_BITS = 20
 _SLICES = 64
 _SLICE = (1 << COUNT_BITS) // _SLICES
+# Regions are named by 48 bits of their shingle; shingles that share them share a region, which only
+# adds comparisons.
+_REGION_BITS = np.uint64((1 << 48) - 1)
 
-BLOCK = 256
-FAR = 100
+BLOCK = 512
 # Ids and pairs of nodes are broadcast up to this many bytes of ids; beyond, texts and sets are shuffled to them.
 BROADCAST_BYTES = 32 << 20
 
@@ -57,8 +57,8 @@ def _sets(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
 
 
 def sketch(values: np.ndarray) -> bytes:
-    """Parities of the members in at least four times as many slots as there are members."""
-    bits = max(64, 1 << (4 * len(values) - 1).bit_length())
+    """Parities of the members in at least twice as many slots as there are members."""
+    bits = max(64, 1 << (2 * len(values) - 1).bit_length())
     slots = (values & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(slots, minlength=bits) & 1, bitorder="little").tobytes()
 
@@ -159,12 +159,12 @@ def _regions(docs: DataFrame, counts: np.ndarray, width: int, percent: int) -> D
                 prefix = len(values) + (-percent * len(values)) // 100 + 1
                 first = values[np.lexsort((values, often))[:prefix]]
                 nodes.append(node)
-                central.append(float(np.log(often).mean()))
-                firsts.append(first.view(np.int64))
+                central.append(round(64 * float(np.log(often).mean())))
+                firsts.append((first & _REGION_BITS).view(np.int64))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(nodes, pa.int64()),
-                    pa.array(central, pa.float32()),
+                    pa.array(central, pa.int16()),
                     pa.array(firsts, pa.list_(pa.int64())),
                 ],
                 names=["node", "central", "firsts"],
@@ -172,26 +172,25 @@ def _regions(docs: DataFrame, counts: np.ndarray, width: int, percent: int) -> D
 
         yield from in_slices(one)(batches)
 
-    entries = docs.mapInArrow(run, "node long, central float, firsts array<long>").select(
+    entries = docs.mapInArrow(run, "node long, central short, firsts array<long>").select(
         F.explode("firsts").alias("shingle"), "node", "central"
     )
     region = Window.partitionBy("shingle")
     low = F.xxhash64(F.lit(1), "node").bitwiseAND(0xFFFFFFFF)
     other = F.xxhash64(F.lit(2), "node").bitwiseAND(0xFFFFFFFF)
+    # equal for regions with the same rows; if others should have it too, they are joined as one
+    name = F.xxhash64(F.count(F.lit(1)).over(region), F.sum(low).over(region), F.sum(other).over(region))
     met = entries.select(
         "node",
         (F.min("node").over(region) < F.max("node").over(region)).alias("met"),
         F.max(F.struct("central", "node")).over(region)["node"].alias("pivot"),
-        # equal for regions with the same rows, and hardly ever otherwise
-        F.struct(
-            F.count(F.lit(1)).over(region).alias("rows"), F.sum(low).over(region).alias("a"), F.sum(other).over(region).alias("b")
-        ).alias("region"),
+        name.alias("region"),
     ).filter("met")
     return met.groupBy("region", "node", "pivot").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def _screened(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with ``least``, a lower bound of their distance, and whether they can be a link."""
+    """Pairs (a, b) with whether they can be a link, as far as their sketches tell."""
     one = marks.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     two = marks.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
     both = pairs.join(one, "a").join(two, "b")
@@ -205,13 +204,12 @@ def _screened(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
             length = min(len(x), len(y))
             apart[i] = np.bitwise_count(folded(x, length) ^ folded(y, length)).sum()
         common = most_common_members(n, m, apart)
-        total = n + m - common
         return pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(1 - common / total), pa.array(common * 100 >= total * percent)],
-            names=["a", "b", "least", "possible"],
+            [batch.column("a"), batch.column("b"), pa.array(common * 100 >= (n + m - common) * percent)],
+            names=["a", "b", "possible"],
         )
 
-    return both.mapInArrow(in_slices(screen), "a long, b long, least double, possible boolean")
+    return both.mapInArrow(in_slices(screen), "a long, b long, possible boolean")
 
 
 def _verified(docs: DataFrame, listed: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -259,42 +257,89 @@ def _is_link(percent: int):
     return F.col("common") * 100 >= (F.col("n") + F.col("m") - F.col("common")) * percent
 
 
-def _distance():
-    return F.lit(1.0) - F.col("common") / (F.col("n") + F.col("m") - F.col("common"))
+def _compared(rows: tuple[np.ndarray, ...], sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """The pairs of unconnected nodes, one of each side or both of the only one, that can be links."""
+    nodes, comps, sizes, sketches = rows
+    left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+    same = not len(right)
+    right = left if same else right
+    if (comps == comps[0]).all():
+        return []
+    lengths = np.array([len(x) // 8 for x in sketches])
+    out = []
+
+    def stacked(index: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        index = index[lengths[index] == length]
+        return index, np.stack([np.frombuffer(sketches[i], np.uint64) for i in index])
+
+    for length in np.unique(lengths[left]):
+        mine, words = stacked(left, length)
+        for other in np.unique(lengths[right]):
+            if max(length, other) > 2 * min(length, other):
+                continue  # sizes too different for a link
+            theirs, words2 = stacked(right, other)
+            x, y = folded(words, other), folded(words2, length)
+            # a window of distances to one node: those of a link differ by no more than the sets do
+            from_x = np.bitwise_count(x ^ y[0]).sum(axis=1).astype(np.int64)
+            from_y = np.bitwise_count(y ^ y[0]).sum(axis=1).astype(np.int64)
+            order = np.argsort(from_y, kind="stable")
+            theirs, y, from_y = theirs[order], y[order], from_y[order]
+            # members apart in a link: at most (n + m) (1 - t) / (1 + t), where m is at most n / t
+            wide = sizes[mine] * (100 - percent) // percent + 1
+            starts = np.searchsorted(from_y, from_x - wide)
+            ends = np.searchsorted(from_y, from_x + wide, "right")
+            for k, i in enumerate(mine):
+                near = theirs[starts[k] : ends[k]]
+                ok = comps[near] != comps[i]
+                if same:
+                    ok &= nodes[near] > nodes[i]
+                if not ok.any():
+                    continue
+                near = near[ok]
+                apart = np.bitwise_count(x[k] ^ y[starts[k] : ends[k]][ok]).sum(axis=1).astype(np.int64)
+                common = most_common_members(sizes[i], sizes[near], apart)
+                hit = common * 100 >= (sizes[i] + sizes[near] - common) * percent
+                out += [(min(nodes[i], v), max(nodes[i], v)) for v in nodes[near[hit]].tolist()]
+    return out
 
 
 def _block_pairs(percent: int):
-    """Group function: the pairs of unconnected nodes of two blocks that can be links."""
-
-    def apply(key, frame):
-        left = frame[frame["side"] == 0]
-        right = frame[frame["side"] == 1]
-        right = right if len(right) else left
-        same = right is left
-        out = []
-        by_length = [{}, {}]
-        for index, side in enumerate((left, right)):
-            for length, rows in side.groupby(side["sketch"].str.len() // 8):
-                words = np.stack([np.frombuffer(x, np.uint64) for x in rows["sketch"]])
-                columns = (rows[c].to_numpy() for c in ("node", "comp", "n", "native"))
-                by_length[index][int(length)] = (words, *columns)
-        for length, (words, nodes, comps, sizes, natives) in by_length[0].items():
-            for other, (words2, nodes2, comps2, sizes2, natives2) in by_length[1].items():
-                if max(length, other) > 2 * min(length, other):
-                    continue  # sizes too different for a link
-                x, y = folded(words, other), folded(words2, length)
-                for i in range(len(nodes)):
-                    ok = (comps2 != comps[i]) & (natives2 | natives[i])
-                    ok &= (nodes2 > nodes[i]) if same else True
-                    if not ok.any():
-                        continue
-                    apart = np.bitwise_count(x[i] ^ y[ok]).sum(axis=1).astype(np.int64)
-                    common = most_common_members(sizes[i], sizes2[ok], apart)
-                    hit = common * 100 >= (sizes[i] + sizes2[ok] - common) * percent
-                    out += [(min(nodes[i], v), max(nodes[i], v)) for v in nodes2[ok][hit]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return apply
+    """Over rows sorted by task: the pairs that can be links, each once a task partition."""
+    columns = ("node", "comp", "n", "sketch", "side")
+
+    def run(batches):
+        held: pa.Table | None = None
+        seen: set[tuple[int, int]] = set()
+
+        def work(table: pa.Table, keys: np.ndarray) -> pa.RecordBatch:
+            node, comp, n, _, side = (table.column(c).to_numpy() for c in columns)
+            sketches = table.column("sketch").to_pylist()
+            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            found = []
+            for a, b in zip([0, *edges], [*edges, len(keys)], strict=True):
+                if b - a > 1:
+                    pairs = _compared((node[a:b], comp[a:b], n[a:b], sketches[a:b]), side[a:b], percent)
+                    found += [p for p in pairs if p not in seen]
+                    seen.update(pairs)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
+            )
+
+        def key_columns(table: pa.Table) -> np.ndarray:
+            return np.column_stack([table.column(c).to_numpy() for c in ("region", "block1", "block2")])
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            keys = key_columns(table)
+            last = int(np.argmax((keys == keys[-1]).all(axis=1)))  # the last task may go on in the next batch
+            held = table.slice(last)
+            if last:
+                yield work(table.slice(0, last), keys[:last])
+        if held is not None and held.num_rows:
+            yield work(held, key_columns(held))
+
+    return run
 
 
 def jaccard_classes(
@@ -313,7 +358,6 @@ def jaccard_classes(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")
     )
     ship(docs.sparkSession)
-    limit = 1 - percent / 100
     listed, counts = _count_pass(docs, width)
     regions = materialize(_regions(docs, counts, width, percent))
     wanted = regions.select("node").distinct()
@@ -327,111 +371,15 @@ def jaccard_classes(
     order = F.struct(F.col("pivot") != F.col("node"), "shared", "pivot")
     homes = materialize(met.groupBy("node").agg(F.max_by("pivot", order).alias("home")))
     pairs = homes.filter("node <> home").select(F.col("node").alias("a"), F.col("home").alias("b"))
-    screened = materialize(_screened(pairs, marks, percent))
-    near = _verified(docs, listed, materialize(screened.filter("possible").select("a", "b")), width)
-    links = near.filter(_is_link(percent)).select("a", "b")
-    comps = materialize(components(links))
-    exact = near.select("a", "b", _distance().alias("d"))
-    natives = (
-        homes.select(F.col("node").alias("a"), F.col("home").alias("b"))
-        .join(exact, ["a", "b"], "left")
-        .join(screened.select("a", "b", "least"), ["a", "b"], "left")
-        .select(F.col("a").alias("node"), F.col("b").alias("pivot"), F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("d")).alias("d"), "least")
-    )
-    natives = materialize(natives)
-
-    # guests: nodes of regions that still hold several components, at the homes of the other nodes
-    open_rows = materialize(_open_rows(regions, homes, comps))
-    borders = open_rows.filter("mixed").select("region", F.col("home").alias("pivot")).distinct()
-    guests = (
-        open_rows.filter("mixed")
-        .select("region", "node", "home", "comp")
-        .join(borders, "region")
-        .filter("home <> pivot")
-        .select("node", "pivot", "comp")
-        .distinct()
-    )
-    guests = materialize(guests)
-    hosts = homes.select(F.col("node").alias("pivot")).join(comps, F.col("pivot") == F.col("node"), "left")
-    hosts = hosts.select("pivot", F.coalesce("component", "pivot").alias("host_comp"))
-    calls = guests.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    seen = materialize(_screened(calls, marks, percent))
-    unlinked = (
-        seen.filter("possible")
-        .join(guests.select(F.col("node").alias("a"), F.col("pivot").alias("b"), "comp"), ["a", "b"])
-        .join(hosts.withColumnRenamed("pivot", "b"), "b")
-        .filter("comp <> host_comp")
-        .select("a", "b")
-    )
-    called = _verified(docs, listed, materialize(unlinked), width)
-    known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    comps = materialize(components(known.unionByName(called.filter(_is_link(percent)).select("a", "b"))))
-
-    # what is still open: rings of cells, cut into blocks, pair by pair
-    open_rows = _open_rows(regions, homes, comps).select("node", "comp").distinct()
-    open_nodes = materialize(open_rows)
-    reach = natives.groupBy("pivot").agg(F.max(F.coalesce("d", F.lit(1.0))).alias("reach"))
-    far_guests = (
-        guests.select("node", "pivot")
-        .join(seen.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "least"), ["node", "pivot"], "left")
-        .join(called.select(F.col("a").alias("node"), F.col("b").alias("pivot"), _distance().alias("d")), ["node", "pivot"], "left")
-        .join(reach, "pivot")
-        .select("node", "pivot", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"), "least", "reach")
-        .filter(F.coalesce("d", "least", F.lit(0.0)) <= F.col("reach") + limit + 1e-9)
-    )
-    members = (
-        natives.select("node", "pivot", "d", "least", F.lit(True).alias("native"))
-        .unionByName(far_guests.select("node", "pivot", "d", "least", F.lit(False).alias("native")))
-        .join(open_nodes, "node")
-    )
-    # a known distance gives a ring, a lower bound only says from which ring on; these rings count from FAR
-    ring = F.when(F.col("d").isNotNull(), F.floor((F.col("d") + 1e-9) / limit)).otherwise(
-        FAR + F.floor((F.coalesce("least", F.lit(0.0)) - 1e-9) / limit)
-    )
-    members = materialize(members.select("node", "pivot", "comp", "native", F.greatest(ring, F.lit(0)).cast("int").alias("ring")))
-    sizes = members.groupBy("pivot", "ring").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
-        F.max("native").alias("has_native"),
-        F.min("comp").alias("low"),
-        F.max("comp").alias("high"),
-    )
-    sizes = materialize(sizes)
-    one = sizes.select("pivot", *[F.col(c).alias(f"{c}1") for c in sizes.columns[1:]])
-    two = sizes.select("pivot", *[F.col(c).alias(f"{c}2") for c in sizes.columns[1:]])
-    allowed = (
-        f"ring1 <= ring2 AND (has_native1 OR has_native2) AND least(low1, low2) < greatest(high1, high2)"
-        f" AND (ring1 >= {FAR} OR (ring2 < {FAR} AND ring2 - ring1 <= 1) OR (ring2 >= {FAR} AND ring2 - {FAR} <= ring1 + 1))"
-    )
-    jobs = materialize(one.join(two, "pivot").filter(allowed).select("pivot", "ring1", "blocks1", "ring2", "blocks2"))
-    at = F.pmod(F.xxhash64("m.node"), F.col("blocks1")).cast("int")
-    at2 = F.pmod(F.xxhash64("m.node"), F.col("blocks2")).cast("int")
-    alike = F.col("ring1") == F.col("ring2")
-    columns = ["m.node", "m.comp", "m.native", "m.pivot", "ring1", "ring2"]
-    mine = members.alias("m")
-
-    def of_jobs(ring_name: str) -> DataFrame:
-        own = jobs.alias("j")
-        return mine.join(own, (F.col("m.pivot") == F.col("j.pivot")) & (F.col("m.ring") == F.col(ring_name)))
-
-    as_left = of_jobs("ring1").select(
-        *columns,
-        at.alias("block1"),
-        F.explode(F.sequence(F.when(alike, at).otherwise(0), F.col("blocks2") - 1)).alias("block2"),
-        F.lit(0).alias("side"),
-    )
-    as_right = (
-        of_jobs("ring2")
-        .select(
-            *columns,
-            F.explode(F.sequence(F.lit(0), F.when(alike, at2).otherwise(F.col("blocks1") - 1))).alias("block1"),
-            at2.alias("block2"),
-            F.lit(1).alias("side"),
-        )
-        .filter("NOT (ring1 = ring2 AND block1 = block2)")
-    )
-    tasks = as_left.unionByName(as_right).join(marks, "node")
-    rest = tasks.groupBy("pivot", "ring1", "ring2", "block1", "block2").applyInPandas(_block_pairs(percent), "a long, b long")
-    last = _verified(docs, listed, materialize(rest.distinct()), width).filter(_is_link(percent)).select("a", "b")
+    possible = materialize(_screened(pairs, marks, percent).filter("possible").select("a", "b"))
+    near = _verified(docs, listed, possible, width)
+    comps = materialize(components(near.filter(_is_link(percent)).select("a", "b")))
+
+    tasks = _open_blocks(regions, marks, comps)
+    order = ["region", "block1", "block2", "side", "node"]
+    dealt = tasks.repartition(shuffle_partitions(docs.sparkSession), *order[:3]).sortWithinPartitions(*order)
+    rest = materialize(dealt.mapInArrow(_block_pairs(percent), "a long, b long").distinct())
+    last = _verified(docs, listed, rest, width).filter(_is_link(percent)).select("a", "b")
     known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
     every = components(known.unionByName(last))
 
@@ -446,21 +394,25 @@ def jaccard_classes(
     )
 
 
-def _open_rows(regions: DataFrame, homes: DataFrame, comps: DataFrame) -> DataFrame:
-    """Rows (region, node, home, comp, mixed) of the regions with more than one component; mixed: and home."""
-    labelled = homes.join(comps, "node", "left").select("node", "home", F.coalesce("component", "node").alias("comp"))
-    region = Window.partitionBy("region")
-    return (
-        regions.select("region", "node")
-        .join(labelled, "node")
-        .select(
-            "region",
-            "node",
-            "home",
-            "comp",
-            (F.min("comp").over(region) < F.max("comp").over(region)).alias("open"),
-            (F.min("home").over(region) < F.max("home").over(region)).alias("mixed"),
-        )
-        .filter("open")
-        .drop("open")
+def _open_blocks(regions: DataFrame, marks: DataFrame, comps: DataFrame) -> DataFrame:
+    """Nodes of the regions with more than one component, once for each pair of blocks they take part in."""
+    labelled = marks.join(comps, "node", "left").select("node", "n", F.coalesce("component", "node").alias("comp"))
+    rows = materialize(regions.select("region", "node").join(labelled, "node").select("region", "node", "comp"))
+    # written, so that the join starts from plain shuffles and the rows of a large region can be split
+    open_ = materialize(
+        rows.groupBy("region")
+        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("rows"))
+        .filter("low < high")
+        .select("region", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     )
+    rows = rows.join(open_, "region")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    spread = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return spread.select(
+        "region",
+        F.least("own", "other").alias("block1"),
+        F.greatest("own", "other").alias("block2"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "node",
+        "comp",
+    ).join(marks, "node")
