@@ -10,10 +10,10 @@ import numpy as np
 from estrella.llm.words import hashed_spans
 
 # Pieces whose ids are kept in a worker, at about 50 bytes each; a full table starts anew.
-KEPT_PIECES = 2_000_000
+KEPT_PIECES = 1_000_000
 GROUP_BYTES = 1 << 19
 
-_TABLE_BITS = 22
+_TABLE_BITS = 21
 _TABLE_SHIFT = np.uint64(64 - _TABLE_BITS)
 _TABLE_MASK = (1 << _TABLE_BITS) - 1
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-ROWS_AT_ONCE = 1000
+ROWS_AT_ONCE = 500
 CHUNK_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -29,6 +29,8 @@ def in_slices(
                 made = function(batch.slice(at, ROWS_AT_ONCE))
                 if made is not None:
                     yield made
+        # workers go on to other tasks; what Arrow holds in reserve is given back
+        pa.default_memory_pool().release_unused()
 
     return run
 
