@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from estrella.llm.shipping import ship
 from estrella.llm.words import hashed_words, in_slices, utf8_texts
+from estrella.session import materialize
 
 SLOT_BITS = 20
 FIRST_BYTES = (4, 6)
@@ -148,11 +149,13 @@ class Chain:
         return earlier
 
 
-def fit_chain(slots: list[np.ndarray], toxic: np.ndarray, folds: int = FOLDS) -> Chain:
+def fit_chain(
+    slots: list[np.ndarray], toxic: np.ndarray, weights: np.ndarray | None = None, folds: int = FOLDS
+) -> Chain:
     """A chain over the categories found and the label, with out-of-fold probabilities between the links.
 
     The threshold is the one with the best balance of precision and recall for the last link's
-    out-of-fold probabilities.
+    out-of-fold probabilities, where a row counts as the ``weights`` rows it stands for.
     """
     toxic = np.asarray(toxic, float)
     targets = []
@@ -173,14 +176,14 @@ def fit_chain(slots: list[np.ndarray], toxic: np.ndarray, folds: int = FOLDS) ->
             out[outside] = model.predict(*_flat([slots[i] for i in outside]), earlier[outside])
         links.append(fit_linear(slots, earlier, target))
         earlier = np.column_stack([earlier, out])
-    return Chain(links, _best_cut(earlier[:, -1], toxic))
+    return Chain(links, _best_cut(earlier[:, -1], toxic, np.ones(len(toxic)) if weights is None else weights))
 
 
-def _best_cut(scores: np.ndarray, labels: np.ndarray) -> float:
+def _best_cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
     order = np.argsort(-scores, kind="stable")
     ranked = scores[order]
-    hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(hits) + 1) + labels.sum())
+    hits = np.cumsum((weights * labels)[order])
+    f1 = 2 * hits / (np.cumsum(weights[order]) + (weights * labels).sum())
     f1[:-1][ranked[:-1] == ranked[1:]] = -1  # equal scores stay together
     best = int(np.argmax(f1))
     lower = ranked[best + 1] if best + 1 < len(ranked) else 0.0
@@ -190,17 +193,19 @@ def _best_cut(scores: np.ndarray, labels: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: int = 0) -> Chain | None:
     """A chain fitted on documents (doc_id, text) with labels (doc_id, toxic); None without both classes.
 
-    The sample holds at most ``max_rows`` ids of each class. The texts stay where they are; the driver
-    gets the slots of the sample's words. Ids with contradicting labels are left out.
+    The sample holds at most ``max_rows`` ids of each class; the threshold is chosen for the classes'
+    shares in all labels. The texts stay where they are; the driver gets the slots of the sample's
+    words. Ids with contradicting labels are left out.
     """
     ship(docs.sparkSession)
-    known = (
+    known = materialize(
         labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)")
         .groupBy("doc_id")
         .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("high"))
         .filter("toxic = high")
         .select("doc_id", "toxic", F.xxhash64(F.lit(seed), "doc_id").alias("turn"))
     )
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     parts = [known.filter(F.col("toxic") == v).orderBy("turn", "doc_id").limit(max_rows) for v in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
 
@@ -217,7 +222,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: in
     toxic = np.array([r["toxic"] for r in first.values()], float)
     if not len(toxic) or not toxic.any() or toxic.all():
         return None
-    return fit_chain([np.frombuffer(r["slots"], "<i4") for r in first.values()], toxic)
+    # every sampled row stands for so many labelled ones of its class
+    stands = {int(v): n / min(n, max_rows) for v, n in counts.items()}
+    weights = np.array([stands[r["toxic"]] for r in first.values()])
+    return fit_chain([np.frombuffer(r["slots"], "<i4") for r in first.values()], toxic, weights)
 
 
 def score_toxicity(

@@ -309,3 +309,14 @@ def test_pipeline_stages(spark, odd, none):
             docs = spark.createDataFrame(stage(spark, docs, data).collect(), docs.schema)
         assert len(docs.collect()) <= 2 * len(ROWS)
         corpus_pipeline.STAGES[-1][1](spark, docs, data).collect()
+
+
+def test_toxicity_cut_keeps_the_shares_of_all_labels(spark):
+    """All toxic texts and a sixth of the clean ones say "maybe", most toxic ones also "surely"."""
+    rows = [(i, "maybe surely" if i % 5 < 3 else "maybe", 1) for i in range(200)]
+    rows += [(200 + i, "maybe" if i % 6 == 0 else "fine", 0) for i in range(1800)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    for max_rows in (6000, 100):
+        got = toxicity.score_toxicity(frame, frame, max_rows=max_rows, keep_columns=True)
+        called = {r["text"]: r["toxic"] for r in got.select("text", "toxic").distinct().collect()}
+        assert called == {"maybe surely": 1, "maybe": 0, "fine": 0}
