@@ -8,10 +8,12 @@ all folds.
 
 The labels only say toxic or not. The categories are the kinds of toxic vocabulary in the labelled
 texts: terms that are much more frequent in toxic texts are grouped by occurring together, and a text
-labelled toxic is in the category of every group it has a term of.
+labelled toxic is in the category of every group it has a term of. Terms beyond the largest groups
+share a last category.
 
-Features are the first four and the first six bytes of each word, hashed into a fixed number of
-slots; whether one occurs counts, not how often. Training uses at most ``max_rows`` labelled rows of
+Features are each word, its first four and its first six characters, hashed into a fixed number of
+slots; whether one occurs counts, not how often. All slots take part: those that hardly tell the
+classes apart are held back by a stronger penalty. Training uses at most ``max_rows`` labelled rows of
 each class (those with the smallest hashes of their ids); whole texts are read for it, and scoring
 goes over the whole texts of all documents where they are stored.
 """
@@ -30,14 +32,14 @@ from estrella.llm.words import hashed_words, in_slices, utf8_texts
 from estrella.session import materialize
 
 SLOT_BITS = 20
-FIRST_BYTES = (4, 6)
+FIRST = (None, 4, 6)  # whole words and beginnings, in characters
 MAX_ROWS = 6000
 FOLDS = 4
-STEPS = 60
-MAX_CATEGORIES = 6
-TERMS = 60  # terms that categories are made of
-MAX_FEATURES = 2000
-MIN_Z = 4.5
+PASSES = 8
+BATCH_ROWS = 500
+PENALTY = 1e-4
+MAX_CATEGORIES = 6  # besides the one of the terms left over
+MIN_Z = 4.5  # of the terms that categories are made of; a million slots have none by chance
 
 _PUNCTUATION = bytes(
     0x20 if c < 0x30 or 0x3A <= c <= 0x40 or 0x5B <= c <= 0x60 or 0x7B <= c <= 0x7F else c for c in range(256)
@@ -48,7 +50,7 @@ def word_slots(texts: list[bytes]) -> list[np.ndarray]:
     """For each text the sorted distinct slots of its words. ASCII punctuation parts words."""
     plain = [t.translate(_PUNCTUATION) for t in texts]
     shift = np.uint64(64 - SLOT_BITS)
-    kinds = [hashed_words(plain, first) for first in FIRST_BYTES]
+    kinds = [hashed_words(plain, first) for first in FIRST]
     return [np.unique((np.concatenate(h) >> shift).astype(np.int32)) for h in zip(*kinds, strict=True)]
 
 
@@ -89,49 +91,67 @@ class Linear:
 
 
 def fit_linear(slots: list[np.ndarray], dense: np.ndarray, labels: np.ndarray) -> Linear:
-    """AdaGrad on the logistic loss over the slots that tell the classes apart; both classes weigh alike."""
+    """AdaGrad on the logistic loss, in batches; both classes weigh alike.
+
+    Every slot has a weight. It is penalised the more, the less the slot tells the classes apart.
+    """
+    order = np.random.default_rng(0).permutation(len(labels))
+    slots, dense, labels = [slots[i] for i in order], dense[order], labels[order]
     flat, offsets = _flat(slots)
-    z = np.abs(_z_scores(flat, offsets, labels))
-    chosen = np.argsort(-z, kind="stable")[:MAX_FEATURES]
-    chosen = np.sort(chosen[z[chosen] >= MIN_Z])
-    place = np.full(1 << SLOT_BITS, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
-    row = np.repeat(np.arange(len(labels)), np.diff(offsets))
-    used = place[flat] >= 0
-    row, at = row[used], place[flat[used]]
+    z = _z_scores(flat, offsets, labels)
+    present = np.flatnonzero(np.bincount(flat, minlength=1 << SLOT_BITS))
+    place = np.zeros(1 << SLOT_BITS, np.int32)
+    place[present] = np.arange(len(present))
+    flat = place[flat].astype(np.int64)
+    # weights are evidence times free numbers, and these are penalised
+    evidence = z[present] ** 4 / (z[present] ** 4 + MIN_Z**4)
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
-    importance = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share)) / len(labels)
-    words, weights, bias = np.zeros(len(chosen)), np.zeros(dense.shape[1]), 0.0
-    seen = [np.full(len(chosen), 1e-8), np.full(dense.shape[1], 1e-8), 1e-8]
-    for _ in range(STEPS):
-        score = np.bincount(row, words[at], minlength=len(labels)) + dense @ weights + bias
-        error = importance * (_sigmoid(score) - labels)
-        steps = (np.bincount(at, error[row], minlength=len(chosen)) + 1e-5 * words, dense.T @ error, error.sum())
-        for k, step in enumerate(steps):
-            seen[k] = seen[k] + step * step
-        words -= 0.3 * steps[0] / np.sqrt(seen[0])
-        weights -= 0.3 * steps[1] / np.sqrt(seen[1])
-        bias -= 0.3 * steps[2] / np.sqrt(seen[2])
-    every = np.zeros(1 << SLOT_BITS, np.float32)
-    every[chosen] = words
-    return Linear(every, weights, float(bias))
+    importance = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share))
+    words, weights, bias = np.zeros(len(present)), np.zeros(dense.shape[1]), 0.0
+    seen = [np.full(len(present), 1e-8), np.full(dense.shape[1], 1e-8), 1e-8]
+    for _ in range(PASSES):
+        for a in range(0, len(labels), BATCH_ROWS):
+            rows = slice(a, min(a + BATCH_ROWS, len(labels)))
+            ends = offsets[rows.start : rows.stop + 1]
+            at = flat[ends[0] : ends[-1]]
+            score = _sums(evidence * words, at, ends - ends[0]) + dense[rows] @ weights + bias
+            error = importance[rows] * (_sigmoid(score) - labels[rows]) / len(score)
+            slope = np.bincount(at, np.repeat(error, np.diff(ends)), minlength=len(present))
+            steps = (evidence * slope + PENALTY * words, dense[rows].T @ error, error.sum())
+            for k, step in enumerate(steps):
+                seen[k] = seen[k] + step * step
+            words -= 0.3 * steps[0] / np.sqrt(seen[0])
+            weights -= 0.3 * steps[1] / np.sqrt(seen[1])
+            bias -= 0.3 * steps[2] / np.sqrt(seen[2])
+    full = np.zeros(1 << SLOT_BITS, np.float32)
+    full[present] = evidence * words
+    return Linear(full, weights, float(bias))
 
 
 def find_categories(slots: list[np.ndarray], toxic: np.ndarray) -> list[np.ndarray]:
-    """Groups of toxic terms that occur together, strongest first; a group is an array of slots."""
+    """Groups of toxic terms that occur together, strongest first; a group is an array of slots.
+
+    The last one holds the terms that are left after ``MAX_CATEGORIES`` groups.
+    """
     flat, offsets = _flat(slots)
     z = _z_scores(flat, offsets, toxic)
-    terms = np.argsort(-z, kind="stable")[:TERMS]
-    terms = terms[z[terms] >= MIN_Z]
-    has = np.array([[t in s for t in terms] for s in (set(slots[i].tolist()) for i in np.flatnonzero(toxic > 0))])
+    terms = np.flatnonzero(z >= MIN_Z)
+    terms = terms[np.argsort(-z[terms], kind="stable")]
+    place = np.full(1 << SLOT_BITS, -1, np.int32)
+    place[terms] = np.arange(len(terms))
+    positive, positive_offsets = _flat([slots[i] for i in np.flatnonzero(toxic > 0)])
+    row, at = np.repeat(np.arange(len(positive_offsets) - 1), np.diff(positive_offsets)), place[positive]
+    has = np.zeros((len(positive_offsets) - 1, len(terms)), bool)
+    has[row[at >= 0], at[at >= 0]] = True
+    often = has.sum(axis=0)
     groups: list[np.ndarray] = []
-    left = list(range(len(terms)))
-    while left and len(groups) < MAX_CATEGORIES:
-        seed = has[:, left[0]]
-        together = [j for j in left if (seed & has[:, j]).sum() >= 0.25 * min(seed.sum(), has[:, j].sum())]
-        groups.append(terms[together])
-        left = [j for j in left if j not in together]
-    return groups
+    left = np.arange(len(terms))
+    while len(left) and len(groups) < MAX_CATEGORIES:
+        both = has[has[:, left[0]]].sum(axis=0)[left]
+        together = both >= 0.25 * np.minimum(often[left[0]], often[left])
+        groups.append(terms[left[together]])
+        left = left[~together]
+    return [*groups, terms[left]] if len(left) else groups
 
 
 @dataclass
@@ -160,8 +180,9 @@ def fit_chain(
     toxic = np.asarray(toxic, float)
     targets = []
     for group in find_categories(slots, toxic):
-        wanted = set(group.tolist())
-        targets.append(np.array([float(y > 0 and not wanted.isdisjoint(s.tolist())) for y, s in zip(toxic, slots, strict=True)]))
+        wanted = np.zeros(1 << SLOT_BITS)
+        wanted[group] = 1
+        targets.append(((toxic > 0) & (_sums(wanted, *_flat(slots)) > 0)).astype(float))
     targets.append(toxic)
     fold = np.arange(len(slots)) % folds
     earlier = np.zeros((len(slots), 0))

@@ -63,7 +63,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hashed(text: bytes, first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of every word of a text, or of its ``first`` bytes.
+    """Hash and first byte of every word of a text, or of its ``first`` characters.
 
     Sums of powers give all words' hashes at once.
     """
@@ -72,7 +72,9 @@ def _hashed(text: bytes, first: int | None = None) -> tuple[np.ndarray, np.ndarr
     edge = np.diff(inside, prepend=False, append=False)
     starts, ends = np.flatnonzero(edge).reshape(-1, 2).T
     if first:
-        ends = np.minimum(ends, starts + first)
+        heads = np.flatnonzero((data & 0xC0) != 0x80)
+        beyond = np.append(heads, len(data))[np.minimum(np.searchsorted(heads, starts) + first, len(heads))]
+        ends = np.minimum(ends, beyond)
     return hashed_spans(data, starts, ends), starts
 
 
@@ -87,7 +89,7 @@ def hashed_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 def hashed_words(texts: list[bytes], first: int | None = None) -> list[np.ndarray]:
     """Per text, the 64-bit hashes of its words in order: A-Z lower-cased, split at ASCII white space.
 
-    With ``first``, only that many bytes of each word count.
+    With ``first``, only that many characters of each word count.
 
     Short texts are hashed together, long ones in pieces cut at white space, so the working memory is
     bounded by the longest word or ``CHUNK_BYTES``.

@@ -320,3 +320,28 @@ def test_toxicity_cut_keeps_the_shares_of_all_labels(spark):
         got = toxicity.score_toxicity(frame, frame, max_rows=max_rows, keep_columns=True)
         called = {r["text"]: r["toxic"] for r in got.select("text", "toxic").distinct().collect()}
         assert called == {"maybe surely": 1, "maybe": 0, "fine": 0}
+
+
+def test_toxicity_tells_long_words_apart(spark):
+    """Words that begin alike, and characters of several bytes."""
+    pairs = [("achlichkeit", "achlichheit"), ("переводчица", "переводчику"), ("一二三四", "一二五六")]
+    for bad, good in pairs:
+        rows = [(i, f"word {bad if i % 2 else good}", i % 2) for i in range(200)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        got = toxicity.score_toxicity(frame, frame).collect()
+        assert all(r["toxic"] == r["doc_id"] % 2 for r in got)
+    assert len(set(map(int, toxicity.word_slots(["一二三四五六七".encode()])[0]))) == 3
+
+
+def test_toxicity_uses_all_terms():
+    """Kinds beyond the largest groups share a category, and each of many rare terms has a weight."""
+    import numpy as np
+
+    slots = [np.array([1000 + i % 100 if i % 2 else 5000 + i % 100], np.int32) for i in range(6000)]
+    toxic = np.array([i % 2 for i in range(6000)], float)
+    groups = toxicity.find_categories(slots, toxic)
+    assert sorted(np.concatenate(groups).tolist()) == [1000 + i for i in range(1, 100, 2)]
+    rare = [np.array([i if i % 2 else 50_000 + i], np.int32) for i in range(3000)]
+    rare = rare + rare
+    model = toxicity.fit_linear(rare, np.zeros((6000, 0)), toxic)
+    assert (model.words[1:3000:2] > 0).all()
