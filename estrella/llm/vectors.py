@@ -2,7 +2,9 @@
 
 Every tree splits the vectors by random directions at the median, level by level; a vector close to
 a split goes to both sides (spill), so near vectors rarely part, and many trees make it rarer still.
-Vectors that share a leaf are compared exactly. Trees are fitted on a bounded sample, but every
+A node is split where few of its vectors lie that close to the cut; one that is too tight for that stays
+whole. Vectors that share a leaf are compared exactly; a large leaf is dealt into blocks, and pairs of
+blocks are tasks of their own. Trees are fitted on a bounded sample, but every
 vector is put into its leaves, and the depth of the trees follows from the number of all vectors.
 """
 
@@ -24,13 +26,15 @@ SAMPLE_ROWS = 16_384
 SAMPLE_PER_NODE = 64
 LEAF_ROWS = 256
 BLOCK_ROWS = 1024
+TASK_ROWS = 2048
+MAX_SPILLED = 0.25  # share of a node that may go to both sides
 
 
 class Tree:
     """Random splits over unit vectors, one direction per level.
 
-    Nodes that hold enough of the sample split at their own median. Below them all nodes of a level
-    split at the median of the whole sample, so a tree can be as deep as the number of rows asks for.
+    Nodes that hold enough of the sample split at a cut of their own. Below them a node splits where its
+    last ancestor with enough of the sample would, so a tree can be as deep as the number of rows asks for.
     """
 
     def __init__(self, sample: np.ndarray, depth: int, seed: int, spill: float):
@@ -43,15 +47,15 @@ class Tree:
         node = np.zeros(len(sample), np.int64)
         for level in range(depth):
             value = sample @ self.directions[level]
-            cuts = np.full(1 << min(level, self.own), np.median(value))
+            cuts = np.full(1 << min(level, self.own), -np.inf)
+            for n in np.unique(node):
+                cuts[n] = _best_split(value[node == n], spill)
             if level < self.own:
-                for n in np.unique(node):
-                    cuts[n] = np.median(value[node == n])
                 node = 2 * node + (value >= cuts[node])
             self.cuts.append(cuts)
 
     def _cut(self, level: int, node: np.ndarray) -> np.ndarray:
-        return self.cuts[level][node if level < self.own else 0]
+        return self.cuts[level][node >> max(0, level - self.own)]
 
     def leaves(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) for every leaf a vector lies in or comes within ``spill`` of at some split."""
@@ -64,6 +68,16 @@ class Tree:
         return row, node
 
 
+def _best_split(values: np.ndarray, spill: float) -> float:
+    """The median, or the cut between the quartiles with the fewest values within ``spill`` if they are many
+    at the median. If they are many at all cuts, splitting would copy more than it parts: no cut."""
+    values = np.sort(values)
+    cuts = np.quantile(values, [0.5, *np.linspace(0.25, 0.75, 21)])
+    near = np.searchsorted(values, cuts + spill) - np.searchsorted(values, cuts - spill)
+    at = 0 if near[0] <= MAX_SPILLED * len(values) else int(np.argmin(near))
+    return float(cuts[at]) if near[at] <= MAX_SPILLED * len(values) else -np.inf
+
+
 def unit_vectors(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     """Indexes of the usable vectors and the vectors scaled to length 1, in double precision.
 
@@ -86,12 +100,13 @@ def unit_vectors(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
 def _link_leaf(threshold: float):
     """Group function: per vector of a leaf its links there and the smallest vector linked to it in the leaf.
 
-    A pair may share leaves of many trees; it counts in the first leaf that both list.
+    A pair may share leaves of many trees; it counts in the first leaf that both list. Of a leaf in blocks,
+    a group is one block or the pairs between two.
     """
 
     def apply(key, frame):
         frame = frame.sort_values("cls").reset_index(drop=True)
-        names, weight = frame["cls"].to_numpy(), frame["rows"].to_numpy()
+        names, weight, block = frame["cls"].to_numpy(), frame["rows"].to_numpy(), frame["block"].to_numpy()
         vectors = np.stack([np.frombuffer(v, np.float64) for v in frame["unit"]])
         # columns: the leaves before this one that some vector here is in as well
         earlier = [np.array([x for x in leaves if x < key[0]], np.int64) for leaves in frame["leaves"]]
@@ -108,6 +123,8 @@ def _link_leaf(threshold: float):
                 for i, j in np.argwhere(np.abs(cosine - threshold) < 1e-9):
                     hit[i, j] = float(np.dot(vectors[a + i], vectors[b + j])) >= threshold
                 hit &= taken[one] @ taken[two].T == 0
+                if key[1] != key[2]:
+                    hit &= block[one, None] != block[None, two]
                 if a == b:
                     hit = np.triu(hit, 1)
                 links[one] += hit @ weight[two]
@@ -140,6 +157,7 @@ def near_vectors(
     seed: int = 0,
     leaf_rows: int = LEAF_ROWS,
     sample_rows: int = SAMPLE_ROWS,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row.
 
@@ -176,8 +194,8 @@ def near_vectors(
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
         )
     placed = _placed(classes, n, trees, spill, seed, leaf_rows, sample_rows)
-    in_leaves = placed.withColumn("leaf", F.explode("leaves"))
-    found = in_leaves.groupBy("leaf").applyInPandas(_link_leaf(threshold), "cls long, links long, low long")
+    groups = _in_blocks(placed.withColumn("leaf", F.explode("leaves")), task_rows)
+    found = groups.groupBy("leaf", "one", "two").applyInPandas(_link_leaf(threshold), "cls long, links long, low long")
     found = materialize(found)
     linked = found.groupBy("cls").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("cls").alias("a"), F.col("low").alias("b")))
@@ -241,6 +259,23 @@ def _placed(
     return materialize(classes.select("cls", "unit", "rows", "least").mapInArrow(in_slices(place), schema))
 
 
+def _in_blocks(in_leaves: DataFrame, task_rows: int) -> DataFrame:
+    """Every row of a leaf with its block, once for every pair (one, two) of blocks that it takes part in.
+
+    A leaf of at most ``task_rows`` rows is one block; larger ones have blocks of about half as many.
+    """
+    sizes = in_leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > task_rows)
+    large, found = materialize_counted(sizes)
+    if not found:
+        return in_leaves.withColumns({c: F.lit(0).cast("long") for c in ("block", "one", "two")})
+    blocks = F.coalesce(F.ceil(F.col("size") * 2 / task_rows), F.lit(1)).cast("long")
+    dealt = in_leaves.join(large, "leaf", "left").withColumn("blocks", blocks)
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("cls", "leaf"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    pair = {"one": F.least("block", "other"), "two": F.greatest("block", "other")}
+    return dealt.withColumns(pair).drop("size", "blocks", "other")
+
+
 def _matrix(units: list[bytes]) -> np.ndarray:
     """The vectors of the most frequent length."""
     lengths = [len(u) for u in units]

@@ -345,3 +345,24 @@ def test_toxicity_uses_all_terms():
     rare = rare + rare
     model = toxicity.fit_linear(rare, np.zeros((6000, 0)), toxic)
     assert (model.words[1:3000:2] > 0).all()
+
+
+def test_vectors_tight_families(spark):
+    """Families of distinct near copies: few leaves for each vector, and large leaves as pairs of blocks."""
+    import numpy as np
+
+    random = np.random.default_rng(5)
+    centres = random.normal(size=(2, 64))
+    near = np.concatenate([c / np.linalg.norm(c) + random.normal(size=(300, 64)) * 0.005 for c in centres])
+    units = np.concatenate([near, random.normal(size=(400, 64))])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    depth = 6
+    for seed in range(10):
+        row, _ = vectors.Tree(units, depth, seed, 0.02).leaves(units[:600])
+        assert len(row) <= 600 * 1.25**depth
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(units)], "vec_id long, embedding array<double>")
+    linked = units @ units.T >= 0.95
+    want = {(i, int(linked[i].sum()) - 1, int(np.flatnonzero(linked[i])[0])) for i in range(len(units))}
+    for task_rows in (64, 2048):
+        got = vectors.near_vectors(frame, leaf_rows=16, task_rows=task_rows).collect()
+        assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in got} == want
