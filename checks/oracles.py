@@ -859,6 +859,7 @@ _ORACLES = {
     "enrich_customer_active": _ENR_CUSTOMER_OUT.format(_customer_metrics("fact_solvent", False)),
     "enrich_product": _ENR_PRODUCT_OUT.format(_product_metrics("fact_listed", True)),
     "enrich_product_active": _ENR_PRODUCT_OUT.format(_product_metrics("fact_listed", False)),
+    "enrich_product_distributed": _ENR_PRODUCT_OUT.format(METRICS["enr_product"]),
     "global_rank": """SELECT order_id || '-' || product_id AS linea, CAST(quantity AS BIGINT) AS quantity,
         rank() OVER (ORDER BY quantity DESC) AS rk FROM lines""",
     "global_ntile": "SELECT order_id, CAST(freight AS DOUBLE) AS freight, ntile(7) OVER (ORDER BY freight, order_id) AS tile FROM ords",

@@ -929,6 +929,13 @@ def enrich_product_active(src: Source) -> DataFrame:
     return metrics.product_metrics(_few_products(src))
 
 
+@query
+def enrich_product_distributed(src: Source) -> DataFrame:
+    """All products over all sales."""
+    s = star(src)
+    return metrics.product_metrics(s.fact, s.products)
+
+
 def _few_products(src: Source) -> DataFrame:
     """Sales of listed products only, so that some products have none."""
     s = star(src)
