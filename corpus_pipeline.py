@@ -23,15 +23,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares three quarters of its five-word shingles stays.
 
-    That is the one with the smallest id; of its repeated rows one stays. Documents without words
-    are all kept, as they are near nothing, and so are rows without an id.
+    That is the one with the smallest id; of its repeated rows one stays. Rows count by id and text, so an
+    id may have several texts; rows without an id come last in their group. Documents without words are
+    all kept, as they are near nothing.
     """
-    classes = jaccard_join.jaccard_classes(docs)
-    gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(COLUMNS).join(gone, "doc_id", "left_anti")
-    repeats = Window.partitionBy("doc_id", F.md5("text")).orderBy("lang", "source", "n_chars")
+    keyed = docs.select(COLUMNS).withColumn("key", F.xxhash64("doc_id", "text"))
+    classes = jaccard_join.jaccard_classes(keyed, "key").select(F.col("doc_id").alias("key"), "component_id").distinct()
+    members = materialize(classes.join(keyed.select("key", "doc_id").distinct(), "key"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    # written, so that the join starts from plain shuffles and a large group can be split
+    best = materialize(members.groupBy("component_id").agg(F.min_by("key", order).alias("best")))
+    gone = members.join(best, "component_id").filter("key <> best").select("key")
+    kept = keyed.join(gone, "key", "left_anti")
+    repeats = Window.partitionBy("key").orderBy("lang", "source", "n_chars")
     numbered = kept.withColumn("at", F.row_number().over(repeats))
-    return numbered.filter("at = 1 OR doc_id IS NULL OR text IS NULL").select(COLUMNS)
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return numbered.filter((F.col("at") == 1) | wordless).select(COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -366,3 +366,21 @@ def test_vectors_tight_families(spark):
     for task_rows in (64, 2048):
         got = vectors.near_vectors(frame, leaf_rows=16, task_rows=task_rows).collect()
         assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in got} == want
+
+
+def test_near_copies_go_by_row(spark):
+    """One id with several texts, groups that share ids, near copies under one id or without any."""
+    first, second, third, fourth = (" ".join(f"{c}{i}" for i in range(40)) for c in "pqrs")
+    rows = [
+        (1, first), (2, first + " x"), (2, second), (3, second + " x"),  # 2 is gone for one text only
+        (4, third), (4, third + " x"),  # two texts of one id
+        (None, fourth), (None, fourth), (None, fourth + " x"), (None, None), (None, None), (5, ""),
+    ]
+    docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert (1, first) in got and (2, second) in got
+    assert [k for k, t in got if t and t.startswith("p")] == [1] and [k for k, t in got if t and t.startswith("q")] == [2]
+    assert [k for k, t in got if t and t.startswith("r")] == [4]
+    assert [k for k, t in got if t and t.startswith("s")] == [None]
+    assert sum(t is None for _, t in got) == 2 and (5, "") in got
+    assert len(got) == 7
