@@ -11,6 +11,7 @@ import public_tokenizers
 
 from estrella.llm import (
     chat,
+    exact_dedup,
     fingerprints,
     jaccard_join,
     licenses,
@@ -154,6 +155,17 @@ def op10_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     return toxicity.score_toxicity(docs, labels)
 
 
+@query
+def op13_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    """Exact copies among all documents, which reach the index in two loads (halves by the crc of their ids)."""
+    half = F.when(F.crc32(F.col("doc_id").cast("string")) < 1 << 31, "first").otherwise("second")
+    rows = exact_dedup.digest_rows(_table(spark, directory, "documents"), half)
+    index = exact_dedup.DigestIndex(spark, work_path(spark))
+    for load in ("first", "second"):
+        index.append(rows.filter(F.col("load") == load))
+    return index.decide(rows)
+
+
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
 
@@ -194,6 +206,15 @@ FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)
 
 
 _SQL = {
+    "op13_exact_dedup": r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER best = 1 AS kept, text_sha256
+FROM d WINDOW best AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id NULLS LAST)
+""",
     "op2_license_scans": _license_sql(),
     "op1_chat_formatting": r"""
 WITH m AS (
