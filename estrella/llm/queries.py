@@ -17,6 +17,7 @@ from estrella.llm import (
     licenses,
     mixing,
     packing,
+    phrases,
     sharding,
     token_files,
     toxicity,
@@ -155,6 +156,12 @@ def op10_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     return toxicity.score_toxicity(docs, labels)
 
 
+@query
+def op12_phrases(spark: SparkSession, directory: str) -> DataFrame:
+    """The best collocations of two to five words of each language over all documents."""
+    return phrases.collocations(_table(spark, directory, "documents"))
+
+
 @query
 def op13_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     """Exact copies among all documents, which reach the index in two loads (halves by the crc of their ids)."""
@@ -206,6 +213,32 @@ FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)
 
 
 _SQL = {
+    "op12_phrases": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4), (5)) v(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND f >= 100),
+cut AS (SELECT *, unnest(range(1, k)) AS j FROM c),
+s AS (
+  SELECT cut.lang, cut.phrase, a, l.f AS l, r.f AS r, n, j, 1000::HUGEINT * a * n // (l.f::HUGEINT * r.f) AS score
+  FROM cut JOIN n USING (lang)
+  JOIN f AS l ON l.lang = cut.lang AND l.phrase = array_to_string(ws[1:j], ' ')
+  JOIN f AS r ON r.lang = cut.lang AND r.phrase = array_to_string(ws[j + 1:], ' ')),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+sub AS (SELECT lang, a, k, ws, unnest(range(2, k)) AS m FROM c WHERE k > 2),
+inside AS (SELECT lang, a, m, ws, unnest(range(1, k - m + 2)) AS i FROM sub),
+cover AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM inside GROUP BY 1, 2)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM low LEFT JOIN cover USING (lang, phrase)
+WHERE longer IS NULL OR longer < a
+QUALIFY rank <= 2000
+""",
     "op13_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_chars,
