@@ -6,16 +6,15 @@ wherever they stand. The dictionary of distinct chunks with their frequencies ta
 Phrases are counted inside the distinct chunks and weighted by their frequencies; a phrase belongs to the chunk in
 which it starts before the last window, so what lies in an overlap counts once.
 
-Phrases are counted length by length. A phrase can only be frequent if both phrases that lack its first or its last word
-are; what is known to be frequent is kept in a bitmap of fixed size over hashes, which says yes too often but never
-no to a frequent one. The last pass counts the phrases themselves, so results do not depend on hashes.
+Words and pairs are counted first. A longer phrase can only be frequent if all its pairs are; those known to be frequent
+are kept in a bitmap of fixed size over hashes, which says yes too often but never no to a frequent one. Phrases meet
+as numbers of 96 bits and carry a place where they stand; only the frequent ones fetch their words from there.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -37,8 +36,9 @@ FILTER_BITS = 27  # a bitmap takes 16 MB
 SECTION_BYTES = 1 << 21
 SLAB_WORDS = 1 << 19
 SLAB_BYTES = 1 << 23
+PLACE_BITS = 13  # for the place of a word in its chunk
 KEPT_WORDS = 1 << 20
-TOP_SALTS = 32
+SALTS = 32
 UNKNOWN = "und"
 
 # Stands between two pieces of a text; the byte is in no UTF-8 text.
@@ -73,22 +73,20 @@ def _sections(text: bytes) -> Iterator[list[bytes]]:
 
 
 class _Vocabulary:
-    """Numbers and 64-bit hashes of the words met so far; it starts anew when it is full."""
+    """Numbers of the words met so far and two 64-bit hashes of each; it starts anew when it is full."""
 
     def __init__(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.words: list[bytes] = []
-        self.hashes = np.empty(0, np.uint64)
+        self.hashes = np.empty((2, 0), np.uint64)
 
     def number(self, words: list[bytes]) -> np.ndarray:
-        if len(self.words) > KEPT_WORDS:
+        if len(self.numbers) > KEPT_WORDS:
             self.__init__()
         new = list(set(words).difference(self.numbers))
         for word in new:
-            self.numbers[word] = len(self.words)
-            self.words.append(word)
-        made = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in new), np.uint64, len(new))
-        self.hashes = np.concatenate([self.hashes, made])
+            self.numbers[word] = len(self.numbers)
+        made = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, new)), np.uint64).reshape(-1, 2).T
+        self.hashes = np.concatenate([self.hashes, made], axis=1)
         return np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
 
 
@@ -101,7 +99,7 @@ def _chunks(sections: list[list[bytes]], every: int) -> Iterator[tuple[int, byte
     begins = np.concatenate([[0], ends[:-1]])
     words = list(chain.from_iterable(sections))
     numbers = _vocabulary.number(words)
-    hashes = _vocabulary.hashes[numbers]
+    hashes = _vocabulary.hashes[0][numbers]
     section = np.repeat(np.arange(len(sections)), ends - begins)
     small = np.zeros(len(words), bool)
     windows = shingles(hashes, WINDOW) <= np.uint64((1 << 64) // every - 1)
@@ -120,7 +118,7 @@ def _chunks(sections: list[list[bytes]], every: int) -> Iterator[tuple[int, byte
 
 
 def chunk_dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", every: int = EVERY) -> DataFrame:
-    """(lang, chunk, weight): the distinct chunks of each language and how often each occurs.
+    """(chunk_id, lang, chunk, weight): the distinct chunks of each language and how often each occurs.
 
     Texts are lower-cased (A-Z); a break byte stands for each of ``.,;:!?`` and line ends. NULL texts count as empty and
     have no chunks, a NULL language is ``und``. Repeated rows count as often as they occur. Texts of any length
@@ -157,144 +155,130 @@ def chunk_dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", ev
         return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(made, pa.binary())], names=["lang", "chunk"])
 
     parsed = rows.mapInArrow(in_slices(parse), "lang string, chunk binary")
-    return materialize(parsed.groupBy("lang", "chunk").agg(F.count(F.lit(1)).alias("weight")))
+    distinct = parsed.groupBy("lang", "chunk").agg(F.count(F.lit(1)).alias("weight"))
+    return materialize(distinct.withColumn("chunk_id", F.monotonically_increasing_id()))
 
 
 class _Slab:
-    """Chunks of one language: the numbers of their words, and for each place its weight if a phrase may start there."""
-
-    def __init__(self, lang: str, chunks: list[bytes], weights: list[int]):
-        self.lang = lang
-        words = b" ".join(chunks).split(b" ")
-        lengths = np.array([c.count(b" ") + 1 for c in chunks])
-        self.numbers = _vocabulary.number(words)
-        self.words = _vocabulary.words
+    """Chunks of one language word by word: hashes, place, and a weight where a phrase may start."""
+
+    def __init__(self, lang: str, rows: list[tuple[int, bytes, int]]):
+        words = b" ".join([chunk for _, chunk, _ in rows]).split(b" ")
+        lengths = np.array([chunk.count(b" ") + 1 for _, chunk, _ in rows])
+        numbers = _vocabulary.number(words)
         ends = np.cumsum(lengths)
         left = np.repeat(ends, lengths) - np.arange(len(words))  # words from here to the chunk's end
-        self.weights = np.where(left > WINDOW, np.repeat(np.array(weights, np.int64), lengths), 0)
-        self.is_word = self.numbers != _vocabulary.numbers.get(_BREAK, -1)
-        self.weights[~self.is_word] = 0
-        salt = np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), seed=1))
-        self.hashes = mixed(_vocabulary.hashes[self.numbers] ^ salt)
+        ids = np.array([i for i, _, _ in rows], np.int64) << PLACE_BITS
+        self.places = np.repeat(ids + lengths, lengths) - left
+        self.is_word = numbers != _vocabulary.numbers.get(_BREAK, -1)
+        weights = np.repeat(np.array([w for _, _, w in rows], np.int64), lengths)
+        self.weights = np.where((left > WINDOW) & self.is_word, weights, 0)
+        self.salt = np.frombuffer(xxhash.xxh3_128_digest(lang.encode(), seed=1), np.uint64)
+        self.hashes = mixed(_vocabulary.hashes[:, numbers] ^ self.salt[:, None])
 
     def phrase_hashes(self, length: int) -> np.ndarray:
-        """Hashes of the phrases of ``length`` words that start at each place (of any words, breaks included)."""
-        n = max(0, len(self.hashes) - length + 1)
-        out = self.hashes[:n]
+        """Both hashes of the ``length`` words from each place on (of any words, breaks included)."""
+        n = max(0, self.hashes.shape[1] - length + 1)
+        out = self.hashes[:, :n]
         for j in range(1, length):
-            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + self.hashes[j : j + n])
+            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + self.hashes[:, j : j + n])
         return out
 
-    def starts(self, length: int, shorter: np.ndarray | None) -> np.ndarray:
-        """Places where a phrase of ``length`` words starts; with ``shorter``, only where both its parts are in that bitmap."""
-        n = max(0, len(self.numbers) - length + 1)
+    def starts(self, length: int, pairs: np.ndarray | None) -> np.ndarray:
+        """Places where a phrase of ``length`` words starts; with ``pairs``, only those all of whose pairs it marks."""
+        n = max(0, len(self.weights) - length + 1)
         good = self.weights[:n] > 0
         for j in range(1, length):
             good &= self.is_word[j : j + n]
-        if shorter is not None:
-            there = _holds(shorter, self.phrase_hashes(length - 1))
-            good &= there[:n] & there[1 : n + 1]
+        if pairs is not None:
+            for j in range(length - 1):
+                good &= pairs[j : j + n]
         return np.flatnonzero(good)
 
-    def counted(self, starts: np.ndarray, length: int) -> tuple[list[bytes], np.ndarray]:
-        """The distinct phrases at some places and their weighted counts."""
-        if not len(starts):
-            return [], np.empty(0, np.int64)
-        key = self.numbers[starts]
-        for j in range(1, length):
-            # numbers of pairs fit 64 bits, as both parts number at most the words of a slab or a vocabulary
-            pairs = (np.unique(key, return_inverse=True)[1].astype(np.int64) << 32) | self.numbers[starts + j]
-            key = pairs
-        _, first, group = np.unique(key, return_index=True, return_inverse=True)
+    def counted(self, length: int, pairs: np.ndarray | None) -> list[np.ndarray]:
+        """Hash, check, length, weighted count and a place of each distinct phrase."""
+        starts = self.starts(length, pairs)
+        one, two = self.phrase_hashes(length)[:, starts]
+        check = (two >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        _, first, group = np.unique(one, return_index=True, return_inverse=True)
+        if (check != check[first][group]).any():  # two phrases of one hash
+            both = np.stack([one, two >> np.uint64(32)], axis=1)
+            _, first, group = np.unique(both, axis=0, return_index=True, return_inverse=True)
         counts = np.zeros(len(first), np.int64)
-        np.add.at(counts, group, self.weights[starts])
-        at = starts[first]
-        columns = [[self.words[i] for i in self.numbers[at + j].tolist()] for j in range(length)]
-        return [b" ".join(ws) for ws in zip(*columns, strict=True)], counts
+        np.add.at(counts, group.ravel(), self.weights[starts])
+        return [one[first].view(np.int64), check[first], np.full(len(first), length, np.int32), counts, self.places[starts[first]]]
+
+    def size(self) -> list[np.ndarray]:
+        """The number of words of the language here, as a phrase of no words."""
+        total = np.array([self.weights.sum()])
+        check = np.zeros(1, np.int32)
+        return [self.salt[:1].view(np.int64), check, check, total, self.places[:1]]
 
 
 def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[_Slab]:
-    held: dict[str, tuple[list[bytes], list[int]]] = {}
+    held: dict[str, list[tuple[int, bytes, int]]] = {}
     size = 0
     for batch in batches:
-        rows = zip(batch.column("lang").to_pylist(), batch.column("chunk").to_pylist(), batch.column("weight").to_pylist(), strict=True)
-        for lang, chunk, weight in rows:
-            chunks, weights = held.setdefault(lang, ([], []))
-            chunks.append(chunk)
-            weights.append(weight)
-            size += len(chunk)
+        columns = [batch.column(c).to_pylist() for c in ("lang", "chunk_id", "chunk", "weight")]
+        for lang, *row in zip(*columns, strict=True):
+            held.setdefault(lang, []).append(tuple(row))
+            size += len(row[1])
             if size > SLAB_BYTES:
-                yield from (_Slab(name, *lists) for name, lists in held.items())
+                yield from (_Slab(name, rows) for name, rows in held.items())
                 held.clear()
                 size = 0
-    yield from (_Slab(name, *lists) for name, lists in held.items())
+    yield from (_Slab(name, rows) for name, rows in held.items())
     pa.default_memory_pool().release_unused()
 
 
-def _holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = (hashes >> np.uint64(64 - int(len(bitmap)).bit_length() - 2)).astype(np.int64)
+def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bits = len(bitmap).bit_length() + 2
+    slot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
     return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
-def _frequent(dictionary: DataFrame, length: int, shorter: Broadcast | None, least: int, bits: int) -> Broadcast:
-    """Bitmap over the hashes of all phrases of ``length`` words that occur at least ``least`` times."""
-    spark = dictionary.sparkSession
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for slab in _slabs(batches):
-            starts = slab.starts(length, shorter.value if shorter else None)
-            if not len(starts):
-                continue
-            found, group = np.unique(slab.phrase_hashes(length)[starts], return_inverse=True)
-            counts = np.zeros(len(found), np.int64)
-            np.add.at(counts, group, slab.weights[starts])
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["hash", "n"])
-
-    sums = dictionary.mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    slot = F.shiftrightunsigned("hash", 64 - bits)
-    blocks = sums.groupBy(F.bitmap_bucket_number(slot + 1).alias("block")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("bits")
+def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of 2 ** ``bits`` slots over 64-bit hashes, put together from at most 2 ** (bits - 15) rows of 4 kB."""
+    slot = F.shiftrightunsigned("hash", 64 - bits) + 1
+    blocks = hashes.groupBy(F.bitmap_bucket_number(slot).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
     )
     bitmap = np.zeros(1 << (bits - 3), np.uint8)
-    for row in blocks.collect():  # at most 2 ** (bits - 15) rows of 4 kB
+    for row in blocks.collect():
         at = (row["block"] - 1) * len(row["bits"])
-        bitmap[at : at + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
-    return spark.sparkContext.broadcast(bitmap)
+        bitmap[at : at + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)[: len(bitmap)]
+    return bitmap
 
 
-def phrase_counts(dictionary: DataFrame, least: int, bits: int = FILTER_BITS) -> DataFrame:
-    """(lang, phrase, words, f) of the words and phrases with f >= ``least``, and for each language its number of
-    words as the phrase of no words. Phrases are joined by spaces."""
-    filters: list[Broadcast] = []
-    for length in range(1, MAX_WORDS):
-        filters.append(_frequent(dictionary, length, filters[-1] if filters else None, least, bits))
+def _frequent(dictionary: DataFrame, lengths: Sequence[int], pairs: Broadcast | None, least: int) -> DataFrame:
+    """(hash, check, words, f, place) of the phrases of some lengths with f >= ``least``; length 0 counts all words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slab in _slabs(batches):
-            phrases, sizes, counts = [b""], [np.zeros(1, np.int32)], [np.array([slab.weights.sum()])]
-            for length in range(1, MAX_WORDS + 1):
-                if length < MAX_WORDS:
-                    starts = slab.starts(length, None)
-                    starts = starts[_holds(filters[length - 1].value, slab.phrase_hashes(length)[starts])]
-                else:
-                    starts = slab.starts(length, filters[-1].value)
-                found, n = slab.counted(starts, length)
-                phrases += found
-                sizes.append(np.full(len(found), length, np.int32))
-                counts.append(n)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([slab.lang] * len(phrases), pa.string()),
-                    pa.array(phrases, pa.binary()).cast(pa.string()),
-                    pa.array(np.concatenate(sizes)),
-                    pa.array(np.concatenate(counts)),
-                ],
-                names=["lang", "phrase", "words", "f"],
-            )
-
-    parts = dictionary.mapInArrow(count, "lang string, phrase string, words int, f long")
-    sums = parts.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
-    return materialize(sums.filter((F.col("words") == 0) | (F.col("f") >= least)))
+            known = _marked(pairs.value, slab.phrase_hashes(2)[0]) if pairs else None
+            for length in lengths:
+                columns = slab.counted(length, known) if length else slab.size()
+                if len(columns[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["hash", "check", "words", "f", "place"])
+
+    parts = dictionary.mapInArrow(count, "hash long, check int, words int, f long, place long")
+    sums = parts.groupBy("hash", "check", "words").agg(F.sum("f").alias("f"), F.max("place").alias("place"))
+    return materialize(sums.filter(F.col("f") >= least))
+
+
+def phrase_counts(dictionary: DataFrame, least: int, bits: int = FILTER_BITS) -> DataFrame:
+    """(lang, phrase, words, f) of the words and phrases with f >= ``least``, and for each language its number of
+    words as the phrase of no words. Phrases are joined by spaces."""
+    spark = dictionary.sparkSession
+    short = _frequent(dictionary, (0, 1, 2), None, least)
+    pairs = spark.sparkContext.broadcast(_bitmap(short.filter("words = 2"), bits))
+    found = short.unionByName(_frequent(dictionary, range(3, MAX_WORDS + 1), pairs, least))
+    placed = found.withColumn("chunk_id", F.shiftright("place", PLACE_BITS)).withColumn(
+        "at", F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).cast("int")
+    )
+    words = F.slice(F.split(F.col("chunk").cast("string"), " "), F.col("at") + 1, F.col("words"))
+    texts = placed.join(dictionary.select("chunk_id", "lang", "chunk"), "chunk_id")
+    return materialize(texts.select("lang", F.array_join(words, " ").alias("phrase"), "words", "f"))
 
 
 def _score(a: Column, n: Column, left: Column, right: Column) -> Column:
@@ -323,7 +307,9 @@ def collocations(
     language is ``und``, repeated rows count as often as they occur, and no rows give no rows. Other columns are ignored.
     """
     counts = phrase_counts(chunk_dictionary(docs, text, lang, every), least, bits)
-    sizes = counts.filter("words = 0").select("lang", F.col("f").alias("n"))
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int").alias("salt")
+    # once for every salt, so the phrases of a language meet it in many tasks
+    sizes = counts.filter("words = 0").select("lang", F.col("f").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     known = counts.filter("words > 0").select("lang", "phrase", "f")
     ws = F.split("phrase", " ")
     found = counts.filter("words >= 2").select("lang", "phrase", "words", F.col("f").alias("a"), ws.alias("ws"))
@@ -335,7 +321,7 @@ def collocations(
     cuts = cuts.select("lang", "phrase", "a", "k", part(F.lit(1), F.col("k")).alias("first"), part(F.col("k") + 1, F.col("words") - F.col("k")).alias("rest"))
     cuts = cuts.join(known.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l")), ["lang", "first"])
     cuts = cuts.join(known.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])
-    scored = cuts.join(sizes, "lang").withColumn("score", _score(F.col("a"), F.col("n"), F.col("l"), F.col("r")))
+    scored = cuts.withColumn("salt", salt).join(sizes, ["lang", "salt"]).withColumn("score", _score(F.col("a"), F.col("n"), F.col("l"), F.col("r")))
     lowest = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
 
     inner = found.filter("words >= 3").select(
@@ -349,7 +335,6 @@ def collocations(
     flat = left.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
     # a language's best are found among the best of its parts, so no task sees all its phrases
     best = [F.desc("score"), F.desc("a"), "phrase"]
-    salted = flat.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(TOP_SALTS)))
-    parts = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*best)))
+    parts = flat.withColumn("salt", salt).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*best)))
     final = parts.filter(F.col("rank") <= top).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)))
     return final.filter(F.col("rank") <= top).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

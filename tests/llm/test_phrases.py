@@ -70,7 +70,7 @@ def test_full_bitmaps_lose_nothing(spark):
     rnd = random.Random(5)
     rows = [(words(rnd, 200), "en") for _ in range(30)]
     docs = frame(spark, rows)
-    results = [{tuple(r) for r in phrases.collocations(docs, least=5, top=500, bits=b, cover=80).collect()} for b in (15, 22)]
+    results = [{tuple(r) for r in phrases.collocations(docs, least=5, top=500, bits=b, cover=80).collect()} for b in (16, 22)]
     assert results[0] == results[1] == brute(rows, 5, 500, 80)
 
 
