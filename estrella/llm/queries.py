@@ -19,6 +19,7 @@ from estrella.llm import (
     packing,
     phrases,
     sharding,
+    spelling,
     token_files,
     toxicity,
     vectors,
@@ -156,6 +157,12 @@ def op10_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     return toxicity.score_toxicity(docs, labels)
 
 
+@query
+def op11_spelling(spark: SparkSession, directory: str) -> DataFrame:
+    """The words of all documents with the spelling that each is a variant of."""
+    return spelling.spelling_variants(_table(spark, directory, "documents"))
+
+
 @query
 def op12_phrases(spark: SparkSession, directory: str) -> DataFrame:
     """The best collocations of two to five words of each language over all documents."""
@@ -213,6 +220,47 @@ FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)
 
 
 _SQL = {
+    # near words by what is left when one code point is taken out; the crc32 byte by byte from its table
+    "op11_spelling": r"""
+WITH RECURSIVE step(b, i, c) AS (
+  SELECT b, 0, b::UBIGINT FROM range(256) v(b)
+  UNION ALL SELECT b, i + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM step WHERE i < 8),
+t AS (SELECT list(c ORDER BY b) AS t FROM step WHERE i = 8),
+d AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS name, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+') AS runs
+  FROM documents),
+r AS (SELECT name, run, count(*) AS n FROM (SELECT name, unnest(runs) AS run FROM d) GROUP BY 1, 2),
+y AS (
+  SELECT run, n, flatten(list_transform(string_split(name || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END)) AS bytes
+  FROM r),
+h AS (
+  SELECT run, n, xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, bytes::UBIGINT[]),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255)::BIGINT + 1]))) AS h
+  FROM y, t),
+w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[:(h % length(run))::BIGINT] || run[(h % length(run))::BIGINT + 2:] ELSE run END AS word,
+    sum(n)::BIGINT AS n
+  FROM h GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+x AS (
+  SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+e AS (
+  SELECT a.word AS a, b.word AS b, b.n AS nb FROM x AS a JOIN x AS b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT x.word, w.word, w.n FROM x JOIN w ON x.rest = w.word
+  UNION SELECT w.word, x.word, x.n FROM x JOIN w ON x.rest = w.word),
+b AS (
+  SELECT *, count(*) OVER (PARTITION BY a) AS n_near FROM e
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY nb DESC, b) = 1),
+f AS (
+  SELECT word, CASE WHEN nb >= 2 * n THEN b END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN nb >= 2 * n THEN nb END AS form_n
+  FROM w LEFT JOIN b ON a = word),
+c(word, here) AS (SELECT word, word FROM f UNION ALL SELECT c.word, form FROM c JOIN f ON f.word = c.here WHERE form IS NOT NULL),
+root AS (SELECT c.word, here AS root FROM c JOIN f ON f.word = c.here WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN root USING (word)
+""",
     "op12_phrases": r"""
 WITH p AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
