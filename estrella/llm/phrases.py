@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -82,12 +82,15 @@ class _Vocabulary:
     def number(self, words: list[bytes]) -> np.ndarray:
         if len(self.numbers) > KEPT_WORDS:
             self.__init__()
-        new = list(set(words).difference(self.numbers))
+        out = np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(out < 0).tolist()
+        new = list({words[i] for i in unknown})
         for word in new:
             self.numbers[word] = len(self.numbers)
         made = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, new)), np.uint64).reshape(-1, 2).T
         self.hashes = np.concatenate([self.hashes, made], axis=1)
-        return np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        out[unknown] = [self.numbers[words[i]] for i in unknown]
+        return out
 
 
 _vocabulary = _Vocabulary()
@@ -176,14 +179,17 @@ class _Slab:
         self.salt = np.frombuffer(xxhash.xxh3_128_digest(lang.encode(), seed=1), np.uint64)
         self.hashes = mixed(_vocabulary.hashes[:, numbers] ^ self.salt[:, None])
 
-    def phrase_hashes(self, length: int) -> np.ndarray:
-        """Both hashes of the ``length`` words from each place on (of any words, breaks included)."""
-        n = max(0, self.hashes.shape[1] - length + 1)
-        out = self.hashes[:, :n]
+    def phrase_hashes(self, length: int, starts: np.ndarray) -> np.ndarray:
+        """Both hashes of the ``length`` words from each of some places on (of any words, breaks included)."""
+        out = self.hashes[:, starts]
         for j in range(1, length):
-            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + self.hashes[:, j : j + n])
+            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + self.hashes[:, starts + j])
         return out
 
+    def marked_pairs(self, bitmap: np.ndarray) -> np.ndarray:
+        """Whether the pair of words from each place on is in a bitmap."""
+        return _marked(bitmap, self.phrase_hashes(2, np.arange(max(0, len(self.weights) - 1)))[0])
+
     def starts(self, length: int, pairs: np.ndarray | None) -> np.ndarray:
         """Places where a phrase of ``length`` words starts; with ``pairs``, only those all of whose pairs it marks."""
         n = max(0, len(self.weights) - length + 1)
@@ -196,17 +202,14 @@ class _Slab:
         return np.flatnonzero(good)
 
     def counted(self, length: int, pairs: np.ndarray | None) -> list[np.ndarray]:
-        """Hash, check, length, weighted count and a place of each distinct phrase."""
+        """Hash, check, length, weighted count and a place of each distinct phrase; two of one hash may come in several rows."""
         starts = self.starts(length, pairs)
-        one, two = self.phrase_hashes(length)[:, starts]
-        check = (two >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        _, first, group = np.unique(one, return_index=True, return_inverse=True)
-        if (check != check[first][group]).any():  # two phrases of one hash
-            both = np.stack([one, two >> np.uint64(32)], axis=1)
-            _, first, group = np.unique(both, axis=0, return_index=True, return_inverse=True)
-        counts = np.zeros(len(first), np.int64)
-        np.add.at(counts, group.ravel(), self.weights[starts])
-        return [one[first].view(np.int64), check[first], np.full(len(first), length, np.int32), counts, self.places[starts[first]]]
+        one, two = self.phrase_hashes(length, starts)
+        order = np.argsort(one)
+        one, check, starts = one[order].view(np.int64), (two[order] >> np.uint64(32)).astype(np.uint32).view(np.int32), starts[order]
+        first = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (check[1:] != check[:-1]))[: len(one)])
+        counts = np.add.reduceat(self.weights[starts], first) if len(first) else np.empty(0, np.int64)
+        return [one[first], check[first], np.full(len(first), length, np.int32), counts, self.places[starts[first]]]
 
     def size(self) -> list[np.ndarray]:
         """The number of words of the language here, as a phrase of no words."""
@@ -255,7 +258,7 @@ def _frequent(dictionary: DataFrame, lengths: Sequence[int], pairs: Broadcast |
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slab in _slabs(batches):
-            known = _marked(pairs.value, slab.phrase_hashes(2)[0]) if pairs else None
+            known = slab.marked_pairs(pairs.value) if pairs else None
             for length in lengths:
                 columns = slab.counted(length, known) if length else slab.size()
                 if len(columns[0]):
