@@ -3,8 +3,9 @@
 Two words are near if one code point was inserted, deleted or replaced. Bigrams have a global order, rare ones
 first. The prefix of a word are its first three bigrams in that order, and among them dynamic programming chooses two
 that do not overlap and are rarest together: the pivots. One edit cannot destroy both pivots, so of two near words, the one whose
-prefix ends earlier has a pivot that is in the other's prefix, at the same place or one beside it as the lengths
-say. Such pairs are found by a join on (bigram, place, length) and verified.
+prefix ends earlier has a pivot that is in the other's prefix, at a place that the edit's side of it and the lengths
+fix. On its other side, and beyond the other pivot, nothing was edited. Pivots therefore meet the prefixes of other
+words by (bigram, place, length, unedited side), and what is left is verified.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,6 +126,34 @@ def prefix_and_pivots(word: str, order: dict[str, tuple[int, int]]) -> tuple[lis
     return prefix, best[PIVOTS][-1][1], last
 
 
+def _key(side: str, length: int, text: str) -> int:
+    """A bigram with all of its word to the left or right of it, in a word of some length. Place and bigram follow from the text.
+
+    Pairs that meet are verified, so collisions do no harm.
+    """
+    return xxhash.xxh3_64_intdigest(f"{side}{length}:{text}") - (1 << 63)
+
+
+def index_keys(word: str, prefix: list[tuple[int, int]]) -> list[int]:
+    return [k for _, at in prefix for k in (_key("l", len(word), word[: at + GRAM]), _key("r", len(word), word[at:]))]
+
+
+def probes(word: str, pivots: list[tuple[int, int]]) -> list[tuple[int, bool, str]]:
+    """(key, whether the unedited side is the left one, what else is unedited at the other end) for every place an edit can be at.
+
+    The places before, in front of the second, behind the first and behind both pivots cover the word; for each there is a pivot that
+    survives. The other word may be as long, longer or shorter by one.
+    """
+    one, two = sorted(at for _, at in pivots)
+    sides = [
+        ("r", word[one:], ""),
+        ("r", word[two:], word[:one]),
+        ("l", word[: one + GRAM], word[two + GRAM :]),
+        ("l", word[: two + GRAM], ""),
+    ]
+    return [(_key(side, len(word) + more, same), side == "l", rest) for side, same, rest in sides for more in (-1, 0, 1)]
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, na, b, nb): every unordered pair of near words with their counts, once.
 
@@ -132,41 +162,31 @@ def near_pairs(words: DataFrame) -> DataFrame:
     spark = words.sparkSession
     ship(spark)
     order = spark.sparkContext.broadcast(_gram_order(words))
+    kind = pa.struct([("key", pa.int64()), ("left", pa.bool_()), ("rest", pa.string())])
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prefixes, pivots, lasts = [], [], []
+            keys, asked, lasts = [], [], []
             for word in batch.column("word").to_pylist():
-                prefix, chosen, last = prefix_and_pivots(word, order.value)
-                prefixes.append([{"gram": g, "place": p} for g, p in prefix])
-                pivots.append([{"gram": g, "place": p} for g, p in chosen])
+                prefix, pivots, last = prefix_and_pivots(word, order.value)
+                keys.append(index_keys(word, prefix))
+                asked.append([{"key": k, "left": left, "rest": rest} for k, left, rest in probes(word, pivots)])
                 lasts.append(last)
-            kind = pa.list_(pa.struct([("gram", pa.int32()), ("place", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("n"), pa.array(prefixes, kind), pa.array(pivots, kind), pa.array(lasts, pa.int32())],
-                names=["word", "n", "prefix", "pivots", "last"],
+                [batch.column("word"), batch.column("n"), pa.array(keys, pa.list_(pa.int64())), pa.array(asked, pa.list_(kind)), pa.array(lasts, pa.int32())],
+                names=["word", "n", "keys", "asked", "last"],
             )
 
-    grams = "array<struct<gram:int,place:int>>"
-    known = words.select("word", "n").mapInArrow(parts, f"word string, n long, prefix {grams}, pivots {grams}, last int")
-    known = materialize(known).withColumn("length", F.length("word"))
-    indexed = known.select("word", "n", "last", "length", F.inline("prefix"))
-    # a bigram behind the edit has moved along if the other word is longer or shorter
-    asked = known.select("word", "n", "last", "length", F.inline("pivots"))
-    moves = F.array(*[F.struct(F.lit(a).alias("longer"), F.lit(b).alias("moved")) for a, b in ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))])
-    asked = asked.withColumn("move", F.explode(moves)).select(
-        F.col("word").alias("a"),
-        F.col("n").alias("na"),
-        F.col("last").alias("a_last"),
-        "gram",
-        (F.col("place") + F.col("move.moved")).alias("place"),
-        (F.col("length") + F.col("move.longer")).alias("length"),
-    )
-    found = indexed.withColumnRenamed("word", "b").withColumnRenamed("n", "nb").join(asked, ["gram", "place", "length"])
-    met = found.filter((F.col("a_last") <= F.col("last")) & (F.col("a") != F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
+    schema = "word string, n long, keys array<long>, asked array<struct<key:long,left:boolean,rest:string>>, last int"
+    known = materialize(words.select("word", "n").mapInArrow(parts, schema))
+    indexed = known.select(F.col("word").alias("b"), F.col("n").alias("nb"), F.col("last").alias("b_last"), F.explode("keys").alias("key"))
+    asked = known.select(F.col("word").alias("a"), F.col("n").alias("na"), F.col("last").alias("a_last"), F.inline("asked"))
+    unedited = F.when(F.col("left"), F.endswith("b", F.col("rest"))).otherwise(F.startswith("b", F.col("rest")))
+    met = indexed.join(asked, "key").filter((F.col("a_last") <= F.col("b_last")) & (F.col("a") != F.col("b")) & unedited)
+    found = met.filter(F.levenshtein("a", "b", 1) == 1)
     swap = F.col("a") > F.col("b")
     first, second = F.struct(F.col("a").alias("w"), F.col("na").alias("n")), F.struct(F.col("b").alias("w"), F.col("nb").alias("n"))
-    ends = met.select(F.when(swap, second).otherwise(first).alias("x"), F.when(swap, first).otherwise(second).alias("y"))
+    ends = found.select(F.when(swap, second).otherwise(first).alias("x"), F.when(swap, first).otherwise(second).alias("y"))
     return ends.select(F.col("x.w").alias("a"), F.col("x.n").alias("na"), F.col("y.w").alias("b"), F.col("y.n").alias("nb")).distinct()
 
 
