@@ -141,8 +141,7 @@ STAR = {
         FROM products LEFT JOIN dim_country c ON c.country_name = 'NATION_' || split_part(supplier_id, '#', 2)""",
     "dim_shipper": "SELECT *, row_number() OVER (ORDER BY nk_shipper_id) AS sk_shipper FROM shippers",
     "fact": FACT_SELECT.format(lines="lines", orders="ords", customer="LEFT JOIN dim_customer c"),
-    "fact_solvent": "SELECT * FROM fact WHERE sk_cliente IN (SELECT sk_cliente FROM dim_customer WHERE balance >= 0)",
-    "fact_listed": "SELECT * FROM fact WHERE sk_producto IN (SELECT sk_producto FROM dim_product WHERE CAST(discontinued AS INT) = 0)",
+    "dim_product_unsold": "SELECT sk_producto FROM dim_product UNION ALL SELECT max(sk_producto) + 1 FROM dim_product",
     "fact_2001": "SELECT * FROM fact WHERE sk_tiempo BETWEEN 20010101 AND 20011231",
     "fact_year": f"SELECT * FROM fact WHERE sk_tiempo BETWEEN {REPORT_YEAR}0101 AND {REPORT_YEAR}1231",
 }
@@ -163,8 +162,8 @@ def _customer_metrics(fact: str, keep_all: bool) -> str:
                 FROM {source} GROUP BY sk_cliente))"""
 
 
-def _product_metrics(fact: str, keep_all: bool) -> str:
-    source = f"dim_product d LEFT JOIN {fact} f USING (sk_producto)" if keep_all else f"{fact} f"
+def _product_metrics(fact: str, keep_all: bool, products: str = "dim_product") -> str:
+    source = f"{products} d LEFT JOIN {fact} f USING (sk_producto)" if keep_all else f"{fact} f"
     return f"""
         SELECT *, CASE tile WHEN 5 THEN 'TOP' WHEN 1 THEN 'LOW' ELSE 'MID' END AS performance FROM (
             SELECT *, rank() OVER (ORDER BY revenue_total DESC) AS rank_revenue,
@@ -191,15 +190,19 @@ def _pct(part: str, whole: str, scale: int) -> str:
     )
 
 
-METRICS = {
-    "enr_customer": _customer_metrics("fact", True),
-    "enr_product": _product_metrics("fact", True),
-    "m_period": f"""
+def _period(fact: str) -> str:
+    return f"""
         SELECT anio, trimestre, mes, nombre_mes, count(DISTINCT nk_order_id) AS total_pedidos, count(*) AS total_lineas,
                count(DISTINCT sk_cliente) AS total_clientes, count(DISTINCT sk_producto) AS total_productos,
                sum(monto_bruto) AS monto_bruto, sum(monto_descuento) AS monto_descuento, sum(monto_neto) AS monto_neto,
                sum(flete_prorrateado) AS flete_total, {_ratio('sum(monto_neto)', 'count(DISTINCT nk_order_id)')} AS ticket_promedio
-        FROM fact JOIN calendar USING (sk_tiempo) GROUP BY anio, trimestre, mes, nombre_mes""",
+        FROM {fact} JOIN calendar USING (sk_tiempo) GROUP BY anio, trimestre, mes, nombre_mes"""
+
+
+METRICS = {
+    "enr_customer": _customer_metrics("fact", True),
+    "enr_product": _product_metrics("fact", True),
+    "m_period": _period("fact"),
     "m_customer": """
         SELECT c.sk_cliente, nk_customer_id, company_name, city, country, p.country_name AS country_name_pais,
                p.capital_major_city, customer_score, customer_score_segmento, segmento, total_pedidos, total_lineas,
@@ -272,6 +275,22 @@ HISTORY = {
         FROM news n, eff
         WHERE n.nk_customer_id IN (SELECT nk_customer_id FROM changed WHERE NOT late)
            OR n.nk_customer_id NOT IN (SELECT nk_customer_id FROM hist)""",
+    "seen": f"""
+        SELECT 0 AS lote, fecha_desde AS fecha, nk_customer_id, sk_cliente, company_name, city, region, country FROM hist
+        UNION ALL SELECT 1, f, nk_customer_id, sk_cliente, company_name, city, region, country FROM news, eff
+        UNION ALL SELECT 2, DATE '{OVERLAP}', nk_customer_id, sk_cliente, company_name,
+               CASE WHEN balance < 4000 THEN 'Late' ELSE city END, region, country
+        FROM dim_customer WHERE contact_title IN ('BUILDING', 'MACHINERY')""",
+    "turns": """
+        SELECT *, row(company_name, city, region, country) AS state,
+               lag(row(company_name, city, region, country)) OVER (PARTITION BY nk_customer_id ORDER BY fecha) AS earlier,
+               row_number() OVER (PARTITION BY nk_customer_id ORDER BY fecha) AS nth
+        FROM (SELECT * FROM seen QUALIFY row_number() OVER (PARTITION BY nk_customer_id, fecha ORDER BY lote DESC) = 1)""",
+    "spliced": """
+        SELECT nk_customer_id, sk_cliente, company_name, city, region, country, fecha AS fecha_desde,
+               lead(fecha) OVER (PARTITION BY nk_customer_id ORDER BY fecha) - 1 AS fecha_hasta,
+               CASE WHEN lead(fecha) OVER (PARTITION BY nk_customer_id ORDER BY fecha) IS NULL THEN 1 ELSE 0 END AS es_vigente
+        FROM turns WHERE nth = 1 OR state IS DISTINCT FROM earlier""",
 }
 
 BATCH = {
@@ -660,6 +679,10 @@ _FACT_OUT = """SELECT CAST(sk_tiempo AS BIGINT) AS sk_tiempo, sk_cliente, sk_emp
 _CALENDAR_OUT = """SELECT CAST(sk_tiempo AS BIGINT) AS sk_tiempo, CAST(fecha AS VARCHAR) AS fecha, anio, trimestre, mes, nombre_mes,
     semana_anio, dia, dia_semana, nombre_dia, CAST(es_fin_de_semana AS BIGINT) AS es_fin_de_semana FROM {0}"""
 
+_PERIOD_OUT = """SELECT anio, trimestre, mes, nombre_mes, total_pedidos, total_lineas, total_clientes, total_productos,
+    CAST(monto_bruto AS DOUBLE) AS monto_bruto, CAST(monto_descuento AS DOUBLE) AS monto_descuento, CAST(monto_neto AS DOUBLE) AS monto_neto,
+    CAST(flete_total AS DOUBLE) AS flete_total, ticket_promedio FROM ({0})"""
+
 _ENR_CUSTOMER_OUT = """SELECT sk_cliente, total_pedidos, total_lineas, CAST(monto_total_neto AS DOUBLE) AS monto_total_neto,
     monto_promedio_pedido, CAST(primer_pedido AS VARCHAR) AS primer_pedido, CAST(ultimo_pedido AS VARCHAR) AS ultimo_pedido,
     dias_como_cliente, segmento FROM ({0})"""
@@ -855,19 +878,35 @@ _ORACLES = {
         m.region AS region_vigente, CAST(m.fecha_desde AS VARCHAR) AS fecha_desde_vigente
         FROM ords o LEFT JOIN merged m ON m.nk_customer_id = o.customer_id AND m.fecha_desde <= o.order_date
              AND (m.fecha_hasta IS NULL OR o.order_date <= m.fecha_hasta)""",
-    "enrich_customer": _ENR_CUSTOMER_OUT.format(_customer_metrics("fact_solvent", True)),
-    "enrich_customer_active": _ENR_CUSTOMER_OUT.format(_customer_metrics("fact_solvent", False)),
-    "enrich_product": _ENR_PRODUCT_OUT.format(_product_metrics("fact_listed", True)),
-    "enrich_product_active": _ENR_PRODUCT_OUT.format(_product_metrics("fact_listed", False)),
-    "enrich_product_distributed": _ENR_PRODUCT_OUT.format(METRICS["enr_product"]),
+    "enrich_customer": _ENR_CUSTOMER_OUT.format(METRICS["enr_customer"]),
+    "enrich_customer_active": _ENR_CUSTOMER_OUT.format(_customer_metrics("fact", False)),
+    "enrich_product": _ENR_PRODUCT_OUT.format(METRICS["enr_product"]),
+    "enrich_product_active": _ENR_PRODUCT_OUT.format(_product_metrics("fact", False)),
+    "enrich_product_distributed": _ENR_PRODUCT_OUT.format(_product_metrics("fact", True, "dim_product_unsold")),
+    "fact_upsert_snapshot": _FACT_OUT.format("upserted"),
+    "delta_customer": _ENR_CUSTOMER_OUT.format(_customer_metrics("upserted", True)),
+    "delta_product": _ENR_PRODUCT_OUT.format(_product_metrics("upserted", True)),
+    "delta_period": _PERIOD_OUT.format(_period("upserted")),
+    "delta_seller": f"SELECT * REPLACE (CAST(monto_neto AS DOUBLE) AS monto_neto) FROM ({_seller('upserted')})",
+    "scd2_merge_on_read": _HISTORY_OUT.format("merged"),
+    "fact_merge_on_read": _FACT_OUT.format("upserted"),
+    "scd2_late": _HISTORY_OUT.format("spliced"),
+    "scd2_any_order": _HISTORY_OUT.format("spliced"),
+    "scd2_late_invariants": """SELECT (SELECT count(*) FROM spliced WHERE fecha_hasta < fecha_desde) + (SELECT count(*) FROM (
+        SELECT nk_customer_id FROM spliced WHERE es_vigente = 1 GROUP BY 1 HAVING count(*) > 1)) AS incumplimientos""",
+    "csv_quarantine": """SELECT customer_id, trim(company_name) AS company_name, country FROM raw_customers
+        WHERE contact_title NOT IN ('BUILDING', 'MACHINERY') AND country NOT IN ('7', '9')""",
+    "csv_rejects": """SELECT customer_id AS clave, CAST(1 AS BIGINT) AS numerada, CASE contact_title WHEN 'BUILDING' THEN 'Faltan campos: 2 de 3'
+        WHEN 'MACHINERY' THEN 'Sobran campos: 5 de 3' ELSE CASE country WHEN '7' THEN 'Comillas sin cerrar' ELSE
+        'Linea demasiado larga: ' || (length(customer_id) + length(trim(company_name)) + length(country) + 504) || ' caracteres' END END
+        AS motivo_rechazo
+        FROM raw_customers WHERE contact_title IN ('BUILDING', 'MACHINERY') OR country IN ('7', '9')""",
     "global_rank": """SELECT order_id || '-' || product_id AS linea, CAST(quantity AS BIGINT) AS quantity,
         rank() OVER (ORDER BY quantity DESC) AS rk FROM lines""",
     "global_ntile": "SELECT order_id, CAST(freight AS DOUBLE) AS freight, ntile(7) OVER (ORDER BY freight, order_id) AS tile FROM ords",
     "global_row_number": """SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, row_number() OVER (ORDER BY order_date, order_id) AS fila
         FROM ords""",
-    "mart_period": """SELECT anio, trimestre, mes, nombre_mes, total_pedidos, total_lineas, total_clientes, total_productos,
-        CAST(monto_bruto AS DOUBLE) AS monto_bruto, CAST(monto_descuento AS DOUBLE) AS monto_descuento, CAST(monto_neto AS DOUBLE) AS monto_neto,
-        CAST(flete_total AS DOUBLE) AS flete_total, ticket_promedio FROM m_period""",
+    "mart_period": _PERIOD_OUT.format("m_period"),
     "mart_customer": _CUSTOMER_OUT,
     "mart_product": """SELECT * REPLACE (CAST(precio_lista AS DOUBLE) AS precio_lista, CAST(discontinued AS BIGINT) AS discontinued,
         CAST(total_unidades AS BIGINT) AS total_unidades, CAST(revenue_total AS DOUBLE) AS revenue_total) FROM m_product""",
@@ -937,9 +976,9 @@ _ORACLES = {
         CAST(0 AS BIGINT) AS cant_nulos, CAST(0 AS BIGINT) AS cant_distintos, CAST(NULL AS VARCHAR) AS valor_min, CAST(NULL AS VARCHAR) AS valor_max""",
     "ind_report": f"""SELECT row_number() OVER (ORDER BY CASE resultado WHEN 'ERROR' THEN 1 WHEN 'WARNING' THEN 2 ELSE 3 END, tabla, campo, indicador)
         AS orden, tabla, campo, indicador, resultado FROM ({_business()} UNION ALL {_nulls()})""",
-    "upsert_null_partition": """SELECT order_id, CASE WHEN order_id % 3 = 0 THEN 'X' ELSE 'O' END AS estado,
-        CAST(CASE WHEN order_id % 3 <> 0 THEN mes WHEN mes = 5 OR mes IS NULL THEN 13 END AS BIGINT) AS mes
-        FROM (SELECT order_id, CASE WHEN shipped_date IS NOT NULL THEN month(order_date) END AS mes FROM ords)""",
+    "upsert_null_partition": """SELECT order_id, CASE WHEN ship_via = 3 THEN 'X' ELSE 'O' END AS estado,
+        CAST(CASE WHEN ship_via IS DISTINCT FROM 3 THEN mes WHEN mes = 5 OR mes IS NULL THEN 13 END AS BIGINT) AS mes
+        FROM (SELECT order_id, ship_via, CASE WHEN shipped_date IS NOT NULL THEN month(order_date) END AS mes FROM ords)""",
     "enrich_calendar_gap": """SELECT sk_cliente, count(DISTINCT nk_order_id) AS total_pedidos, count(*) AS total_lineas,
         CAST(sum(monto_neto) AS DOUBLE) AS monto_total_neto, CAST(min(fecha) AS VARCHAR) AS primer_pedido, CAST(max(fecha) AS VARCHAR) AS ultimo_pedido
         FROM fact JOIN calendar USING (sk_tiempo) WHERE mes > 3 AND sk_cliente IS NOT NULL GROUP BY sk_cliente""",
@@ -973,7 +1012,7 @@ _ORACLES = {
             FROM new WHERE nk_customer_id NOT IN (SELECT nk_customer_id FROM old))
         SELECT sk_cliente, nk_customer_id, city, country, sk_pais FROM every LEFT JOIN (SELECT sk_pais, country_name FROM dim_country) p
         ON p.country_name = every.country)""",
-    "ledger_register_once": """SELECT script_id, script_nombre, CASE WHEN script_id % 3 <> 0 THEN script_desc
+    "ledger_register_once": """SELECT script_id, script_nombre, CASE WHEN etapa <> 'adquisicion' THEN script_desc
         ELSE 'Otra vez ' || script_nombre END AS script_desc, etapa FROM scripts""",
     "csv_quoted": """SELECT p || lpad(customer_id, 8, '0') AS id, 'says "hi", ' || trim(company_name) AS texto
         FROM raw_customers, (VALUES (''), ('x')) v(p)""",

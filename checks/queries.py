@@ -14,6 +14,7 @@ from estrella.functions import text as txt
 from estrella.operators import (
     calendar,
     catalog,
+    deltas,
     dims,
     facts,
     history,
@@ -43,6 +44,7 @@ from estrella.plans.star import (
 )
 from estrella.session import work_path
 from estrella.sources import files
+from estrella.sources.snapshots import Snapshots
 
 CUT = "2000-01-01"
 OVERLAP = "1999-07-01"
@@ -213,6 +215,38 @@ def csv_quoted(src: Source) -> DataFrame:
     return src.spark.read.parquet(table)
 
 
+def _broken_csv(src: Source) -> str:
+    """Customers as comma lines; some lack a field, have one too many, leave a quote open or are too long."""
+    text = F.concat_ws(",", "customer_id", F.concat(F.lit('"'), F.trim("company_name"), F.lit('"')), "country")
+    line = (
+        F.when(F.col("contact_title") == "BUILDING", F.concat_ws(",", "customer_id", "country"))
+        .when(F.col("contact_title") == "MACHINERY", F.concat(text, F.lit(",x,y")))
+        .when(F.col("country") == "7", F.concat(text, F.lit('"')))
+        .when(F.col("country") == "9", F.concat(text, F.repeat(F.lit("z"), 500)))
+        .otherwise(text)
+    )
+    path = work_path(src.spark)
+    # one file for every country, each with its header
+    src.raw_customers().select(F.col("country").alias("p"), line.alias("value")).write.partitionBy("p").option("header", True).option(
+        "quote", "\u0000"
+    ).option("escapeQuotes", False).option("sep", "\u0001").csv(path)
+    return f"{path}/*"
+
+
+@query
+def csv_quarantine(src: Source) -> DataFrame:
+    """Good lines of files with bad ones."""
+    good, _ = files.import_csv(src.spark, _broken_csv(src), ["customer_id", "company_name", "country"], longest=400)
+    return good
+
+
+@query
+def csv_rejects(src: Source) -> DataFrame:
+    """The bad lines with their reasons."""
+    _, rejects = files.import_csv(src.spark, _broken_csv(src), ["customer_id", "company_name", "country"], longest=400)
+    return rejects.select(F.substring_index("texto", ",", 1).alias("clave"), "motivo_rechazo", (F.col("linea") > 1).alias("numerada"))
+
+
 # ---- rules and profiles ----------------------------------------------------------------------
 
 
@@ -780,13 +814,56 @@ def upsert_null_partition(src: Source) -> DataFrame:
     month = F.when(F.col("shipped_date").isNotNull(), F.month("order_date"))
     orders = src.orders().select("order_id", F.lit("O").alias("estado"), month.alias("mes"))
     orders.write.partitionBy("mes").parquet(path)
-    batch = orders.filter(F.col("order_id") % 3 == 0).select(
+    batch = orders.join(src.orders().filter("ship_via = 3").select("order_id"), "order_id").select(
         "order_id", F.lit("X").alias("estado"), F.when(F.col("mes") != 5, F.lit(None)).otherwise(F.lit(13)).cast("int").alias("mes")
     )
     upsert.upsert_partitions(path, batch, ["order_id"], ["estado"], ["mes"])
     return src.spark.read.parquet(path)
 
 
+@query
+def fact_upsert_snapshot(src: Source) -> DataFrame:
+    """The same upsert on a versioned table by month: only touched months get new folders, published at once."""
+    store = Snapshots(src.spark, work_path(src.spark))
+    month = F.expr("int(sk_tiempo div 100)")
+    columns = [c for c in facts.FACT_COLUMNS if c not in facts.GRAIN]
+    store.update(lambda c: c.replace("fact", _base_fact(src).drop("anio").withColumn("periodo", month), ["periodo"]))
+    store.update(lambda c: c.upsert("fact", _batch_fact(src).withColumn("periodo", month), facts.GRAIN, columns))
+    return store.open().read("fact").drop("periodo")
+
+
+def _kept(src: Source, figures: deltas.Figures, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Figures of the first sales, brought up to date by the rows that the batch replaces and adds."""
+    base = prepare(_base_fact(src).select(*facts.FACT_COLUMNS))
+    batch = prepare(files.overwrite(_batch_fact(src).select(*facts.FACT_COLUMNS), work_path(src.spark)))
+    store = Snapshots(src.spark, work_path(src.spark))
+    store.update(lambda c: deltas.start(c, figures, base))
+    store.update(lambda c: deltas.apply(c, figures, deltas.upsert_changes(base, batch, facts.GRAIN)))
+    return deltas.read(store.open(), figures)
+
+
+@query
+def delta_customer(src: Source) -> DataFrame:
+    """Customer metrics after a batch, from its changes only."""
+    sums = metrics.customer_sums_of(_kept(src, metrics.CUSTOMER_FIGURES))
+    return metrics.customer_segments(sums, star(src).customers)
+
+
+@query
+def delta_product(src: Source) -> DataFrame:
+    return metrics.product_segments(_kept(src, metrics.PRODUCT_FIGURES), star(src).products)
+
+
+@query
+def delta_period(src: Source) -> DataFrame:
+    return marts.sales_by_period_of(_kept(src, marts.PERIOD_FIGURES, marts.with_month), star(src).calendar)
+
+
+@query
+def delta_seller(src: Source) -> DataFrame:
+    return marts.sales_by_employee_of(star(src).employees, _kept(src, marts.SELLER_FIGURES))
+
+
 def _footprints(src: Source) -> DataFrame:
     s = star(src)
     loaded = _batch_fact(src)
@@ -881,6 +958,67 @@ def scd2_invariants(src: Source) -> DataFrame:
     return broken.agg(F.count(F.lit(1)).alias("incumplimientos"))
 
 
+def _observed(src: Source) -> list[DataFrame]:
+    """Two batches: the changed customers, and one of an earlier date about some of them."""
+    late = star(src).customers.filter(F.col("contact_title").isin("BUILDING", "MACHINERY"))
+    late = late.withColumn("city", F.when(F.col("balance") < 4000, F.lit("Late")).otherwise(F.col("city")))
+    names = ("nk_customer_id", "sk_cliente", TRACKED)
+    return [
+        history.observed(_changed_customers(src), *names, _effective(src), 1),
+        history.observed(late, *names, F.lit(OVERLAP), 2),
+    ]
+
+
+def _spliced(src: Source, batches: list[DataFrame]) -> DataFrame:
+    past = _history(src)
+    log = history.observations_of(past, "nk_customer_id", "sk_cliente", TRACKED)
+    for batch in batches:
+        past, log = history.splice_history(past, log, batch, "nk_customer_id", "sk_cliente", TRACKED)
+    return past
+
+
+@query
+def scd2_late(src: Source) -> DataFrame:
+    """A batch that is dated before the one loaded last."""
+    return _spliced(src, _observed(src))
+
+
+@query
+def scd2_any_order(src: Source) -> DataFrame:
+    """The same batches in the order of their dates, the first one twice."""
+    first, second = _observed(src)
+    return _spliced(src, [second, first, second])
+
+
+@query
+def scd2_merge_on_read(src: Source) -> DataFrame:
+    """The merge on a versioned table: versions that close are marked, no file is rewritten; closed ones are not even read."""
+    store = Snapshots(src.spark, work_path(src.spark))
+    store.update(lambda c: c.replace("hist", _history(src), ["es_vigente"]))
+    keys = ["nk_customer_id", "fecha_desde"]
+    for _ in range(2):  # the second time nothing is left to do
+        open_ = store.open().read("hist", lambda values: values == ("true",))
+        rows = history.version_changes(open_, _changed_customers(src), "nk_customer_id", "sk_cliente", TRACKED, _effective(src))
+        store.update(lambda c, rows=rows: c.merge("hist", rows, keys, ["fecha_hasta", "es_vigente"]))
+    return store.open().read("hist")
+
+
+@query
+def fact_merge_on_read(src: Source) -> DataFrame:
+    """The fact upsert without rewriting a file, compacted afterwards."""
+    store = Snapshots(src.spark, work_path(src.spark))
+    columns = [c for c in facts.FACT_COLUMNS if c not in facts.GRAIN]
+    store.update(lambda c: c.replace("fact", _base_fact(src).drop("anio")))
+    store.update(lambda c: c.merge("fact", _batch_fact(src), facts.GRAIN, columns))
+    store.update(lambda c: c.compact("fact"))
+    return store.open().read("fact")
+
+
+@query
+def scd2_late_invariants(src: Source) -> DataFrame:
+    return history.broken_versions(scd2_late(src), "nk_customer_id").agg(F.count(F.lit(1)).alias("incumplimientos"))
+
+
 @query
 def scd2_as_of(src: Source) -> DataFrame:
     rows = src.orders().select("order_id", F.col("customer_id").alias("nk_customer_id"), "order_date")
@@ -894,21 +1032,17 @@ def _fact_of(src: Source, year: int) -> DataFrame:
     return reports.fact_of_year(star(src).fact, year)
 
 
-def _few_customers(src: Source) -> DataFrame:
-    """Sales of customers with money only, so that some customers have none."""
-    s = star(src)
-    return s.fact.join(s.customers.filter(F.col("balance") >= 0).select("sk_cliente"), "sk_cliente", "left_semi")
-
-
 @query
 def enrich_customer(src: Source) -> DataFrame:
+    """All customers over all sales."""
     s = star(src)
-    return metrics.customer_metrics(_few_customers(src), s.calendar, s.customers)
+    return metrics.customer_metrics(s.fact, s.calendar, s.customers)
 
 
 @query
 def enrich_customer_active(src: Source) -> DataFrame:
-    return metrics.customer_metrics(_few_customers(src), star(src).calendar)
+    """Customers with sales, over all sales."""
+    return metrics.customer_metrics(star(src).fact, star(src).calendar)
 
 
 @query
@@ -921,25 +1055,22 @@ def enrich_calendar_gap(src: Source) -> DataFrame:
 
 @query
 def enrich_product(src: Source) -> DataFrame:
-    return metrics.product_metrics(_few_products(src), star(src).products)
+    """All products over all sales."""
+    return metrics.product_metrics(star(src).fact, star(src).products)
 
 
 @query
 def enrich_product_active(src: Source) -> DataFrame:
-    return metrics.product_metrics(_few_products(src))
+    """Products with sales, over all sales."""
+    return metrics.product_metrics(star(src).fact)
 
 
 @query
 def enrich_product_distributed(src: Source) -> DataFrame:
-    """All products over all sales."""
-    s = star(src)
-    return metrics.product_metrics(s.fact, s.products)
-
-
-def _few_products(src: Source) -> DataFrame:
-    """Sales of listed products only, so that some products have none."""
+    """All products and one that nobody ever bought, over all sales."""
     s = star(src)
-    return s.fact.join(s.products.filter(~F.col("discontinued")).select("sk_producto"), "sk_producto", "left_semi")
+    unsold = s.products.select((F.max("sk_producto") + 1).alias("sk_producto"))
+    return metrics.product_metrics(s.fact, s.products.select("sk_producto").unionByName(unsold))
 
 
 @query
@@ -968,7 +1099,8 @@ def _period(src: Source) -> DataFrame:
 
 def _by_customer(src: Source) -> DataFrame:
     s = star(src)
-    return marts.sales_by_customer(s.customers, s.countries, metrics.customer_metrics(s.fact, s.calendar, s.customers))
+    ranked = metrics.customer_metrics(s.fact, s.calendar, s.customers, rank_as="rank_cliente")
+    return marts.sales_by_customer(s.customers, s.countries, ranked)
 
 
 def _by_product(src: Source) -> DataFrame:
@@ -1148,7 +1280,7 @@ def ledger_kpis(src: Source) -> DataFrame:
 def ledger_register_once(src: Source) -> DataFrame:
     """Scripts register by name; a name that is known keeps its entry."""
     every = _scripts(src)
-    known = every.filter(F.col("script_id") % 3 != 0)
+    known = every.filter("etapa <> 'adquisicion'")
     again = every.withColumn("script_desc", F.concat(F.lit("Otra vez "), F.col("script_nombre")))
     return upsert.insert_new(known, again, ["script_nombre"])
 

@@ -6,9 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
+from estrella.operators.deltas import ROWS, Figures
 from estrella.operators.ranking import rank_and_tile
 from estrella.session import materialize
 
+# What the marts need per month and seller, kept up to date by the changes of a batch.
+PERIOD_FIGURES = Figures(
+    "cifras_periodo",
+    ("_month",),
+    sums={"monto_bruto": "monto_bruto", "monto_descuento": "monto_descuento", "monto_neto": "monto_neto", "flete_total": "flete_prorrateado"},
+    distinct={"total_pedidos": "nk_order_id", "total_clientes": "sk_cliente", "total_productos": "sk_producto"},
+)
+SELLER_FIGURES = Figures(
+    "cifras_empleado",
+    ("sk_empleado",),
+    sums={"monto_neto": "monto_neto"},
+    distinct={"total_pedidos": "nk_order_id", "total_clientes": "sk_cliente"},
+)
+
 
 def _distinct_per(fact: DataFrame, group: str, column: str, name: str) -> DataFrame:
     """Distinct non-null values of one column per group, reading just these two columns."""
@@ -39,38 +54,51 @@ def sales_by_period(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     month = F.expr("sk_tiempo div 100")
     # lines of a day that the calendar does not have belong to no month
     monthly = fact.join(calendar.select("sk_tiempo"), "sk_tiempo", "left_semi").withColumn("_month", month)
-    amounts = {
-        "monto_bruto": "monto_bruto",
-        "monto_descuento": "monto_descuento",
-        "monto_neto": "monto_neto",
-        "flete_total": "flete_prorrateado",
-    }
-    sums = _sums_per_order(monthly, "_month", amounts)
+    sums = _sums_per_order(monthly, "_month", dict(PERIOD_FIGURES.sums))
     customers = _distinct_per(monthly, "_month", "sk_cliente", "total_clientes")
     products = _distinct_per(monthly, "_month", "sk_producto", "total_productos")
+    joined = sums.join(customers, "_month", "left").join(products, "_month", "left")
+    return _months(joined, calendar)
+
+
+def _months(sums: DataFrame, calendar: DataFrame) -> DataFrame:
+    month = F.expr("sk_tiempo div 100")
     months = calendar.select(month.alias("_month"), "anio", "trimestre", "mes", "nombre_mes").distinct()
-    return (
-        months.join(sums, "_month")
-        .join(customers, "_month", "left")
-        .join(products, "_month", "left")
-        .select(
-            "anio",
-            "trimestre",
-            "mes",
-            "nombre_mes",
-            "total_pedidos",
-            "total_lineas",
-            F.coalesce("total_clientes", F.lit(0)).alias("total_clientes"),
-            F.coalesce("total_productos", F.lit(0)).alias("total_productos"),
-            *amounts,
-            num.ratio(F.col("monto_neto"), F.col("total_pedidos")).alias("ticket_promedio"),
-        )
+    return months.join(sums, "_month").select(
+        "anio",
+        "trimestre",
+        "mes",
+        "nombre_mes",
+        "total_pedidos",
+        "total_lineas",
+        F.coalesce("total_clientes", F.lit(0)).alias("total_clientes"),
+        F.coalesce("total_productos", F.lit(0)).alias("total_productos"),
+        *PERIOD_FIGURES.sums,
+        num.ratio(F.col("monto_neto"), F.col("total_pedidos")).alias("ticket_promedio"),
     )
 
 
+def with_month(fact: DataFrame) -> DataFrame:
+    """The fact with the month that ``PERIOD_FIGURES`` groups by."""
+    return fact.withColumn("_month", F.expr("sk_tiempo div 100"))
+
+
+def sales_by_period_of(figures: DataFrame, calendar: DataFrame) -> DataFrame:
+    """``sales_by_period`` from kept figures, for facts all of whose days are in the calendar."""
+    sums = figures.withColumnRenamed(ROWS, "total_lineas")
+    return _months(sums.withColumns({c: F.col(c).cast("decimal(28,4)") for c in PERIOD_FIGURES.sums}), calendar)
+
+
+def sales_by_employee_of(employees: DataFrame, figures: DataFrame) -> DataFrame:
+    """``sales_by_employee`` from kept figures."""
+    sold = figures.filter(F.col("sk_empleado").isNotNull()).select("sk_empleado", "total_pedidos", "monto_neto", "total_clientes")
+    return _employees(employees.join(sold, "sk_empleado", "left"))
+
+
 def sales_by_customer(
     customers: DataFrame, countries: DataFrame, metrics: DataFrame
 ) -> DataFrame:
+    """All customers with their metrics and rank; a rank that the metrics of all customers bring is taken as it is."""
     place = countries.select("sk_pais", F.col("country_name").alias("country_name_pais"), "capital_major_city")
     flat = customers.join(place, "sk_pais", "left").join(metrics, "sk_cliente", "left")
     zero = F.lit(0)
@@ -81,7 +109,10 @@ def sales_by_customer(
         F.coalesce("total_lineas", zero).alias("total_lineas"),
         F.coalesce("monto_total_neto", zero).alias("monto_neto"),
         "monto_promedio_pedido", "primer_pedido", "ultimo_pedido", "dias_como_cliente",
+        *[c for c in metrics.columns if c == "rank_cliente"],
     )
+    if "rank_cliente" in metrics.columns:
+        return table
     return rank_and_tile(table, "monto_neto", "sk_cliente", rank_as="rank_cliente")
 
 
@@ -101,8 +132,12 @@ def sales_by_employee(employees: DataFrame, fact: DataFrame) -> DataFrame:
     sold = fact.filter(F.col("sk_empleado").isNotNull())
     sums = _sums_per_order(sold, "sk_empleado", {"monto_neto": "monto_neto"})
     customers = _distinct_per(sold, "sk_empleado", "sk_cliente", "total_clientes")
+    return _employees(employees.join(sums, "sk_empleado", "left").join(customers, "sk_empleado", "left"))
+
+
+def _employees(joined: DataFrame) -> DataFrame:
     zero = F.lit(0)
-    table = employees.join(sums, "sk_empleado", "left").join(customers, "sk_empleado", "left").select(
+    table = joined.select(
         "sk_empleado", "nk_employee_id", "nombre_completo", "title",
         F.coalesce("total_pedidos", zero).alias("total_pedidos"),
         F.coalesce("total_clientes", zero).alias("total_clientes"),

@@ -6,8 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
+from estrella.operators.deltas import ROWS, Figures
 from estrella.operators.ranking import rank_and_tile
 
+# What the metrics need per customer and product, kept up to date by the changes of a batch.
+CUSTOMER_FIGURES = Figures(
+    "cifras_cliente",
+    ("sk_cliente",),
+    sums={"monto_total_neto": "monto_neto"},
+    distinct={"total_pedidos": "nk_order_id"},
+    ends={"sk_tiempo": ("primer_sk", "ultimo_sk")},
+)
+PRODUCT_FIGURES = Figures(
+    "cifras_producto",
+    ("sk_producto",),
+    sums={"total_unidades": "cantidad", "revenue_total": "monto_neto"},
+    distinct={"total_pedidos": "nk_order_id"},
+)
+
 
 def customer_sums(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Orders, lines, net amount and first/last sale per customer, over the days the calendar has.
@@ -35,13 +51,34 @@ def customer_sums(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     return sums.join(orders, "sk_cliente")
 
 
+def customer_sums_of(figures: DataFrame) -> DataFrame:
+    """``customer_sums`` from kept figures, for facts all of whose days are in the calendar."""
+
+    def day(column: str):
+        return F.to_date(F.col(column).cast("string"), "yyyyMMdd")
+
+    return figures.filter(F.col("sk_cliente").isNotNull()).select(
+        "sk_cliente",
+        F.col(ROWS).alias("total_lineas"),
+        "monto_total_neto",
+        day("primer_sk").alias("primer_pedido"),
+        day("ultimo_sk").alias("ultimo_pedido"),
+        "total_pedidos",
+    )
+
+
 def customer_metrics(
     fact: DataFrame,
     calendar: DataFrame,
     customers: DataFrame | None = None,
+    rank_as: str | None = None,
 ) -> DataFrame:
-    """Metrics and segment per customer; with ``customers`` also those without sales."""
-    sums = customer_sums(fact, calendar)
+    """Metrics and segment per customer; with ``customers`` also those without sales, with ``rank_as`` also the rank by amount."""
+    return customer_segments(customer_sums(fact, calendar), customers, rank_as)
+
+
+def customer_segments(sums: DataFrame, customers: DataFrame | None = None, rank_as: str | None = None) -> DataFrame:
+    """Metrics and segment from the sums per customer; rank and tile come from one sorted copy."""
     if customers is not None:
         sums = customers.select("sk_cliente").join(sums, "sk_cliente", "left")
     zero = F.lit(0)
@@ -55,7 +92,7 @@ def customer_metrics(
         "ultimo_pedido",
         F.datediff("ultimo_pedido", "primer_pedido").alias("dias_como_cliente"),
     )
-    tiled = rank_and_tile(table, "monto_total_neto", "sk_cliente", tile_as="_tile")
+    tiled = rank_and_tile(table, "monto_total_neto", "sk_cliente", rank_as=rank_as, tile_as="_tile")
     return tiled.withColumn("segmento", num.quintile_segment(F.col("_tile"), num.CUSTOMER_SEGMENTS)).drop("_tile")
 
 
@@ -71,7 +108,11 @@ def product_metrics(
     fact: DataFrame, products: DataFrame | None = None
 ) -> DataFrame:
     """Metrics, revenue rank and segment per product; with ``products`` also those without sales."""
-    sums = product_sums(fact)
+    return product_segments(product_sums(fact), products)
+
+
+def product_segments(sums: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """Metrics, revenue rank and segment from the sums per product."""
     if products is not None:
         sums = products.select("sk_producto").join(sums, "sk_producto", "left")
     zero = F.lit(0)

@@ -121,42 +121,65 @@ def quantiles(
     """Exact interpolated quantiles of several numeric columns, per group of the columns ``by``.
 
     One row per (by, campo) with the list ``q``, one entry per point. NULLs do not count; a column
-    without values has no row. All columns are taken in one pass: there is one row per (by, column,
-    value) with its count, and the wanted places are found by running counts over sorted ranges, so
-    no group is gathered in one task.
+    without values has no row. The wanted places are found by selection: a histogram over bands of four
+    percent in value shows the bands that hold them, and only rows in these are counted again in 65,536 parts, until every
+    wanted part is one value. That is two or three narrow passes over the rows, all columns and groups at once;
+    nothing is sorted or written but the histogram rows that are wanted.
     """
     cells = [F.struct(F.lit(c).alias("campo"), F.col(c).cast("double").alias("v")) for c in values]
     pairs = df.select(*by, F.inline(F.array(*cells))).filter("v IS NOT NULL")
     group = [*by, "campo"]
-    counts = pairs.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("n"))
-    ranged = _place(counts, [F.col(c) for c in [*group, "v"]])
-    sizes = ranged.groupBy("_part", *group).agg(F.sum("n").alias("_size"))
+
+    # bands grow with the value, so one histogram suits any range: sign and logarithm, zero in between
+    size = F.greatest(F.least(F.log2(F.abs("v")), F.lit(_WIDEST)), F.lit(-_WIDEST)) + _WIDEST + 1
+    band = F.when(F.isnan("v"), F.lit(1 << 40)).when(F.col("v") == 0, F.lit(0)).otherwise(F.signum("v") * F.floor(size * _BANDS))
     of_group = Window.partitionBy(*group)
-    earlier = of_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part",
-        *group,
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_size").over(of_group).alias("_total"),
-    )
-    renamed = offsets.select("_part", *[F.col(c).alias(f"_g_{c}") for c in group], "_before", "_total")
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group])
-    in_part = Window.partitionBy("_part", *group).orderBy("v")
-    upto = F.sum("n").over(in_part)
-    running = (
-        ranged.withColumn("_upto", upto)
-        .join(renamed.withColumnRenamed("_part", "_g_part"), (F.col("_part") == F.col("_g_part")) & same)
-        .select(*group, "v", "n", (F.col("_upto") + F.col("_before")).alias("upto"), F.col("_total").alias("total"))
-    )
-    picks, found = [F.max("total").alias("total")], []
-    for i, point in enumerate(points):
-        spot = F.lit(point) * (F.col("total") - 1)
+    counted = _histogram(pairs.withColumn("_b", band.cast("long")), group).withColumn("_total", F.sum("n").over(of_group))
+    spots = [F.lit(p) * (F.col("_total") - 1) for p in points]
+    places = F.array_distinct(F.array(*[f(s).cast("long") for s in spots for f in (F.floor, F.ceil)]))
+    found = _picked(counted.withColumn("_wants", F.transform(places, lambda p: F.struct(p.alias("at"), p.alias("rest")))), group)
+    done = []
+    while True:
+        found = materialize(found)
+        done.append(found.filter("NOT _lo < _hi"))
+        open_ = found.filter("_lo < _hi")
+        if open_.isEmpty():
+            break
+        # a few rows per group: the parts that hold a wanted place
+        parts = materialize(open_.groupBy(*group, "_total", "_lo", "_hi").agg(F.collect_list(F.struct("at", "rest")).alias("_wants")))
+        renamed = parts.select(*[F.col(c).alias(f"_g_{c}") for c in group], F.col("_lo").alias("_from"), F.col("_hi").alias("_to"))
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group])
+        inside = pairs.join(renamed, same & F.col("v").between(F.col("_from"), F.col("_to")))
+        step = F.floor((F.col("v") - F.col("_from")) / (F.col("_to") - F.col("_from")) * _PARTS)
+        finer = _histogram(inside.withColumn("_b", step), [*group, "_from", "_to"])
+        keys = parts.withColumnsRenamed({"_lo": "_g_lo", "_hi": "_g_hi", **{c: f"_g_{c}" for c in group}})
+        wanted = finer.join(keys, same & (F.col("_from") == F.col("_g_lo")) & (F.col("_to") == F.col("_g_hi")))
+        found = _picked(wanted, [*group, "_from", "_to"]).drop("_from", "_to")
+    every = reduce(DataFrame.unionByName, done)
+    picks, out = [F.max("_total").alias("_total")], []
+    for i, spot in enumerate(spots):
         for name, at in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
-            hit = (F.col("upto") - F.col("n") <= at) & (at < F.col("upto"))
-            picks.append(F.max(F.when(hit, F.col("v"))).alias(f"{name}{i}"))
+            picks.append(F.max(F.when(F.col("at") == at, F.col("_lo"))).alias(f"{name}{i}"))
         low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
-        found.append(low + (high - low) * (spot - F.floor(spot)))
-    return running.groupBy(*group).agg(*picks).select(*group, F.array(*found).alias("q"))
+        out.append(low + (high - low) * (spot - F.floor(spot)))
+    return every.groupBy(*group).agg(*picks).select(*group, F.array(*out).alias("q"))
+
+
+# Bands per doubling of the value, for exponents of two up to this; parts that a band is cut into.
+_BANDS, _WIDEST, _PARTS = 16, 1100, 65536
+
+
+def _histogram(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows, smallest and largest value of each slot ``_b``."""
+    return rows.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+
+
+def _picked(histogram: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The slots that hold a wanted place: (group, _total, at, rest, _lo, _hi), ``rest`` being the place within the slot."""
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    here = F.filter("_wants", lambda w: (w["rest"] >= F.col("_before")) & (w["rest"] < F.col("_before") + F.col("n")))
+    hit = histogram.withColumn("_before", before).select(*group, "_total", "_lo", "_hi", "_before", F.explode(here).alias("_w"))
+    return hit.select(*group, "_total", F.col("_w.at").alias("at"), (F.col("_w.rest") - F.col("_before")).alias("rest"), "_lo", "_hi")
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

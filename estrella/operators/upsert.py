@@ -22,7 +22,7 @@ def insert_new(
     key: Sequence[str],
     order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Target plus the source rows whose key it does not hold; the first row per key wins.
+    """Target plus the source rows whose key it does not hold; the first row per key wins, by ``order`` or else by all columns.
 
     The source is written, and the target's keys are reduced to those the source has before they
     meet it; Spark broadcasts the source's keys if their size allows.
@@ -30,8 +30,9 @@ def insert_new(
     source = materialize(source)
     present = target.select(*key).join(source.select(*key), list(key), "left_semi")
     fresh = source.join(present, list(key), "left_anti")
-    if order is not None:
-        fresh = first_per_key(fresh, key, order)
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    # as for a unique index, a key with a NULL in it conflicts with no other
+    fresh = first_per_key(fresh.filter(whole), key, order or source.columns).unionByName(fresh.filter(~whole))
     return target.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -137,12 +138,14 @@ def upsert_partitions(
     target = spark.read.parquet(path)
     source = materialize(source)
     homes = target.select(*key, *partition).join(source.select(*key), list(key), "left_semi").select(*partition)
+    # the values of a folder as one text: a flat list of any length that folders are pruned by
+    folder = F.concat_ws("/", *[F.coalesce(F.concat(F.lit("="), F.col(p).cast("string")), F.lit("")) for p in partition])
     # one row per folder of the table at most
-    touched = homes.unionByName(source.select(*partition)).distinct().orderBy(*partition).collect()
+    touched = homes.unionByName(source.select(*partition)).distinct().withColumn("_folder", folder).orderBy(*partition).collect()
     if not touched:
         return []
-    one_of = [reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(r[p])) for p in partition]) for r in touched]
-    affected = target.filter(reduce(lambda a, b: a | b, one_of))
+    affected = target.filter(folder.isin([r["_folder"] for r in touched]))
+    touched = [r[:-1] for r in touched]
     merged = materialize(upsert(affected, source, key, [*columns, *partition], order))
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
     left = {tuple(r) for r in merged.select(*partition).distinct().collect()}
