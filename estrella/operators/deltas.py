@@ -36,7 +36,7 @@ class Figures:
     sums: Mapping[str, str] = field(default_factory=dict)
     distinct: Mapping[str, str] = field(default_factory=dict)
     ends: Mapping[str, tuple[str, str]] = field(default_factory=dict)
-    buckets: int = 64
+    buckets: int = 16
 
     @property
     def logged(self) -> list[str]:
@@ -98,8 +98,10 @@ def _net(rows: DataFrame, figures: Figures, column: str) -> DataFrame:
 
 def _prepared(change: Change, figures: Figures, changes: DataFrame, fresh: bool) -> int:
     by = list(figures.by)
+    # sums have the type that a sum of the column has, not the wider one of its product with the sign
+    types = dict(changes.agg(*[F.sum(c).alias(name) for name, c in figures.sums.items()], F.count(F.lit(1)).alias(ROWS)).dtypes)
     moved = changes.groupBy(*by).agg(
-        F.sum(SIGN).alias(ROWS), *[F.sum(F.col(c) * F.col(SIGN)).alias(name) for name, c in figures.sums.items()]
+        F.sum(SIGN).alias(ROWS), *[F.sum(F.col(c) * F.col(SIGN)).cast(types[name]).alias(name) for name, c in figures.sums.items()]
     )
     moved = materialize(moved.withColumn(_BUCKET, _bucket(figures)))
     pairs = {
@@ -126,7 +128,6 @@ def _prepared(change: Change, figures: Figures, changes: DataFrame, fresh: bool)
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     ends = [n for names in figures.ends.values() for n in names]
     added = [ROWS, *figures.sums, *figures.distinct]
-    types = dict(moved.dtypes)
     made = whole.groupBy(*by).agg(
         *[F.sum(c).cast(types.get(c, "long")).alias(c) for c in added], *[F.max(c).alias(c) for c in ends]
     )

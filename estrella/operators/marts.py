@@ -91,7 +91,8 @@ def sales_by_period_of(figures: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def sales_by_employee_of(employees: DataFrame, figures: DataFrame) -> DataFrame:
     """``sales_by_employee`` from kept figures."""
-    sold = figures.filter(F.col("sk_empleado").isNotNull()).select("sk_empleado", "total_pedidos", "monto_neto", "total_clientes")
+    net = F.col("monto_neto").cast("decimal(28,4)").alias("monto_neto")
+    sold = figures.filter(F.col("sk_empleado").isNotNull()).select("sk_empleado", "total_pedidos", net, "total_clientes")
     return _employees(employees.join(sold, "sk_empleado", "left"))
 
 
