@@ -2,10 +2,12 @@
 
 Every tree splits the vectors by random directions at the median, level by level; a vector close to
 a split goes to both sides (spill), so near vectors rarely part, and many trees make it rarer still.
-A node is split where few of its vectors lie that close to the cut; one that is too tight for that stays
-whole. Vectors that share a leaf are compared exactly; a large leaf is dealt into blocks, and pairs of
-blocks are tasks of their own. Trees are fitted on a bounded sample, but every
-vector is put into its leaves, and the depth of the trees follows from the number of all vectors.
+What is close is measured by the spread of the node's own projections, so trees split alike in any number of
+dimensions. A node whose vectors are as near to each other as linked ones stays whole, and so does one where
+every cut would send too many to both sides. Vectors that share a leaf are compared exactly; a large leaf is
+dealt into blocks, and pairs of blocks are tasks of their own. Vectors of each length have trees of their
+own. Trees are fitted on a bounded sample, but every vector is put into its leaves, and the depth of the trees
+follows from the number of all vectors.
 """
 
 from __future__ import annotations
@@ -27,55 +29,66 @@ SAMPLE_PER_NODE = 64
 LEAF_ROWS = 256
 BLOCK_ROWS = 1024
 TASK_ROWS = 2048
+SPILL = 0.16  # on each side of a cut, in standard deviations of the node's projections
 MAX_SPILLED = 0.25  # share of a node that may go to both sides
+# A leaf's name has its number in the lower bits, the tree above and the length of its vectors on top.
+TREE_BITS, LENGTH_BITS = 40, 46
 
 
 class Tree:
-    """Random splits over unit vectors, one direction per level.
+    """Random splits over unit vectors of one length, one direction per level.
 
     Nodes that hold enough of the sample split at a cut of their own. Below them a node splits where its
     last ancestor with enough of the sample would, so a tree can be as deep as the number of rows asks for.
+    Without a sample, cuts are at 0. ``near`` is the distance of linked vectors.
     """
 
-    def __init__(self, sample: np.ndarray, depth: int, seed: int, spill: float):
+    def __init__(self, sample: np.ndarray, depth: int, seed: int, near: float, spill: float = SPILL):
         random = np.random.default_rng(seed)
-        self.depth, self.spill = depth, spill
-        self.directions = random.normal(size=(depth, sample.shape[1]))
+        width = sample.shape[1]
+        self.depth = depth
+        self.directions = random.normal(size=(depth, width))
         self.directions /= np.linalg.norm(self.directions, axis=1, keepdims=True)
         self.own = min(depth, max(0, int(np.log2(max(1, len(sample) / SAMPLE_PER_NODE)))))
-        self.cuts = []
+        # spread along a direction of vectors that are as far apart as linked ones
+        tight = near / np.sqrt(2 * width)
+        self.cuts, self.wide = [], []
         node = np.zeros(len(sample), np.int64)
         for level in range(depth):
             value = sample @ self.directions[level]
-            cuts = np.full(1 << min(level, self.own), -np.inf)
+            size = 1 << min(level, self.own)
+            cuts, wide = np.zeros(size), np.full(size, spill / np.sqrt(width))
             for n in np.unique(node):
-                cuts[n] = _best_split(value[node == n], spill)
+                cuts[n], wide[n] = _best_split(value[node == n], spill, tight)
             if level < self.own:
                 node = 2 * node + (value >= cuts[node])
             self.cuts.append(cuts)
-
-    def _cut(self, level: int, node: np.ndarray) -> np.ndarray:
-        return self.cuts[level][node >> max(0, level - self.own)]
+            self.wide.append(wide)
 
     def leaves(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf) for every leaf a vector lies in or comes within ``spill`` of at some split."""
+        """(row, leaf) for every leaf a vector lies in or comes close to at some split."""
         row, node = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
         for level in range(self.depth):
-            off = vectors[row] @ self.directions[level] - self._cut(level, node)
-            low, high = off < self.spill, off >= -self.spill
+            fitted = node >> max(0, level - self.own)
+            off, wide = vectors[row] @ self.directions[level] - self.cuts[level][fitted], self.wide[level][fitted]
+            low, high = off < wide, off >= -wide
             row = np.concatenate([row[low], row[high]])
             node = np.concatenate([2 * node[low], 2 * node[high] + 1])
         return row, node
 
 
-def _best_split(values: np.ndarray, spill: float) -> float:
-    """The median, or the cut between the quartiles with the fewest values within ``spill`` if they are many
-    at the median. If they are many at all cuts, splitting would copy more than it parts: no cut."""
-    values = np.sort(values)
+def _best_split(values: np.ndarray, spill: float, tight: float) -> tuple[float, float]:
+    """A cut and the width of its spill: the median, or the cut between the quartiles with the fewest values close to it if
+    they are many at the median. No cut (everything on one side) if they are many at all cuts, where splitting would
+    copy more than it parts, or if the values spread no wider than those of linked vectors."""
+    spread = float(values.std())
+    if spread <= tight:
+        return -np.inf, 0.0
+    values, wide = np.sort(values), spill * spread
     cuts = np.quantile(values, [0.5, *np.linspace(0.25, 0.75, 21)])
-    near = np.searchsorted(values, cuts + spill) - np.searchsorted(values, cuts - spill)
-    at = 0 if near[0] <= MAX_SPILLED * len(values) else int(np.argmin(near))
-    return float(cuts[at]) if near[at] <= MAX_SPILLED * len(values) else -np.inf
+    close = np.searchsorted(values, cuts + wide) - np.searchsorted(values, cuts - wide)
+    at = 0 if close[0] <= MAX_SPILLED * len(values) else int(np.argmin(close))
+    return (float(cuts[at]), wide) if close[at] <= MAX_SPILLED * len(values) else (-np.inf, 0.0)
 
 
 def unit_vectors(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -153,7 +166,7 @@ def near_vectors(
     embedding: str = "embedding",
     threshold: float = 0.95,
     trees: int = 10,
-    spill: float = 0.02,
+    spill: float = SPILL,
     seed: int = 0,
     leaf_rows: int = LEAF_ROWS,
     sample_rows: int = SAMPLE_ROWS,
@@ -163,8 +176,8 @@ def near_vectors(
 
     ``n_links`` counts the other rows found with a cosine of at least ``threshold``, ``component_id``
     is the smallest id reachable by links and ``kept`` says whether that is the row itself. Equal
-    vectors (equal after scaling to length 1) are one entry with a weight and always linked. Vectors of another
-    length than most are compared only among themselves. Unusable vectors (see ``unit_vectors``)
+    vectors (equal after scaling to length 1) are one entry with a weight and always linked. Vectors of different
+    lengths never link. Unusable vectors (see ``unit_vectors``)
     link with nothing. Rows with a NULL id take part; repeated ids are rows of their own. Other
     columns are ignored, an empty input gives an empty result.
     """
@@ -193,9 +206,10 @@ def near_vectors(
         return scaled.select(
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
         )
-    placed = _placed(classes, n, trees, spill, seed, leaf_rows, sample_rows)
+    near = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+    placed = _placed(classes, trees, spill, near, seed, leaf_rows, sample_rows)
     groups = _in_blocks(placed.withColumn("leaf", F.explode("leaves")), task_rows)
-    found = groups.groupBy("leaf", "one", "two").applyInPandas(_link_leaf(threshold), "cls long, links long, low long")
+    found = groups.groupBy("leaf", "one", "two", F.length("unit").alias("width")).applyInPandas(_link_leaf(threshold), "cls long, links long, low long")
     found = materialize(found)
     linked = found.groupBy("cls").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("cls").alias("a"), F.col("low").alias("b")))
@@ -222,34 +236,44 @@ def near_vectors(
 
 
 def _placed(
-    classes: DataFrame, n: int, trees: int, spill: float, seed: int, leaf_rows: int, sample_rows: int
+    classes: DataFrame, trees: int, spill: float, near: float, seed: int, leaf_rows: int, sample_rows: int
 ) -> DataFrame:
     """The classes with the names of all their leaves.
 
-    Trees are fitted on a sample of at most ``sample_rows`` classes, those with the smallest hashes, and
-    are as deep as leaves of about ``leaf_rows`` of all ``n`` classes need.
+    Trees are fitted on a sample of at most ``sample_rows`` classes of all lengths, those with the smallest hashes, and
+    are as deep as leaves of about ``leaf_rows`` of all classes of their length need. The driver gets one row per
+    length that has more classes than a leaf.
     """
     spark = classes.sparkSession
     chosen = classes.orderBy(F.xxhash64(F.lit(seed), "cls"), "cls").limit(sample_rows).select("unit")
-    sample = _matrix([bytes(r["unit"]) for r in chosen.collect()])
-    depth = max(0, int(np.ceil(np.log2(max(1, n / leaf_rows)))))
-    shared = spark.sparkContext.broadcast([Tree(sample, depth, seed * 1000 + t, spill) for t in range(trees)])
-    width = sample.shape[1]
+    sample: dict[int, list[bytes]] = {}
+    for row in chosen.collect():
+        sample.setdefault(len(row["unit"]), []).append(bytes(row["unit"]))
+    many = classes.groupBy(F.length("unit").alias("size")).count().filter(F.col("count") > leaf_rows)
+    forest = {}
+    for row in many.collect():
+        width = row["size"] // 8
+        fitted = _matrix(sample.get(row["size"], []), width)
+        depth = int(np.ceil(np.log2(row["count"] / leaf_rows)))
+        forest[row["size"]] = [Tree(fitted, depth, seed * 1000 + t, near, spill) for t in range(trees)]
+    shared = spark.sparkContext.broadcast(forest)
 
     def place(batch):
         units = batch.column("unit").to_pylist()
         lists: list[list[int]] = [[] for _ in units]
-        sizes = np.array([len(u) // 8 for u in units])
-        for size in np.unique(sizes):
+        sizes = np.array([len(u) for u in units])
+        for size in np.unique(sizes).tolist():
             at = np.flatnonzero(sizes == size)
-            if size != width:
+            name = (size // 8 % (1 << 63 - LENGTH_BITS)) << LENGTH_BITS
+            known = shared.value.get(size)
+            if not known:
                 for i in at:
-                    lists[i].append(-int(size) - 1)
+                    lists[i].append(name)
                 continue
-            vectors = _matrix([units[i] for i in at])
-            for t, tree in enumerate(shared.value):
+            vectors = _matrix([units[i] for i in at], size // 8)
+            for t, tree in enumerate(known):
                 for i, leaf in zip(*tree.leaves(vectors), strict=True):
-                    lists[at[i]].append((t << 40) + int(leaf))
+                    lists[at[i]].append(name + (t << TREE_BITS) + int(leaf))
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array([sorted(x) for x in lists], pa.list_(pa.int64()))],
             names=[*batch.schema.names, "leaves"],
@@ -276,8 +300,5 @@ def _in_blocks(in_leaves: DataFrame, task_rows: int) -> DataFrame:
     return dealt.withColumns(pair).drop("size", "blocks", "other")
 
 
-def _matrix(units: list[bytes]) -> np.ndarray:
-    """The vectors of the most frequent length."""
-    lengths = [len(u) for u in units]
-    usual = max(sorted(set(lengths)), key=lengths.count)
-    return np.stack([np.frombuffer(u, np.float64) for u in units if len(u) == usual])
+def _matrix(units: list[bytes], width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(units), np.float64).reshape(-1, width)

@@ -358,7 +358,7 @@ def test_vectors_tight_families(spark):
     units /= np.linalg.norm(units, axis=1, keepdims=True)
     depth = 6
     for seed in range(10):
-        row, _ = vectors.Tree(units, depth, seed, 0.02).leaves(units[:600])
+        row, _ = vectors.Tree(units, depth, seed, 0.1**0.5).leaves(units[:600])
         assert len(row) <= 600 * 1.25**depth
     frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(units)], "vec_id long, embedding array<double>")
     linked = units @ units.T >= 0.95
