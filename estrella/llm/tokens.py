@@ -24,8 +24,25 @@ _KIND[0x61:0x7B] = 1
 _KIND[[0x20, *range(0x09, 0x0E)]] = 0
 
 
+def _words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; the last seven places are of the padding."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+
+
+def _ends_of(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last eight bytes of spans, of shorter ones all bytes: together the whole span up to 16 bytes."""
+    missing = np.maximum(8 - (ends - starts), 0).astype(np.uint64)
+    head = words[starts] << (np.uint64(8) * missing)
+    return head, np.where(missing == 0, words[np.maximum(ends - 8, 0)], head)
+
+
 class _Pieces:
-    """Ids of the pieces met so far: a table of hashes, and for each the place of its ids in one long array."""
+    """Ids of the pieces met so far: a table of hashes, and for each the place of its ids in one long array.
+
+    The bytes of each piece are kept as well, and a span that meets its hash is compared with them; one with other bytes
+    has a place of its own beside the table.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,6 +56,10 @@ class _Pieces:
         self.slots = np.zeros(1 << _TABLE_BITS, np.int32)
         self.starts = np.zeros(1, np.int64)
         self.ids = np.empty(0, np.uint32)
+        self.bytes = np.empty(0, np.uint8)
+        self.bounds = np.zeros(1, np.int64)
+        self.first, self.last = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.beside: dict[bytes, int] = {}
 
     def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all pieces one after another, how many each piece has, and the pieces' order in it."""
@@ -56,12 +77,41 @@ class _Pieces:
             counts[i] = len(ids)
         return np.array(made, np.uint32), counts, np.array(plain + other, np.int64)
 
-    def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        """Add pieces with distinct hashes that are not known yet."""
+    def add(self, pieces: list[bytes]) -> tuple[int, np.ndarray]:
+        """Keep pieces with their ids; their first slot and their order from there on."""
         ids, counts, order = self._encode(pieces)
         first = len(self.starts) - 1
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts[order])])
         self.ids = np.concatenate([self.ids, ids])
+        data = np.frombuffer(b"".join([pieces[i] for i in order]), np.uint8)
+        bounds = np.concatenate([[0], np.cumsum([len(pieces[i]) for i in order])])
+        head, tail = _ends_of(_words_at(data), bounds[:-1], bounds[1:])
+        self.first, self.last = np.concatenate([self.first, head]), np.concatenate([self.last, tail])
+        self.bounds = np.concatenate([self.bounds, len(self.bytes) + bounds[1:]])
+        self.bytes = np.concatenate([self.bytes, data])
+        return first, order
+
+    def others(self, slots: np.ndarray, whole: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The spans whose bytes are not those of their slot."""
+        head, tail = _ends_of(_words_at(data), starts, ends)
+        lengths = ends - starts
+        same = (self.bounds[slots + 1] - self.bounds[slots] == lengths) & (self.first[slots] == head) & (self.last[slots] == tail)
+        for i in np.flatnonzero(same & (lengths > 16)).tolist():
+            at = self.bounds[slots[i]]
+            same[i] = self.bytes[at : at + lengths[i]].tobytes() == whole[starts[i] : ends[i]]
+        return np.flatnonzero(~same)
+
+    def slots_beside(self, pieces: list[bytes]) -> list[int]:
+        """Slots of pieces whose hash belongs to another piece."""
+        new = list(dict.fromkeys(p for p in pieces if p not in self.beside))
+        if new:
+            first, order = self.add(new)
+            self.beside.update((new[i], first + k) for k, i in enumerate(order.tolist()))
+        return [self.beside[p] for p in pieces]
+
+    def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        """Add pieces with distinct hashes that are not known yet."""
+        first, order = self.add(pieces)
         hashes, slot = hashes[order], first + np.arange(len(order))
         at = (hashes >> _TABLE_SHIFT).astype(np.int64)
         while len(hashes):
@@ -98,7 +148,7 @@ def encode_all(texts: list[bytes], path: str) -> list[bytes]:
     For tokenizers that lower-case and drop white space (NFC, then white space, then lower case,
     then words), a text may be cut at ASCII white space and its ASCII letters lower-cased beforehand
     without changing the ids, and punctuation that follows a letter starts a new word. So each such
-    piece is encoded once and found by a 64-bit hash afterwards. A text in which the order of composing and
+    piece is encoded once and found by a hash and its bytes afterwards. A text in which the order of composing and
     lower-casing could matter, or which may hold the string of a special token, is encoded as it is.
     """
     if path not in _known:
@@ -152,6 +202,9 @@ def _encoded(group: list[bytes], known: _Pieces) -> list[bytes]:
         new, first = np.unique(hashes[lost], return_index=True)
         known.learn(new, [whole[starts[i] : ends[i]] for i in lost[first]])
         slots[lost] = known.find(hashes[lost])
+    wrong = known.others(slots, whole, data, starts, ends)
+    if len(wrong):
+        slots[wrong] = known.slots_beside([whole[starts[i] : ends[i]] for i in wrong])
     lengths = known.starts[slots + 1] - known.starts[slots]
     places = np.concatenate([[0], np.cumsum(lengths)])
     ids = known.ids[np.arange(places[-1]) + np.repeat(known.starts[slots] - places[:-1], lengths)].astype("<u4")

@@ -50,6 +50,37 @@ def mixed(values: np.ndarray) -> np.ndarray:
 # a random-looking number for every byte
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
+# Words are told apart by two polynomials over the field of a Mersenne prime. Unlike sums modulo a power of two, where some
+# words collide whatever the base, these meet by chance only: for two words of n bytes at odds of about (n / 2 ** 31) ** 2.
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (1_181_783_497, 1_964_071_631)
+_FIELD = [(_BYTE >> np.uint64(shift)) % _PRIME for shift in (1, 33)]
+_field_tables: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _reduced(values: np.ndarray) -> np.ndarray:
+    """Products of two field elements, nearly reduced: below 2 ** 32."""
+    return (values & _PRIME) + (values >> np.uint64(31))
+
+
+def _field_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The first n powers of both bases and of their inverses."""
+    global _field_tables
+    if not _field_tables or len(_field_tables[0][0]) < n:
+        n = max(n, CHUNK_BYTES)
+        made = []
+        for base in _BASES:
+            both = []
+            for factor in (base, pow(base, -1, int(_PRIME))):
+                out, step = np.ones(1, np.uint64), factor
+                while len(out) < n:
+                    out = np.concatenate([out, out * np.uint64(step) % _PRIME])
+                    step = step * step % int(_PRIME)
+                both.append(out[:n])
+            made.append(tuple(both))
+        _field_tables = made
+    return _field_tables
+
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse, modulo 2 ** 64."""
@@ -75,11 +106,21 @@ def _hashed(text: bytes, first: int | None = None) -> tuple[np.ndarray, np.ndarr
         heads = np.flatnonzero((data & 0xC0) != 0x80)
         beyond = np.append(heads, len(data))[np.minimum(np.searchsorted(heads, starts) + first, len(heads))]
         ends = np.minimum(ends, beyond)
-    return hashed_spans(data, starts, ends), starts
+    return _field_hashes(data, starts, ends), starts
+
+
+def _field_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of 62 random bits for every span of bytes."""
+    parts = []
+    for letters, (forth, back) in zip(_FIELD, _field_powers(len(data) + 1), strict=True):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_reduced(letters[data] * forth[: len(data)]), out=sums[1:])
+        parts.append((sums[ends] - sums[starts]) % _PRIME * back[starts] % _PRIME)
+    return mixed((parts[0] | parts[1] << np.uint64(31)) + (ends - starts).astype(np.uint64) * _BASE)
 
 
 def hashed_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every span of bytes."""
+    """A quick 64-bit hash of every span of bytes, for tables that compare the bytes on a hit: collisions can be made on purpose."""
     forth, back = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * forth[: len(data)], out=sums[1:])
