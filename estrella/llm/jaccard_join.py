@@ -28,10 +28,12 @@ Every link is found or already implied by other links, so the components are exa
 from __future__ import annotations
 
 import zlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,7 @@ _SLICE = (1 << COUNT_BITS) // _SLICES
 _REGION_BITS = np.uint64((1 << 48) - 1)
 
 BLOCK = 512
+SUMMED = 256
 # Ids and pairs of nodes are broadcast up to this many bytes of ids; beyond, texts and sets are shuffled to them.
 BROADCAST_BYTES = 32 << 20
 
@@ -76,20 +79,33 @@ def most_common_members(n, m, apart):
     return np.minimum(np.minimum(n, m), (n + m - apart) // 2)
 
 
-def _node(values: np.ndarray) -> int | None:
-    """A set's name: a 64-bit hash of its sorted members."""
-    return xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63) if len(values) else None
+def _node(values: np.ndarray, seed: int) -> tuple[int | None, int | None]:
+    """A set's name, a 64-bit hash of its sorted members, and 64 bits more that tell sets of one name apart."""
+    if not len(values):
+        return None, None
+    name, check = np.frombuffer(xxhash.xxh3_128_digest(values.tobytes(), seed=seed), np.int64)
+    return int(name), int(check)
 
 
 def _slots(values: np.ndarray) -> np.ndarray:
     return (values >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
 
-_COUNTED = ["doc_id", "n", "node", "sketch", "slice", "counts"]
+_COUNTED = ["doc_id", "n", "node", "check", "sketch", "slice", "part", "counts"]
 
 
-def _count_pass(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
-    """One row (doc_id, n, node, sketch) per document, and how often the shingles of each slot occur in all of them."""
+def _count_pass(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray, int]:
+    """One row (doc_id, n, node, sketch) per document, how often the shingles of each slot occur in all of them, and
+    the seed of the nodes' names, under which no two different sets have one name."""
+    for seed in count():
+        listed, counts = _counted(docs, width, seed)
+        names = listed.filter("node IS NOT NULL").groupBy("node").agg(F.min("check").alias("low"), F.max("check").alias("high"))
+        if names.filter("low < high").isEmpty():
+            return listed.drop("check"), counts, seed
+    raise AssertionError
+
+
+def _counted(docs: DataFrame, width: int, seed: int) -> tuple[DataFrame, np.ndarray]:
 
     def run(batches):
         counts = np.zeros(1 << COUNT_BITS, np.int64)
@@ -98,13 +114,14 @@ def _count_pass(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
             sets = _sets(batch, width)
             if any(len(s) for s in sets):
                 counts[:] += np.bincount(_slots(np.concatenate(sets)), minlength=1 << COUNT_BITS)
+            nodes = [_node(s, seed) for s in sets]
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_node(s) for s in sets], pa.int64()),
+                    *[pa.array([n[i] for n in nodes], pa.int64()) for i in (0, 1)],
                     pa.array([sketch(s) for s in sets], pa.binary()),
-                    pa.nulls(len(sets), pa.int32()),
+                    *[pa.nulls(len(sets), pa.int32())] * 2,
                     pa.nulls(len(sets), pa.binary()),
                 ],
                 names=_COUNTED,
@@ -116,31 +133,40 @@ def _count_pass(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
             empty = pa.nulls(_SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[empty] * 3,
+                    *[empty] * 4,
                     pa.nulls(_SLICES, pa.binary()),
                     pa.array(range(_SLICES), pa.int32()),
+                    pa.array([TaskContext.get().partitionId()] * _SLICES, pa.int32()),
                     pa.array(packed, pa.binary()),
                 ],
                 names=_COUNTED,
             )
 
-    seen = materialize(docs.mapInArrow(run, "doc_id long, n long, node long, sketch binary, slice int, counts binary"))
+    schema = "doc_id long, n long, node long, check long, sketch binary, slice int, part int, counts binary"
+    seen = materialize(docs.mapInArrow(run, schema))
 
     def add(key, frame):
         total = np.zeros(_SLICE, np.int64)
         for packed in frame["counts"]:
             total += np.frombuffer(zlib.decompress(packed), np.int64)
-        return frame.head(1).assign(counts=[total.tobytes()])[["slice", "counts"]]
-
-    slices = seen.filter("slice IS NOT NULL").select("slice", "counts")
-    summed = slices.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect()
+        part = frame["part"].to_numpy()[:1] // SUMMED
+        return frame.head(1).assign(part=part, counts=[zlib.compress(total.tobytes(), 1)])[["slice", "part", "counts"]]
+
+    # added up in a tree, so that no task sees more than SUMMED tables at once
+    slices = seen.filter("slice IS NOT NULL").select("slice", "part", "counts")
+    tasks = (slices.agg(F.max("part")).first()[0] or 0) + 1
+    while True:
+        slices = slices.groupBy("slice", F.expr(f"part div {SUMMED}")).applyInPandas(add, "slice int, part int, counts binary")
+        tasks = -(-tasks // SUMMED)
+        if tasks == 1:
+            break
     counts = np.zeros((_SLICES, _SLICE), np.int64)
-    for row in summed:
-        counts[row["slice"]] = np.frombuffer(row["counts"], np.int64)
-    return seen.filter("slice IS NULL").select("doc_id", "n", "node", "sketch"), counts.reshape(-1)
+    for row in slices.collect():
+        counts[row["slice"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+    return seen.filter("slice IS NULL").select("doc_id", "n", "node", "check", "sketch"), counts.reshape(-1)
 
 
-def _regions(docs: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
+def _regions(docs: DataFrame, counts: np.ndarray, width: int, percent: int, seed: int) -> DataFrame:
     """(region, node, pivot, shared): regions with at least two nodes; ``shared`` of them were alike."""
     shared_counts = docs.sparkSession.sparkContext.broadcast(counts)
 
@@ -151,7 +177,7 @@ def _regions(docs: DataFrame, counts: np.ndarray, width: int, percent: int) -> D
         def one(batch):
             nodes, central, firsts = [], [], []
             for values in _sets(batch, width):
-                node = _node(values)
+                node, _ = _node(values, seed)
                 if node is None or node in seen:
                     continue
                 seen.add(node)
@@ -212,7 +238,7 @@ def _screened(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(in_slices(screen), "a long, b long, possible boolean")
 
 
-def _verified(docs: DataFrame, listed: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+def _verified(docs: DataFrame, listed: DataFrame, pairs: DataFrame, width: int, seed: int) -> DataFrame:
     """(a, b, common, n, m) for a stored frame of pairs; the texts of their nodes are read again for that."""
     spark = docs.sparkSession
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -226,14 +252,14 @@ def _verified(docs: DataFrame, listed: DataFrame, pairs: DataFrame, width: int)
     def load(batch):
         sets = [s for s in _sets(batch, width) if len(s)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+            [pa.array([_node(s, seed)[0] for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
             names=["node", "items"],
         )
 
     sets, seen = materialize_counted(found.mapInArrow(in_slices(load), "node long, items binary"))
     if seen > rows:  # ids that occur more than once
         sets = sets.dropDuplicates(["node"])
-    near = F.broadcast(pairs) if small else pairs
+    near = F.broadcast(pairs) if pairs.count() * 16 <= BROADCAST_BYTES else pairs
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
     pivots = sets.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
     right = pivots.select(F.col("node").alias("b"), F.col("items").alias("items_b"))
@@ -275,8 +301,9 @@ def _compared(rows: tuple[np.ndarray, ...], sides: np.ndarray, percent: int) ->
     for length in np.unique(lengths[left]):
         mine, words = stacked(left, length)
         for other in np.unique(lengths[right]):
-            if max(length, other) > 2 * min(length, other):
-                continue  # sizes too different for a link
+            # a sketch has two to four bits a member, and of linked sets one has at most 100 / percent times the other's members
+            if max(length, other) * percent > 200 * min(length, other):
+                continue
             theirs, words2 = stacked(right, other)
             x, y = folded(words, other), folded(words2, length)
             # a window of distances to one node: those of a link differ by no more than the sets do
@@ -358,8 +385,8 @@ def jaccard_classes(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")
     )
     ship(docs.sparkSession)
-    listed, counts = _count_pass(docs, width)
-    regions = materialize(_regions(docs, counts, width, percent))
+    listed, counts, seed = _count_pass(docs, width)
+    regions = materialize(_regions(docs, counts, width, percent, seed))
     wanted = regions.select("node").distinct()
     marks = materialize(
         listed.join(wanted, "node").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
@@ -372,14 +399,14 @@ def jaccard_classes(
     homes = materialize(met.groupBy("node").agg(F.max_by("pivot", order).alias("home")))
     pairs = homes.filter("node <> home").select(F.col("node").alias("a"), F.col("home").alias("b"))
     possible = materialize(_screened(pairs, marks, percent).filter("possible").select("a", "b"))
-    near = _verified(docs, listed, possible, width)
+    near = _verified(docs, listed, possible, width, seed)
     comps = materialize(components(near.filter(_is_link(percent)).select("a", "b")))
 
     tasks = _open_blocks(regions, marks, comps)
     order = ["region", "block1", "block2", "side", "node"]
     dealt = tasks.repartition(shuffle_partitions(docs.sparkSession), *order[:3]).sortWithinPartitions(*order)
     rest = materialize(dealt.mapInArrow(_block_pairs(percent), "a long, b long").distinct())
-    last = _verified(docs, listed, rest, width).filter(_is_link(percent)).select("a", "b")
+    last = _verified(docs, listed, rest, width, seed).filter(_is_link(percent)).select("a", "b")
     known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
     every = components(known.unionByName(last))
 
