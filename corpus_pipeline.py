@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrella.llm import jaccard_join, mixing, packing, toxicity
+from estrella.llm import identity, jaccard_join, mixing, packing, toxicity
 from estrella.session import materialize
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,18 +27,21 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     id may have several texts; rows without an id come last in their group. Documents without words are
     all kept, as they are near nothing.
     """
-    keyed = docs.select(COLUMNS).withColumn("key", F.xxhash64("doc_id", "text"))
+    keyed = identity.distinct_keys(docs.select(COLUMNS), "key", "doc_id", "text")
     classes = jaccard_join.jaccard_classes(keyed, "key").select(F.col("doc_id").alias("key"), "component_id").distinct()
     members = materialize(classes.join(keyed.select("key", "doc_id").distinct(), "key"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     # written, so that the join starts from plain shuffles and a large group can be split
     best = materialize(members.groupBy("component_id").agg(F.min_by("key", order).alias("best")))
-    gone = members.join(best, "component_id").filter("key <> best").select("key")
-    kept = keyed.join(gone, "key", "left_anti")
-    repeats = Window.partitionBy("key").orderBy("lang", "source", "n_chars")
-    numbered = kept.withColumn("at", F.row_number().over(repeats))
-    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return numbered.filter((F.col("at") == 1) | wordless).select(COLUMNS)
+    gone = members.join(best, "component_id").filter("key <> best").select("key", F.lit(True).alias("gone"))
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    counted = keyed.filter(worded).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = counted.join(gone, "key", "left_anti").select("key", F.lit(False).alias("gone"))
+    marked = keyed.join(materialize(gone.unionByName(repeated)), "key", "left")
+    # of repeated rows every task sends one
+    first = F.min(F.struct("lang", "source", "n_chars")).alias("row")
+    once = marked.filter("NOT gone").groupBy("key").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("text").alias("text"), first)
+    return marked.filter("gone IS NULL").select(COLUMNS).unionByName(once.select("doc_id", "text", "row.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
