@@ -883,6 +883,35 @@ _ORACLES = {
     "enrich_product": _ENR_PRODUCT_OUT.format(METRICS["enr_product"]),
     "enrich_product_active": _ENR_PRODUCT_OUT.format(_product_metrics("fact", False)),
     "enrich_product_distributed": _ENR_PRODUCT_OUT.format(_product_metrics("fact", True, "dim_product_unsold")),
+    "fact_insert_filtered": _FACT_OUT.format("""(SELECT * FROM base_fact UNION ALL SELECT * FROM batch_fact n WHERE NOT EXISTS (
+        SELECT 1 FROM base_fact b WHERE b.nk_order_id = n.nk_order_id AND b.sk_producto = n.sk_producto))"""),
+    "key_filter_share": """SELECT unnest(['propias', 'ajenas']) AS claves, (SELECT count(*) FROM base_fact) AS filas,
+        unnest([CAST(1 AS BIGINT), CAST(1 AS BIGINT)]) AS bien""",
+    "sketch_runs": """SELECT campo, cant_distintos, CAST(1 AS BIGINT) AS cerca, CAST(1 AS BIGINT) AS igual FROM (
+        SELECT unnest(['order_id', 'product_id', 'unit_price', 'quantity', 'return_flag']) AS campo, unnest([count(DISTINCT order_id),
+            count(DISTINCT product_id), count(DISTINCT unit_price), count(DISTINCT quantity), count(DISTINCT return_flag)]) AS cant_distintos
+        FROM all_lines)""",
+    "mart_read_back": _PERIOD_OUT.format("m_period"),
+    "mart_footprints": " UNION ALL ".join(
+        f"""SELECT '{mart}' AS tabla_destino, n AS registros_leidos, n AS registros_insertados, CAST(0 AS BIGINT) AS registros_rechazados,
+        'CARGADO' AS decision, CAST(NULL AS VARCHAR) AS motivo_rechazo FROM (SELECT count(*) AS n FROM {rows})"""
+        for mart, rows in (
+            ("dp_ventas_por_periodo", "m_period"),
+            ("dp_ventas_por_cliente", "customer"),
+            ("dp_ventas_por_producto", "part"),
+            ("dp_ventas_por_empleado", "supplier"),
+            ("dp_ventas_geografico", "nation"),
+        )
+    ),
+    "inline_segments": """SELECT CASE WHEN balance < 0 THEN NULL WHEN balance < 2000 THEN 'C' WHEN balance < 6000 THEN 'B' ELSE 'A' END AS banda,
+        count(*) AS clientes FROM dim_customer GROUP BY 1""",
+    "dim_product_lookup_upsert": """SELECT sk_producto, nk_product_id, CAST(precio_lista AS DOUBLE) AS precio_lista, category_name, supplier_name,
+        sk_pais_supplier FROM (
+        SELECT sk_producto, nk_product_id, CASE WHEN precio_lista > 1500 THEN precio_lista * 2 ELSE precio_lista END AS precio_lista,
+               category_name, supplier_name, sk_pais_supplier FROM dim_product WHERE discontinued = 0
+        UNION ALL
+        SELECT (SELECT max(sk_producto) FROM dim_product WHERE discontinued = 0) + row_number() OVER (ORDER BY nk_product_id),
+               nk_product_id, precio_lista * 2, category_name, supplier_name, sk_pais_supplier FROM dim_product WHERE discontinued = 1)""",
     "fact_upsert_snapshot": _FACT_OUT.format("upserted"),
     "delta_customer": _ENR_CUSTOMER_OUT.format(_customer_metrics("upserted", True)),
     "delta_product": _ENR_PRODUCT_OUT.format(_product_metrics("upserted", True)),

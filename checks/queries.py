@@ -20,12 +20,14 @@ from estrella.operators import (
     history,
     indicators,
     integrity,
+    keyfilter,
     ledger,
     marts,
     metrics,
     profile,
     ranking,
     rules,
+    sketches,
     staging,
     upsert,
 )
@@ -426,6 +428,24 @@ def profile_columns(src: Source) -> DataFrame:
     return profile.listing(_profiles(src))
 
 
+@query
+def sketch_runs(src: Source) -> DataFrame:
+    """Sketches of two runs: their merge is the sketch of all rows, and close to the exact distinct counts."""
+    columns = ["order_id", "product_id", "unit_price", "quantity", "return_flag"]
+    lines = src.all_lines().select(*columns)
+    returned = F.col("return_flag") == "R"
+    path = work_path(src.spark)
+    runs = [files.overwrite(sketches.sketch(lines.filter(test), columns), f"{path}/{i}") for i, test in enumerate((returned, ~returned))]
+    merged = sketches.merge(*runs)
+    whole = sketches.sketch(lines, columns).withColumnRenamed("peso", "_peso")
+    same = merged.join(whole, ["campo", "clase", "casilla"], "full_outer").groupBy("campo").agg(
+        F.min(F.col("peso").eqNullSafe(F.col("_peso"))).alias("igual")
+    )
+    exact = profile.profile("tmp_order_details", lines, {c: () for c in columns}).select("campo", "cant_distintos")
+    near = F.abs(F.col("distintos") - F.col("cant_distintos")) <= 0.06 * F.col("cant_distintos")
+    return same.join(sketches.distinct_counts(merged), "campo").join(exact, "campo").select("campo", "cant_distintos", near.alias("cerca"), "igual")
+
+
 @query
 def profile_empty(src: Source) -> DataFrame:
     """An empty table has a row of zeros per column."""
@@ -735,6 +755,27 @@ def dim_customer_lookup_upsert(src: Source) -> DataFrame:
     return filled.select("sk_cliente", "nk_customer_id", "city", "country", "sk_pais")
 
 
+@query
+def dim_product_lookup_upsert(src: Source) -> DataFrame:
+    """New and dearer products with category, supplier and the supplier's country looked up."""
+    s = star(src)
+    known = s.products.filter(~F.col("discontinued"))
+    flat = product_dim(src, s.countries).drop("sk_producto")
+    news = flat.filter((F.col("precio_lista") > 1500) | F.col("discontinued"))
+    news = news.withColumn("precio_lista", (F.col("precio_lista") * 2).cast("decimal(10,4)"))
+    columns = [c for c in flat.columns if c != "nk_product_id"]
+    merged = dims.upsert_dim(known, news, "nk_product_id", "sk_producto", columns)
+    return merged.select("sk_producto", "nk_product_id", "precio_lista", "category_name", "supplier_name", "sk_pais_supplier")
+
+
+@query
+def inline_segments(src: Source) -> DataFrame:
+    """Customers by a small table that is written in the program."""
+    bands = files.inline_rows(src.spark, [(0, 2000, "C"), (2000, 6000, "B"), (6000, 10**9, "A")], "desde long, hasta long, banda string")
+    met = star(src).customers.join(F.broadcast(bands), (F.col("balance") >= F.col("desde")) & (F.col("balance") < F.col("hasta")), "left")
+    return met.groupBy("banda").agg(F.count(F.lit(1)).alias("clientes"))
+
+
 @query
 def dim_backfill_fk(src: Source) -> DataFrame:
     s = star(src)
@@ -832,6 +873,30 @@ def fact_upsert_snapshot(src: Source) -> DataFrame:
     return store.open().read("fact").drop("periodo")
 
 
+@query
+def fact_insert_filtered(src: Source) -> DataFrame:
+    """Insert of new fact rows, where a stored filter of the keys lets few of the known ones meet the fact."""
+    base = files.overwrite(_base_fact(src).select(*facts.FACT_COLUMNS), work_path(src.spark))
+    blocks = keyfilter.blocks_for(base.count())
+    known = files.overwrite(keyfilter.build(base, facts.GRAIN, blocks), work_path(src.spark))
+    fresh, _ = keyfilter.insert_new(base, _batch_fact(src).select(*facts.FACT_COLUMNS), facts.GRAIN, known, blocks)
+    return base.unionByName(fresh)
+
+
+@query
+def key_filter_share(src: Source) -> DataFrame:
+    """All keys of the fact pass the filter of the fact; of the keys that it does not hold hardly any do."""
+    base = _base_fact(src).select(*facts.GRAIN)
+    blocks = keyfilter.blocks_for(base.count())
+    known = files.overwrite(keyfilter.build(base, facts.GRAIN, blocks), work_path(src.spark))
+    strange = base.withColumn(facts.GRAIN[0], -F.col(facts.GRAIN[0]) - 1)
+    mine, other = (keyfilter.passing_share(rows, known, facts.GRAIN, blocks) for rows in (base, strange))
+    few = F.col("dudosas") * 50 < F.col("filas")
+    return mine.select(F.lit("propias").alias("claves"), "filas", (F.col("filas") == F.col("dudosas")).alias("bien")).unionByName(
+        other.select(F.lit("ajenas").alias("claves"), "filas", few.alias("bien"))
+    )
+
+
 def _kept(src: Source, figures: deltas.Figures, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Figures of the first sales, brought up to date by the rows that the batch replaces and adds."""
     base = prepare(_base_fact(src).select(*facts.FACT_COLUMNS))
@@ -1182,6 +1247,29 @@ def report_monthly(src: Source) -> DataFrame:
     return reports.monthly_series(_period(src), REPORT_YEAR)
 
 
+@query
+def mart_read_back(src: Source) -> DataFrame:
+    """The monthly mart published twice; what is read is one complete version."""
+    root = work_path(src.spark)
+    first = files.publish(_period(src), root)
+    second = files.publish(files.read_mart(src.spark, first), root)
+    return files.read_mart(src.spark, second)
+
+
+@query
+def mart_footprints(src: Source) -> DataFrame:
+    """Rows of each mart against the rows it is made from."""
+    s = star(src)
+    months = marts.with_month(s.fact).select("_month").distinct()
+    return union(
+        facts.footprint("dp_ventas_por_periodo", months, _period(src), ""),
+        facts.footprint("dp_ventas_por_cliente", s.customers, _by_customer(src), ""),
+        facts.footprint("dp_ventas_por_producto", s.products, _by_product(src), ""),
+        facts.footprint("dp_ventas_por_empleado", s.employees, marts.sales_by_employee(s.employees, s.fact), ""),
+        facts.footprint("dp_ventas_geografico", s.countries, marts.sales_by_country(s.countries, s.customers, s.fact), ""),
+    )
+
+
 @query
 def report_active_customers(src: Source) -> DataFrame:
     active = reports.active_in_year(_by_customer(src), _fact_of(src, 2001), "sk_cliente", 2001)

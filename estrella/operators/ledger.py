@@ -6,6 +6,9 @@ latest one. Nothing is updated in place.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -16,6 +19,10 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from estrella.functions import numbers as num
+from estrella.sources.atomic import create_once
+
+# Run ids of shared ledgers: milliseconds since 2020, writer, sequence.
+EPOCH_MS, WRITER_BITS, SEQUENCE_BITS = 1_577_836_800_000, 12, 10
 
 EVENT_SCHEMA = (
     "log_id bigint, script_id bigint, evento int, momento timestamp_ntz, resultado string, detalle string, "
@@ -54,11 +61,14 @@ class Ledger:
         )
         return len(self.scripts)
 
+    def _next(self) -> int:
+        self._runs += 1
+        return self._runs
+
     @contextmanager
     def run(self, name: str, description: str = "", stage: str = "ingenieria") -> Iterator[Run]:
         script = self.register(name, description, stage)
-        self._runs += 1
-        current = Run(self._runs)
+        current = Run(self._next())
         self._add(current.log_id, script, 0, num.RUNNING, None, None)
         try:
             yield current
@@ -79,6 +89,51 @@ class Ledger:
         return self.spark.createDataFrame(self.events, EVENT_SCHEMA)
 
 
+@dataclass
+class SharedLedger(Ledger):
+    """A ledger below a folder that any number of applications write at once without waiting for each other.
+
+    A script is registered by creating its file, which only the first of its name can; its id is a hash of the name. A run's id
+    is made of the time, the writer's number (claimed the same way) and a sequence, so ids of all writers differ and follow the
+    time. Events are appended as files of each writer's own by ``publish``.
+    """
+
+    root: str = ""
+
+    def __post_init__(self) -> None:
+        self.writer = 0
+        while not create_once(self.spark, f"{self.root}/writers/{self.writer}", self.spark.sparkContext.applicationId):
+            self.writer += 1
+
+    def register(self, name: str, description: str, stage: str) -> int:
+        """Script id; registering a name again, by whatever writer, changes nothing."""
+        script = int(hashlib.sha256(name.encode()).hexdigest()[:15], 16)
+        entry = {"script_id": script, "script_nombre": name, "script_desc": description, "etapa": stage}
+        create_once(self.spark, f"{self.root}/scripts/{script:015x}.json", json.dumps(entry))
+        return script
+
+    def _next(self) -> int:
+        now = (time.time_ns() // 1_000_000 - EPOCH_MS) << (WRITER_BITS + SEQUENCE_BITS)
+        mine = (self.writer % (1 << WRITER_BITS)) << SEQUENCE_BITS
+        # several runs in one millisecond, or a clock that went back, go on counting
+        self._runs = now | mine if now | mine > self._runs else self._runs + 1
+        return self._runs
+
+    def publish(self) -> None:
+        """Append this writer's events since the last time."""
+        if self.events:
+            super().event_table().coalesce(1).write.mode("append").parquet(f"{self.root}/events")
+            self.events = []
+
+    def script_table(self) -> DataFrame:
+        return self.spark.read.schema(SCRIPT_SCHEMA).json(f"{self.root}/scripts")
+
+    def event_table(self) -> DataFrame:
+        """The events that all writers published, and this one's own."""
+        self.publish()
+        return self.spark.read.schema(EVENT_SCHEMA).parquet(f"{self.root}/events")
+
+
 @dataclass
 class Run:
     log_id: int

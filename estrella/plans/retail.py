@@ -54,13 +54,21 @@ COUNTRY_ATTRIBUTES = [
 GATE_STEPS = ["validacion_ingesta", "validacion_integracion"]
 
 
-def read_batch(spark: SparkSession, paths: Mapping[str, str], batch: int) -> dict[str, DataFrame]:
-    """Raw text tables from CSV files; ``paths`` maps table names to files."""
+class RawBatch(dict[str, DataFrame]):
+    """Raw text tables by name, and the lines of their files that could not be read."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.rejects: dict[str, DataFrame] = {}
+
+
+def read_batch(spark: SparkSession, paths: Mapping[str, str], batch: int) -> RawBatch:
+    """Raw text tables from CSV files; ``paths`` maps table names to files. Bad lines do not stop a batch, they become its rejects."""
     separators = spec.SEPARATORS[batch]
-    return {
-        name: files.read_raw_csv(spark, path, spec.RAW_COLUMNS[name], separators.get(name, ","))
-        for name, path in paths.items()
-    }
+    read = RawBatch()
+    for name, path in paths.items():
+        read[name], read.rejects[name] = files.import_csv(spark, path, spec.RAW_COLUMNS[name], separators.get(name, ","))
+    return read
 
 
 class RetailWarehouse:
@@ -163,6 +171,19 @@ class RetailWarehouse:
         """Mirror the files as text tables, so that they are parsed once; later steps read columns."""
         with self._step(name, "Lectura de archivos CSV", stage) as run:
             mirrored = {table: self._store(f"{prefix}_{table}", df) for table, df in raw.items()}
+            if isinstance(raw, RawBatch):
+                bad = [
+                    rows.select(
+                        F.lit(f"{prefix}_{table}").alias("tabla_origen"),
+                        F.concat_ws(":", F.substring_index("archivo", "/", -1), "linea").alias("clave_registro"),
+                        "motivo_rechazo",
+                        F.lit(num.REJECTED).alias("decision"),
+                    )
+                    for table, rows in raw.rejects.items()
+                ]
+                found = materialize(upsert.union_all(bad))
+                if not found.isEmpty():
+                    self._reject(found, run)
             counts = files.control_total(mirrored)
             run.rows = counts.filter(F.col("tabla") == "TOTAL").first()["registros"]
             return mirrored
@@ -443,7 +464,15 @@ class RetailWarehouse:
             }
             # a new version next to the old one: readers see the old marts until the new ones are complete
             stored = {name: self._store(name, df) for name, df in built.items()}
-            loads = [facts.footprint(name, df, df, "") for name, df in stored.items()]
+            # what each mart has a row for
+            sources = {
+                "dp_ventas_por_periodo": marts.with_month(fact).select("_month").distinct(),
+                "dp_ventas_por_cliente": customers,
+                "dp_ventas_por_producto": self.table("dim_producto"),
+                "dp_ventas_por_empleado": self.table("dim_empleado"),
+                "dp_ventas_geografico": countries,
+            }
+            loads = [facts.footprint(name, sources[name], df, "") for name, df in stored.items()]
             self._log("dqm_carga_dwa", upsert.union_all(loads), run)
             run.rows = marts.row_counts(stored).agg(F.sum("registros")).first()[0]
             return stored

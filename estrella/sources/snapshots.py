@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 from estrella.operators.ranking import first_per_key
 from estrella.operators.upsert import upsert
 from estrella.session import materialize
+from estrella.sources.atomic import create_once
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # name of a folder's level for the partition column of some place; the columns themselves stay in the files
@@ -215,20 +216,9 @@ class Snapshots:
             }
             for name, t in snapshot.tables.items()
         }
-        aside = self._hadoop.Path(f"{self.root}/manifests/.{uuid.uuid4().hex}")
-        out = self._fs.create(aside)
-        out.write(bytearray(json.dumps({"number": snapshot.number, "tables": tables}), "utf-8"))
-        out.close()
-        files = self._hadoop.FileContext.getFileContext(aside.toUri(), self._conf)
-        target = self._hadoop.Path(self._manifest(snapshot.number))
-        options = self.spark.sparkContext._gateway.new_array(self._hadoop.Options.Rename, 0)
-        try:
-            files.rename(aside, target, options)
-        except Exception as error:
-            self._fs.delete(aside, False)
-            if self._fs.exists(target):
-                raise Conflict(f"version {snapshot.number} exists") from error
-            raise
+        text = json.dumps({"number": snapshot.number, "tables": tables})
+        if not create_once(self.spark, self._manifest(snapshot.number), text):
+            raise Conflict(f"version {snapshot.number} exists")
 
     def _write(self, name: str, df: DataFrame, partition: Sequence[str]) -> dict[Values, str]:
         """Write rows to a new folder; the folders with files by their partition values."""

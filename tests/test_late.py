@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from estrella.operators import history, upsert
+from estrella.plans import retail
 from estrella.session import work_path
 from estrella.sources import files
 
@@ -156,6 +157,17 @@ def test_bad_lines(spark, tmp_path):
     assert again.columns == df.columns
 
 
+def test_bad_lines_are_rejects_of_the_batch(spark, tmp_path):
+    (tmp_path / "shippers.csv").write_text("shipperID,companyName,phone\n1,One,555\n2,Two\n3,Three,556\n")
+    (tmp_path / "regions.csv").write_text("regionID,regionDescription\n1,Eastern\n")
+    house = retail.RetailWarehouse(spark, work_path(spark), as_of=date(2026, 6, 16))
+    raw = retail.read_batch(spark, {t: str(tmp_path / f"{t}.csv") for t in ("shippers", "regions")}, batch=1)
+    tables = house._import(raw, "txt", "importacion", "adquisicion")
+    assert tables["shippers"].count() == 2 and tables["regions"].count() == 1
+    rejects = house._dqm("dqm_registro_rechazado").select("tabla_origen", "clave_registro", "motivo_rechazo", "decision")
+    assert _rows(rejects) == [("txt_shippers", "shippers.csv:3", "Faltan campos: 2 de 3", "RECHAZADO")]
+
+
 def test_many_touched_partitions(spark, many=450):
     """Far more than an expression tree of one condition per folder would bear."""
     path = work_path(spark)
