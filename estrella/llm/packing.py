@@ -95,10 +95,13 @@ def pack_documents(
     doc_id: str = "doc_id",
     text: str = "text",
     with_ids: bool = False,
+    loss: str | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
-    A document is the ids of its whole text and ``end_id``, all of them bearing loss. The number of
+    A document is the ids of its whole text and ``end_id``. ``loss`` names a column with the number of tokens that bear
+    loss, the last ones of the document (a prompt comes before its answer); without it, or where it is NULL, all
+    do. No sequence has more than ``max_loss`` of them, nor more than ``max_segments`` pieces. The number of
     groups follows from the rows and bytes of the input, so a task holds about ``GROUP_ROWS`` rows or
     ``GROUP_BYTES`` of text; which group a row goes to depends on its id and text alone. Sequence ids
     are unique, not dense. A NULL text is empty, a NULL id is kept, repeated rows are packed like
@@ -106,7 +109,9 @@ def pack_documents(
     """
     ship(docs.sparkSession)
     docs = docs.select(
-        F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")
+        F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+        F.col(f"`{text}`").cast("string").alias("text"),
+        (F.col(f"`{loss}`") if loss else F.lit(None)).cast("long").alias("loss"),
     )
     seen = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     groups = max(1, -(-seen["n"] // GROUP_ROWS), -(-(seen["b"] or 0) // GROUP_BYTES))
@@ -116,18 +121,18 @@ def pack_documents(
         end = np.array([end_id], "<u4").tobytes()
         made = [ids + end for ids in encode_all(utf8_texts(batch, "text"), tokenizer)]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("grp"), pa.array([_packed(m) for m in made], pa.binary())],
-            names=["doc_id", "grp", "ids"],
+            [*(batch.column(c) for c in ("doc_id", "loss", "grp")), pa.array([_packed(m) for m in made], pa.binary())],
+            names=["doc_id", "loss", "grp", "ids"],
         )
 
     def pack(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         ids = [_unpacked(b) for b in table.column("ids").to_pylist()]
         names, group = table.column("doc_id").to_pylist(), table.column("grp")[0].as_py()
+        bearing = [len(d) if b is None else max(0, min(b, len(d))) for b, d in zip(table.column("loss").to_pylist(), ids, strict=True)]
         # a fixed order, however the rows arrive
-        order = sorted(range(len(ids)), key=lambda i: (len(ids[i]), zlib.crc32(ids[i]), names[i] is not None, names[i] or 0))
-        sizes = [len(ids[i]) for i in order]
-        pieces = pack_vectors(sizes, sizes, max_tokens, max_segments, limit)
+        order = sorted(range(len(ids)), key=lambda i: (len(ids[i]), bearing[i], zlib.crc32(ids[i]), names[i] is not None, names[i] or 0))
+        pieces = pack_vectors([len(ids[i]) for i in order], [bearing[i] for i in order], max_tokens, max_segments, limit)
         cols: dict[str, list] = {c: [] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")}
         for at, start, length, sequence, offset in pieces:
             i = order[at]
@@ -143,7 +148,7 @@ def pack_documents(
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     schema += ", ids array<int>" if with_ids else ""
     grp = F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("grp")
-    encoded = docs.select("doc_id", "text", grp).mapInArrow(in_slices(one), "doc_id long, grp long, ids binary")
+    encoded = docs.select("doc_id", "text", "loss", grp).mapInArrow(in_slices(one), "doc_id long, loss long, grp long, ids binary")
     return encoded.groupBy("grp").applyInArrow(pack, schema)
 
 
