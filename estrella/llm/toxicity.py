@@ -236,17 +236,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: in
         return pa.RecordBatch.from_arrays(columns, names=["turn", "doc_id", "toxic", "slots"])
 
     texts = docs.join(F.broadcast(chosen), "doc_id").select("turn", "doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
-    rows = texts.mapInArrow(in_slices(one), "turn long, doc_id long, toxic int, slots binary").collect()
-    first = {}  # one row per id, in an order that does not depend on how rows arrive
-    for r in sorted(rows, key=lambda r: (r["turn"], r["doc_id"], bytes(r["slots"]))):
-        first.setdefault(r["doc_id"], r)
-    toxic = np.array([r["toxic"] for r in first.values()], float)
+    made = texts.mapInArrow(in_slices(one), "turn long, doc_id long, toxic int, slots binary")
+    # of an id that occurs more than once the smallest row, chosen before anything comes to the driver
+    once = made.groupBy("turn", "doc_id", "toxic").agg(F.min("slots").alias("slots")).collect()
+    rows = sorted(once, key=lambda r: (r["turn"], r["doc_id"]))
+    toxic = np.array([r["toxic"] for r in rows], float)
     if not len(toxic) or not toxic.any() or toxic.all():
         return None
     # every sampled row stands for so many labelled ones of its class
     stands = {int(v): n / min(n, max_rows) for v, n in counts.items()}
-    weights = np.array([stands[r["toxic"]] for r in first.values()])
-    return fit_chain([np.frombuffer(r["slots"], "<i4") for r in first.values()], toxic, weights)
+    weights = np.array([stands[r["toxic"]] for r in rows])
+    return fit_chain([np.frombuffer(r["slots"], "<i4") for r in rows], toxic, weights)
 
 
 def score_toxicity(
