@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 ROWS_AT_ONCE = 500
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WHITE = re.compile(rb"[\x20\x09-\x0D]")
@@ -76,7 +76,7 @@ def _field_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
                 while len(out) < n:
                     out = np.concatenate([out, out * np.uint64(step) % _PRIME])
                     step = step * step % int(_PRIME)
-                both.append(out[:n])
+                both.append(out[:n].astype(np.uint32))
             made.append(tuple(both))
         _field_tables = made
     return _field_tables
@@ -114,7 +114,9 @@ def _field_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     parts = []
     for letters, (forth, back) in zip(_FIELD, _field_powers(len(data) + 1), strict=True):
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_reduced(letters[data] * forth[: len(data)]), out=sums[1:])
+        terms = letters[data]
+        terms *= forth[: len(data)]
+        np.cumsum(_reduced(terms), out=sums[1:])
         parts.append((sums[ends] - sums[starts]) % _PRIME * back[starts] % _PRIME)
     return mixed((parts[0] | parts[1] << np.uint64(31)) + (ends - starts).astype(np.uint64) * _BASE)
 
