@@ -61,7 +61,7 @@ def load_fact(
     Dimensions are broadcast when Spark finds them small and otherwise joined with its skew handling.
 
     The freight share needs the lines of an order; they are counted before any join. The headers are
-    written with all they bring, so both sides of the last join come straight from a shuffle and
+    written with all that the fact takes of them, so both sides of the last join come straight from a shuffle and
     Spark splits the lines of a heavy order. ``lines`` is read twice, so it should be a stored table.
     """
     counts = lines.groupBy(order_key).agg(F.count(F.lit(1)).alias("n_lineas"))
@@ -77,9 +77,11 @@ def load_fact(
             lines = _looked_up(lines, lookup, key.column, how)
         else:
             headers = _looked_up(headers, lookup, key.column, how)
-    headers = headers.join(counts, order_key).drop(*[k.column for k in keys if k.column in lines.columns])
-    rows = lines.join(materialize(headers), order_key)
     present = [k.surrogate for k in keys]
+    of_order = [k.surrogate for k in keys if k.column not in lines.columns]
+    share = prorate(F.col("freight"), F.col("n_lineas")).alias("flete_prorrateado")
+    headers = headers.join(counts, order_key).select(order_key, "sk_tiempo", *of_order, share)
+    rows = lines.join(materialize(headers), order_key)
     absent = {k: F.lit(None).cast("bigint") for k in FACT_COLUMNS[1:5] if k not in present}
     rows = rows.withColumns(absent) if absent else rows
     quantity, price, discount = F.col("quantity"), F.col("unit_price"), F.col("discount")
@@ -89,7 +91,7 @@ def load_fact(
         quantity.alias("cantidad"),
         price.alias("precio_unitario"),
         discount.alias("descuento"),
-        prorate(F.col("freight"), F.col("n_lineas")).alias("flete_prorrateado"),
+        "flete_prorrateado",
         *[value.alias(name) for name, value in measures(quantity, price, discount).items()],
     )
 

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from estrella.functions import text as txt
 from estrella.operators.ranking import drop_repeats
+from estrella.session import fit_partitions
 
 MONEY2 = "decimal(12,2)"
 PRICE = "decimal(10,4)"
@@ -190,4 +191,6 @@ class Source:
 
     def lines(self) -> DataFrame:
         """One line per order and product; the first by all remaining columns wins."""
-        return drop_repeats(self.all_lines(), ["order_id", "product_id"], LINE_ORDER)
+        lines = self.all_lines()
+        fit_partitions(self.spark, lines.count())
+        return drop_repeats(lines, ["order_id", "product_id"], LINE_ORDER)

@@ -14,7 +14,8 @@ from estrella.operators import dims
 from estrella.operators.calendar import calendar_range
 from estrella.operators.facts import DimKey, load_fact
 from estrella.operators.upsert import assign_keys
-from estrella.session import work_path
+from estrella.session import CODEC, work_path
+from estrella.sources.files import overwrite
 
 LINE_COLUMNS = ["order_id", "product_id", "employee_id", "unit_price", "quantity", "discount"]
 
@@ -40,6 +41,7 @@ class Star:
     products: DataFrame
     shippers: DataFrame
     fact: DataFrame
+    lines: DataFrame
 
     def keys(self, required: tuple[str, ...] = ("product",)) -> list[DimKey]:
         """Key lookups of the fact; those named in ``required`` drop lines without a match."""
@@ -111,12 +113,11 @@ def product_dim(source: StagedSource, countries: DataFrame) -> DataFrame:
 
 
 def build_star(source: StagedSource, root: str) -> Star:
-    """Write dimensions, then the fact partitioned by year, under ``root``."""
+    """Write dimensions, staged lines, then the fact partitioned by year, under ``root``."""
     spark = SparkSession.active()
 
     def stored(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+        return overwrite(df, f"{root}/{name}")
 
     calendar = stored("dim_tiempo", calendar_range(source.orders(), "order_date", ["required_date", "shipped_date"]))
     countries = stored("dim_pais", country_dim(source))
@@ -124,8 +125,8 @@ def build_star(source: StagedSource, root: str) -> Star:
     employees = stored("dim_empleado", employee_dim(source))
     products = stored("dim_producto", product_dim(source, countries))
     shippers = stored("dim_shipper", assign_keys(None, source.shippers(), "nk_shipper_id", "sk_shipper"))
-    star = Star(calendar, countries, customers, employees, products, shippers, calendar)
     lines = stored("stg_order_details", source.lines().select(*LINE_COLUMNS))
+    star = Star(calendar, countries, customers, employees, products, shippers, calendar, lines)
     write_fact(load_fact(lines, source.orders(), star.keys(), calendar), f"{root}/fact_ventas")
     return replace(star, fact=spark.read.parquet(f"{root}/fact_ventas"))
 
@@ -133,7 +134,7 @@ def build_star(source: StagedSource, root: str) -> Star:
 def write_fact(fact: DataFrame, path: str) -> None:
     """Partition by year. No shuffle is added: each task writes the years it holds."""
     yearly = fact.withColumn("anio", F.expr("int(sk_tiempo div 10000)"))
-    yearly.write.mode("overwrite").partitionBy("anio").parquet(path)
+    yearly.write.mode("overwrite").option("compression", CODEC).partitionBy("anio").parquet(path)
 
 
 _built: dict[tuple[str, str], Star] = {}

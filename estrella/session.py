@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
+_ROWS_A_TASK = 1_000_000
+# codec of stored tables and intermediates
+CODEC = "zstd"
 
 
 def build_session(app_name: str = "estrella", master: str | None = None, **conf: str) -> SparkSession:
@@ -70,7 +73,7 @@ def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """``materialize`` plus the row count, observed during the write instead of by a second scan."""
     seen = Observation()
     path = work_path(df.sparkSession)
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("compression", CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
 
 
@@ -84,5 +87,16 @@ def _delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fit_partitions(spark: SparkSession, rows: int) -> None:
+    """Raise the session's shuffle partitions, never lower them, so that a task sorts about a million of ``rows``.
+
+    With a number that does not follow the rows, the sorts and maps of a task outgrow its memory and spill. Adaptive
+    execution merges what turns out small.
+    """
+    wanted = -(-rows // _ROWS_A_TASK)
+    if wanted > shuffle_partitions(spark):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from estrella.operators.marts import row_counts
-from estrella.session import materialize
+from estrella.session import CODEC, materialize
 
 
 def read_raw_csv(
@@ -97,7 +97,7 @@ def append(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
 
 def overwrite(df: DataFrame, path: str, partition: Sequence[str] = ()) -> DataFrame:
     """Replace a table that ``df`` does not read."""
-    df.write.mode("overwrite").partitionBy(*partition).parquet(path)
+    df.write.mode("overwrite").option("compression", CODEC).partitionBy(*partition).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
