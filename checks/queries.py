@@ -34,7 +34,6 @@ from estrella.operators import (
 from estrella.plans import reports
 from estrella.plans.sample import Source
 from estrella.plans.star import (
-    LINE_COLUMNS,
     Star,
     build_star,
     country_dim,
@@ -796,8 +795,7 @@ def dim_score_segment(src: Source) -> DataFrame:
 @query
 def fact_load(src: Source) -> DataFrame:
     s = star(src)
-    lines = files.overwrite(src.lines().select(*LINE_COLUMNS), work_path(src.spark))
-    return facts.load_fact(lines, src.orders(), s.keys(), s.calendar)
+    return facts.load_fact(s.lines, src.orders(), s.keys(), s.calendar)
 
 
 @query
@@ -811,7 +809,7 @@ def _batch_fact(src: Source) -> DataFrame:
     keys = s.keys(("product", "customer"))
     keys[1] = facts.DimKey(s.customers.filter(F.col("balance") >= 0), "nk_customer_id", "sk_cliente", "customer_id", True)
     batch = src.orders().filter(F.col("order_date") >= OVERLAP).withColumn("freight", (F.col("freight") * 2).cast("decimal(12,2)"))
-    lines = src.lines().select(*LINE_COLUMNS).join(batch.select("order_id"), "order_id", "left_semi")
+    lines = s.lines.join(batch.select("order_id"), "order_id", "left_semi")
     return facts.load_fact(files.overwrite(lines, work_path(src.spark)), batch, keys)
 
 
