@@ -19,13 +19,13 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from estrella.operators.ranking import first_per_key
 from estrella.operators.upsert import upsert
-from estrella.session import materialize
+from estrella.session import CODEC, materialize
 from estrella.sources.atomic import create_once
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -97,14 +97,8 @@ def _placed(spark: SparkSession, table: Table, paths: Sequence[str]) -> DataFram
     if not paths:
         place = {"_folder": F.lit(""), "_file": F.lit(""), "_at": F.lit(0).cast("long")}
         return _scan(spark, table, paths).withColumns(place)
-    path = F.col("_metadata.file_path")
-    rows = _scan(spark, table, paths).select(
-        *table.columns(),
-        F.regexp_replace(path, "/[^/]*$", "").alias("_folder"),
-        # write, partition folders and file: unique, however the root is spelled
-        F.substring_index(path, "/", -(2 + len(table.partition))).alias("_file"),
-        F.col("_metadata.row_index").alias("_at"),
-    )
+    place = _of_file(table, F.col("_metadata.file_path"))
+    rows = _scan(spark, table, paths).select(*table.columns(), *place, F.col("_metadata.row_index").alias("_at"))
     if not table.holed.intersection(paths):
         return rows
     went = spark.read.parquet(*table.gone).groupBy("_file", "_word").agg(F.bit_or("_bits").alias("_bits"))
@@ -112,6 +106,23 @@ def _placed(spark: SparkSession, table: Table, paths: Sequence[str]) -> DataFram
     return met.filter(F.col("_bits").isNull() | (F.getbit("_bits", _place()) == 0)).drop("_word", "_bits")
 
 
+def _of_file(table: Table, path: Column) -> list[Column]:
+    """Folder and name of a file from its path."""
+    return [
+        F.regexp_replace(path, "/[^/]*$", "").alias("_folder"),
+        # write, partition folders and file: unique, however the root is spelled
+        F.substring_index(path, "/", -(2 + len(table.partition))).alias("_file"),
+    ]
+
+
+def _files(spark: SparkSession, table: Table) -> DataFrame:
+    """Folder and name of the files of a table, one row each."""
+    if not table.paths():
+        return _placed(spark, table, []).select("_folder", "_file")
+    paths = _scan(spark, table, table.paths()).select(F.col("_metadata.file_path").alias("_path")).distinct()
+    return paths.select(*_of_file(table, F.col("_path")))
+
+
 def _located(spark: SparkSession, table: Table) -> DataFrame:
     """All rows with their places; only folders with holes meet the bitmaps."""
     holed = [p for p in table.paths() if p in table.holed]
@@ -225,7 +236,7 @@ class Snapshots:
         path = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
         levels = [_LEVEL.format(i) for i in range(len(partition))]
         dealt = df.withColumns({level: F.col(c).cast("string") for level, c in zip(levels, partition, strict=True)}) if levels else df
-        dealt.write.partitionBy(*levels).parquet(path)
+        dealt.write.option("compression", CODEC).partitionBy(*levels).parquet(path)
         if not levels:
             return {(): path}
         # the last levels that hold files: an empty frame has none
@@ -311,24 +322,38 @@ class Change:
     ) -> None:
         """The upsert without rewriting a file: the rows that change are marked as gone and come again in new folders.
 
-        Arguments and results as for ``upsert``. The table's keys are read to find the rows of the batch; only these
-        rows are read in full and written.
+        Arguments and results as for ``upsert``. The table's keys are read to find the rows of the batch, and meet it
+        with a number for their file. Only rows that keep some of their values are read in full.
         """
-        table = self.tables[name]
+        spark, table = self.base.spark, self.tables[name]
         if order is not None:
             source = first_per_key(source, key, order)
-        source = materialize(source)
-        hit = materialize(_located(self.base.spark, table).join(source.select(*key), list(key), "left_semi"))
+        rows = _located(spark, table)
+        written = {*columns, *table.partition}
+        whole = all(c in source.columns and (c in written or c in key) for c in table.columns())
+        if whole:
+            # nothing of a matched row survives: the batch itself is what comes, and is stored where it stays
+            self.append(name, rows.select(*table.columns()).filter(F.lit(False)).unionByName(source.select(*table.columns())))
+            source = _scan(spark, table, [p for p in self.tables[name].paths() if p not in set(table.paths())])
+        else:
+            source = materialize(source)
+        # one row per file of the table
+        files = materialize(_files(spark, table).withColumn("_no", F.monotonically_increasing_id()))
+        placed = rows.select(*key, "_file", "_at").join(F.broadcast(files.select("_file", "_no")), "_file")
+        hit = placed.select(*key, "_no", "_at").join(source.select(*key), list(key), "left_semi")
         bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _place())).alias("_bits")
-        marks = hit.groupBy("_file", F.shiftright("_at", _WORD).alias("_word")).agg(bits)
+        marks = materialize(hit.groupBy("_no", F.shiftright("_at", _WORD).alias("_word")).agg(bits).join(F.broadcast(files), "_no"))
+        if not whole:
+            met = rows.withColumn("_word", F.shiftright("_at", _WORD)).join(marks.select("_file", "_word", "_bits"), ["_file", "_word"])
+            old = met.filter(F.getbit("_bits", _place()) == 1).select(*table.columns())
+            self.append(name, upsert(old, source, key, [*columns, *table.partition]))
         # one row per folder of the table at most
-        folders = {_plain(r[0]) for r in hit.select("_folder").distinct().collect()}
+        folders = {_plain(r[0]) for r in marks.select("_folder").distinct().collect()}
         if folders:
             path = f"{self.store.root}/data/{name}/{uuid.uuid4().hex}"
-            marks.write.parquet(path)
+            marks.select("_file", "_word", "_bits").write.option("compression", CODEC).parquet(path)
             now = frozenset(p for p in table.paths() if _plain(p) in folders)
-            self.tables[name] = replace(table, gone=(*table.gone, path), holed=table.holed | now)
-        self.append(name, upsert(hit.select(*table.columns()), source, key, [*columns, *table.partition]))
+            self.tables[name] = replace(self.tables[name], gone=(*table.gone, path), holed=table.holed | now)
 
     def compact(self, name: str) -> int:
         """Rewrite the folders that rows went from, those of a partition as one. Returns the number of partitions rewritten."""

@@ -47,3 +47,21 @@ def test_headers_bring_the_fact_only_what_it_takes(spark, monkeypatch):
     assert seen == [["order_id", "sk_tiempo", "sk_cliente", "flete_prorrateado"]]
     got = fact.select("sk_tiempo", "sk_cliente", "sk_empleado", "sk_producto", "flete_prorrateado", "monto_neto").collect()
     assert [tuple(r) for r in got] == [(20200102, 50, None, 70, Decimal("4.5"), Decimal("6"))] * 2
+
+
+def test_merge_writes_the_batch_once(spark, monkeypatch):
+    store = Snapshots(spark, work_path(spark))
+    store.update(lambda c: c.replace("t", spark.range(300).selectExpr("id k", "id v", "id w").repartition(3)))
+    batch = spark.range(290, 310).selectExpr("id k", "-id v", "0L w")
+    seen = _seen(monkeypatch, snapshots)
+    store.update(lambda c: c.merge("t", batch, ["k"], ["v", "w"]))
+    assert seen and not any({"k", "v"} & set(columns) for columns in seen)
+    want = [(i, i, i) for i in range(290)] + [(i, -i, 0) for i in range(290, 310)]
+    assert _rows(store.open().read("t")) == sorted(want, key=str)
+    # a merge that keeps a column, onto files with holes; a NULL key is no key
+    part = spark.createDataFrame([(5, 1), (295, 2), (400, 3), (None, 4)], "k long, v long")
+    for _ in range(2):
+        store.update(lambda c: c.merge("t", part.filter("k IS NOT NULL"), ["k"], ["v"]))
+    store.update(lambda c: c.merge("t", part.filter("k IS NULL").withColumn("w", F.lit(9).cast("long")), ["k"], ["v", "w"]))
+    want = [(k, {5: 1, 295: 2}.get(k, v), w) for k, v, w in want] + [(400, 3, None), (None, 4, 9)]
+    assert _rows(store.open().read("t")) == sorted(want, key=str)
