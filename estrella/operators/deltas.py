@@ -73,7 +73,9 @@ def apply(change: Change, figures: Figures, changes: DataFrame) -> int:
 
     Changes that take away more than there is raise ``ValueError``. No changes change nothing.
     """
-    return _prepared(change, figures, changes, fresh=False)
+    # every figure reads the changes, which mostly come from a join
+    needed = dict.fromkeys([*figures.by, *figures.sums.values(), *figures.logged, SIGN])
+    return _prepared(change, figures, materialize(changes.select(*needed)), fresh=False)
 
 
 def read(snapshot: Snapshot, figures: Figures) -> DataFrame:

@@ -65,3 +65,15 @@ def test_merge_writes_the_batch_once(spark, monkeypatch):
     store.update(lambda c: c.merge("t", part.filter("k IS NULL").withColumn("w", F.lit(9).cast("long")), ["k"], ["v", "w"]))
     want = [(k, {5: 1, 295: 2}.get(k, v), w) for k, v, w in want] + [(400, 3, None), (None, 4, 9)]
     assert _rows(store.open().read("t")) == sorted(want, key=str)
+
+
+def test_changes_are_made_once_for_all_figures(spark, monkeypatch):
+    figures = deltas.Figures("f", ("g",), {"total": "x"}, {"pedidos": "o"}, buckets=2)
+    rows = spark.createDataFrame([(1, "a", 5, 1), (2, "a", 6, 1), (3, "b", 7, 2)], "k int, g string, x long, o int")
+    store = Snapshots(spark, work_path(spark))
+    store.update(lambda c: deltas.start(c, figures, rows))
+    seen = _seen(monkeypatch, deltas)
+    batch = spark.createDataFrame([(2, "b", 1, 3)], rows.schema)
+    store.update(lambda c: deltas.apply(c, figures, deltas.upsert_changes(rows, batch, ["k"])))
+    assert seen[0] == ["g", "x", "o", deltas.SIGN]
+    assert _rows(deltas.read(store.open(), figures)) == [("a", 1, 5, 1), ("b", 2, 8, 2)]
