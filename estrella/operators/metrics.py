@@ -97,10 +97,15 @@ def customer_segments(sums: DataFrame, customers: DataFrame | None = None, rank_
 
 
 def product_sums(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("sk_producto").agg(
-        F.count_distinct("nk_order_id").alias("total_pedidos"),
-        F.sum("cantidad").alias("total_unidades"),
-        F.sum("monto_neto").alias("revenue_total"),
+    """Orders, units and net amount per product.
+
+    Orders are counted from narrow pairs, so the sums do not go through one row per product and order.
+    """
+    sums = fact.groupBy("sk_producto").agg(F.sum("cantidad").alias("total_unidades"), F.sum("monto_neto").alias("revenue_total"))
+    pairs = fact.select(F.col("sk_producto").alias("_sk"), "nk_order_id").filter("nk_order_id IS NOT NULL").distinct()
+    orders = pairs.groupBy("_sk").agg(F.count(F.lit(1)).alias("total_pedidos"))
+    return sums.join(orders, F.col("sk_producto").eqNullSafe(F.col("_sk")), "left").select(
+        "sk_producto", F.coalesce("total_pedidos", F.lit(0)).alias("total_pedidos"), "total_unidades", "revenue_total"
     )
 
 

@@ -77,3 +77,15 @@ def test_changes_are_made_once_for_all_figures(spark, monkeypatch):
     store.update(lambda c: deltas.apply(c, figures, deltas.upsert_changes(rows, batch, ["k"])))
     assert seen[0] == ["g", "x", "o", deltas.SIGN]
     assert _rows(deltas.read(store.open(), figures)) == [("a", 1, 5, 1), ("b", 2, 8, 2)]
+
+
+def test_product_sums_shuffle_pairs_without_amounts(spark, capsys):
+    rows = [(1, 1, 2, Decimal(5)), (1, 1, 3, Decimal(6)), (1, 2, 1, None), (None, 3, 4, Decimal(1)), (2, None, 1, Decimal(2))]
+    fact = spark.createDataFrame(rows, "sk_producto long, nk_order_id long, cantidad int, monto_neto decimal(18,4)")
+    sums = metrics.product_sums(fact)
+    assert _rows(sums) == sorted([(1, 2, 6, Decimal(11)), (None, 1, 4, Decimal(1)), (2, 0, 1, Decimal(2))], key=str)
+    sums.explain()
+    keys = [line for line in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning(" in line and "nk_order_id" in line]
+    assert keys
+    sums.explain(True)
+    assert "count(distinct" not in capsys.readouterr().out
