@@ -8,7 +8,7 @@ both runs together. So profiles of long-lived tables need only the new rows of e
 * ``Q``, quantiles of numbers: counts of bands of 2.2 percent in value (so many percent is the error of a quantile).
 * ``F``, frequencies of values: counts in four rows of 2,048 slots, of which the least is an upper bound.
 
-NULLs are in no slot. All is one aggregation over one pass, with slots added up before the shuffle.
+NULLs are in no slot. All is one pass, counted by one number per slot and added up before the shuffle.
 """
 
 from __future__ import annotations
@@ -24,6 +24,10 @@ REGISTERS = 1 << REGISTER_BITS
 BANDS = 32  # of each doubling of a value
 ROWS, WIDTH = 4, 2048
 _WIDEST = 1100  # exponents of two
+_CLASSES = ("D", "F", "Q")
+# a code holds a rank below 2 ** 6 and a slot of either sign below 2 ** 19
+_RANK_BITS, _SLOT_BITS = 6, 20
+_RANKS, _SLOTS = 1 << _RANK_BITS, 1 << _SLOT_BITS
 
 
 def _band(v: Column) -> Column:
@@ -38,23 +42,40 @@ def _slot(row: int, text: Column) -> Column:
 def sketch(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The sketch of some columns; numbers have quantiles as well. NaN counts as a value, but has no quantile."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    cells = []
-    for name in columns:
-        text = F.col(name).cast("string")
-        hashed = F.xxhash64(text)
-        rest = F.shiftrightunsigned(hashed, REGISTER_BITS)
-        zeros = F.when(rest == 0, F.lit(64 - REGISTER_BITS)).otherwise(64 - REGISTER_BITS - F.length(F.bin(rest)))
-        slots = [("D", F.pmod(hashed, F.lit(REGISTERS)), (zeros + 1).cast("long"))]
-        slots += [("F", _slot(row, text), F.lit(1).cast("long")) for row in range(ROWS)]
-        if isinstance(types[name], NumericType):
-            value = F.col(name).cast("double")
-            slots.append(("Q", F.when(~F.isnan(value), _band(value)), F.lit(1).cast("long")))
-        cells += [
-            F.when(F.col(name).isNotNull(), F.struct(F.lit(name).alias("campo"), F.lit(c).alias("clase"), s.alias("casilla"), w.alias("peso")))
-            for c, s, w in slots
-        ]
-    rows = df.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.*").filter("casilla IS NOT NULL")
-    return _added(rows)
+    fields = [
+        F.struct(
+            F.lit(i).cast("long").alias("f"),
+            F.col(name).cast("string").alias("t"),
+            (F.col(name) if isinstance(types[name], NumericType) else F.lit(None)).cast("double").alias("v"),
+        )
+        for i, name in enumerate(columns)
+    ]
+    # one row a value first: the code that makes its slots stays short enough to be compiled, whatever the number of columns
+    values = df.select(F.inline(F.array(*fields))).filter("t IS NOT NULL").withColumn("h", F.xxhash64("t"))
+    rest = F.shiftrightunsigned("h", REGISTER_BITS)
+    zeros = F.when(rest == 0, F.lit(64 - REGISTER_BITS)).otherwise(64 - REGISTER_BITS - F.length(F.bin(rest)))
+    cells = [_code("D", F.pmod("h", F.lit(REGISTERS)), zeros + 1), _code("Q", F.when(~F.isnan("v"), _band(F.col("v"))), F.lit(0))]
+    cells += [_code("F", _slot(row, F.col("t")), F.lit(0)) for row in range(ROWS)]
+    # rows are counted by one number for column, class, slot and rank: rows of texts would cost most of the time
+    codes = values.select(F.explode(F.array(*cells)).alias("c")).filter("c IS NOT NULL")
+    counted = codes.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    rank, rest = F.col("c").bitwiseAND(_RANKS - 1), F.shiftright("c", _RANK_BITS)
+    slot, group = rest.bitwiseAND(_SLOTS - 1) - _SLOTS // 2, F.shiftright(rest, _SLOT_BITS).cast("int")
+    names = F.array(*[F.lit(c) for c in columns])
+    return _added(
+        counted.select(
+            names[F.floor(group / len(_CLASSES)).cast("int")].alias("campo"),
+            F.array(*[F.lit(c) for c in _CLASSES])[group % len(_CLASSES)].alias("clase"),
+            slot.alias("casilla"),
+            F.when(rank > 0, rank).otherwise(F.col("n")).alias("peso"),
+        )
+    )
+
+
+def _code(kind: str, slot: Column, rank: Column) -> Column:
+    """Column, class, slot and rank of a register (0 for classes that count rows) as one number."""
+    group = F.col("f") * len(_CLASSES) + _CLASSES.index(kind)
+    return (group * _SLOTS + slot.cast("long") + _SLOTS // 2) * _RANKS + rank.cast("long")
 
 
 def merge(*sketches: DataFrame) -> DataFrame:

@@ -89,3 +89,14 @@ def test_product_sums_shuffle_pairs_without_amounts(spark, capsys):
     assert keys
     sums.explain(True)
     assert "count(distinct" not in capsys.readouterr().out
+
+
+def test_sketch_counts_slots_by_number(spark, capsys):
+    df = spark.createDataFrame([(1, "x"), (-3, None), (1, "y")], "n int, t string")
+    made = sketches.sketch(df, ["n", "t"])
+    totals = made.groupBy("campo", "clase").agg(F.count(F.lit(1)), F.sum(F.when(F.col("clase") != "D", F.col("peso"))))
+    assert _rows(totals) == [("n", "D", 2, None), ("n", "F", 8, 12), ("n", "Q", 2, 3), ("t", "D", 2, None), ("t", "F", 8, 8)]
+    assert made.filter("clase = 'Q' AND casilla < 0").count() == 1 and made.filter("clase = 'D' AND peso < 1").isEmpty()
+    assert dict(made.dtypes) == {"campo": "string", "clase": "string", "casilla": "bigint", "peso": "bigint"}
+    made.explain()
+    assert "HashAggregate(keys=[c#" in capsys.readouterr().out
